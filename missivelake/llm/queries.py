@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, grammar_ids, line_dedup, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = grammar_ids.round_trip(table(spark, sf_dir, "documents"))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES["op2_packing"] = op2_packing
+QUERIES["op8_grammar_ids"] = op8_grammar_ids
 QUERIES["op4_exact_dedup"] = op4_exact_dedup
 QUERIES["op6_line_dedup"] = op6_line_dedup
 
