@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, grammar_ids, line_dedup, packing
+from . import exact_dedup, grammar_ids, line_dedup, packing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op8_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = simhash.near_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES["op7_simhash"] = op7_simhash
 QUERIES["op2_packing"] = op2_packing
 QUERIES["op8_grammar_ids"] = op8_grammar_ids
 QUERIES["op4_exact_dedup"] = op4_exact_dedup
