@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text
+from .common import ascii_lower, whole_text, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
 WHITE = " \t\n\x0b\x0c\r"
@@ -59,6 +59,9 @@ def keep_bitmaps(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS
     # One row per document and line first: a document counts once however often it repeats the line.
     in_docs = ranged.groupBy("h1", "h2", "doc_id", "th").agg(F.count("*").alias("times"))
     heads = in_docs.groupBy("h1", "h2").agg(F.max("doc_id").alias("first_doc"), F.count("*").alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+    # Written, the heads are a table of their own: both sides of the join are plain exchanges, and AQE can
+    # split the partition of a very common line.
+    heads = written(heads, "line-heads")
     hits = lines.join(heads, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     per_doc = hits.groupBy("doc_id", "th", "n_lines").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.col("n_lines")))
