@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, grammar_ids, line_dedup, packing, simhash
+from . import exact_dedup, grammar_ids, line_dedup, packing, simhash, substring_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_simhash"] = op7_simhash
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES["op10_substring_dedup"] = op10_substring_dedup
 QUERIES["op2_packing"] = op2_packing
 QUERIES["op8_grammar_ids"] = op8_grammar_ids
 QUERIES["op4_exact_dedup"] = op4_exact_dedup
