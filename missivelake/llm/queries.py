@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, grammar_ids, line_dedup, packing, simhash, substring_dedup
+from . import decontaminate, exact_dedup, grammar_ids, line_dedup, packing, simhash, substring_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_substring_dedup"] = op10_substring_dedup
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op5_decontaminate"] = op5_decontaminate
 QUERIES["op2_packing"] = op2_packing
 QUERIES["op8_grammar_ids"] = op8_grammar_ids
 QUERIES["op4_exact_dedup"] = op4_exact_dedup
