@@ -1,118 +1,174 @@
-"""Token ids of whole texts with the ``tokenizers`` library, one library call per distinct piece.
-
-Both vocabularies split a text before merging, and a space between two visible characters is always such a
-split, as is a single newline between them.  A text that holds no other white space is cut there; the
-library encodes each distinct piece once and a bounded table keeps the packed ids.  Any other text is
-encoded whole.  Ids are packed as little-endian unsigned 32-bit integers.
+"""Token ids of whole texts with the ``tokenizers`` library, one library call per distinct word part.
+
+Both vocabularies split a text before merging, and a single space or newline between two visible characters
+is always such a split.  A text with no other white space is cut there; the packed ids of each distinct piece
+are kept in a bounded table.  A new piece that is a word, or a word and one punctuation mark, is looked up
+by those parts, and only unknown parts go through the file's own merges.  Everything else (other white
+space, unprintable characters, letters beyond Latin, digits, symbols) is encoded by the unchanged tokenizer.
+Ids are packed as little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations
 
 import os
+from contextlib import suppress
 from struct import pack
 
 ID_BYTES = 4
-#: Pieces whose ids a worker keeps; beyond, the table starts again.
-MAX_PIECES = 500_000
-#: New pieces in one call's text; the library is slower on single pieces and on long texts.
-TOGETHER = 16
+#: Pieces whose ids a worker keeps.  Frequent ones come early; when the table is full, later ones are kept
+#: for their batch only, and the table starts again when most of a batch is not in it.
+MAX_PIECES = 400_000
+#: Parts in one call of the library, which is slower on single parts.
+TOGETHER = 200
+#: Marks that a vocabulary splits from the letters before them, as one run.  No apostrophe: it may begin a contraction.
+MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+#: Letters below this point are the same letters to every Unicode version and stable under normalisation.
+LATIN_END = "ɐ"
 
 
-class PieceEncoder:
-    """Encodes texts with one tokenizer file.
+def _byte_characters() -> dict[int, str]:
+    """What byte-level vocabularies write for each byte: printable Latin-1 as it is, the rest from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Table(dict):
+    """Remembers the keys it was asked for in vain."""
 
-    ``space_joins``: the vocabulary glues a space to the word after it (byte-level BPE); otherwise white
-    space only separates.
-    """
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> None:
+        self.new.append(key)
+        return None
+
+
+class PieceEncoder:
+    """Encodes texts with one tokenizer file."""
 
     def __init__(self, path: str, max_pieces: int = MAX_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.space_joins = len(self.tokenizer.encode("a b", add_special_tokens=False).ids) != len(self.tokenizer.encode("a  b", add_special_tokens=False).ids)
-        self.known: dict[str, bytes] = {}
+        # The same merges without the splitting, which single words do not need.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.encode_special_tokens = True
+        self.merges.pre_tokenizer, self.merges.normalizer = CharDelimiterSplit("\n"), None
+        self.byte_characters = _byte_characters()
+        # A space belongs to the word after it (byte-level BPE), or only separates and case is dropped.
+        self.space_joins = self._whole(" a") != self._whole("a")
+        self.pieces = _Table()
+        self.parts: dict[str, bytes] = {}
         self.max_pieces = max_pieces
-        self.newline = self._pack(self.tokenizer.encode("\n", add_special_tokens=False).ids)
-        # A text between pieces whose single id no other text gives: many pieces are encoded in one call.
-        self.mark = "\n" if self.space_joins else "\x01"
-        found = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
-        self.mark_id = found[0] if len(found) == 1 else None
-
-    @staticmethod
-    def _pack(ids: list[int]) -> bytes:
-        return pack(f"<{len(ids)}I", *ids)
 
     def _whole(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, new: list[str]) -> None:
-        """Adds pieces to the table."""
-        odd = [w for w in new if self.mark in w] if self.mark_id is not None else new
-        for piece in odd:
-            self.known[piece] = self._whole(piece)
-        if self.mark_id is None:
-            return
-        plain = [w for w in new if self.mark not in w] if odd else new
-        between = self.mark if self.space_joins else f" {self.mark} "
-        groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
-        for at in range(0, len(groups), 500):  # bounds the library's own objects
-            some = groups[at : at + 500]
-            for words, found in zip(some, self.tokenizer.encode_batch_fast(list(map(between.join, some)), add_special_tokens=False), strict=True):
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _split(self, text: str) -> list[str] | None:
+        """The pieces of a plain text: words, with a newline before those that start a line; else None."""
+        flat = text.replace("\n", " ")
+        if not flat or "  " in flat or flat[0] == " " or flat[-1] == " " or not flat.isprintable():
+            return None
+        if self.space_joins:
+            return ("\n" + text.replace("\n", " \n")).split(" ")
+        return flat.split(" ")
+
+    def _parts_of(self, piece: str) -> tuple[str, ...] | None:
+        """The parts of a piece that the vocabulary merges apart; None if the tokenizer has to tell."""
+        starts_line = piece[:1] == "\n"
+        word = piece[1:] if starts_line else piece
+        if not word or not (word.isascii() or max(word) < LATIN_END):
+            return None
+        if not self.space_joins:
+            word = word.lower()
+        space = " " if self.space_joins and not starts_line else ""
+        if word.isalpha():
+            return (space + word,)
+        letters = word.rstrip(MARKS)
+        if not letters:
+            return (space + word,)
+        return (space + letters, word[len(letters) :]) if letters.isalpha() and len(letters) < len(word) else None
+
+    def _written(self, part: str) -> str:
+        """A part in the vocabulary's characters."""
+        if part.isascii():
+            return part.replace(" ", self.byte_characters[32])
+        return part.encode().decode("latin-1").translate(self.byte_characters)
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        import numpy as np
+
+        groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
+        for at in range(0, len(groups), 50):  # bounds the library's own objects
+            some = groups[at : at + 50]
+            texts = ["\n".join(map(self._written, group)) for group in some]
+            for group, found in zip(some, self.merges.encode_batch(texts, add_special_tokens=False), strict=True):
                 ids = found.ids
                 packed = pack(f"<{len(ids)}I", *ids)
-                cuts = [k for k, x in enumerate(ids) if x == self.mark_id]
-                if len(cuts) != len(words) - 1:  # the mark is not what it should be: one call per piece
-                    self.known.update((w, self._whole(w)) for w in words)
-                    continue
-                start = 0
-                for w, end in zip(words, [*cuts, len(ids)], strict=True):
-                    self.known[w] = packed[start * ID_BYTES : end * ID_BYTES]
-                    start = end + 1
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """The pieces of a plain text, "\\n" between lines; None if it has to be encoded whole."""
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            words = line.split()
-            if not words or " ".join(words) != line:
-                return None
-            if k:
-                out.append("\n")
-            if self.space_joins:
-                out.append(words[0])
-                out += [" " + w for w in words[1:]]
+                ends = (np.searchsorted(np.array(found.word_ids), np.arange(len(group)), "right") * ID_BYTES).tolist()
+                self.parts.update(zip(group, [packed[s:e] for s, e in zip([0, *ends], ends)]))
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of new pieces."""
+        cut = [(p, self._parts_of(p)) for p in new]
+        self._learn_parts(list({x for _, parts in cut if parts for x in parts if x not in self.parts}))
+        newline, known = self._whole("\n"), self.parts
+        odd = [p for p, parts in cut if not parts]
+        texts = [(p[1:] if p[:1] == "\n" else " " + p) if self.space_joins else p for p in odd]
+        whole = {p: pack(f"<{len(x.ids)}I", *x.ids) for p, x in zip(odd, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True)}
+        found = {}
+        for piece, parts in cut:
+            starts_line = self.space_joins and piece[:1] == "\n"
+            if parts:
+                ids = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
             else:
-                out += words
-        return out
+                ids = whole[piece]
+            found[piece] = newline + ids if starts_line else ids
+        if len(known) > self.max_pieces:
+            known.clear()
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, in order."""
-        if len(self.known) > self.max_pieces:
-            self.known.clear()
-        self.known["\n"] = self.newline
-        get = self.known.get
-        done: list = []
-        new: set[str] = set()
-        for text in texts:
-            pieces = self._pieces(text)
+        get, new = self.pieces.__getitem__, self.pieces.new
+        # The newline that _split puts before a text is not part of it.
+        skip = len(self._whole("\n")) if self.space_joins else 0
+        out: list[bytes] = []
+        open_: list[tuple[int, list[str], list]] = []
+        asked = 0
+        for k, text in enumerate(texts):
+            pieces = self._split(text)
             if pieces is None:
-                done.append((None, None))
+                out.append(self._whole(text))
                 continue
+            before = len(new)
             found = list(map(get, pieces))
-            if None in found:
-                new.update([p for p, f in zip(pieces, found) if f is None])
-                done.append((pieces, found))
-            else:
-                done.append((None, b"".join(found)))
-        self._learn(list(new))
-        known, out = self.known, []
-        for text, (pieces, found) in zip(texts, done, strict=True):
-            if pieces is not None:
-                out.append(b"".join([known[p] if f is None else f for p, f in zip(pieces, found)]))
+            asked += len(found)
+            if len(new) > before:
+                open_.append((k, pieces, found))
+                out.append(b"")
             else:
-                out.append(self._whole(text) if found is None else found)
+                out.append(b"".join(found)[skip:])
+        missed = len(new)
+        fresh = self._learn(set(new))
+        new.clear()
+        for k, pieces, found in open_:
+            at = -1
+            with suppress(ValueError):
+                while True:
+                    at = found.index(None, at + 1)
+                    found[at] = fresh[pieces[at]]
+            out[k] = b"".join(found)[skip:]
+        if len(self.pieces) < self.max_pieces:
+            self.pieces.update(fresh)
+        elif missed > asked // 2:
+            self.pieces.clear()
         return out
 
 
