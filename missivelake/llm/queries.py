@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, grammar_ids, line_dedup, packing, simhash, substring_dedup
+from . import decontaminate, exact_dedup, grammar_ids, langid, line_dedup, packing, pii, simhash, substring_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,29 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_decontaminate"] = op5_decontaminate
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.select("page_id", "url").join(labels, F.col("page_id") == F.col("doc_id")).select("url", F.coalesce(bad, F.lit(False)).alias("bad"))
+    return url_filter.judge(pages, labelled)
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["is_base"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.KINDS[: pii.BASE]]
+    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).drop("th")
+
+
+QUERIES["op1_url_filter"] = op1_url_filter
+QUERIES["op3_pii"] = op3_pii
+QUERIES["op9_language_id"] = op9_language_id
 QUERIES["op2_packing"] = op2_packing
 QUERIES["op8_grammar_ids"] = op8_grammar_ids
 QUERIES["op4_exact_dedup"] = op4_exact_dedup
