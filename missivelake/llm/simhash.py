@@ -117,7 +117,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
         two = sizes.filter("n = 2").filter(_close(F.col("a"), F.col("b"), distance)).select("a", "b")
         last = level == len(LEVELS) - 1
         some = sizes.filter("n > 2") if last else sizes.filter(f"n > 2 and n <= {max_paired}")
-        grouped = keyed.join(some.select(*same), same).groupBy(*same).agg(F.sort_array(F.collect_list("fp")).alias("all"))
+        # Shuffled at every size: the members of all keys are too many to be read past a broadcast table of keys.
+        grouped = keyed.join(some.select(*same).hint("shuffle_hash"), same).groupBy(*same).agg(F.sort_array(F.collect_list("fp")).alias("all"))
         pairs = F.flatten(
             F.transform(
                 F.col("all"),
