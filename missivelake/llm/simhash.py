@@ -78,7 +78,7 @@ def _signed(mask: int) -> int:
 
 
 def _variants(members: DataFrame, bits: int) -> DataFrame:
-    """(path, low, wild, masked, fp): the keys of one level.  ``low`` is the lowest bit of the segment left over.
+    """(fp, key, low): the keys of one level.  ``low`` is the lowest bit of the segment left over.
 
     members: (fp, path, low); their segment of ``bits`` bits from ``low`` on is cut in two.
     """
@@ -95,8 +95,8 @@ def _variants(members: DataFrame, bits: int) -> DataFrame:
         )
 
     spread = members.select("fp", "path", F.explode(F.concat(keys(0), keys(1))).alias("k"))
-    # The path names every earlier key, so members of different keys never meet.
-    return spread.select("fp", F.xxhash64("path", "k.wild", "k.masked").alias("key"), F.col("path").alias("was"), F.col("k.wild").alias("wild"), F.col("k.masked").alias("masked"), F.col("k.left").alias("low"))
+    # The path stands for every earlier key.  Keys are hashes: a collision only adds a candidate to verify.
+    return spread.select("fp", F.xxhash64("path", "k.wild", "k.masked").alias("key"), F.col("k.left").alias("low"))
 
 
 def _close(a: Column, b: Column, distance: int) -> Column:
@@ -111,7 +111,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
     found: list[DataFrame] = []
     for level, bits in enumerate(LEVELS):
         keyed = _variants(members, bits)
-        same = ["key", "was", "wild", "masked"]
+        same = ["key"]
         sizes = keyed.groupBy(*same).agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
         sizes = written(sizes, "keys")
         two = sizes.filter("n = 2").filter(_close(F.col("a"), F.col("b"), distance)).select("a", "b")
