@@ -107,7 +107,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
     """(a, b) with a < b: pairs of distinct fingerprints that link.  A pair may appear more than once."""
     if distance > 2:
         raise ValueError("two segments find pairs of at most two differing bits")
-    members = fps.select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("low"))
+    # The few bytes of all fingerprints come in few files; their many keys are made by every core.
+    members = fps.repartition("fp").select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("low"))
     found: list[DataFrame] = []
     for level, bits in enumerate(LEVELS):
         keyed = _variants(members, bits)
