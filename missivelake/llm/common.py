@@ -53,6 +53,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     finished job are released, so they do not pile up beside the written table.
     """
     spark = df.sparkSession
+    release(spark)
     path = f"{shared_dir(spark)}/missivelake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)

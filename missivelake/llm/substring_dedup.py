@@ -8,8 +8,9 @@ an equal anchor at the same shift, so windows without a shared anchor need no fu
 1. Each task hashes its anchors and sends, by hash range, one packed row a range: an anchor that several
    of its documents hold is sent once, marked, so a passage that very many documents share costs one entry a
    task.  Each range finds the anchors of more than one document and returns (document, position) of them.
-2. Documents with shared anchors extend them: every window over such an anchor gets a 128-bit hash.  The
-   smallest doc_id by hash is a plain grouped minimum, and a window is removed from the other documents.
+2. Documents with shared anchors extend them: every window over such an anchor gets a 96-bit hash and is
+   compared in the same way, each task sending a hash for its smallest doc_id only.  A window is removed
+   from all documents but the smallest that holds it.
 3. The words that removed windows cover are dropped.
 
 Defined results: a null text has no words.  Rows with a null doc_id neither lose words nor make others lose
@@ -85,55 +86,87 @@ def cover_positions(n: int) -> np.ndarray:
     return p[np.isin(p % PERIOD, COVER)]
 
 
-def _anchor_ranges(docs: DataFrame, ranges: int) -> DataFrame:
-    """(range, local, hashes, owners, places): packed arrays u64, i64, u32.
+def _pack_owners(owner: np.ndarray) -> bytes:
+    """i64 as its least value and u32 differences where they fit; MANY fits as itself only."""
+    if len(owner):
+        least = int(owner.min())
+        if int(owner.max()) - least < 1 << 32:
+            return b"\x04" + np.int64(least).tobytes() + (owner - least).astype("<u4").tobytes()
+    return b"\x08" + owner.astype("<i8").tobytes()
 
-    local 1: these anchors are known to be shared; local 0: to be compared with other tasks'.  In the
-    latter, owner MANY marks an anchor that several documents of the task hold.
-    """
 
-    def gather(batches):
-        import pyarrow as pa
+def _owners(packed: bytes) -> np.ndarray:
+    if packed[0] == 4:
+        return np.frombuffer(packed, "<u4", -1, 9).astype(np.int64) + np.frombuffer(packed, "<i8", 1, 1)[0]
+    return np.frombuffer(packed, "<i8", -1, 1)
 
-        def flush(hs, ids, ps):
-            h, owner, place = (np.concatenate(x) for x in (hs, ids, ps))
-            order = np.argsort(h, kind="stable")
-            h, owner, place = h[order], owner[order], place[order]
-            first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
-            starts = np.flatnonzero(first)
-            lo, hi = np.minimum.reduceat(owner, starts), np.maximum.reduceat(owner, starts)
-            many = np.repeat(lo != hi, np.diff([*starts, len(h)]))
-            send = ~many | first
-            sent_owner = np.where(many, MANY, owner)[send]
-            sent, sent_place = h[send], place[send]
-            cuts = np.searchsorted(sent, np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)) if ranges > 1 else []
-            rows = [(k, 0, a, b, c) for k, (a, b, c) in enumerate(zip(np.split(sent, cuts), np.split(sent_owner, cuts), np.split(sent_place, cuts))) if len(a)]
-            if many.any():
-                rows.append((0, 1, h[:0], owner[many], place[many]))
-            for k, local, a, b, c in rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([local], pa.int32()), pa.array([a.tobytes()], pa.binary()), pa.array([b.astype("<i8").tobytes()], pa.binary()), pa.array([c.astype("<u4").tobytes()], pa.binary())],
-                    names=["range", "local", "hashes", "owners", "places"],
-                )
 
-        hs, ids, ps, held = [], [], [], 0
-        for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w = words_of(text)
-                if name is None or len(w) < WINDOW:
-                    continue
-                p = cover_positions(len(w))
-                hs.append(rolled(_hashes.of(w), ANCHOR, MIX1)[p])
-                ids.append(np.full(len(p), name, np.int64))
-                ps.append(p)
-                held += len(p)
-                if held >= TASK_ANCHORS:
-                    yield from flush(hs, ids, ps)
-                    hs, ids, ps, held = [], [], [], 0
-        if held:
-            yield from flush(hs, ids, ps)
+def _pack_places(place: np.ndarray) -> bytes:
+    return b"\x02" + place.astype("<u2").tobytes() if not len(place) or place.max() < 1 << 16 else b"\x04" + place.astype("<u4").tobytes()
+
+
+def _places(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u2" if packed[0] == 2 else "<u4", -1, 1).astype(np.int64)
+
+
+def _low_bytes(values: np.ndarray, n: int) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+
+
+def _from_bytes(packed: bytes, n: int) -> np.ndarray:
+    out = np.zeros((len(packed) // n, 8), np.uint8)
+    out[:, :n] = np.frombuffer(packed, np.uint8).reshape(-1, n)
+    return out.view("<u8").ravel()
+
+
+def _groups(h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray):
+    """Entries sorted by hashes and owner, where each run of equal hashes starts, and its length."""
+    order = np.lexsort((owner, h2, h))
+    h, h2, owner, place = h[order], h2[order], owner[order], place[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])
+    starts = np.flatnonzero(first)
+    return h, h2, owner, place, starts, np.diff(np.append(starts, len(h)))
+
 
-    return docs.mapInArrow(gather, "range int, local int, hashes binary, owners binary, places binary")
+#: What is compared: anchors are reported if another document holds them (6 bytes of hash: a collision only
+#: adds a window to look at), windows if a smaller doc_id holds them (12 bytes of hash).
+ANCHORS, WINDOWS = "anchors", "windows"
+HASH_BYTES = {ANCHORS: (6, 0), WINDOWS: (8, 4)}
+ENTRY_SCHEMA = "range int, local int, hashes binary, seconds binary, owners binary, places binary"
+FOUND_SCHEMA = "doc_id long, places binary"
+
+
+def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray):
+    """Packed rows of one chunk of entries.  Entries that the chunk itself settles go along without their
+    hashes, spread over all ranges; of the others each hash is sent for one owner."""
+    import pyarrow as pa
+
+    h, h2, owner, place, starts, n = _groups(h, h2, owner, place)
+    least = np.repeat(owner[starts], n)
+    if kind == ANCHORS:
+        settled = np.repeat(owner[starts] != owner[starts + n - 1], n)
+        send = ~settled
+        send[starts] = True
+        sent = np.where(settled, MANY, owner)[send]
+    else:
+        settled = owner > least
+        send = ~settled
+        sent = owner[send]
+    h, h2, sent_place = h[send], h2[send], place[send]
+    cuts = np.searchsorted(h, np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)) if ranges > 1 else np.empty(0, np.int64)
+    first, second = HASH_BYTES[kind]
+    edges = [0, *cuts.tolist(), len(h)]
+    rows = [
+        (k, 0, _low_bytes(h[i:j], first), _low_bytes(h2[i:j], second) if second else b"", _pack_owners(sent[i:j]), _pack_places(sent_place[i:j]))
+        for k, (i, j) in enumerate(zip(edges, edges[1:]))
+        if j > i
+    ]
+    if settled.any():
+        rows.append(((part * 31 + chunk) % ranges, 1, b"", b"", _pack_owners(owner[settled]), _pack_places(place[settled])))
+    columns = list(zip(*rows)) if rows else [[]] * 6
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["range", "local", "hashes", "seconds", "owners", "places"])
 
 
 def _by_owner(owner: np.ndarray, place: np.ndarray):
@@ -143,76 +176,98 @@ def _by_owner(owner: np.ndarray, place: np.ndarray):
     order = np.lexsort((place, owner))
     owner, place = owner[order], place[order]
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, np.int64)
-    packed = [x.astype("<u4").tobytes() for x in np.split(place, starts[1:])] if len(owner) else []
+    packed = [_pack_places(x) for x in np.split(place, starts[1:])] if len(owner) else []
     return pa.RecordBatch.from_arrays([pa.array(owner[starts], pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "places"])
 
 
-def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, places): documents that hold anchors of other documents, with packed u32 positions; a
-    document may have several rows."""
-    sent = written(_anchor_ranges(docs, ranges), "anchors")
+def _compare(kind: str, sent: DataFrame) -> DataFrame:
+    """(doc_id, places): the entries to report; a document may have several rows."""
+    first, second = HASH_BYTES[kind]
 
-    def compare(table):
+    def one_range(table):
         import pyarrow as pa
 
-        h = np.frombuffer(b"".join(table.column("hashes").to_pylist()), "<u8")
-        owner = np.frombuffer(b"".join(table.column("owners").to_pylist()), "<i8")
-        place = np.frombuffer(b"".join(table.column("places").to_pylist()), "<u4")
-        order = np.argsort(h, kind="stable")
-        h, owner, place = h[order], owner[order], place[order]
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
-        if len(starts):
-            lo, hi = np.minimum.reduceat(owner, starts), np.maximum.reduceat(owner, starts)
-            many = np.repeat((lo != hi) | (lo == MANY), np.diff([*starts, len(h)])) & (owner != MANY)
-            owner, place = owner[many], place[many]
-        return pa.Table.from_batches([_by_owner(owner, place)])
-
-    def unpack(batches):
+        h, h2, owner, place, done_owner, done_place = [], [], [], [], [], []
+        for local, a, b, o, p in zip(*(table.column(c).to_pylist() for c in ("local", "hashes", "seconds", "owners", "places")), strict=True):
+            if local:
+                done_owner.append(_owners(o))
+                done_place.append(_places(p))
+            else:
+                h.append(_from_bytes(a, first))
+                h2.append(_from_bytes(b, second) if second else np.zeros(len(h[-1]), np.uint64))
+                owner.append(_owners(o))
+                place.append(_places(p))
+        if h:
+            _, _, o, p, starts, n = _groups(*(np.concatenate(x) for x in (h, h2, owner, place)))
+            least, most = np.repeat(o[starts], n), np.repeat(o[starts + n - 1], n)
+            tell = (o != MANY) & (least != most) | (o != MANY) & (least == MANY) if kind == ANCHORS else o > least
+            done_owner.append(o[tell])
+            done_place.append(p[tell])
+        return pa.Table.from_batches([_by_owner(np.concatenate(done_owner), np.concatenate(done_place))])
+
+    return sent.groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
+
+
+def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
+    """(doc_id, places): positions of anchors that other documents hold too."""
+
+    def gather(batches):
+        from pyspark import TaskContext
+
+        part, chunk = TaskContext.get().partitionId(), 0
+        hs, ids, ps, held = [], [], [], 0
         for batch in batches:
-            for o, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield _by_owner(np.frombuffer(o, "<i8"), np.frombuffer(p, "<u4"))
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                w = words_of(text)
+                if name is None or len(w) < WINDOW:
+                    continue
+                p = cover_positions(len(w))
+                hs.append(rolled(_hashes.of(w), ANCHOR, MIX1)[p])
+                ids.append(np.full(len(p), name, np.int64))
+                ps.append(p)
+                held += len(p)
+                if held >= TASK_ANCHORS:
+                    h = np.concatenate(hs)
+                    yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.concatenate(ps))
+                    hs, ids, ps, held, chunk = [], [], [], 0, chunk + 1
+        if held:
+            h = np.concatenate(hs)
+            yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.concatenate(ps))
 
-    schema = "doc_id long, places binary"
-    across = sent.filter("local = 0").select("range", "hashes", "owners", "places").groupBy("range").applyInArrow(compare, schema)
-    within = sent.filter("local = 1").select("owners", "places").mapInArrow(unpack, schema)
-    return across.union(within)
+    return _compare(ANCHORS, docs.mapInArrow(gather, ENTRY_SCHEMA))
 
 
 def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, starts): window starts of a document whose words also stand in a smaller doc_id."""
-    found = shared_anchors(docs, ranges).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    found = written(found, "shared-anchors")
+    """(doc_id, places): starts of windows whose words also stand in a smaller doc_id."""
+    found = written(shared_anchors(docs, ranges).groupBy("doc_id").agg(F.collect_list("places").alias("places")), "shared-anchors")
     # An inner join: only documents with shared anchors go on.
-    rows = docs.filter("doc_id is not null").join(found, "doc_id").select("doc_id", "text", "places")
+    rows = docs.filter("doc_id is not null").join(found.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "places")
 
     def extend(batches):
-        import pyarrow as pa
+        from pyspark import TaskContext
 
+        part, chunk = TaskContext.get().partitionId(), 0
+        held: list[list[np.ndarray]] = [[], [], [], []]
+        size = 0
         for batch in batches:
-            names, starts, k1, k2 = [], [], [], []
             for name, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 w = _hashes.of(words_of(text))
                 if len(w) < WINDOW:
                     continue
-                p = np.frombuffer(b"".join(places), "<u4").astype(np.int64)
-                over = np.zeros(len(w) + 1, np.int64)
+                p = np.concatenate([_places(x) for x in places])
                 # A window over the anchor at p starts at p - PERIOD + 1 .. p.
-                np.add.at(over, np.clip(p - PERIOD + 1, 0, len(w)), 1)
-                np.add.at(over, np.clip(p + 1, 0, len(w)), -1)
+                over = np.bincount(np.clip(p - PERIOD + 1, 0, len(w)), minlength=len(w) + 1) - np.bincount(np.clip(p + 1, 0, len(w)), minlength=len(w) + 1)
                 s = np.flatnonzero(np.cumsum(over)[: len(w) - WINDOW + 1] > 0)
-                names.append(np.full(len(s), name, np.int64))
-                starts.append(s)
-                k1.append(rolled(w, WINDOW, MIX1)[s])
-                k2.append(rolled(w, WINDOW, MIX2)[s])
-            if names:
-                n, s, a, b = (np.concatenate(x) for x in (names, starts, k1, k2))
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n), pa.array(s.astype(np.int32))], names=["k1", "k2", "doc_id", "start"])
+                for column, x in zip(held, (rolled(w, WINDOW, MIX1)[s], rolled(w, WINDOW, MIX2)[s] >> np.uint64(32), np.full(len(s), name, np.int64), s)):
+                    column.append(x)
+                size += len(s)
+                if size >= TASK_ANCHORS:
+                    yield _send(WINDOWS, ranges, part, chunk, *(np.concatenate(c) for c in held))
+                    held, size, chunk = [[], [], [], []], 0, chunk + 1
+        if size:
+            yield _send(WINDOWS, ranges, part, chunk, *(np.concatenate(c) for c in held))
 
-    windows = written(rows.mapInArrow(extend, "k1 long, k2 long, doc_id long, start int"), "windows")
-    least = windows.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("k1", "k2", "least")
-    # Written, so that both sides of the join are plain exchanges and AQE can split a hot window.
-    least = written(least, "window-owners")
-    return windows.join(least, ["k1", "k2"]).filter("doc_id > least").groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+    return _compare(WINDOWS, rows.mapInArrow(extend, ENTRY_SCHEMA)).groupBy("doc_id").agg(F.collect_list("places").alias("starts"))
 
 
 def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -237,7 +292,7 @@ def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
                     kept.append(b" ".join(w))
                     continue
                 over = np.zeros(len(w) + WINDOW + 1, np.int64)
-                s = np.unique(np.array(starts, np.int64))
+                s = np.unique(np.concatenate([_places(x) for x in starts]))
                 s = s[s + WINDOW <= len(w)]
                 over[s] += 1
                 over[s + WINDOW] -= 1
