@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
@@ -55,12 +56,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     release(spark)
     path = f"{shared_dir(spark)}/missivelake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Nothing reads this job's shuffles again, so they go as soon as it has ended.
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     release(spark)
     return back
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for one job, put back afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of frames that nothing refers to any more."""
     gc.collect()
