@@ -134,7 +134,7 @@ def _groups(h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray)
 ANCHORS, WINDOWS = "anchors", "windows"
 HASH_BYTES = {ANCHORS: (6, 0), WINDOWS: (8, 4)}
 ENTRY_SCHEMA = "range int, local int, hashes binary, seconds binary, owners binary, places binary"
-FOUND_SCHEMA = "doc_id long, places binary"
+FOUND_SCHEMA = "bucket int, owners binary, places binary"
 
 
 def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray):
@@ -169,24 +169,39 @@ def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.n
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["range", "local", "hashes", "seconds", "owners", "places"])
 
 
-def _by_owner(owner: np.ndarray, place: np.ndarray):
-    """One record a document: (doc_id, packed positions)."""
+def _by_bucket(buckets: int, owner: np.ndarray, place: np.ndarray):
+    """One record a bucket of documents, so that the rows do not grow with documents times ranges."""
     import pyarrow as pa
 
+    of = (owner.astype(np.uint64) * MIX1 >> np.uint64(33)).astype(np.int64) % buckets
+    order = np.argsort(of, kind="stable")
+    of, owner, place = of[order], owner[order], place[order]
+    starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, np.int64)
+    owners = [_pack_owners(x) for x in np.split(owner, starts[1:])] if len(of) else []
+    places = [_pack_places(x) for x in np.split(place, starts[1:])] if len(of) else []
+    return pa.Table.from_arrays([pa.array(of[starts], pa.int32()), pa.array(owners, pa.binary()), pa.array(places, pa.binary())], names=["bucket", "owners", "places"])
+
+
+def _one_row_each(table):
+    """(doc_id, places) of one bucket: one row a document, positions sorted and distinct."""
+    import pyarrow as pa
+
+    owner = np.concatenate([_owners(x) for x in table.column("owners").to_pylist()])
+    place = np.concatenate([_places(x) for x in table.column("places").to_pylist()])
     order = np.lexsort((place, owner))
     owner, place = owner[order], place[order]
-    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, np.int64)
-    packed = [_pack_places(x) for x in np.split(place, starts[1:])] if len(owner) else []
-    return pa.RecordBatch.from_arrays([pa.array(owner[starts], pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "places"])
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    owner, place = owner[new], place[new]
+    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    return pa.Table.from_arrays([pa.array(owner[starts], pa.int64()), pa.array([_pack_places(x) for x in np.split(place, starts[1:])], pa.binary())], names=["doc_id", "places"])
 
 
-def _compare(kind: str, sent: DataFrame) -> DataFrame:
-    """(doc_id, places): the entries to report; a document may have several rows."""
+def _compare(kind: str, sent: DataFrame, ranges: int) -> DataFrame:
+    """(doc_id, places): the entries to report, one row a document."""
     first, second = HASH_BYTES[kind]
 
     def one_range(table):
-        import pyarrow as pa
-
         h, h2, owner, place, done_owner, done_place = [], [], [], [], [], []
         for local, a, b, o, p in zip(*(table.column(c).to_pylist() for c in ("local", "hashes", "seconds", "owners", "places")), strict=True):
             if local:
@@ -203,9 +218,10 @@ def _compare(kind: str, sent: DataFrame) -> DataFrame:
             tell = (o != MANY) & (least != most) | (o != MANY) & (least == MANY) if kind == ANCHORS else o > least
             done_owner.append(o[tell])
             done_place.append(p[tell])
-        return pa.Table.from_batches([_by_owner(np.concatenate(done_owner), np.concatenate(done_place))])
+        return _by_bucket(ranges, np.concatenate(done_owner), np.concatenate(done_place))
 
-    return sent.groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
+    found = sent.groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
+    return found.groupBy("bucket").applyInArrow(_one_row_each, "doc_id long, places binary")
 
 
 def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
@@ -234,12 +250,12 @@ def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
             h = np.concatenate(hs)
             yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.concatenate(ps))
 
-    return _compare(ANCHORS, docs.mapInArrow(gather, ENTRY_SCHEMA))
+    return _compare(ANCHORS, docs.mapInArrow(gather, ENTRY_SCHEMA), ranges)
 
 
 def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
     """(doc_id, places): starts of windows whose words also stand in a smaller doc_id."""
-    found = written(shared_anchors(docs, ranges).groupBy("doc_id").agg(F.collect_list("places").alias("places")), "shared-anchors")
+    found = written(shared_anchors(docs, ranges), "shared-anchors")
     # An inner join: only documents with shared anchors go on.
     rows = docs.filter("doc_id is not null").join(found.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "places")
 
@@ -254,7 +270,7 @@ def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
                 w = _hashes.of(words_of(text))
                 if len(w) < WINDOW:
                     continue
-                p = np.concatenate([_places(x) for x in places])
+                p = _places(places)
                 # A window over the anchor at p starts at p - PERIOD + 1 .. p.
                 over = np.bincount(np.clip(p - PERIOD + 1, 0, len(w)), minlength=len(w) + 1) - np.bincount(np.clip(p + 1, 0, len(w)), minlength=len(w) + 1)
                 s = np.flatnonzero(np.cumsum(over)[: len(w) - WINDOW + 1] > 0)
@@ -267,7 +283,7 @@ def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
         if size:
             yield _send(WINDOWS, ranges, part, chunk, *(np.concatenate(c) for c in held))
 
-    return _compare(WINDOWS, rows.mapInArrow(extend, ENTRY_SCHEMA)).groupBy("doc_id").agg(F.collect_list("places").alias("starts"))
+    return _compare(WINDOWS, rows.mapInArrow(extend, ENTRY_SCHEMA), ranges).withColumnRenamed("places", "starts")
 
 
 def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -292,7 +308,7 @@ def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
                     kept.append(b" ".join(w))
                     continue
                 over = np.zeros(len(w) + WINDOW + 1, np.int64)
-                s = np.unique(np.concatenate([_places(x) for x in starts]))
+                s = _places(starts)
                 s = s[s + WINDOW <= len(w)]
                 over[s] += 1
                 over[s + WINDOW] -= 1
