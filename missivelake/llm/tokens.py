@@ -51,15 +51,18 @@ class PieceEncoder:
     def __init__(self, path: str, max_pieces: int = MAX_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import CharDelimiterSplit
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # The same merges without the splitting, which single words do not need.
         self.merges = Tokenizer.from_file(path)
         self.merges.encode_special_tokens = True
-        self.merges.pre_tokenizer, self.merges.normalizer = CharDelimiterSplit("\n"), None
         self.byte_characters = _byte_characters()
+        # Parts hold no newline, so its character parts them.
+        self.border = self.byte_characters[10]
+        self.merges.pre_tokenizer, self.merges.normalizer = Split(self.border, "isolated"), None
+        self.border_id = self.merges.encode(self.border, add_special_tokens=False).ids[0]
         # A space belongs to the word after it (byte-level BPE), or only separates and case is dropped.
         self.space_joins = self._whole(" a") != self._whole("a")
         self.pieces = _Table()
@@ -79,22 +82,6 @@ class PieceEncoder:
             return ("\n" + text.replace("\n", " \n")).split(" ")
         return flat.split(" ")
 
-    def _parts_of(self, piece: str) -> tuple[str, ...] | None:
-        """The parts of a piece that the vocabulary merges apart; None if the tokenizer has to tell."""
-        starts_line = piece[:1] == "\n"
-        word = piece[1:] if starts_line else piece
-        if not word or not (word.isascii() or max(word) < LATIN_END):
-            return None
-        if not self.space_joins:
-            word = word.lower()
-        space = " " if self.space_joins and not starts_line else ""
-        if word.isalpha():
-            return (space + word,)
-        letters = word.rstrip(MARKS)
-        if not letters:
-            return (space + word,)
-        return (space + letters, word[len(letters) :]) if letters.isalpha() and len(letters) < len(word) else None
-
     def _written(self, part: str) -> str:
         """A part in the vocabulary's characters."""
         if part.isascii():
@@ -107,31 +94,59 @@ class PieceEncoder:
         groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
         for at in range(0, len(groups), 50):  # bounds the library's own objects
             some = groups[at : at + 50]
-            texts = ["\n".join(map(self._written, group)) for group in some]
-            for group, found in zip(some, self.merges.encode_batch(texts, add_special_tokens=False), strict=True):
-                ids = found.ids
-                packed = pack(f"<{len(ids)}I", *ids)
-                ends = (np.searchsorted(np.array(found.word_ids), np.arange(len(group)), "right") * ID_BYTES).tolist()
-                self.parts.update(zip(group, [packed[s:e] for s, e in zip([0, *ends], ends)]))
+            texts = [self.border.join(map(self._written, group)) for group in some]
+            for group, found in zip(some, self.merges.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, "<u4")
+                borders = (np.flatnonzero(ids == self.border_id) * ID_BYTES).tolist()
+                packed = ids.tobytes()
+                if len(borders) == len(group) - 1:
+                    self.parts.update(zip(group, [packed[s:e] for s, e in zip([0, *[x + ID_BYTES for x in borders]], [*borders, len(packed)])]))
+                else:  # not as expected: the unchanged tokenizer tells
+                    self.parts.update((x, self._whole(x)) for x in group)
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of new pieces."""
-        cut = [(p, self._parts_of(p)) for p in new]
-        self._learn_parts(list({x for _, parts in cut if parts for x in parts if x not in self.parts}))
-        newline, known = self._whole("\n"), self.parts
-        odd = [p for p, parts in cut if not parts]
-        texts = [(p[1:] if p[:1] == "\n" else " " + p) if self.space_joins else p for p in odd]
-        whole = {p: pack(f"<{len(x.ids)}I", *x.ids) for p, x in zip(odd, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True)}
-        found = {}
-        for piece, parts in cut:
-            starts_line = self.space_joins and piece[:1] == "\n"
-            if parts:
-                ids = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
+        """The ids of new pieces.  A word, or a word and a run of marks, is looked up by parts."""
+        if len(self.parts) > self.max_pieces:
+            self.parts.clear()
+        known, space = self.parts, " " if self.space_joins else ""
+        single: list[tuple[str, str]] = []
+        double: list[tuple[str, str, str]] = []
+        odd: list[str] = []
+        for piece in new:
+            # A newline before a piece takes the place of its space.
+            word = piece[1:] if piece[0] == "\n" else piece
+            if not (word.isascii() or max(word, default="") < LATIN_END):
+                odd.append(piece)
+                continue
+            lead = "" if piece[0] == "\n" else space
+            if not self.space_joins:
+                word = word.lower()
+            if word.isalpha():
+                single.append((piece, lead + word))
+                continue
+            letters = word.rstrip(MARKS)
+            if letters.isalpha():
+                double.append((piece, lead + letters, word[len(letters) :]))
+            elif word and not letters:
+                single.append((piece, lead + word))
             else:
-                ids = whole[piece]
-            found[piece] = newline + ids if starts_line else ids
-        if len(known) > self.max_pieces:
-            known.clear()
+                odd.append(piece)
+        wanted = {x for _, x in single}
+        for _, x, y in double:
+            wanted.add(x)
+            wanted.add(y)
+        self._learn_parts([x for x in wanted if x not in known])
+        found = {p: known[x] for p, x in single}
+        for p, x, y in double:
+            found[p] = known[x] + known[y]
+        texts = [(p[1:] if p[0] == "\n" else " " + p) if self.space_joins else p for p in odd]
+        for p, x in zip(odd, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            found[p] = pack(f"<{len(x.ids)}I", *x.ids)
+        if self.space_joins:
+            newline = self._whole("\n")
+            for p in found:
+                if p[0] == "\n":
+                    found[p] = newline + found[p]
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
