@@ -78,6 +78,12 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deals small rows that are about to be multiplied to as many tasks as there are shuffle partitions;
+    without a stated number AQE would gather them in a few tasks by their size before."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of frames that nothing refers to any more."""
     gc.collect()

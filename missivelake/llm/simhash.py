@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, small_batches, whole_text, written
+from .common import LOWER, UPPER, small_batches, spread, whole_text, written
 from .components import components
 
 WORDS, SEED, DISTANCE = 3, 42, 2
@@ -108,7 +108,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
     if distance > 2:
         raise ValueError("two segments find pairs of at most two differing bits")
     # The few bytes of all fingerprints come in few files; their many keys are made by every core.
-    members = fps.repartition("fp").select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("low"))
+    members = spread(fps, "fp").select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("low"))
     found: list[DataFrame] = []
     for level, bits in enumerate(LEVELS):
         keyed = _variants(members, bits)
