@@ -96,3 +96,15 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS s FROM w WHERE len(ws) >= 13),
+k AS (SELECT doc_id, s, array_to_string(ws[s:s + 12], ' ') AS g FROM p),
+m AS (SELECT g, min(doc_id) AS least FROM k GROUP BY g),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS pos FROM k JOIN m USING (g) WHERE k.doc_id > m.least),
+a AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+j AS (SELECT a.doc_id, a.word, a.pos, c.pos IS NOT NULL AS gone FROM a LEFT JOIN c ON a.doc_id = c.doc_id AND a.pos = c.pos),
+t AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM j GROUP BY doc_id)
+SELECT w.doc_id, coalesce(t.n_words, 0) AS n_words, coalesce(t.n_removed, 0) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256 FROM w LEFT JOIN t USING (doc_id)
+"""
