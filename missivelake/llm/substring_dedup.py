@@ -32,7 +32,7 @@ WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Hash ranges for each shuffle partition; each holds that share of one partition's anchors.
-RANGES_EACH = 2
+RANGES_EACH = 1
 #: Anchors that a task gathers before it sends them.
 TASK_ANCHORS = 2_000_000
 #: In place of a doc_id: several documents of the task hold the anchor.
@@ -218,7 +218,7 @@ def _compare(kind: str, sent: DataFrame, ranges: int) -> DataFrame:
             tell = (o != MANY) & (least != most) | (o != MANY) & (least == MANY) if kind == ANCHORS else o > least
             done_owner.append(o[tell])
             done_place.append(p[tell])
-        return _by_bucket(ranges, np.concatenate(done_owner), np.concatenate(done_place))
+        return _by_bucket(max(1, ranges // 2), np.concatenate(done_owner), np.concatenate(done_place))
 
     found = sent.groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
     return found.groupBy("bucket").applyInArrow(_one_row_each, "doc_id long, places binary")
