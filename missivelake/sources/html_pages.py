@@ -24,11 +24,9 @@ CHUNK_SCHEMA = (
 
 def read_pages(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
     """(file, path, text): whole files; names are decoded, bad bytes become replacement characters."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.html")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
     decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    return reader.text(paths).select(decode(F.col("_metadata.file_name")).alias("file"), decode(F.col("_metadata.file_path")).alias("path"), F.make_valid_utf8("value").alias("text"))
+    pages = spark.read.text(paths, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=recursive)
+    return pages.select(decode(F.col("_metadata.file_name")).alias("file"), decode(F.col("_metadata.file_path")).alias("path"), F.make_valid_utf8("value").alias("text"))
 
 
 def with_order(pages: DataFrame) -> DataFrame:

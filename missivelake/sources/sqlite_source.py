@@ -1,6 +1,6 @@
 """SQLite tables as a Spark data source, read-only, split by rowid ranges.
 
-``spark.dataSource.register(SqliteSource)`` and then
+``register(spark)`` and then
 ``spark.read.format("sqlite").option("path", file).option("dbtable", "message").load()``.
 The file must be readable under the same path by every executor.  Comparisons of columns with literals are
 pushed into the scan.  Bytes that are no UTF-8 become replacement characters.
@@ -132,8 +132,14 @@ def table_names(path: str) -> list[str]:
         return sorted(r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table'"))
 
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+def register(spark: SparkSession) -> None:
+    """Makes the format known to a session and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SqliteSource)
+
+
+def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    register(spark)
     return spark.read.format("sqlite").option("path", path).option("dbtable", table).load()
 
 
