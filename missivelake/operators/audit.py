@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,8 +116,6 @@ def report_lines(classified: DataFrame, most: int = 8) -> DataFrame:
 
 def verification(tables: dict[str, DataFrame]) -> DataFrame:
     """Row counts of messages and attachments, as recorded with a snapshot."""
-    counts = [t.agg(F.count("*").alias(f"{name}_count")) for name, t in sorted(tables.items())]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.crossJoin(c)  # one row each
-    return out
+    counts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in sorted(tables.items())]
+    rows = reduce(DataFrame.union, counts)
+    return rows.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(f"{name}_count") for name in sorted(tables)])
