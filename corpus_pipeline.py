@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from missivelake.llm import decontaminate, exact_dedup, langid, packing, wide_simhash
+from missivelake.llm import decontaminate, exact_dedup, langid, near_copies, packing
 from missivelake.llm.common import table, written
 
 
@@ -25,7 +25,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, of similarity 0.8 or more on five-word shingles."""
-    return wide_simhash.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
