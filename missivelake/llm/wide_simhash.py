@@ -6,7 +6,8 @@ verify a pair, and 192 bits over word pairs, of which near copies share more, fi
 into fewer segments (8 of 24 bits) than differing bits are expected, so that one segment differs by at most one bit;
 each segment is indexed once per wildcard position, joined by equality and verified.
 
-Recall is probabilistic: with 8 % differing bits, one of the 8 segments has at most one with probability 0.987.  ``segment_bits``
+Recall is probabilistic: with 8 % differing bits, as scattered edits leave, one of the 8 segments has at most one with probability 0.987;
+appended or replaced blocks leave about 15 %, of which it finds far fewer (``near_copies`` is exact).  ``segment_bits``
 should exceed the binary logarithm of the number of documents by about six, and ``segments`` grow with it.
 
 A key with at most ``MAX_PAIRED`` members is paired.  In a larger one all members are compared with its

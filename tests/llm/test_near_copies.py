@@ -47,3 +47,17 @@ def test_texts_around_one_passage_do_not_chain(spark, docs_of):
     assert groups(docs_of, rows) == {i: i % 1000 for i, _ in rows}
     kept = corpus_pipeline.near(spark, docs_of(rows), "")
     assert {r["doc_id"] for r in kept.collect()} == set(range(150))
+
+
+def test_appended_and_block_edited_copies_are_found(docs_of):
+    rng = random.Random(2)
+    rows = []
+    for k in range(60):
+        words = texts_around(rng, 300)
+        at = rng.randrange(260)
+        rows.append((k, " ".join(words)))
+        if k % 2:
+            rows.append((1000 + k, " ".join(words + texts_around(rng, 72))))  # 296 of 368 shingles: 0.804
+        else:
+            rows.append((1000 + k, " ".join(words[:at] + texts_around(rng, 28) + words[at + 28 :])))
+    assert groups(docs_of, rows) == brute(rows) == {i: i % 1000 for i, _ in rows}
