@@ -1,6 +1,8 @@
 import random
 from fractions import Fraction
 
+import pytest
+
 import corpus_pipeline
 from missivelake.llm import near_copies
 
@@ -61,3 +63,20 @@ def test_appended_and_block_edited_copies_are_found(docs_of):
         else:
             rows.append((1000 + k, " ".join(words[:at] + texts_around(rng, 28) + words[at + 28 :])))
     assert groups(docs_of, rows) == brute(rows) == {i: i % 1000 for i, _ in rows}
+
+
+@pytest.mark.parametrize("block", [64, 4])
+def test_large_keys_equal_brute_force(docs_of, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(block)
+    rows = [(900, ""), (901, None), (902, "one two"), (903, "ONE two"), (None, "one two")]
+    passage = texts_around(rng, 60)
+    for k in range(20):  # copies of copies around one passage, below and above the similarity
+        words = passage + texts_around(rng, rng.choice([6, 8, 14, 25]))
+        for j in range(6):
+            rows.append((20 * k + j, " ".join(words)))
+            words = list(words)
+            words[rng.choice([0, 30, len(words) - 1])] = "changed%d" % rng.randrange(10**6)
+    got = groups(docs_of, rows)
+    assert got == brute([(i, t or "") for i, t in rows if i is not None])
+    assert len(set(got.values())) > 3
