@@ -50,6 +50,12 @@ def test_pii_spans(docs_of):
     assert pii.find(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("length", [20, 200, 201, 5000])
+def test_secrets_of_any_length_are_candidates(length):
+    text = "token = " + ("aB3_" * length)[:length] + "."
+    assert pii.candidates(text, []) == [(8, 4, 8 + length)]
+
+
 def test_em_finds_the_reliable_labeler():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.5
