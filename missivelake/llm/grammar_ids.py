@@ -1,17 +1,18 @@
-"""Token-id files compressed by a pair grammar, with random access.
-
-Documents in ascending doc_id order are encoded and gathered into shards.  In each shard, frequent
-adjacent id pairs are replaced by nonterminals, again and again, until a pass no longer pays or the pass
-limit is reached; pairs never cross documents.  A shard stores its rules, the expansion length of every
-nonterminal, the symbol sequence, and where each document starts in symbols and in ids, so any document or
-id range is decoded without the rest.
-
-File format of a shard (little-endian): magic ``MLG1``; u32 counts: documents, rules, symbols, base (ids
-below it are terminals); doc_ids i64 (null as the smallest i64); per document symbol starts u32 (one more
-than documents), id starts u64 (one more); rules u16 pairs; expansion lengths u32; symbols u16.  A shard
-whose vocabulary does not fit u16 uses u32 for rules and symbols (magic ``MLG4``).  Shards are rows of a
-Parquet table (shard long, n_ids long, blob binary), so Spark's committer makes them safe to rewrite when
-an executor is lost, on any file system.
+"""Token-id files compressed by a pair grammar (Re-Pair), with random access.
+
+Documents in ascending doc_id order are encoded and gathered into shards.  In each shard the frequent
+adjacent pairs are replaced by nonterminals until none is left that pays; pairs never cross documents.  Pairs
+are counted exactly, by sorting them.  Where frequent pairs overlap the more frequent one is replaced, so
+that a round replaces every pair that no more frequent one disturbs, and the next round counts what
+is new.  A shard stores its rules, the expansion length of every nonterminal, the symbol sequence, and where each
+document starts in symbols and in ids, so any document or id range is decoded without the rest.
+
+File format of a shard (little-endian): magic ``MLG`` and the bytes of a symbol (``2``, ``3`` or ``4``, as many as
+the symbols need); u32 counts: documents, rules, symbols, base (ids below it are terminals); doc_ids i64 (null
+as the smallest i64); per document symbol starts u32 (one more than documents), id starts u64 (one more);
+rules as pairs of symbols; expansion lengths u32; symbols.  Shards are rows of a Parquet table (shard long, part
+long, before long, n_ids long, blob binary), so Spark's committer makes them safe to rewrite when an executor is lost, on
+any file system; ``before`` counts the ids of earlier shards of the same part.
 
 Defined results: a null or empty text has only the end id.  Null doc_ids come first.  Documents with equal
 doc_id are ordered by xxhash64 of their text.  An empty table gives no shard.  Other columns are ignored.
@@ -31,103 +32,171 @@ from .tokens import default_path, encoder
 
 END_ID = 0
 SHARD_IDS = 1 << 19
-MAX_PASSES, MIN_PAIRS, LEAST_GAIN = 2, 16, 0.02
-HASH_BITS = 17
+#: A rule takes the room of four symbols (its pair and its length), so a pair pays from five occurrences on.
+LEAST_COUNT = 5
 NULL_ID = -(1 << 63)
-SHARD_SCHEMA = "shard long, n_ids long, blob binary"
-
-
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - HASH_BITS)
-
-
-def _replace_pairs(seq: np.ndarray, last: np.ndarray, base: int, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One pass: (new sequence, its last-of-document marks, the new rules as pairs)."""
-    none = np.empty((0, 2), np.uint32)
-    if len(seq) < 2 or room <= 0:
-        return seq, last, none
-    a, b = seq[:-1], seq[1:]
-    h = _mix(a, b)
-    # A hash slot stands for one of its pairs, whose exact count is then taken; the others may come in a later pass.
-    of = np.zeros(1 << HASH_BITS, np.uint64)
-    pair = (a.astype(np.uint64) << np.uint64(32)) | b
-    of[h] = pair
-    same = of[h] == pair
-    same[last[:-1]] = False
-    counts = np.bincount(h[same], minlength=1 << HASH_BITS)
-    slots = np.flatnonzero(counts >= MIN_PAIRS)
-    if not len(slots):
-        return seq, last, none
-    slots = slots[np.lexsort((of[slots], -counts[slots]))][:room]
-    rules = np.stack([(of[slots] >> np.uint64(32)).astype(np.uint32), of[slots].astype(np.uint32)], axis=1)
-    slot = np.full(1 << HASH_BITS, -1, np.int32)
-    slot[slots] = np.arange(len(slots), dtype=np.int32)
-    rule = slot[h]
-    at = np.flatnonzero(same & (rule >= 0))
-    rule = rule[at]
-    # Overlaps: in a run of adjacent hits every other one is replaced, from the left.
-    starts = np.empty(len(at), bool)
-    starts[:1] = True
-    starts[1:] = np.diff(at) != 1
-    run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-    chosen = (np.arange(len(at)) - run) % 2 == 0
-    at, rule = at[chosen], rule[chosen]
-    used, rule = np.unique(rule, return_inverse=True)
-    out, keep = seq.copy(), np.ones(len(seq), bool)
-    out[at] = base + rule.astype(np.uint32)
-    marks = last.copy()
-    marks[at] = last[at + 1]
-    keep[at + 1] = False
-    return out[keep], marks[keep], rules[used]
-
-
-def compress(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray, max_passes: int = MAX_PASSES) -> bytes:
+SHARD_SCHEMA = "shard long, part long, before long, n_ids long, blob binary"
+HALF, LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+
+
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.uint64) << HALF | right
+
+
+def _counted(at: np.ndarray, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs sorted by pair and position, and where each distinct pair starts among them."""
+    symbol, place = int(seq.max()).bit_length(), len(seq).bit_length()
+    if 2 * symbol + place <= 64:  # one number holds pair and position
+        packed = (seq[at].astype(np.uint64) << np.uint64(symbol) | seq[at + 1]) << np.uint64(place) | at.astype(np.uint64)
+        packed.sort()
+        at = (packed & np.uint64((1 << place) - 1)).astype(np.int64)
+        pair = packed >> np.uint64(place)
+    else:
+        pair = _pairs(seq[at], seq[at + 1])
+        order = np.argsort(pair, kind="stable")
+        at, pair = at[order], pair[order]
+    return at, np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+
+
+def _without_overlaps(at: np.ndarray, seq: np.ndarray) -> np.ndarray:
+    """Drops every other position in runs of one symbol, whose pairs overlap themselves."""
+    same = np.flatnonzero(seq[at] == seq[at + 1])
+    if not len(same):
+        return at
+    where, index = at[same], np.arange(len(same))
+    run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(where) != 1]), index, 0))
+    return np.delete(at, same[(index - run) % 2 == 1])
+
+
+def _chosen(rank: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions to replace and their ranks: the higher rank wins where pairs overlap.  ``rank`` is used up."""
+    won, ranks = [], []
+    while len(at):
+        own = rank[at]
+        wins = (own > rank[at - 1]) & (own > rank[at + 1])  # the last entry of rank is an empty one
+        w = at[wins]
+        won.append(w)
+        ranks.append(own[wins])
+        rank[w] = rank[w - 1] = rank[w + 1] = 0
+        at = at[~wins]
+        at = at[rank[at] > 0]
+    return np.concatenate(won), np.concatenate(ranks)
+
+
+class _Rules:
+    """The rules so far, found by their pair."""
+
+    def __init__(self, base: int):
+        self.made: list[np.ndarray] = []
+        self.pair, self.symbol = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.top = base
+
+    def of(self, pair: np.ndarray) -> np.ndarray:
+        """The symbol of each pair, or -1."""
+        if not len(self.pair):
+            return np.full(len(pair), -1)
+        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        return np.where(self.pair[at] == pair, self.symbol[at], -1)
+
+    def add(self, pair: np.ndarray) -> np.ndarray:
+        symbol = self.top + np.arange(len(pair))
+        self.made.append(np.stack([pair >> HALF, pair & LOW], axis=1).astype(np.uint32))
+        pairs, symbols = np.concatenate([self.pair, pair]), np.concatenate([self.symbol, symbol])
+        order = np.argsort(pairs)
+        self.pair, self.symbol, self.top = pairs[order], symbols[order], self.top + len(pair)
+        return symbol
+
+    def table(self) -> np.ndarray:
+        return np.concatenate(self.made) if self.made else np.empty((0, 2), np.uint32)
+
+
+def repair(seq: np.ndarray, last: np.ndarray, base: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, their last-of-document marks, rules as pairs); no pair is left ``least`` times.
+
+    A pair that is too rare stays so unless a new occurrence of its symbols is made, so each round looks only at pairs
+    that were frequent and at those beside new symbols.
+    """
+    rules = _Rules(base)
+    live = np.ones(len(seq), bool)
+    while len(seq) > 1:
+        at = _without_overlaps(np.flatnonzero(live[:-1] & ~last[:-1]), seq)
+        if not len(at):
+            break
+        at, starts = _counted(at, seq)
+        n = np.diff(np.append(starts, len(at)))
+        pair = _pairs(seq[at[starts]], seq[at[starts] + 1])
+        frequent = (n >= least) | (rules.of(pair) >= 0)
+        each = np.repeat(frequent, n)
+        live[at[~each]] = False
+        pair, n, at = pair[frequent], n[frequent], at[each]
+        if not len(pair):
+            break
+        rank = np.zeros(len(seq) + 1, np.int32)
+        by_rank = np.lexsort((pair, -n))[::-1]  # ranks count from 1
+        number = np.empty(len(pair), np.int32)
+        number[by_rank] = np.arange(1, len(pair) + 1, dtype=np.int32)
+        rank[at] = np.repeat(number, n)
+        at, found = _chosen(rank, np.sort(at))
+        which = by_rank[found - 1]
+        symbol = rules.of(pair)
+        known = symbol >= 0
+        new = np.flatnonzero((np.bincount(which, minlength=len(pair)) >= least) & ~known)
+        new = new[np.argsort(-n[new], kind="stable")]
+        symbol[new] = rules.add(pair[new])
+        made = symbol[which]
+        at, made = at[made >= 0], made[made >= 0]
+        seq[at], last[at] = made, last[at + 1]
+        live[at] = live[np.maximum(at - 1, 0)] = True
+        if known.any():  # more of a symbol that was there before
+            more = np.zeros(rules.top, bool)
+            more[symbol[known]] = True
+            beside = np.flatnonzero(more[seq])
+            live[beside] = live[np.maximum(beside - 1, 0)] = True
+        keep = np.ones(len(seq), bool)
+        keep[at + 1] = False
+        seq, last, live = seq[keep], last[keep], live[keep]
+    return seq, last, rules.table()
+
+
+def _put(values: np.ndarray, width: int) -> bytes:
+    return values.astype("<u4").reshape(-1, 1).view(np.uint8)[:, :width].tobytes()
+
+
+def compress(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray, least: int = LEAST_COUNT) -> bytes:
     """The shard of documents whose ids are concatenated in ``ids``."""
     base = int(ids.max()) + 1 if len(ids) else 1
-    seq, last = ids.astype(np.uint32), np.zeros(len(ids), bool)
+    last = np.zeros(len(ids), bool)
     ends = np.cumsum(lengths)
     last[ends - 1] = True
-    rules: list[np.ndarray] = []
-    top, limit = base, (1 << 16 if base < 1 << 16 else 1 << 31)
-    for _ in range(max_passes):
-        new, marks, made = _replace_pairs(seq, last, top, limit - top)
-        if not len(made):
-            break
-        gain = len(seq) - len(new)
-        seq, last, top = new, marks, top + len(made)
-        rules.append(made)
-        if gain < LEAST_GAIN * (len(new) + gain):
-            break
-    table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
-    width = "<u2" if top <= 1 << 16 else "<u4"
-    size = _lengths(table, base)[base:]
+    seq, last, table = repair(ids.astype(np.uint32), last, base, least)
+    width = 2 if base + len(table) <= 1 << 16 else 3 if base + len(table) <= 1 << 24 else 4
     firsts = np.concatenate([[0], np.flatnonzero(last) + 1])
     parts = [
-        b"MLG1" if width == "<u2" else b"MLG4",
+        b"MLG%d" % width,
         struct.pack("<4I", len(lengths), len(table), len(seq), base),
         doc_ids.astype("<i8").tobytes(),
         firsts.astype("<u4").tobytes(),
         np.concatenate([[0], ends]).astype("<u8").tobytes(),
-        table.astype(width).tobytes(),
-        size.astype("<u4").tobytes(),
-        seq.astype(width).tobytes(),
+        _put(table, width),
+        _lengths(table, base).astype("<u4").tobytes(),
+        _put(seq, width),
     ]
     return b"".join(parts)
 
 
 def _lengths(table: np.ndarray, base: int) -> np.ndarray:
-    """Expansion length of each symbol; a rule refers to earlier symbols only."""
-    size = np.ones(base + len(table), np.int64)
-    for k, (x, y) in enumerate(table.tolist()):
-        size[base + k] = size[x] + size[y]
-    return size
+    """Expansion length of each rule, which refers to earlier symbols only."""
+    size: list[int] = []
+    for x, y in table.tolist():
+        size.append((size[x - base] if x >= base else 1) + (size[y - base] if y >= base else 1))
+    return np.array(size, np.int64)
 
 
 class Shard:
     """Reads a shard; ``ids(k)`` decodes one document, ``span(start, end)`` any range of ids."""
 
     def __init__(self, blob: bytes):
-        width = {b"MLG1": "<u2", b"MLG4": "<u4"}[blob[:4]]
+        width = int(blob[3:4])
         n, rules, symbols, self.base = struct.unpack_from("<4I", blob, 4)
         at = 20
 
@@ -137,25 +206,36 @@ class Shard:
             at += found.nbytes
             return found
 
+        def take_symbols(count: int) -> np.ndarray:
+            out = np.zeros((count, 4), np.uint8)
+            out[:, :width] = take("u1", count * width).reshape(-1, width)
+            return out.view("<u4").ravel()
+
         self.doc_ids, self.firsts, self.starts = take("<i8", n), take("<u4", n + 1), take("<u8", n + 1).astype(np.int64)
-        self.rules, self.size, self.seq = take(width, 2 * rules).reshape(-1, 2), take("<u4", rules).astype(np.int64), take(width, symbols)
+        self.rules = take_symbols(2 * rules).reshape(-1, 2)
+        self.size = np.concatenate([np.ones(self.base, np.int64), take("<u4", rules)])
+        self.seq = take_symbols(symbols)
         self._ends: np.ndarray | None = None
+        self._written: np.ndarray | None = None
+
+    def _written_out(self) -> np.ndarray:
+        """The ids of every symbol, one after the other: terminals, then rules."""
+        if self._written is None:
+            out: list[bytes] = []
+            one = lambda x: out[x - self.base] if x >= self.base else x.to_bytes(4, "little")
+            for x, y in self.rules.tolist():
+                out.append(one(x) + one(y))
+            self._written = np.concatenate([np.arange(self.base, dtype=np.uint32), np.frombuffer(b"".join(out), "<u4")])
+            self._from = np.cumsum(self.size) - self.size
+        return self._written
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Replaces nonterminals by their pairs until only ids are left."""
-        seq = symbols.astype(np.uint32)
-        while True:
-            pair = seq >= self.base
-            if not pair.any():
-                return seq
-            ends = np.cumsum(pair + np.int32(1), dtype=np.int32)
-            out = np.empty(int(ends[-1]), np.uint32)
-            where = ends - 1
-            out[where] = seq
-            rule = self.rules[seq[pair] - np.uint32(self.base)]
-            where = where[pair]
-            out[where - 1], out[where] = rule[:, 0], rule[:, 1]
-            seq = out
+        written_out = self._written_out()
+        size = self.size[symbols]
+        ends = np.cumsum(size)
+        if not len(ends):
+            return np.empty(0, np.uint32)
+        return written_out[np.repeat(self._from[symbols] - (ends - size), size) + np.arange(int(ends[-1]))]
 
     def ids(self, k: int) -> np.ndarray:
         return self._expand(self.seq[self.firsts[k] : self.firsts[k + 1]])
@@ -163,7 +243,7 @@ class Shard:
     def span(self, start: int, end: int) -> np.ndarray:
         """Ids start..end of the shard, found by the stored expansion lengths."""
         if self._ends is None:
-            self._ends = np.cumsum(np.concatenate([np.ones(self.base, np.int64), self.size])[self.seq])
+            self._ends = np.cumsum(self.size[self.seq])
         a, b = np.searchsorted(self._ends, start, "right"), np.searchsorted(self._ends, end, "left") + 1
         before = int(self._ends[a - 1]) if a else 0
         return self._expand(self.seq[a:b])[start - before : end - before]
@@ -173,7 +253,7 @@ class Shard:
 
 
 def shards(docs: DataFrame, path: str | None = None, text: str = "text", end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
-    """(shard, n_ids, blob) of all documents in ascending doc_id order; ``shard`` rises with doc_id."""
+    """(shard, part, before, n_ids, blob) of all documents in ascending doc_id order; ``shard`` rises with doc_id."""
     small_batches(docs.sparkSession)
     path = path or default_path("byte_bpe_50k.json")
     value = whole_text(text)
@@ -184,17 +264,18 @@ def shards(docs: DataFrame, path: str | None = None, text: str = "text", end_id:
         from pyspark import TaskContext
 
         to_ids, end = encoder(path), struct.pack("<I", end_id)
-        part, made = TaskContext.get().partitionId(), 0
+        part, made, before = TaskContext.get().partitionId(), 0, 0
         packed: list[bytes] = []
         names: list[int] = []
         held = 0
 
         def flush():
-            nonlocal packed, names, held, made
+            nonlocal packed, names, held, made, before
             lengths = np.array([len(p) // 4 for p in packed], np.int64)
             blob = compress(np.frombuffer(b"".join(packed), "<u4"), lengths, np.array(names, np.int64))
-            row = pa.RecordBatch.from_arrays([pa.array([(part << 32) + made], pa.int64()), pa.array([held], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "n_ids", "blob"])
-            packed, names, held, made = [], [], 0, made + 1
+            numbers = [pa.array([x], pa.int64()) for x in ((part << 32) + made, part, before, held)]
+            row = pa.RecordBatch.from_arrays([*numbers, pa.array([blob], pa.binary())], names=["shard", "part", "before", "n_ids", "blob"])
+            packed, names, held, made, before = [], [], 0, made + 1, before + held
             return row
 
         for batch in batches:
@@ -217,9 +298,10 @@ def write_shards(docs: DataFrame, out: str, **options) -> None:
 
 def read_documents(table: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids binary) decoded from a shard table; start counts ids before it."""
-    # One row a shard: half a million ids each, so this total runs over few rows.
-    totals = table.select("shard", "n_ids")
-    before = totals.select("shard", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("before"))
+    # One row a range partition, so their running total is a small table; the blobs stay where they are.
+    parts = table.groupBy("part").agg(F.sum("n_ids").alias("held"))
+    earlier = parts.select(F.col("part").alias("__part"), (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("earlier"))
+    placed = table.join(F.broadcast(earlier), F.col("part") == F.col("__part")).select("blob", (F.col("before") + F.col("earlier")).alias("at"))
 
     def decode(batches):
         import pyarrow as pa
@@ -242,7 +324,7 @@ def read_documents(table: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    return table.join(before, "shard").select("blob", "before").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def round_trip(docs: DataFrame, **options) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -114,6 +115,52 @@ def test_shard_random_access(documents, shift):
     assert grammar_ids.crc32(b"abc") == zlib.crc32(b"abc")
 
 
+def pair_counts(seq, ends):
+    """Occurrences of each pair that do not overlap, within documents."""
+    counts, before = Counter(), {}
+    for k in range(len(seq) - 1):
+        pair = (seq[k], seq[k + 1])
+        if k + 1 not in ends and before.get(pair, -2) != k - 1:
+            counts[pair] += 1
+            before[pair] = k
+    return counts
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=60), min_size=1, max_size=12), st.integers(2, 6))
+def test_repair_leaves_no_frequent_pair(documents, least):
+    ids = np.array([x for d in documents for x in d], np.uint32)
+    ends = np.cumsum([len(d) for d in documents])
+    last = np.zeros(len(ids), bool)
+    last[ends - 1] = True
+    before = pair_counts(ids.tolist(), set(ends.tolist()))
+    seq, marks, rules = grammar_ids.repair(ids.copy(), last, 5, least)
+    assert max(pair_counts(seq.tolist(), set((np.flatnonzero(marks) + 1).tolist())).values(), default=0) < least
+    assert marks.sum() == len(documents)
+    if len(rules):  # the first rule is a most frequent pair
+        assert before[tuple(rules[0].tolist())] == max(before.values()) >= least
+    shard = grammar_ids.Shard(grammar_ids.compress(ids, np.diff([0, *ends]), np.arange(len(ends)), least))
+    assert [shard.ids(k).tolist() for k in range(len(ends))] == documents
+
+
+def test_repair_of_a_whole_shard(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = grammar_ids.shards(docs.repartition(1)).collect()
+    assert sum(r["n_ids"] for r in rows) > 500_000
+    for r in rows:
+        shard = grammar_ids.Shard(bytes(r["blob"]))
+        assert max(pair_counts(shard.seq.tolist(), set(shard.firsts[1:].tolist())).values()) < grammar_ids.LEAST_COUNT
+        assert len(shard.seq) < 0.65 * r["n_ids"] and shard.size.max() > 16
+
+
+def test_wide_symbols(spark):
+    rng = np.random.default_rng(0)
+    words = rng.integers(0, 65_000, (3000, 3)).astype(np.uint32)
+    ids = words[rng.integers(0, 3000, 40_000)].ravel()
+    blob = grammar_ids.compress(ids, np.array([len(ids)]), np.array([1]))
+    assert blob[:4] == b"MLG3" and grammar_ids.Shard(blob).all().tolist() == ids.tolist()
+
+
 def test_grammar_pays(spark):
     ids = np.tile(np.arange(50, dtype=np.uint32), 400)
     blob = grammar_ids.compress(ids, np.array([len(ids)]), np.array([1]), 6)
