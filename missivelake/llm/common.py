@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import gc
 import tempfile
 import uuid
 
@@ -50,20 +49,28 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes ``df`` as Parquet into the shared folder and reads it back.
 
-    Unlike a cached or locally checkpointed frame, the copy outlives any executor.  Shuffle files of the
-    finished job are released, so they do not pile up beside the written table.
+    Unlike a cached or locally checkpointed frame, the copy outlives any executor.  Nothing reads the job's
+    shuffles again, so they go as soon as it has ended.
     """
     spark = df.sparkSession
-    release(spark)
     path = f"{shared_dir(spark)}/missivelake/{name}-{uuid.uuid4().hex}"
-    # Nothing reads this job's shuffles again, so they go as soon as it has ended.
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    release(spark)
+    back.written_to = path
     return back
 
 
+def discard(*frames: DataFrame | None) -> None:
+    """Deletes written tables that nothing reads any more; frames that were not written stay."""
+    for frame in frames:
+        path = getattr(frame, "__dict__", {}).pop("written_to", None)
+        if path is not None:
+            jvm = frame.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 @contextlib.contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for one job, put back afterwards."""
@@ -82,9 +89,3 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Deals small rows that are about to be multiplied to as many tasks as there are shuffle partitions;
     without a stated number AQE would gather them in a few tasks by their size before."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -1,14 +1,14 @@
 """Line deduplication that returns per-document keep bitmaps (DataFrame functions only).
 
-Lines travel as 128-bit key hashes with (document, position), never as text.  They are range-partitioned
-by hash with document (descending) and position as secondary order, so that a very common line spreads
-over as many partitions as it needs; every partition streams its runs down to the first occurrence and the
-number of documents, and the few run heads are merged.  The lines to drop come back per document as a
-run-length compressed bitmap: the runs of kept lines.
-
-Defined results: a null or empty text is one empty line.  Each input row counts as one document.  Rows
-with a null doc_id take part; a null sorts below every id.  Repeated rows (same doc_id, same text) get the
-same bitmap.  Other columns are ignored.
+Lines travel as 128-bit key hashes with (document, position), never as text.  They are written once, range-partitioned
+by hash and document (descending) and sorted within the ranges by hash, document and position, so that a very
+common line spreads over as many ranges as it needs.  Every range streams its sorted rows: first occurrences in a
+document, then one run head a key, its first document and how many hold it.  The few run heads are merged, one row a
+key and range.  The lines to drop come back per document as a run-length compressed bitmap: the runs of kept lines.
+
+Defined results: a null or empty text is one empty line.  Documents are counted by doc_id, so rows of one
+doc_id are one document there, while each row gets its own bitmap by its text.  Rows with a null doc_id neither count
+nor lose lines.  Repeated rows (same doc_id, same text) get the same bitmap.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text, written
+from .common import ascii_lower, discard, setting, whole_text, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
 WHITE = " \t\n\x0b\x0c\r"
@@ -32,10 +32,10 @@ def line_key(line: Column) -> Column:
 
 
 def _occurrences(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id, th, n_lines, positions): one row per document and distinct long line."""
+    """(h1, h2, doc_id, th, n_lines, pos): one row for each long line."""
     value = whole_text(text)
     # HOFs keep a document's lines in one row until only hashes are left.
-    keyed = docs.select(
+    keyed = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(value).alias("th"),
         F.transform(lines_of(value), line_key).alias("keys"),
@@ -49,27 +49,39 @@ def _occurrences(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
     return hashed.select("h.h1", "h.h2", "doc_id", "th", "n_lines", "pos")
 
 
+def run_heads(lines: DataFrame, min_docs: int) -> DataFrame:
+    """(h1, h2, first_doc, first_pos, n_docs): the first occurrence of each key that at least ``min_docs`` documents hold."""
+    # The complement of an id reverses the order, so that descending ids are ascending for the grouping too.
+    order = ["h1", "h2", "reverse"]
+    ranged = lines.select("h1", "h2", F.bitwise_not("doc_id").alias("reverse"), "pos").repartitionByRange(*order).sortWithinPartitions(*order, "pos")
+    # A range holds all rows of a key and document, so neither grouping moves rows before its heads are made; the
+    # first position depends on the order, which keeps the sort.
+    in_docs = ranged.groupBy(*order).agg(F.first("pos").alias("pos"))
+    heads = in_docs.groupBy("h1", "h2").agg(F.min(F.struct("reverse", "pos")).alias("first"), F.count("*").alias("n_docs"))
+    return heads.filter(F.col("n_docs") >= min_docs).select("h1", "h2", F.bitwise_not("first.reverse").alias("first_doc"), F.col("first.pos").alias("first_pos"), "n_docs")
+
+
 def keep_bitmaps(docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, th, n_dropped, keep_runs) for documents that lose lines.
 
     th is xxhash64 of the text; keep_runs are (start, length) pairs of kept lines, starts from 1.
     """
-    lines = _occurrences(docs, text, min_chars)
-    ranged = lines.repartitionByRange("h1", "h2", F.col("doc_id").desc(), "pos").sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "pos")
-    # One row per document and line first: a document counts once however often it repeats the line.
-    in_docs = ranged.groupBy("h1", "h2", "doc_id", "th").agg(F.count("*").alias("times"))
-    heads = in_docs.groupBy("h1", "h2").agg(F.max("doc_id").alias("first_doc"), F.count("*").alias("n_docs")).filter(F.col("n_docs") >= min_docs)
-    # Written, the heads are a table of their own: both sides of the join are plain exchanges, and AQE can
-    # split the partition of a very common line.
-    heads = written(heads, "line-heads")
-    hits = lines.join(heads, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    lines = written(_occurrences(docs, text, min_chars), "lines")
+    # Sorted input is grouped as a stream.  Written, the heads are a table of their own: both sides of the join are
+    # plain exchanges, and AQE can split the partition of a very common line.
+    with setting(docs.sparkSession, "spark.sql.execution.replaceHashWithSortAgg", "true"):
+        heads = written(run_heads(lines, min_docs), "line-heads")
+    hits = lines.join(heads, ["h1", "h2"]).filter("doc_id <> first_doc")
     per_doc = hits.groupBy("doc_id", "th", "n_lines").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     edges = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.col("n_lines")))
     gaps = F.transform(
         F.sequence(F.lit(1), F.size("gone") + 1),
         lambda i: F.struct((F.element_at("edges", i) + 2).alias("start"), (F.element_at("edges", i + 1) - F.element_at("edges", i) - 1).alias("length")),
     )
-    return per_doc.withColumn("edges", edges).select("doc_id", "th", F.size("gone").cast("long").alias("n_dropped"), F.filter(gaps, lambda g: g["length"] > 0).alias("keep_runs"))
+    maps = per_doc.withColumn("edges", edges).select("doc_id", "th", F.size("gone").cast("long").alias("n_dropped"), F.filter(gaps, lambda g: g["length"] > 0).alias("keep_runs"))
+    maps = written(maps, "keep-bitmaps")
+    discard(lines, heads)
+    return maps
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text") -> DataFrame:

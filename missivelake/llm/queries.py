@@ -86,15 +86,15 @@ FROM t JOIN g USING (text)
 """
 
 ORACLES["op6_line_dedup"] = """
-WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM t),
-k AS (SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM t),
+k AS (SELECT row, doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 c AS (SELECT key, max(doc_id) AS first_doc FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
 m AS (SELECT k.*, coalesce(c.first_doc <> k.doc_id, false) AS gone FROM k LEFT JOIN c USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id
+FROM m GROUP BY row, doc_id
 """
 
 ORACLES["op10_substring_dedup"] = r"""

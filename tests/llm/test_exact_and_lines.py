@@ -97,6 +97,44 @@ def test_bitmaps_are_runs(docs_of):
 
 def test_lines_with_null_ids(docs_of):
     line = "z" * 41
-    rows = [(k, line) for k in range(4)] + [(None, line)]
+    rows = [(k, line) for k in range(5)] + [(None, line)]
     got = [(r["doc_id"], r["n_dropped"]) for r in line_dedup.line_dedup(docs_of(rows)).collect()]
-    assert sorted(got, key=str) == [(0, 1), (1, 1), (2, 1), (3, 0), (None, 1)]
+    assert sorted(got, key=str) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 0), (None, 0)]
+    assert {r["n_dropped"] for r in line_dedup.line_dedup(docs_of(rows[1:])).collect()} == {0}
+
+
+LINE = "y" * 44
+REPEATED = {
+    "one id, different texts": [(1, f"{LINE}\n{k}") for k in range(5)] + [(0, LINE)],
+    "identical rows": [(1, LINE)] * 6 + [(0, LINE)],
+    "five ids, some repeated": [(k % 5, f"{LINE}\n{k}") for k in range(12)] + [(4, f"{LINE}\n4")],
+}
+
+
+@pytest.mark.parametrize("name", REPEATED)
+def test_lines_of_repeated_rows_agree_with_the_sql(spark, docs_of, tmp_path, name):
+    import duckdb
+
+    from missivelake.llm import queries
+
+    docs_of(REPEATED[name]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = sorted(db.execute(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({queries.ORACLES['op6_line_dedup']})").fetchall())
+    got = queries.QUERIES["op6_line_dedup"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()) == wanted
+    assert (sum(x[2] for x in wanted) > 0) == (name == "five ids, some repeated")
+
+
+def test_first_occurrences_are_streamed_from_sorted_ranges(spark, docs_of):
+    rows = docs_of([(k, f"{LINE}\n{LINE}") for k in range(9)])
+    with line_dedup.setting(spark, "spark.sql.execution.replaceHashWithSortAgg", "true"):
+        plan = line_dedup.run_heads(line_dedup._occurrences(rows, "text", 40), 5)._jdf.queryExecution().executedPlan().toString()
+    ours = plan[plan.index("hashpartitioning") : plan.index("rangepartitioning")]
+    # One sort, by hash, document and position; both groupings stream its rows.
+    assert ours.count("Sort [") == 1 and "pos#" in ours[ours.index("Sort [") :].split("]")[0]
+    assert ours.count("SortAggregate(") == 2 and "HashAggregate(" not in ours
+    heads = line_dedup.run_heads(line_dedup._occurrences(rows, "text", 40), 5).collect()
+    assert [(r["first_doc"], r["first_pos"], r["n_docs"]) for r in heads] == [(8, 0, 9)]
+
+
