@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 MAX_ROUNDS = 60
 
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_star(_star(edges, True), False), "edges")
+        before, edges = edges, written(_star(_star(edges, True), False), "edges")
+        discard(before)
         # A star forest is stable under both steps: each node has one edge and roots have none upward.
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:

@@ -1,21 +1,28 @@
-"""Near copies by an exact similarity join: Jaccard similarity of the word shingles of whole texts.
-
-Every pair of documents of at least the stated similarity is an edge, and no other pair is; components of
-edges are groups.  Shingles are put in one order, rare ones first.  Two sets of the similarity share a shingle among the
-first few of each (prefix filter), and the rank of the first one they share bounds what they can have in
-common (positional filter), so an equality join on first shingles finds every pair.  Each pair that passes
-is verified on the whole sets.
+"""Near copies by SimHash signatures, completed by an exact similarity join on word shingles.
+
+Every pair of documents whose shingle sets have at least the stated Jaccard similarity counts as an edge, and no other
+pair does; components of edges are groups.
+
+1. One pass gives each text a 128-bit hash of its shingle set, its 64-bit SimHash over the set, the number of shingles in
+   each of ``BUCKETS`` hash ranges, and its first shingles.
+2. Deletion-variant signatures (``simhash.links``) find the fingerprints of at most two differing bits.  These texts are
+   verified on their whole sets; most near copies are connected here.
+3. At a similarity of 0.8 some fifteen percent of the bits differ, which no selective signature finds surely.  So the
+   join goes on among the texts that are not connected yet.  Shingles are put in one order, rare ones
+   first.  Two sets of the similarity share a shingle among the first few of each (prefix filter), and the rank of the
+   first one they share bounds what they can have in common (positional filter), so an equality join on first shingles
+   finds every pair.  What two sets have in common is at most the sum of the smaller counts by hash range; pairs below
+   the similarity by that bound go before any set is moved.  The others are verified on their whole sets.
 
 The order only decides the cost: shingles common in a sample of documents come last, so that a passage which many
 documents share is not among their first shingles.  Any order gives the same edges.
 
-All pairs of a key are compared.  Only components are needed, so the members of a large key are compared with a few
-of them first, and pairs that are connected by then need no comparison; all others are compared, in blocks of bounded
-size.
+Only components are needed, so connected pairs are not compared again.  The members of a large key are compared
+with a few of them first; all pairs that are not connected by then are compared, in blocks of bounded size.
 
 Defined results: A-Z are lower-cased; texts of fewer words than a shingle are one shingle; texts without words are alike.
 Shingles are compared as 64-bit hashes and equal sets as 128-bit hashes.  Rows with a null doc_id stay; repeated rows share
-a verdict.
+a verdict.  Columns named like the operator's own are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -26,8 +33,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, small_batches, whole_text, written
+from .common import LOWER, UPPER, discard, small_batches, whole_text, written
 from .components import components
+from .simhash import fingerprint_of, links
 from .substring_dedup import MIX1, WordHashes, rolled, words_of
 
 WORDS, SIMILARITY = 5, 0.8
@@ -35,6 +43,8 @@ WORDS, SIMILARITY = 5, 0.8
 SAMPLE, LEAST_SAMPLED, MOST_COMMON = 16, 6, 100_000
 #: Keys of more members are large and paired in blocks of about so many; members that all others of a large key are compared with first.
 BLOCK, STARS = 64, 3
+#: Hash ranges whose counts bound what two sets have in common.
+BUCKETS = 256
 LOWERED = str.maketrans(UPPER, LOWER)
 
 _hashes = WordHashes()
@@ -50,20 +60,6 @@ def _rows(docs: DataFrame, text: str) -> DataFrame:
     return docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("node"), whole_text(text).alias("text"))
 
 
-def set_hashes(rows: DataFrame, words: int) -> DataFrame:
-    """(node, h1, h2): a hash of each set."""
-
-    def compute(batches):
-        import pyarrow as pa
-        from xxhash import xxh3_128_digest
-
-        for batch in batches:
-            found = np.frombuffer(b"".join(xxh3_128_digest(shingle_set(t, words).tobytes()) for t in batch.column(1).to_pylist()), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["node", "h1", "h2"])
-
-    return rows.mapInArrow(compute, "node long, h1 long, h2 long")
-
-
 def common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, levels): the most common shingles of a sample; the level grows with their number."""
 
@@ -83,44 +79,99 @@ def common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     return h[at], np.log2(np.maximum(n[at], 1)).astype(np.uint8) + np.uint8(1)
 
 
-def first_shingles(rows: DataFrame, words: int, similarity: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, node, size, most): first shingles of each set; ``most`` is the largest size of a set that can reach
-    the similarity if it is the first shingle that both share."""
-    table = rows.sparkSession.sparkContext.broadcast(common)
+def _counts(s: np.ndarray) -> bytes:
+    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
+    return n.astype("u1" if n.max() < 256 else "<u4").tobytes()
+
+
+def _first(s: np.ndarray, common: tuple[np.ndarray, np.ndarray], num: int, den: int) -> np.ndarray:
+    """The first shingles of a set: as many as a set of the similarity cannot miss altogether."""
+    n, (hot, levels) = len(s), common
+    if not n:
+        return s
+    level = np.zeros(n, np.uint8)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+        level = np.where(hot[at] == s, levels[at], 0)
+    return s[np.argsort(level, kind="stable")][: n - -(-num * n // den) + 1]
+
+
+def prints_of(rows: DataFrame, words: int, similarity: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(node, h1, h2, fp, size, counts, firsts): what is kept of each text."""
+    table = rows.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON entries
     num, den = similarity.numerator, similarity.denominator
 
     def compute(batches):
         import pyarrow as pa
+        from xxhash import xxh3_128_digest
 
-        hot, levels = table.value
         for batch in batches:
-            parts = []
+            digests, fps, sizes, counts, firsts = [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingle_set(t, words)
-                n = len(s)
-                level = np.zeros(n, np.uint8)
-                if len(hot):
-                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                    level = np.where(hot[at] == s, levels[at], 0)
-                first = s[np.argsort(level, kind="stable")][: n - -(-num * n // den) + 1] if n else s
-                most = (n - np.arange(len(first))) * (num + den) // num - n
-                parts.append((first.view("<i8"), np.full(len(first), n), most))
-            reps = [len(p[0]) for p in parts]
-            nodes = np.repeat(np.asarray(batch.column(0)), reps)
-            cat = lambda k, kind: np.concatenate([p[k] for p in parts]).astype(kind) if parts else np.empty(0, kind)
-            yield pa.RecordBatch.from_arrays([pa.array(cat(0, np.int64)), pa.array(nodes.astype(np.int64)), pa.array(cat(1, np.int32)), pa.array(cat(2, np.int32))], names=["key", "node", "size", "most"])
-
-    return rows.mapInArrow(compute, "key long, node long, size int, most int")
+                digests.append(xxh3_128_digest(s.tobytes()))
+                fps.append(fingerprint_of(s))
+                sizes.append(len(s))
+                counts.append(_counts(s))
+                firsts.append(_first(s, table.value, num, den).view("<i8"))
+            both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            ends = np.cumsum([0, *map(len, firsts)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))
+            columns = [batch.column(0), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(counts, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "h1", "h2", "fp", "size", "counts", "firsts"])
+
+    return rows.mapInArrow(compute, "node long, h1 long, h2 long, fp long, size int, counts binary, firsts array<long>")
+
+
+def first_shingles(prints: DataFrame, similarity: Fraction) -> DataFrame:
+    """(key, node, size, most): ``most`` is the largest size of a set that can reach the similarity if the key is the
+    first shingle that both share."""
+    num, den = similarity.numerator, similarity.denominator
+    most = F.floor((F.col("size") - F.col("pos")) * (num + den) / num).cast("int") - F.col("size")
+    return prints.select("node", "size", F.posexplode("firsts").alias("pos", "key")).select("key", "node", "size", most.alias("most"))
 
 
 def shared_keys(firsts: DataFrame) -> DataFrame:
     """(key, node, size, most, n): members of keys that can have a partner in them; n members a key."""
-    sizes = firsts.groupBy("key").agg(F.min("size").alias("least"), F.max("most").alias("top"), F.count("*").alias("n")).filter("n > 1 and least <= top")
-    sizes = written(sizes, "near-keys")
+    sizes = written(firsts.groupBy("key").agg(F.min("size").alias("least"), F.max("most").alias("top"), F.count("*").alias("n")).filter("n > 1 and least <= top"), "near-keys")
     able = firsts.join(sizes.select("key", "least", "top").hint("shuffle_hash"), "key").filter("most >= least and size <= top").select("key", "node", "size", "most")
     able = written(able, "near-able")
-    sizes = able.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    return written(able.join(sizes.hint("shuffle_hash"), "key"), "near-members")
+    counted = able.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = written(able.join(counted.hint("shuffle_hash"), "key"), "near-members")
+    discard(sizes, able)
+    return members
+
+
+def _common_at_most(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """The sums of the smaller counts by hash range."""
+    out = np.empty(len(x), np.int64)
+    short = np.array([len(a) == len(b) == BUCKETS for a, b in zip(x, y, strict=True)], bool)
+    at = np.flatnonzero(short)
+    if len(at):
+        one = np.frombuffer(b"".join([x[k] for k in at]), np.uint8).reshape(-1, BUCKETS)
+        two = np.frombuffer(b"".join([y[k] for k in at]), np.uint8).reshape(-1, BUCKETS)
+        out[at] = np.minimum(one, two).sum(1, dtype=np.int64)
+    wide = lambda b: np.frombuffer(b, "u1" if len(b) == BUCKETS else "<u4").astype(np.int64)
+    for k in np.flatnonzero(~short).tolist():
+        out[k] = np.minimum(wide(x[k]), wide(y[k])).sum()
+    return out
+
+
+def possible(pairs: DataFrame, prints: DataFrame, similarity: Fraction) -> DataFrame:
+    """The distinct pairs (a, b) that can have the similarity by the counts of their sets."""
+    num, den = similarity.numerator, similarity.denominator
+
+    def judge(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            m, n = (np.asarray(batch.column(k)).astype(np.int64) for k in (2, 3))
+            top = _common_at_most(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array(top * (num + den) >= num * (m + n), pa.bool_()))
+
+    left = pairs.distinct().join(prints.select(F.col("node").alias("a"), F.col("size").alias("m"), F.col("counts").alias("x")), "a")
+    both = left.join(prints.select(F.col("node").alias("b"), F.col("size").alias("n"), F.col("counts").alias("y")), "b")
+    return written(both.select("a", "b", "m", "n", "x", "y").mapInArrow(judge, "a long, b long").distinct(), "near-pairs")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: Fraction) -> DataFrame:
@@ -134,40 +185,51 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: Fraction
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["node", "s"])
 
     def judge(batches):
+        import pyarrow as pa
+
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = np.sort(np.concatenate([x, y]))
                 ok.append(int((both[1:] == both[:-1]).sum()) * (num + den) >= num * (len(x) + len(y)))
-            import pyarrow as pa
-
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     nodes = pairs.select(F.col("a").alias("__n")).union(pairs.select("b")).distinct()
-    sets = rows.join(nodes, F.col("node") == F.col("__n"), "left_semi").mapInArrow(sets_of, "node long, s binary")
-    sets = written(sets, "near-sets")
+    sets = written(rows.join(nodes, F.col("node") == F.col("__n"), "left_semi").mapInArrow(sets_of, "node long, s binary"), "near-sets")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
-    return written(both.mapInArrow(judge, "a long, b long").distinct(), "near-edges")
+    edges = written(both.mapInArrow(judge, "a long, b long").distinct(), "near-edges")
+    discard(sets)
+    return edges
 
 
-def _star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): each member with ``STARS`` members of its key."""
-    stars = [F.min_by(F.struct("node", "size", "most"), F.xxhash64("node", F.lit(k))) for k in range(STARS)]
-    stars = written(members.groupBy("key").agg(F.array_distinct(F.array(*stars)).alias("stars")), "near-stars")
-    found = members.join(stars.hint("shuffle_hash"), "key").withColumn("p", F.explode("stars")).filter("node <> p.node and size <= p.most and p.size <= most")
-    return found.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
+def signature_pairs(prints: DataFrame) -> DataFrame:
+    """(a, b): each node with the least of its fingerprint, and the least of fingerprints that link."""
+    classes = written(prints.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")), "near-classes")
+    alike = prints.join(classes.filter("n > 1").select("fp", "least"), "fp").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    linked = links(classes.select("fp"))
+    ids = lambda fp, name: classes.select(F.col("fp").alias(fp), F.col("least").alias(name))
+    linked = linked.distinct().withColumnsRenamed({"a": "f", "b": "g"}).join(ids("f", "a"), "f").join(ids("g", "b"), "g")
+    return alike.union(linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
-def _open(members: DataFrame, edges: DataFrame) -> DataFrame:
+def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
     """``members`` with their component as label, of the keys that are not yet all in one component."""
-    told = members.drop("label").join(components(edges), "node", "left").select("key", "node", "size", "most", "n", F.coalesce("component", "node").alias("label"))
+    told = members.join(components(edges), "node", "left").select("key", "node", "size", "most", "n", F.coalesce("component", "node").alias("label"))
     told = written(told, "near-labelled")
     mixed = told.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
     return told.join(mixed.hint("shuffle_hash"), "key")
 
 
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each member with ``STARS`` members of its key, where they are not connected."""
+    stars = [F.min_by(F.struct("node", "size", "most", "label"), F.xxhash64("node", F.lit(k))) for k in range(STARS)]
+    stars = written(members.groupBy("key").agg(F.array_distinct(F.array(*stars)).alias("stars")), "near-stars")
+    found = members.join(stars.hint("shuffle_hash"), "key").withColumn("p", F.explode("stars")).filter("label <> p.label and size <= p.most and p.size <= most")
+    return found.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
+
+
 def _all_pairs(members: DataFrame) -> DataFrame:
     """(a, b): every two members of a key that have different labels and pass the positional filter."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -181,33 +243,37 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
 
 
-def edges_of(rows: DataFrame, words: int, similarity: Fraction) -> DataFrame:
+def edges_of(rows: DataFrame, prints: DataFrame, words: int, similarity: Fraction) -> DataFrame:
     """(a, b): similar pairs that connect what all similar pairs connect."""
-    firsts = written(first_shingles(rows, words, similarity, common_shingles(rows, words)), "near-first-shingles")
-    members = shared_keys(firsts)
-    large = members.filter(f"n > {BLOCK}")
-    pairs = _all_pairs(members.filter(f"n <= {BLOCK}").withColumn("label", F.col("node")))
-    if large.isEmpty():
-        return verified(written(pairs.distinct(), "near-pairs"), rows, words, similarity)
-    tried = written(pairs.union(_star_pairs(large)).distinct(), "near-pairs")
-    edges = verified(tried, rows, words, similarity)
-    rest = written(_all_pairs(_open(large, edges)).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    return edges if rest.isEmpty() else edges.union(verified(rest, rows, words, similarity))
+    edges = verified(possible(signature_pairs(prints), prints, similarity), rows, words, similarity)
+    members = shared_keys(first_shingles(prints, similarity))
+    labelled = _labelled(members, edges)
+    large = labelled.filter(f"n > {BLOCK}")
+    pairs = possible(_all_pairs(labelled.filter(f"n <= {BLOCK}")).union(_star_pairs(large)), prints, similarity)
+    edges = written(edges.union(verified(pairs, rows, words, similarity)), "near-edges")
+    if not large.isEmpty():
+        rest = _all_pairs(_labelled(members.filter(f"n > {BLOCK}"), edges)).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = possible(rest, prints, similarity)
+        edges = edges.union(verified(rest, rows, words, similarity))
+    discard(members)
+    return edges
 
 
 def similar_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for rows with a doc_id: the smallest doc_id reachable over similar pairs."""
     small_batches(docs.sparkSession)
-    rows = _rows(docs, text)
-    prints = written(set_hashes(rows, words), "near-prints")
+    rows, share = _rows(docs, text), Fraction(str(similarity))
+    prints = written(prints_of(rows, words, share, common_shingles(rows, words)), "near-prints")
     least = prints.groupBy("h1", "h2").agg(F.min("node").alias("a"))
-    equal = written(prints.join(least, ["h1", "h2"]).filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "near-equal")
+    equal = written(prints.select("node", "h1", "h2").join(least, ["h1", "h2"]).filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "near-equal")
     # An id of several rows with different texts may be a copy in one and not in another: it stays a node.
     several = prints.groupBy("node").agg(F.count_distinct("h1", "h2").alias("n")).filter("n > 1").select("node")
-    copies = equal.select(F.col("b").alias("node")).join(several, "node", "left_anti")
-    alone = rows.join(copies, "node", "left_anti")
-    joined = components(equal.union(edges_of(alone, words, Fraction(str(similarity)))))
-    return prints.select("node").join(joined, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id"))
+    copies = equal.select(F.col("b").alias("node")).join(several, "node", "left_anti").distinct()
+    alone = prints.join(copies, "node", "left_anti")
+    joined = components(equal.union(edges_of(rows, alone, words, share)))
+    found = written(prints.select("node").join(joined, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id")), "near-groups")
+    discard(prints, equal)
+    return found
 
 
 def keep_one(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:

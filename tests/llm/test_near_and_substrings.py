@@ -1,9 +1,8 @@
 import random
 
-import numpy as np
 import pytest
 
-from missivelake.llm import components, simhash, substring_dedup, wide_simhash
+from missivelake.llm import components, simhash, substring_dedup
 
 
 def brute_components(prints):
@@ -70,35 +69,6 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def near_copy(rng, words, share):
-    return " ".join("changed%d" % rng.randrange(9999) if rng.random() < share else w for w in words)
-
-
-def test_wide_fingerprints_find_similar_texts(docs_of):
-    rng = random.Random(2)
-    rows, copies = [], []
-    for k in range(40):
-        words = ["w%d" % rng.randrange(3000) for _ in range(300)]
-        rows.append((k, " ".join(words)))
-        copies.append((100 + k, near_copy(rng, words, 0.015)))
-    rows += copies + [(None, rows[0][1]), (500, ""), (501, None), (502, "one two")]
-    got = {r["doc_id"]: r["component_id"] for r in wide_simhash.similar_dedup(docs_of(rows)).collect()}
-    assert sum(got[100 + k] == k for k in range(40)) >= 38
-    assert all(got[k] == k for k in range(40)) and got[501] == 500
-    kept = wide_simhash.keep_one(docs_of(rows))
-    assert kept.filter("doc_id is null").count() == 1 and kept.columns == docs_of([]).columns
-
-
-def test_hot_wide_keys_link_through_pivots(spark):
-    rng = np.random.default_rng(0)
-    base = rng.integers(-(2**62), 2**62, wide_simhash.VERIFY_WORDS).tolist()
-    rows = [(k, [1] * 8, [base[0] ^ (1 << k % 60), *base[1:]]) for k in range(30)] + [(99, [1] * 8, [~x for x in base])]
-    classes = spark.createDataFrame(rows, "node long, segs array<int>, sim array<long>")
-    edges = wide_simhash.similar_links(classes, 20, 24, max_paired=4)
-    got = {r["node"] for r in components.components(edges).filter("component = 0").collect()}
-    assert got == set(range(30))
-
-
 def brute_substrings(rows):
     first, out = {}, {}
     cut = {i: [w.decode() for w in substring_dedup.words_of(t)] for i, t in rows}
