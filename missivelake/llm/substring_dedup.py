@@ -13,9 +13,11 @@ an equal anchor at the same shift, so windows without a shared anchor need no fu
    from all documents but the smallest that holds it.
 3. The words that removed windows cover are dropped.
 
+Hash ranges follow from the length of all texts, so what one of them holds does not grow with the corpus.
+
 Defined results: a null text has no words.  Rows with a null doc_id neither lose words nor make others lose
-them.  Documents are compared by doc_id, so repeated rows (same doc_id) do not affect each other; they share
-the removed positions, as far as each text reaches.  Other columns are ignored.
+them.  Documents are compared by doc_id, so rows of one doc_id do not affect each other, and each loses only words that its
+own windows cover.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,13 +28,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole_text, written
+from .common import discard, small_batches, whole_text, written
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Hash ranges for each shuffle partition; each holds that share of one partition's anchors.
-RANGES_EACH = 1
+#: Characters of text for which there is one hash range: some two million anchors.
+RANGE_CHARS = 32_000_000
 #: Anchors that a task gathers before it sends them.
 TASK_ANCHORS = 2_000_000
 #: In place of a doc_id: several documents of the task hold the anchor.
@@ -119,30 +121,39 @@ def _from_bytes(packed: bytes, n: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _groups(h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray):
-    """Entries sorted by hashes and owner, where each run of equal hashes starts, and its length."""
+def _pack_tags(tag: np.ndarray) -> bytes:
+    return tag.astype("<i8").tobytes() if tag.any() else b""
+
+
+def _tags(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, "<i8") if packed else np.zeros(n, np.int64)
+
+
+def _groups(h: np.ndarray, h2: np.ndarray, owner: np.ndarray, *rest: np.ndarray):
+    """Entries sorted by hashes and owner; last, where each run of equal hashes starts, and its length."""
     order = np.lexsort((owner, h2, h))
-    h, h2, owner, place = h[order], h2[order], owner[order], place[order]
+    h, h2 = h[order], h2[order]
     first = np.ones(len(h), bool)
     first[1:] = (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])
     starts = np.flatnonzero(first)
-    return h, h2, owner, place, starts, np.diff(np.append(starts, len(h)))
+    return h, h2, owner[order], *[x[order] for x in rest], starts, np.diff(np.append(starts, len(h)))
 
 
 #: What is compared: anchors are reported if another document holds them (6 bytes of hash: a collision only
-#: adds a window to look at), windows if a smaller doc_id holds them (12 bytes of hash).
+#: adds a window to look at), windows if a smaller doc_id holds them (12 bytes of hash).  The tag of an entry tells
+#: rows of one doc_id apart; it is 0, and takes no room, where a doc_id stands in one row only.
 ANCHORS, WINDOWS = "anchors", "windows"
 HASH_BYTES = {ANCHORS: (6, 0), WINDOWS: (8, 4)}
-ENTRY_SCHEMA = "range int, local int, hashes binary, seconds binary, owners binary, places binary"
-FOUND_SCHEMA = "bucket int, owners binary, places binary"
+ENTRY_SCHEMA = "range int, local int, hashes binary, seconds binary, owners binary, tags binary, places binary"
+FOUND_SCHEMA = "bucket int, owners binary, tags binary, places binary"
 
 
-def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.ndarray, owner: np.ndarray, place: np.ndarray):
+def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.ndarray, owner: np.ndarray, tag: np.ndarray, place: np.ndarray):
     """Packed rows of one chunk of entries.  Entries that the chunk itself settles go along without their
     hashes, spread over all ranges; of the others each hash is sent for one owner."""
     import pyarrow as pa
 
-    h, h2, owner, place, starts, n = _groups(h, h2, owner, place)
+    h, h2, owner, tag, place, starts, n = _groups(h, h2, owner, tag, place)
     least = np.repeat(owner[starts], n)
     if kind == ANCHORS:
         settled = np.repeat(owner[starts] != owner[starts + n - 1], n)
@@ -153,79 +164,86 @@ def _send(kind: str, ranges: int, part: int, chunk: int, h: np.ndarray, h2: np.n
         settled = owner > least
         send = ~settled
         sent = owner[send]
-    h, h2, sent_place = h[send], h2[send], place[send]
+    h, h2, sent_tag, sent_place = h[send], h2[send], tag[send], place[send]
     cuts = np.searchsorted(h, np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)) if ranges > 1 else np.empty(0, np.int64)
     first, second = HASH_BYTES[kind]
     edges = [0, *cuts.tolist(), len(h)]
     rows = [
-        (k, 0, _low_bytes(h[i:j], first), _low_bytes(h2[i:j], second) if second else b"", _pack_owners(sent[i:j]), _pack_places(sent_place[i:j]))
+        (k, 0, _low_bytes(h[i:j], first), _low_bytes(h2[i:j], second) if second else b"", _pack_owners(sent[i:j]), _pack_tags(sent_tag[i:j]), _pack_places(sent_place[i:j]))
         for k, (i, j) in enumerate(zip(edges, edges[1:]))
         if j > i
     ]
     if settled.any():
-        rows.append(((part * 31 + chunk) % ranges, 1, b"", b"", _pack_owners(owner[settled]), _pack_places(place[settled])))
-    columns = list(zip(*rows)) if rows else [[]] * 6
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["range", "local", "hashes", "seconds", "owners", "places"])
+        rows.append(((part * 31 + chunk) % ranges, 1, b"", b"", _pack_owners(owner[settled]), _pack_tags(tag[settled]), _pack_places(place[settled])))
+    columns = list(zip(*rows)) if rows else [[]] * 7
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["range", "local", "hashes", "seconds", "owners", "tags", "places"])
 
 
-def _by_bucket(buckets: int, owner: np.ndarray, place: np.ndarray):
+def _by_bucket(buckets: int, owner: np.ndarray, tag: np.ndarray, place: np.ndarray):
     """One record a bucket of documents, so that the rows do not grow with documents times ranges."""
     import pyarrow as pa
 
     of = (owner.astype(np.uint64) * MIX1 >> np.uint64(33)).astype(np.int64) % buckets
     order = np.argsort(of, kind="stable")
-    of, owner, place = of[order], owner[order], place[order]
+    of, owner, tag, place = of[order], owner[order], tag[order], place[order]
     starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, np.int64)
-    owners = [_pack_owners(x) for x in np.split(owner, starts[1:])] if len(of) else []
-    places = [_pack_places(x) for x in np.split(place, starts[1:])] if len(of) else []
-    return pa.Table.from_arrays([pa.array(of[starts], pa.int32()), pa.array(owners, pa.binary()), pa.array(places, pa.binary())], names=["bucket", "owners", "places"])
+    packed = [[pack(x) for x in np.split(values, starts[1:])] if len(of) else [] for pack, values in ((_pack_owners, owner), (_pack_tags, tag), (_pack_places, place))]
+    return pa.Table.from_arrays([pa.array(of[starts], pa.int32()), *[pa.array(x, pa.binary()) for x in packed]], names=["bucket", "owners", "tags", "places"])
 
 
 def _one_row_each(table):
-    """(doc_id, places) of one bucket: one row a document, positions sorted and distinct."""
+    """(doc_id, tag, places) of one bucket: one row a document, positions sorted and distinct."""
     import pyarrow as pa
 
-    owner = np.concatenate([_owners(x) for x in table.column("owners").to_pylist()])
-    place = np.concatenate([_places(x) for x in table.column("places").to_pylist()])
-    order = np.lexsort((place, owner))
-    owner, place = owner[order], place[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
-    owner, place = owner[new], place[new]
-    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    return pa.Table.from_arrays([pa.array(owner[starts], pa.int64()), pa.array([_pack_places(x) for x in np.split(place, starts[1:])], pa.binary())], names=["doc_id", "places"])
+    owners = [_owners(x) for x in table.column("owners").to_pylist()]
+    tag = np.concatenate([_tags(x, len(o)) for x, o in zip(table.column("tags").to_pylist(), owners, strict=True)])
+    owner, place = np.concatenate(owners), np.concatenate([_places(x) for x in table.column("places").to_pylist()])
+    order = np.lexsort((place, tag, owner))
+    owner, tag, place = owner[order], tag[order], place[order]
+    other = np.ones(len(owner), bool)
+    other[1:] = (owner[1:] != owner[:-1]) | (tag[1:] != tag[:-1])
+    new = other.copy()
+    new[1:] |= place[1:] != place[:-1]
+    owner, tag, place, other = owner[new], tag[new], place[new], other[new]
+    starts = np.flatnonzero(other)
+    return pa.Table.from_arrays([pa.array(owner[starts], pa.int64()), pa.array(tag[starts], pa.int64()), pa.array([_pack_places(x) for x in np.split(place, starts[1:])], pa.binary())], names=["doc_id", "tag", "places"])
 
 
 def _compare(kind: str, sent: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, places): the entries to report, one row a document."""
+    """(doc_id, tag, places): the entries to report, one row a document."""
     first, second = HASH_BYTES[kind]
+    buckets = max(1, ranges // 2)
 
     def one_range(table):
-        h, h2, owner, place, done_owner, done_place = [], [], [], [], [], []
-        for local, a, b, o, p in zip(*(table.column(c).to_pylist() for c in ("local", "hashes", "seconds", "owners", "places")), strict=True):
+        h, h2, owner, tag, place, done = [], [], [], [], [], [[], [], []]
+        for local, a, b, o, t, p in zip(*(table.column(c).to_pylist() for c in ("local", "hashes", "seconds", "owners", "tags", "places")), strict=True):
+            o, p = _owners(o), _places(p)
+            t = _tags(t, len(o))
             if local:
-                done_owner.append(_owners(o))
-                done_place.append(_places(p))
+                for column, x in zip(done, (o, t, p)):
+                    column.append(x)
             else:
                 h.append(_from_bytes(a, first))
-                h2.append(_from_bytes(b, second) if second else np.zeros(len(h[-1]), np.uint64))
-                owner.append(_owners(o))
-                place.append(_places(p))
+                h2.append(_from_bytes(b, second) if second else np.zeros(len(o), np.uint64))
+                owner.append(o)
+                tag.append(t)
+                place.append(p)
         if h:
-            _, _, o, p, starts, n = _groups(*(np.concatenate(x) for x in (h, h2, owner, place)))
+            _, _, o, t, p, starts, n = _groups(*(np.concatenate(x) for x in (h, h2, owner, tag, place)))
             least, most = np.repeat(o[starts], n), np.repeat(o[starts + n - 1], n)
-            tell = (o != MANY) & (least != most) | (o != MANY) & (least == MANY) if kind == ANCHORS else o > least
-            done_owner.append(o[tell])
-            done_place.append(p[tell])
-        return _by_bucket(max(1, ranges // 2), np.concatenate(done_owner), np.concatenate(done_place))
+            tell = (o != MANY) & ((least != most) | (least == MANY)) if kind == ANCHORS else o > least
+            for column, x in zip(done, (o, t, p)):
+                column.append(x[tell])
+        return _by_bucket(buckets, *(np.concatenate(x) for x in done))
 
-    found = sent.groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
-    return found.groupBy("bucket").applyInArrow(_one_row_each, "doc_id long, places binary")
+    # As many tasks as ranges, and no group larger than one range.
+    found = sent.repartition(ranges, "range").groupBy("range").applyInArrow(one_range, FOUND_SCHEMA)
+    return found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_one_row_each, "doc_id long, tag long, places binary")
 
 
 def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, places): positions of anchors that other documents hold too."""
+    """(doc_id, tag, places): positions of anchors that other documents hold too; all tags are 0."""
 
     def gather(batches):
         from pyspark import TaskContext
@@ -244,29 +262,35 @@ def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
                 held += len(p)
                 if held >= TASK_ANCHORS:
                     h = np.concatenate(hs)
-                    yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.concatenate(ps))
+                    yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.zeros(len(h), np.int64), np.concatenate(ps))
                     hs, ids, ps, held, chunk = [], [], [], 0, chunk + 1
         if held:
             h = np.concatenate(hs)
-            yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.concatenate(ps))
+            yield _send(ANCHORS, ranges, part, chunk, h, np.zeros(len(h), np.uint64), np.concatenate(ids), np.zeros(len(h), np.int64), np.concatenate(ps))
 
     return _compare(ANCHORS, docs.mapInArrow(gather, ENTRY_SCHEMA), ranges)
 
 
 def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, places): starts of windows whose words also stand in a smaller doc_id."""
+    """(doc_id, tag, starts): starts of windows whose words also stand in a smaller doc_id.
+
+    tag is 0, or for a doc_id of several rows xxhash64 of the text.
+    """
     found = written(shared_anchors(docs, ranges), "shared-anchors")
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id"))
+    found = found.join(several, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "places", F.col("__id").isNotNull().alias("several"))
     # An inner join: only documents with shared anchors go on.
-    rows = docs.filter("doc_id is not null").join(found.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "places")
+    rows = docs.filter("doc_id is not null").join(found.hint("shuffle_hash"), "doc_id")
+    rows = rows.select("doc_id", F.when(F.col("several"), F.xxhash64("text")).otherwise(F.lit(0)).alias("tag"), "text", "places")
 
     def extend(batches):
         from pyspark import TaskContext
 
         part, chunk = TaskContext.get().partitionId(), 0
-        held: list[list[np.ndarray]] = [[], [], [], []]
+        held: list[list[np.ndarray]] = [[], [], [], [], []]
         size = 0
         for batch in batches:
-            for name, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, tag, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 w = _hashes.of(words_of(text))
                 if len(w) < WINDOW:
                     continue
@@ -274,12 +298,12 @@ def duplicate_windows(docs: DataFrame, ranges: int) -> DataFrame:
                 # A window over the anchor at p starts at p - PERIOD + 1 .. p.
                 over = np.bincount(np.clip(p - PERIOD + 1, 0, len(w)), minlength=len(w) + 1) - np.bincount(np.clip(p + 1, 0, len(w)), minlength=len(w) + 1)
                 s = np.flatnonzero(np.cumsum(over)[: len(w) - WINDOW + 1] > 0)
-                for column, x in zip(held, (rolled(w, WINDOW, MIX1)[s], rolled(w, WINDOW, MIX2)[s] >> np.uint64(32), np.full(len(s), name, np.int64), s)):
+                for column, x in zip(held, (rolled(w, WINDOW, MIX1)[s], rolled(w, WINDOW, MIX2)[s] >> np.uint64(32), np.full(len(s), name, np.int64), np.full(len(s), tag, np.int64), s)):
                     column.append(x)
                 size += len(s)
                 if size >= TASK_ANCHORS:
                     yield _send(WINDOWS, ranges, part, chunk, *(np.concatenate(c) for c in held))
-                    held, size, chunk = [[], [], [], []], 0, chunk + 1
+                    held, size, chunk = [[], [], [], [], []], 0, chunk + 1
         if size:
             yield _send(WINDOWS, ranges, part, chunk, *(np.concatenate(c) for c in held))
 
@@ -291,9 +315,11 @@ def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    ranges = RANGES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gone = written(duplicate_windows(rows, ranges), "removed-windows")
-    joined = rows.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "starts")
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS))
+    gone = written(duplicate_windows(rows, ranges), "removed-windows").withColumnRenamed("doc_id", "__id")
+    own = (F.col("doc_id") == F.col("__id")) & ((F.col("tag") == 0) | (F.col("tag") == F.xxhash64("text")))
+    joined = rows.join(gone.hint("shuffle_hash"), own, "left").select("doc_id", "text", "starts")
 
     def cut(batches):
         import pyarrow as pa
@@ -309,7 +335,6 @@ def substring_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
                     continue
                 over = np.zeros(len(w) + WINDOW + 1, np.int64)
                 s = _places(starts)
-                s = s[s + WINDOW <= len(w)]
                 over[s] += 1
                 over[s + WINDOW] -= 1
                 stays = np.cumsum(over)[: len(w)] == 0

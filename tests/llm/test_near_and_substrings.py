@@ -108,6 +108,23 @@ def test_substrings_of_null_and_repeated_ids(docs_of):
     assert substring_dedup.substring_dedup(docs_of([])).count() == 0
 
 
+def test_rows_of_one_id_lose_only_their_own_words(docs_of):
+    copied, other = " ".join(f"w{k}" for k in range(20)), " ".join(f"u{k}" for k in range(20))
+    rows = [(1, copied), (2, copied), (2, other), (2, f"{other} {copied}"), (2, None), (3, other), (3, other)]
+    got = sorted(((r["doc_id"], r["kept_text"]) for r in substring_dedup.substring_dedup(docs_of(rows)).collect()), key=str)
+    assert got == sorted([(1, copied), (2, ""), (2, other), (2, other), (2, ""), (3, ""), (3, "")], key=str)
+
+
+def test_ranges_follow_from_the_texts(docs_of, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "RANGE_CHARS", 100)
+    monkeypatch.setattr(substring_dedup, "TASK_ANCHORS", 40)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(9)}" for _ in range(400)]
+    rows = [(k, " ".join(base[(s := rng.randrange(390)) : s + rng.randint(0, 90)] + [f"x{k}"] + base[k : k + 20])) for k in range(60)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.substring_dedup(docs_of(rows)).collect()}
+    assert got == brute_substrings(rows) and sum(x[1] for x in got.values()) > 0
+
+
 def test_every_shift_is_covered():
     cover, period = set(substring_dedup.COVER), substring_dedup.PERIOD
     for i in range(period):
