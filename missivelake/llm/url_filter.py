@@ -1,16 +1,21 @@
 """URL filters: stated rules by longest suffix and path, then mined association rules.
 
-FP-growth mines the token combinations of labelled addresses together with the label.  Rules towards the
-bad label are pruned by support and confidence, and a rule goes when a shorter one inside it is as
-confident.  They match by an inverted index: each rule is filed under its rarest token, so an address only
-meets rules filed under its own tokens.
+FP-growth mines the token combinations of labelled addresses together with the label.  Before, tokens that stand in exactly
+the same labelled rows become one item, and tokens of every row go: they cannot tell rows apart, and each would
+double the number of combinations.  The support that a rule needs follows from the number of labelled rows, and the lower
+bound of its confidence must exceed the share of bad rows.  A rule goes when a shorter one inside it is as
+confident.  Rules match by an inverted index: each is filed under its rarest token, so an address only meets rules filed
+under its own tokens.
 
 The index is sent to the executors while it has at most ``MAX_RULES`` rules; beyond, distinct addresses and
 rules meet in an equi-join on the filed token.
 
+The number of combinations still grows with two to the power of the items of one address that stand in different
+rows, as with any search for frequent sets.
+
 Defined results: a null address, or one without ``://``, has empty host and path and is allowed.  Rows with
-null or repeated page ids are judged like any other.  Unlabelled or empty label tables give no mined rules.
-Other columns are ignored.
+null or repeated page ids are judged like any other.  Unlabelled or empty label tables, and labels of one kind only, give
+no mined rules.  Repeated labelled rows count each.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +26,15 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small_batches
+from .common import ascii_lower, discard, small_batches, written
 
 #: (action, host with path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 BAD = "label=bad"
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_ROWS = 0.002, 0.8, 10
+#: A rule needs this share of the labelled rows and so many rows; its confidence must exceed the share of bad rows by so
+#: many standard errors (the lower bound of Wilson's interval, one-sided 95 %).
+MIN_SUPPORT, MIN_ROWS, DEVIATIONS = 0.002, 5, 1.645
+RULE_SCHEMA = "antecedent array<string>, confidence double, support double"
 MAX_RULES = 50_000
 
 
@@ -62,19 +70,48 @@ def stated(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, action
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_rows: int = MIN_ROWS) -> DataFrame:
+def lower_bound(hits: Column, rows: Column, deviations: float = DEVIATIONS) -> Column:
+    """The lower bound of Wilson's interval for a share of ``hits`` in ``rows``."""
+    z = deviations * deviations
+    share = hits / rows
+    return (share + z / (2 * rows) - deviations * F.sqrt(share * (1 - share) / rows + z / (4 * rows * rows))) / (1 + z / rows)
+
+
+def items_of(baskets: DataFrame, n: int, least: int) -> DataFrame:
+    """(token, item): frequent tokens; those of exactly the same rows are one item, named after its least token.
+
+    baskets: (row, tokens).  Row sets are compared by their size and two 64-bit digests.
+    """
+    row = F.xxhash64("row")
+    tokens = baskets.select("row", F.explode("tokens").alias("token"))
+    sets = tokens.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(row).alias("x"), F.bit_xor(F.xxhash64(F.lit("second"), "row")).alias("y"))
+    sets = sets.filter((F.col("n") >= least) & (F.col("n") < n))
+    names = sets.groupBy("n", "x", "y").agg(F.min("token").alias("item"))
+    return sets.join(names, ["n", "x", "y"]).select("token", "item")
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS, deviations: float = DEVIATIONS) -> DataFrame:
     """(antecedent array, confidence, support) of rules towards the bad label.
 
     labelled: (url, bad boolean).
     """
-    n = labelled.count()
-    empty = labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    if n == 0:
-        return empty
-    baskets = labelled.select(F.concat(tokens_of(F.coalesce("url", F.lit(""))), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / n)), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
-    return rules.select(F.array_sort("antecedent").alias("antecedent"), F.col("confidence").cast("double"), F.col("support").cast("double"))
+    spark = labelled.sparkSession
+    baskets = written(labelled.select(F.monotonically_increasing_id().alias("row"), tokens_of(F.coalesce("url", F.lit(""))).alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad")), "url-baskets")
+    n, bad = baskets.agg(F.count("*"), F.count_if("bad")).first()
+    if not 0 < bad < n:
+        return spark.createDataFrame([], RULE_SCHEMA)
+    least = max(min_rows, int(min_support * n))
+    items = written(items_of(baskets, n, least), "url-items")
+    of_row = baskets.select("row", F.explode("tokens").alias("token")).join(items, "token").groupBy("row").agg(F.collect_set("item").alias("items"))
+    labels = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    rows = baskets.join(of_row, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), labels).alias("items"))
+    rules = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=bad / n).fit(rows).associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
+    hits = F.round(F.col("support") * n)
+    sure = rules.filter(lower_bound(hits, F.round(hits / F.col("confidence")), deviations) > bad / n).select("antecedent", "confidence", "support")
+    whole = sure.select(F.explode("antecedent").alias("item"), "*").join(items, "item").groupBy("antecedent", "confidence", "support").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    found = written(whole.select(F.col("tokens").alias("antecedent"), F.col("confidence").cast("double").alias("confidence"), F.col("support").cast("double").alias("support")), "url-rules")
+    discard(baskets, items)
+    return found
 
 
 def prune(rules: list[tuple[tuple[str, ...], float]]) -> list[tuple[tuple[str, ...], float]]:
@@ -108,11 +145,17 @@ def match(index: dict[str, list[tuple[frozenset[str], float]]], tokens: list[str
     return max((c for t in own for items, c in index.get(t, ()) if own.issuperset(items)), default=0.0)
 
 
+def _filed(rules: DataFrame) -> DataFrame:
+    """(token, antecedent, confidence): each rule under the token that the fewest rules hold."""
+    each = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token"))
+    held = each.groupBy("token").agg(F.count("*").alias("held"))
+    return each.join(held, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("held", "token")).alias("token"), F.max("confidence").alias("confidence"))
+
+
 def _by_join(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Matches without sending rules: the equi-join on each rule's first token over distinct addresses."""
+    """Matches without sending rules: the equi-join on each rule's filed token over distinct addresses."""
     addresses = rows.select("url").distinct().select("url", tokens_of(F.coalesce("url", F.lit(""))).alias("tokens"))
-    filed = rules.select(F.col("antecedent")[0].alias("token"), "antecedent", "confidence")
-    hits = addresses.select("url", "tokens", F.explode("tokens").alias("token")).join(filed, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+    hits = addresses.select("url", "tokens", F.explode("tokens").alias("token")).join(_filed(rules), "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
     best = hits.groupBy("url").agg(F.max("confidence").alias("confidence")).withColumnRenamed("url", "__url")
     return rows.join(best, F.col("url").eqNullSafe(F.col("__url")), "left").drop("__url")
 
