@@ -8,7 +8,9 @@ Four pieces of evidence give one posterior over the languages:
   shrinking to the one above; a row's own contribution is taken out of its host's and suffix's counts.
 
 The trigram model is fitted on a bounded, hashed sample of rows with a declared language
-(``TRAIN_ROWS`` a language, about); priors and declaration rates are grouped sums over all rows.
+(``TRAIN_ROWS`` a language, about); priors and declaration rates are grouped sums over all rows.  Every code that a
+row declares is a language, however few its rows: its trigram counts shrink to those of all languages, so
+a language with little text is like the mixture, which loses to a text's own language.
 
 Defined results: a null or empty text has no text evidence; a text without letters is rejected
 (lang null).  A null or unknown declaration, suffix or host says nothing.  Without any declared language
@@ -25,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import small_batches, whole_text, written
 
 BUCKETS = 1 << 14
-#: Languages are codes that at least this many rows declare.
-LEAST_DECLARED = 20
 TRAIN_ROWS = 1000
+#: Trigrams of the mixture of all languages that are added to those of each.
+SHRINK = 2000.0
 #: Neighbouring trigrams share bytes: that many count as one independent observation.
 TEMPER = 3.0
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
@@ -54,14 +56,14 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def languages(docs: DataFrame, declared: Column) -> list[tuple[str, int]]:
-    """Declared codes of two or three letters with enough rows, and how many rows each has."""
+    """Declared codes of two or three letters, and how many rows each has."""
     code = F.lower(F.trim(declared))
-    rows = docs.select(code.alias("code")).filter(F.col("code").rlike("^[a-z]{2,3}$")).groupBy("code").count().filter(F.col("count") >= LEAST_DECLARED)
+    rows = docs.select(code.alias("code")).filter(F.col("code").rlike("^[a-z]{2,3}$")).groupBy("code").count()
     return sorted((r["code"], r["count"]) for r in rows.collect())  # at most all two- and three-letter codes
 
 
 def train(docs: DataFrame, declared: Column, text: str, codes: list[tuple[str, int]], train_rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Log probabilities (language, bucket) with add-half smoothing."""
+    """Log probabilities (language, bucket), smoothed by the mixture of all languages."""
     value = whole_text(text)
     share = F.create_map(*[x for c, n in codes for x in (F.lit(c), F.lit(int(min(1.0, train_rows / n) * 1_000_000)))])
     rows = docs.select(F.lower(F.trim(declared)).alias("code"), value.alias("text"))
@@ -81,10 +83,12 @@ def train(docs: DataFrame, declared: Column, text: str, codes: list[tuple[str, i
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at], pa.int64())], names=["cell", "n"])
 
     cells = rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    counts = np.full(len(names) * BUCKETS, 0.5)
+    counts = np.zeros(len(names) * BUCKETS)
     for r in cells.toLocalIterator():  # at most one number for each cell of the model
         counts[r["cell"]] += r["n"]
     counts = counts.reshape(len(names), BUCKETS)
+    mixture = counts.sum(0) + 0.5
+    counts += SHRINK * mixture / mixture.sum()
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
@@ -203,8 +207,12 @@ def keep_identified(docs: DataFrame, text: str = "text", **options) -> DataFrame
 
 
 def identify_pages(pages: DataFrame, **options) -> DataFrame:
-    """Languages of raw web pages: markup language, host and address suffix as evidence; key page_id."""
-    host = F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))
+    """Languages of raw web pages: markup language, host and address suffix as evidence; key page_id.
+
+    The text is the markup without tags, scripts and styles.  A page without ``lang`` in its markup declares nothing.
+    """
+    host = F.lower(F.regexp_extract("url", r"://([^/?#:]*)", 1))
     visible = F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<[^>]*>", " ")
-    rows = pages.select("page_id", visible.alias("text"), F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z]{2,3})", 1).alias("declared"), F.nullif(host, F.lit("")).alias("host"), F.nullif(F.regexp_extract(host, r"\.([a-z]+)$", 1), F.lit("")).alias("suffix"))
-    return identify(rows, declared="declared", host="host", suffix="suffix", key="page_id", **options)
+    full = lambda c: F.nullif(c, F.lit(""))
+    rows = pages.select("page_id", visible.alias("text"), full(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z]{2,3})", 1))).alias("declared"), full(host).alias("host"), full(F.regexp_extract(host, r"\.([a-z]+)$", 1)).alias("suffix"))
+    return identify(rows, declared="declared", host="host", suffix="suffix", key="page_id", **options).withColumnRenamed("doc_id", "page_id")

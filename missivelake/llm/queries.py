@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, exact_dedup, grammar_ids, langid, line_dedup, packing, pii, simhash, substring_dedup, url_filter
@@ -14,69 +14,79 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+def query(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Registers a function of (table reader) under its name."""
+    QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: table(spark, sf_dir, name))
+    return f
 
 
-def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+def sha256(text: str) -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256).alias("kept_sha256")
 
 
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = packing.pack(table(spark, sf_dir, "documents"))
+@query
+def op1_url_filter(t) -> DataFrame:
+    pages, labels = t("pages"), t("labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.select("page_id", "url").join(labels, F.col("page_id") == F.col("doc_id")).select("url", F.coalesce(bad, F.lit(False)).alias("bad"))
+    return url_filter.judge(pages, labelled)
+
+
+@query
+def op2_packing(t) -> DataFrame:
+    placed = packing.pack(t("documents"))
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-def op8_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = grammar_ids.round_trip(table(spark, sf_dir, "documents"))
-    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+@query
+def op3_pii(t) -> DataFrame:
+    found = pii.find(t("documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["is_base"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.KINDS[: pii.BASE]]
+    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = simhash.near_dedup(table(spark, sf_dir, "documents"))
-    return done.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+@query
+def op4_exact_dedup(t) -> DataFrame:
+    return exact_dedup.exact_dedup(t("documents"))
 
 
-QUERIES["op7_simhash"] = op7_simhash
-def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+@query
+def op5_decontaminate(t) -> DataFrame:
+    return decontaminate.contaminated(t("documents"), t("benchmark"))
 
 
-QUERIES["op10_substring_dedup"] = op10_substring_dedup
-def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+@query
+def op6_line_dedup(t) -> DataFrame:
+    return line_dedup.line_dedup(t("documents")).select("doc_id", "n_lines", "n_dropped", sha256("kept_text"))
 
 
-QUERIES["op5_decontaminate"] = op5_decontaminate
-def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
-    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    labelled = pages.select("page_id", "url").join(labels, F.col("page_id") == F.col("doc_id")).select("url", F.coalesce(bad, F.lit(False)).alias("bad"))
-    return url_filter.judge(pages, labelled)
+@query
+def op7_simhash(t) -> DataFrame:
+    return simhash.near_dedup(t("documents")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(table(spark, sf_dir, "documents"))
-    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    base = F.filter("spans", lambda s: s["is_base"])
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    counts = [count(kind) for kind in pii.KINDS[: pii.BASE]]
-    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+@query
+def op8_grammar_ids(t) -> DataFrame:
+    return grammar_ids.round_trip(t("documents")).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
 
+@query
+def op9_language_id(t) -> DataFrame:
+    """Both tables that have texts.  Documents have no markup and no address: their declared language and their
+    source stand in for markup and host.  Pages have all four kinds of evidence."""
+    columns = ["lang", "posterior", "text_lang", "declared", "kept"]
+    nothing = F.lit(None).cast("long")
+    documents = langid.identify(t("documents")).select("doc_id", nothing.alias("page_id"), *columns)
+    return documents.union(langid.identify_pages(t("pages")).select(nothing.alias("doc_id"), "page_id", *columns))
 
-def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(table(spark, sf_dir, "documents")).drop("th")
 
+@query
+def op10_substring_dedup(t) -> DataFrame:
+    return substring_dedup.substring_dedup(t("documents")).select("doc_id", "n_words", "n_removed", sha256("kept_text"))
 
-QUERIES["op1_url_filter"] = op1_url_filter
-QUERIES["op3_pii"] = op3_pii
-QUERIES["op9_language_id"] = op9_language_id
-QUERIES["op2_packing"] = op2_packing
-QUERIES["op8_grammar_ids"] = op8_grammar_ids
-QUERIES["op4_exact_dedup"] = op4_exact_dedup
-QUERIES["op6_line_dedup"] = op6_line_dedup
 
 ORACLES["op4_exact_dedup"] = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
