@@ -136,7 +136,7 @@ def repair(seq: np.ndarray, last: np.ndarray, base: int, least: int = LEAST_COUN
         number = np.empty(len(pair), np.int32)
         number[by_rank] = np.arange(1, len(pair) + 1, dtype=np.int32)
         rank[at] = np.repeat(number, n)
-        at, found = _chosen(rank, np.sort(at))
+        at, found = _chosen(rank, np.flatnonzero(rank))
         which = by_rank[found - 1]
         symbol = rules.of(pair)
         known = symbol >= 0
@@ -186,10 +186,14 @@ def compress(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray, least: i
 
 def _lengths(table: np.ndarray, base: int) -> np.ndarray:
     """Expansion length of each rule, which refers to earlier symbols only."""
-    size: list[int] = []
-    for x, y in table.tolist():
-        size.append((size[x - base] if x >= base else 1) + (size[y - base] if y >= base else 1))
-    return np.array(size, np.int64)
+    size = np.concatenate([np.ones(base, np.int64), np.zeros(len(table), np.int64)])
+    open_ = np.arange(len(table))
+    while len(open_):  # once a level of the grammar
+        x, y = size[table[open_, 0]], size[table[open_, 1]]
+        told = (x > 0) & (y > 0)
+        size[base + open_[told]] = (x + y)[told]
+        open_ = open_[~told]
+    return size[base:]
 
 
 class Shard:

@@ -15,9 +15,9 @@ from contextlib import suppress
 from struct import pack
 
 ID_BYTES = 4
-#: Pieces whose ids a worker keeps.  Frequent ones come early; when the table is full, later ones are kept
+#: Pieces whose ids a worker keeps, of some 200 bytes each.  Frequent ones come early; when the table is full, later ones are kept
 #: for their batch only, and the table starts again when most of a batch is not in it.
-MAX_PIECES = 400_000
+MAX_PIECES = 800_000
 #: Parts in one call of the library, which is slower on single parts.
 TOGETHER = 200
 #: Marks that a vocabulary splits from the letters before them, as one run.  No apostrophe: it may begin a contraction.
