@@ -18,7 +18,8 @@ The order only decides the cost: shingles common in a sample of documents come l
 documents share is not among their first shingles.  Any order gives the same edges.
 
 Only components are needed, so connected pairs are not compared again.  The members of a large key are compared
-with a few of them first; all pairs that are not connected by then are compared, in blocks of bounded size.
+with a few of them first; those that are not connected by then meet in blocks of bounded size, which give only the pairs
+that can have the similarity by their counts.
 
 Defined results: A-Z are lower-cased; texts of fewer words than a shingle are one shingle; texts without words are alike.
 Shingles are compared as 64-bit hashes and equal sets as 128-bit hashes.  Rows with a null doc_id stay; repeated rows share
@@ -30,7 +31,7 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, discard, small_batches, whole_text, written
@@ -41,8 +42,10 @@ from .substring_dedup import MIX1, WordHashes, rolled, words_of
 WORDS, SIMILARITY = 5, 0.8
 #: One of so many documents is counted for the order; shingles of LEAST_SAMPLED of them are common, of which MOST_COMMON are told apart.
 SAMPLE, LEAST_SAMPLED, MOST_COMMON = 16, 6, 100_000
-#: Keys of more members are large and paired in blocks of about so many; members that all others of a large key are compared with first.
-BLOCK, STARS = 64, 3
+#: Keys of more than PAIRED members are large: all others are compared with STARS members first, then in blocks of about BLOCK members.
+PAIRED, BLOCK, STARS = 64, 512, 3
+#: Rounds in which only the likeliest pair of every two components is verified; then all that are left.
+LIKELY = 2
 #: Hash ranges whose counts bound what two sets have in common.
 BUCKETS = 256
 LOWERED = str.maketrans(UPPER, LOWER)
@@ -230,17 +233,64 @@ def _star_pairs(members: DataFrame) -> DataFrame:
     return found.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): every two members of a key that have different labels and pass the positional filter."""
+def _alike(x: Column, y: Column) -> Column:
+    """Whether two members have different labels and pass the positional filter."""
+    return (x["label"] != y["label"]) & (x["size"] <= y["most"]) & (y["size"] <= x["most"])
+
+
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): every two members of a small key that have different labels and pass the positional filter."""
+    groups = members.groupBy("key").agg(F.collect_list(F.struct("node", "size", "most", "label")).alias("all"))
+    pair = lambda x, y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"))
+    pairs = F.flatten(F.transform("all", lambda x, k: F.transform(F.filter(F.slice(F.col("all"), k + 2, F.size("all")), lambda y: _alike(x, y)), lambda y: pair(x, y))))
+    return groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+
+
+def _block_pairs(members: DataFrame, prints: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b, top): the pairs of members of large keys, as for small keys, that can have the similarity by their
+    counts; top is how many shingles they can share."""
+    num, den = similarity.numerator, similarity.denominator
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    placed = members.join(prints.select("node", "counts").hint("shuffle_hash"), "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     # A block meets every block of its key, itself too.
-    placed = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    me = F.struct("node", "size", "most", "label", "own")
-    groups = placed.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(me).alias("all"))
-    meet = lambda x, y: (x["label"] != y["label"]) & (x["size"] <= y["most"]) & (y["size"] <= x["most"]) & ((F.col("i") == F.col("j")) | (x["own"] != y["own"]))
-    pairs = F.flatten(F.transform("all", lambda x, k: F.transform(F.filter(F.slice(F.col("all"), k + 2, F.size("all")), lambda y: meet(x, y)), lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")))))
-    return groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "size", "most", "label", "counts")
+
+    def compare(table):
+        import pyarrow as pa
+
+        j, own, node, size, most, label = (table.column(c).to_numpy().astype(np.int64) for c in ("j", "own", "node", "size", "most", "label"))
+        packed = table.column("counts").to_pylist()
+        wide = max(map(len, packed)) > BUCKETS
+        counts = np.stack([np.frombuffer(b, "u1" if len(b) == BUCKETS else "<u4").astype("<u4" if wide else "u1") for b in packed])
+        last = np.flatnonzero(own == j)
+        left, right, shared = [], [], []
+        for k in range(len(node)):
+            if own[k] == j[k]:  # within the block: each pair once
+                to = last[last > k] if table.column("i")[k].as_py() == j[k] else last[:0]
+            else:
+                to = last
+            to = to[(label[to] != label[k]) & (size[to] <= most[k]) & (most[to] >= size[k])]
+            if len(to):
+                top = np.minimum(counts[to], counts[k]).sum(1, dtype=np.int64)
+                can = top * (num + den) >= num * (size[to] + size[k])
+                to = to[can]
+                shared.append(top[can])
+                left.append(np.minimum(node[to], node[k]))
+                right.append(np.maximum(node[to], node[k]))
+        columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right, shared)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["a", "b", "top"])
+
+    return placed.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, top long").distinct()
+
+
+def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not connected yet, with their components."""
+    of = components(edges)
+    told = pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    ends = [F.coalesce("ca", "a"), F.coalesce("cb", "b")]
+    told = told.select("a", "b", "top", F.least(*ends).alias("ca"), F.greatest(*ends).alias("cb")).filter("ca < cb")
+    return written(told, "near-apart")
 
 
 def edges_of(rows: DataFrame, prints: DataFrame, words: int, similarity: Fraction) -> DataFrame:
@@ -248,13 +298,18 @@ def edges_of(rows: DataFrame, prints: DataFrame, words: int, similarity: Fractio
     edges = verified(possible(signature_pairs(prints), prints, similarity), rows, words, similarity)
     members = shared_keys(first_shingles(prints, similarity))
     labelled = _labelled(members, edges)
-    large = labelled.filter(f"n > {BLOCK}")
-    pairs = possible(_all_pairs(labelled.filter(f"n <= {BLOCK}")).union(_star_pairs(large)), prints, similarity)
+    large = labelled.filter(f"n > {PAIRED}")
+    pairs = possible(_small_pairs(labelled.filter(f"n <= {PAIRED}")).union(_star_pairs(large)), prints, similarity)
     edges = written(edges.union(verified(pairs, rows, words, similarity)), "near-edges")
     if not large.isEmpty():
-        rest = _all_pairs(_labelled(members.filter(f"n > {BLOCK}"), edges)).distinct().join(pairs, ["a", "b"], "left_anti")
-        rest = possible(rest, prints, similarity)
-        edges = edges.union(verified(rest, rows, words, similarity))
+        rest = written(_block_pairs(_labelled(members.filter(f"n > {PAIRED}"), edges), prints, similarity), "near-pairs")
+        rest = rest.join(pairs, ["a", "b"], "left_anti")
+        for _ in range(LIKELY):  # the likeliest pair of every two components
+            rest = _apart(rest, edges)
+            likely = written(rest.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("top", "a", "b")).alias("p")).select("p.a", "p.b"), "near-pairs")
+            edges = written(edges.union(verified(likely, rows, words, similarity)), "near-edges")
+            rest = rest.select("a", "b", "top").join(likely, ["a", "b"], "left_anti")
+        edges = edges.union(verified(_apart(rest, edges).select("a", "b"), rows, words, similarity))
     discard(members)
     return edges
 
@@ -269,10 +324,12 @@ def similar_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, simil
     # An id of several rows with different texts may be a copy in one and not in another: it stays a node.
     several = prints.groupBy("node").agg(F.count_distinct("h1", "h2").alias("n")).filter("n > 1").select("node")
     copies = equal.select(F.col("b").alias("node")).join(several, "node", "left_anti").distinct()
-    alone = prints.join(copies, "node", "left_anti")
+    alone = written(prints.join(copies, "node", "left_anti").drop("h1", "h2"), "near-alone")
+    nodes = written(prints.select("node"), "near-nodes")
+    discard(prints)
     joined = components(equal.union(edges_of(rows, alone, words, share)))
-    found = written(prints.select("node").join(joined, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id")), "near-groups")
-    discard(prints, equal)
+    found = written(nodes.join(joined, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id")), "near-groups")
+    discard(alone, equal, nodes)
     return found
 
 

@@ -65,10 +65,11 @@ def test_appended_and_block_edited_copies_are_found(docs_of):
     assert groups(docs_of, rows) == brute(rows) == {i: i % 1000 for i, _ in rows}
 
 
-@pytest.mark.parametrize("block", [64, 4])
-def test_large_keys_equal_brute_force(docs_of, monkeypatch, block):
-    monkeypatch.setattr(near_copies, "BLOCK", block)
-    rng = random.Random(block)
+@pytest.mark.parametrize("paired", [64, 4])
+def test_large_keys_equal_brute_force(docs_of, monkeypatch, paired):
+    monkeypatch.setattr(near_copies, "PAIRED", paired)
+    monkeypatch.setattr(near_copies, "BLOCK", paired)
+    rng = random.Random(paired)
     rows = [(900, ""), (901, None), (902, "one two"), (903, "ONE two"), (None, "one two")]
     passage = texts_around(rng, 60)
     for k in range(20):  # copies of copies around one passage, below and above the similarity
