@@ -1,4 +1,7 @@
-"""Command line: python -m missivelake sync|audit|merge|group|voice|sanitize …"""
+"""Command line: python -m missivelake sync|snapshot|growth|audit|merge|group|voice|sanitize …
+
+MISSIVELAKE_ROOT names the archive, MISSIVELAKE_WORK a folder that all executors share for intermediate tables.
+"""
 
 from __future__ import annotations
 
@@ -16,8 +19,17 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("store")
     s.add_argument("--root", default=root)
     s.add_argument("--since")
+    s.add_argument("--addressbook-dir")
     s.add_argument("--full", action="store_true")
     s.add_argument("--dry-run", action="store_true")
+    s = sub.add_parser("snapshot", help="copy a store, sync its attachments, audit the copy")
+    s.add_argument("store")
+    s.add_argument("--attachments")
+    s.add_argument("--stickers")
+    s.add_argument("--root", default=root)
+    s.add_argument("--dry-run", action="store_true")
+    s = sub.add_parser("growth", help="how the snapshots have grown")
+    s.add_argument("--root", default=root)
     s = sub.add_parser("audit", help="check every attachment reference")
     s.add_argument("store")
     s.add_argument("shared")
@@ -41,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--dry-run", action="store_true")
     s = sub.add_parser("sanitize", help="normalise attachment names and references")
     s.add_argument("root")
-    s.add_argument("--out", required=True)
+    s.add_argument("--out", help="write changed pages and files there; without, change the archive itself")
     s.add_argument("--html-dir", action="append")
     s.add_argument("--dry-run", action="store_true")
     return p
@@ -53,15 +65,22 @@ def main(arguments: list[str] | None = None, spark=None) -> dict | list:
 
     from missivelake.plans import workflows as w
 
-    spark = spark or SparkSession.builder.appName(f"missivelake-{a.job}").config("spark.sql.session.timeZone", os.environ.get("TZ", "UTC")).getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName(f"missivelake-{a.job}").config("spark.sql.session.timeZone", os.environ.get("TZ", "UTC"))
+        if "MISSIVELAKE_WORK" in os.environ:
+            builder = builder.config("spark.checkpoint.dir", os.environ["MISSIVELAKE_WORK"])
+        spark = builder.getOrCreate()
+    stamp = dt.datetime.now().strftime("%Y-%m-%d_%H%M%S")
     if a.job == "sync":
-        found = w.sync_store(spark, a.store, a.root, dt.datetime.now().strftime("%Y-%m-%d_%H%M%S"), a.full, a.since, a.dry_run)
+        found = w.sync_store(spark, a.store, a.root, stamp, a.full, a.since, a.dry_run, a.addressbook_dir)
+    elif a.job == "snapshot":
+        found = w.snapshot(spark, a.store, a.root, stamp, a.attachments, a.stickers, a.dry_run)
+    elif a.job == "growth":
+        found = [r.asDict() for r in w.growth(spark, a.root).collect()]  # one row a run
     elif a.job == "audit":
         found = w.audit_snapshot(spark, a.store, a.shared, a.out, exclude_from=a.exclude_from)
     elif a.job == "merge":
-        if not (a.inspect or a.output):
-            raise SystemExit("merge needs --output or --inspect")
-        found = w.merge_pages(spark, a.files, None if a.inspect else a.output)
+        found = w.merge_pages(spark, a.files, a.output) if a.output and not a.inspect else w.inspect_pages(spark, a.files)
     elif a.job == "group":
         found = w.group_by_contact(spark, a.files, a.addressbook, a.output, a.dry_run)
     elif a.job == "voice":

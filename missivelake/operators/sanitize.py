@@ -1,4 +1,4 @@
-"""Path normalisation with reference rewriting.  Nothing is renamed in place: plans and new texts come out."""
+"""Path normalisation with reference rewriting: plans and new texts; ``plans.workflows`` carries them out."""
 
 from __future__ import annotations
 
@@ -18,6 +18,12 @@ def attachment_roots(paths: DataFrame) -> DataFrame:
     return rows.filter(F.element_at("dir", -1).isin(*ROOT_NAMES)).select(F.array_join("dir", "/").alias("root")).distinct()
 
 
+def below_roots(paths: DataFrame) -> DataFrame:
+    """The (rel_path) of files in a folder of attachments at any depth."""
+    folders = F.slice(F.split("rel_path", "/"), F.lit(1), F.greatest(F.size(F.split("rel_path", "/")) - 1, F.lit(0)))
+    return paths.filter(F.exists(folders, lambda p: p.isin(*ROOT_NAMES)))
+
+
 def full_plan(paths: DataFrame) -> DataFrame:
     """(rel_dir, old_name, new_name, depth): every bad file or directory name below a root, deepest first.
 

@@ -90,6 +90,17 @@ def attachment_totals(messages: DataFrame, media: DataFrame) -> DataFrame:
     return refs.agg(F.count_distinct(F.when(F.col("there"), F.col("att"))).alias("resolved"), F.count_if(F.col("there").isNull()).alias("missing"))
 
 
+def unresolved(messages: DataFrame, media: DataFrame, most: int = 10) -> DataFrame:
+    """(att): the first distinct attachment names without a file, by name."""
+    files = media.select(T.stem(F.col("path")).alias("att")).distinct()
+    return messages.select(F.explode("m.attachments").alias("att")).distinct().join(files, "att", "left_anti").orderBy("att").limit(most)
+
+
+def own_number(chunks: DataFrame) -> DataFrame:
+    """(own_number): the owner's number as the last file that has one gives it."""
+    return chunks.agg(F.max_by("own_number", F.when(F.col("own_number").isNotNull(), F.col("file_ord"))).alias("own_number"))
+
+
 def render(messages: DataFrame, names: DataFrame) -> DataFrame:
     """(kind, thread_key, html): each thread's messages in time order."""
     joined = messages.join(names, ["kind", "thread_key"])

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
-from missivelake.operators import audit, contacts, dedup, participants, sanitize, threads
+from missivelake.operators import audit, contacts, dedup, export, participants, sanitize, threads
 from missivelake.sources import files, html_pages, sinks, sqlite_source
 from missivelake.streaming import incremental
 
 EXCLUDES = ".attachment-excludes"
+RENAMES = ".attachment-renames.json"
 
 
 def books(spark: SparkSession, paths: list[str]) -> list[dict[str, DataFrame]]:
@@ -69,36 +70,83 @@ def audit_snapshot(spark: SparkSession, store: str, shared: str, out: str, stick
     return values
 
 
+def snapshot(spark: SparkSession, store: str, root: str, stamp: str, attachments: str | None = None, stickers: str | None = None, dry_run: bool = False) -> dict:
+    """Copies a store, brings the attachment folders up to date and audits the copy: one folder a run below
+    ``root/snapshots``, attachments in ``root/Attachments`` and ``root/StickerCache``.
+
+    Names that a sanitising run has recorded as exclude patterns are not copied again.  Nothing is deleted.
+    """
+    patterns = files.read_patterns(spark, os.path.join(root, EXCLUDES))
+    plans = {
+        name: plan_sync(spark, source, os.path.join(root, name), patterns)
+        for name, source in (("Attachments", attachments), ("StickerCache", stickers))
+        if source and os.path.isdir(source)
+    }
+    if dry_run:
+        return {name: plan.count() for name, plan in plans.items()}
+    os.makedirs(os.path.join(root, "snapshots"), exist_ok=True)
+    folder = incremental.run_folder(os.path.join(root, "snapshots"), stamp)
+    copy = copy_store(store, folder)
+    copied = {name: sinks.copy_files(plan) for name, plan in plans.items()}
+    values = audit_snapshot(spark, copy, os.path.join(root, "Attachments"), folder, os.path.join(root, "StickerCache"), os.path.join(root, EXCLUDES))
+    return values | {"folder": folder, "copied": copied}
+
+
+def growth(spark: SparkSession, root: str) -> DataFrame:
+    """(stamp, messages, attachments, more_messages, more_attachments) of the snapshots below a root, from
+    their manifests; one row a run.  Counts that a manifest does not know are null."""
+    pages = spark.read.text(os.path.join(root, "snapshots"), wholetext=True, pathGlobFilter="manifest.txt", recursiveFileLookup=True)
+    number = lambda key: F.try_to_number(F.regexp_extract("value", rf"(?m)^{key}: (\d+)$", 1), F.lit("9999999999999999")).cast("long")
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/manifest.txt$", 1)
+    rows = pages.select(stamp.alias("stamp"), number("message_count").alias("messages"), number("attachment_rows").alias("attachments"))
+    return incremental.growth(rows, "stamp", ["messages", "attachments"])
+
+
+def named_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The pages of named files by whole path; every one has to exist."""
+    missing = [p for p in paths if not os.path.isfile(p)]
+    if missing or not paths:
+        raise ValueError(f"no such file: {missing}" if missing else "no input files")
+    return html_pages.in_order(spark, paths)
+
+
 def merge_pages(spark: SparkSession, paths: list[str], out: str | None) -> dict:
-    """One page of several: one copy of each id, the first by input order, in time order."""
-    order = spark.createDataFrame([(os.path.basename(p), i) for i, p in enumerate(paths)], "file string, file_ord int")
-    pages = html_pages.read_pages(spark, paths).join(F.broadcast(order), "file")  # one row a named input
+    """One page of several: one copy of each id, the first by input order, in time order, within the first page."""
+    pages = named_pages(spark, paths)
     rows = html_pages.parse_messages(pages).cache()
     merged = dedup.first_wins(rows, ["guid"], ["file_ord", "msg_ord"])
-    stats = {r["file"]: (r["n_in"], r["n_new"]) for r in dedup.contribution(rows, ["guid"], ["file_ord", "msg_ord"], "file").collect()}
+    told = {r["file"]: (r["n_in"], r["n_new"]) for r in dedup.contribution(rows, ["guid"], ["file_ord", "msg_ord"], "file").collect()}  # one row an input
+    stats = {p: told.get(os.path.abspath(p), (0, 0)) for p in paths}
     counts = merged.agg(F.count("*").alias("n"), F.count_if(F.col("ts_key") != "").alias("dated")).first()
     if out:
-        name = os.path.basename(out)
-        sinks.write_text_files(sinks.merged_pages(merged.withColumn("thread", F.lit(name)), "thread"), os.path.dirname(out) or ".", "thread", "html")
+        name = F.lit(os.path.basename(out))
+        shell = html_pages.shells(pages.filter("file_ord = 0")).select(name.alias("thread"), "before", "after")
+        sinks.write_text_files(sinks.merged_pages(merged.withColumn("thread", name), "thread", shells=shell), os.path.dirname(out) or ".", "thread", "html")
     rows.unpersist()
     return {"files": stats, "messages": counts["n"], "dated": counts["dated"], "duplicates": sum(a for a, _ in stats.values()) - counts["n"]}
 
 
+def inspect_pages(spark: SparkSession, paths: list[str]) -> list[dict]:
+    """What merging would find in each page; nothing is written."""
+    found = html_pages.inspect(html_pages.parse_messages(named_pages(spark, paths)))
+    return [r.asDict() for r in found.orderBy("file").collect()]  # one row an input
+
+
 def group_by_contact(spark: SparkSession, paths: list[str], book_paths: list[str], out: str, dry_run: bool = False) -> list[tuple]:
-    """Pages of one person merged into one; pages without a known contact stay as they are."""
-    paths = [p for p in paths if os.path.isfile(p)]
-    if not paths:
-        raise ValueError("no input files")
-    order = spark.createDataFrame([(os.path.basename(p), i) for i, p in enumerate(paths)], "file string, file_ord int")
-    pages = html_pages.read_pages(spark, paths).join(F.broadcast(order), "file")  # one row a named input
-    plan = contacts.plan_groups(pages, contacts.handle_map(books(spark, book_paths)))
-    rows = pages.select("file", "file_ord", "text")
-    of = plan.select(F.explode("files").alias("f"), "output_name").select(F.col("f.file").alias("file"), "output_name")
-    report = [(r["output_name"], r["display_name"], len(r["files"]), r["n_messages"]) for r in plan.orderBy("output_name").collect()]
+    """Pages of one person merged into one; pages without a known contact stay as they are.
+
+    Outputs are named after a group's first page; equal names of different groups are numbered.
+    """
+    pages = named_pages(spark, paths)
+    plan = contacts.plan_groups(pages, contacts.handle_map(books(spark, book_paths))).withColumn("__first", F.col("output_name"))
+    plan = dedup.numbered_names(plan.withColumn("output_name", T.basename(F.col("output_name"))), "output_name", ["__first"], "target")
+    of = plan.select(F.explode("files").alias("f"), "target", F.col("__first").alias("first")).select(F.col("f.file").alias("file"), "target", "first")
+    report = [(r["target"], r["display_name"], len(r["files"]), r["n_messages"]) for r in plan.orderBy("target").collect()]  # one row an output
     if not dry_run:
-        messages = html_pages.parse_messages(rows).join(of, "file")
-        merged = dedup.first_wins(messages, ["output_name", "guid"], ["file_ord", "msg_ord"])
-        sinks.write_text_files(sinks.merged_pages(merged, "output_name"), out, "output_name", "html")
+        messages = html_pages.parse_messages(pages).join(of.select("file", "target"), "file")
+        merged = dedup.first_wins(messages, ["target", "guid"], ["file_ord", "msg_ord"])
+        shell = html_pages.shells(pages).join(of.filter("file = first").select("file", "target"), "file")
+        sinks.write_text_files(sinks.merged_pages(merged, "target", shells=shell), out, "target", "html")
     return report
 
 
@@ -114,6 +162,8 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
     report = {"skipped": skipped, "threads": [tuple(r) for r in plan.collect()]}
     store = files.inventory(spark, media).select("path") if media and os.path.isdir(media) else spark.createDataFrame([], "path string")
     report["attachments"] = tuple(threads.attachment_totals(messages, store).first())
+    report["unresolved"] = [r["att"] for r in threads.unresolved(messages, store).collect()]  # at most ten
+    report["own_number"] = threads.own_number(chunks).first()["own_number"]
     if not dry_run:
         resolved = threads.resolve_attachments(messages, store)
         if attachments:
@@ -129,34 +179,82 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
     return report
 
 
-def sanitize_archive(spark: SparkSession, root: str, out: str, html_dirs: list[str] | None = None, dry_run: bool = False) -> dict:
+def sanitize_archive(spark: SparkSession, root: str, out: str | None = None, html_dirs: list[str] | None = None, dry_run: bool = False) -> dict:
     """Normalises attachment names and the references to them.
 
     Without ``html_dirs`` every bad name below an attachment root changes; with them, only names that pages in
-    these folders refer to.  New pages go to ``out``; renames are returned as a plan and recorded as exclude
-    patterns, so that a later sync does not bring the old names back.
+    these folders refer to.  With ``out`` the archive stays as it is, and changed pages and files are written there
+    under their relative paths; without, pages are replaced and files renamed in place.  Changed names are recorded
+    as exclude patterns, so that a later sync does not bring the old ones back, and in a log; files that came back under a
+    logged old name go.  What is gathered on the driver is one entry for each badly named file.
     """
-    pages = html_pages.read_pages(spark, html_dirs or root, recursive=True).select(F.col("path").alias("file"), F.col("text").alias("html"))
+    root = os.path.abspath(root)
+    read = html_pages.read_pages(spark, html_dirs or root, recursive=True)
+    pages = read.select(F.col("path").alias("file"), F.col("text").alias("html"))
     tree = files.inventory(spark, root).select("rel_path")
     if html_dirs:
         plan = sanitize.scoped_plan(pages, tree.select(F.col("rel_path").alias("path")))
         skipped = [r["old_path"] for r in plan.filter("skipped").orderBy("old_path").collect()]
         pairs = plan.filter("not skipped and old_path <> new_path").select("old_path", "new_path")
     else:
-        below = tree.filter(F.exists(F.split("rel_path", "/"), lambda p: p.isin(*sanitize.ROOT_NAMES)))
-        pairs, skipped = sanitize.renames(below.select(F.lit(root).alias("root"), "rel_path")).select("old_path", "new_path"), []
+        pairs, skipped = sanitize.renames(sanitize.below_roots(tree).select(F.lit(root).alias("root"), "rel_path")).select("old_path", "new_path"), []
+    renames = [tuple(r) for r in pairs.orderBy("old_path").collect()]
+    pairs = spark.createDataFrame(renames, "old_path string, new_path string")  # files change below
     rewritten = sanitize.rewrite(pages, pairs)
     totals = rewritten.agg(F.coalesce(F.sum("n_updated"), F.lit(0)).alias("refs"), F.count_if(F.col("n_updated") > 0).alias("pages")).first()
     excludes = files.read_patterns(spark, os.path.join(root, EXCLUDES))
     patterns = sanitize.new_excludes(pairs.select(F.lit("").alias("rel_dir"), F.col("old_path").alias("old_name")), excludes)
-    report = {"renames": [tuple(r) for r in pairs.orderBy("old_path").collect()], "skipped": skipped, "references": totals["refs"], "pages": totals["pages"], "excludes": files.write_patterns(patterns, os.path.join(root, EXCLUDES), dry_run)}
-    if not dry_run:
-        changed = rewritten.filter("n_updated > 0").select(T.basename(F.col("file")).alias("name"), "html")
-        sinks.write_text_files(changed, out, "name", "html")
+    report = {
+        "roots": [r["root"] for r in sanitize.attachment_roots(tree).orderBy("root").collect()], "renames": renames, "skipped": skipped,
+        "references": totals["refs"], "pages": totals["pages"], "excludes": files.write_patterns(patterns, os.path.join(root, EXCLUDES), dry_run),
+    }
+    if dry_run:
+        return report
+    base = F.lit(root + "/")
+    relative = F.when(F.startswith(F.col("file"), base), F.substring("file", len(root) + 2, 1 << 20)).otherwise(T.basename(F.col("file")))
+    changed = rewritten.filter("n_updated > 0")
+    there = pairs.join(tree.select(F.col("rel_path").alias("old_path")), "old_path", "left_semi")
+    if out:
+        sinks.write_text_files(changed.select(relative.alias("name"), "html"), out, "name", "html")
+        report["files"] = sinks.copy_files(there.select(F.concat(base, "old_path").alias("source"), F.concat(F.lit(out.rstrip("/") + "/"), "new_path").alias("target")))
+    else:
+        # A repeated task finds no old reference in a page that was replaced already, and leaves it.
+        sinks.write_text_files(changed.select(F.col("file").alias("name"), "html"), "/", "name", "html")
+        log = files.read_log(spark, os.path.join(root, RENAMES))
+        back = sanitize.heal_candidates(log, tree.select(F.col("rel_path").alias("path"))).select(F.col("old").alias("old_path"), F.col("new").alias("new_path"))
+        moves = there.union(back).distinct()
+        report["files"] = sinks.move_files(moves.select(F.concat(base, "old_path").alias("source"), F.concat(base, "new_path").alias("target")))
+        files.write_log(log.union(pairs.select("old_path", "new_path")), os.path.join(root, RENAMES))
     return report
 
 
-def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: bool = False, since: str | None = None, dry_run: bool = False) -> dict:
-    """One incremental run over a message store: its messages from the window on, written and committed."""
-    messages = sqlite_source.read_table(spark, store, "message").select("guid", T.apple_time(F.col("date")).alias("ts"))
-    return incremental.sync(messages, root, stamp, "ts", full, since, dry_run)
+def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: bool = False, since: str | None = None, dry_run: bool = False, book_folder: str | None = None) -> dict:
+    """One incremental run over a message store.
+
+    Messages from the window on are written as a table and as pages, one for each chat, below a new run folder; references
+    lose the archive's own path; the members of group pages go into a file beside them, and the books, united, into tables.
+    The commit mark comes last.
+    """
+    tables = sqlite_source.read_messages(spark, store)
+    handles, united = None, {}
+    if book_folder:
+        found = books(spark, sqlite_source.book_paths(book_folder))
+        united = contacts.union_books(found)
+        handles = contacts.handle_map(found) if found else None
+    root = os.path.abspath(root)
+    messages = export.thread_messages(tables, handles, os.path.join(root, "Attachments"), os.path.join(root, "StickerCache"))
+
+    def pages(folder: str) -> dict:
+        """The rest of the run, from the messages just written."""
+        rows = export.rendered(spark.read.parquet(os.path.join(folder, "messages")))
+        html = sinks.merged_pages(dedup.first_wins(rows, ["file", "guid"], ["ts_key"]), "file", F.regexp_replace("file", r"\.html$", ""))
+        html = html.withColumn("html", T.strip_prefix(F.col("html"), F.lit(root + "/")))
+        sinks.write_text_files(html, os.path.join(folder, "html"), "file", "html")
+        written = html_pages.read_pages(spark, os.path.join(folder, "html")) if os.path.isdir(os.path.join(folder, "html")) else None
+        n = 0 if written is None else written.count()
+        members = n > 0 and sinks.write_document(participants.sidecar(participants.participants(written, tables)), "participants", os.path.join(folder, "group_participants.json"))
+        for name, table in united.items():
+            sinks.write_version(table, os.path.join(folder, "book", name))
+        return {"pages": n, "participants": bool(members), "books": sorted(united)}
+
+    return incremental.sync(messages, root, stamp, "ts", full, since, dry_run, pages)

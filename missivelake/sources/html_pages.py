@@ -5,6 +5,7 @@ Parsing goes file by file in Arrow batches with the standard parser; everything
 
 from __future__ import annotations
 
+import os
 import re
 from html.parser import HTMLParser
 
@@ -15,9 +16,9 @@ from missivelake.functions import text as T
 
 GUID = re.compile(T.GUID)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-MESSAGE_SCHEMA = "file string, file_ord int, msg_ord int, guid string, ts_text string, html string"
+MESSAGE_SCHEMA = "file string, file_ord long, msg_ord int, guid string, ts_text string, html string"
 CHUNK_SCHEMA = (
-    "file string, file_ord int, label string, participants array<string>, own_number string, "
+    "file string, file_ord long, label string, participants array<string>, own_number string, "
     "messages array<struct<ts_iso:string,sender_tel:string,sender_text:string,is_me:boolean,display_name:string,text_html:string,attachments:array<string>>>"
 )
 
@@ -26,15 +27,23 @@ def read_pages(spark: SparkSession, paths: str | list[str], recursive: bool = Fa
     """(file, path, text): whole files; names are decoded, bad bytes become replacement characters."""
     decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
     pages = spark.read.text(paths, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=recursive)
-    return pages.select(decode(F.col("_metadata.file_name")).alias("file"), decode(F.col("_metadata.file_path")).alias("path"), F.make_valid_utf8("value").alias("text"))
+    path = F.regexp_replace(decode(F.col("_metadata.file_path")), "^file:/+", "/")
+    return pages.select(decode(F.col("_metadata.file_name")).alias("file"), path.alias("path"), F.make_valid_utf8("value").alias("text"))
 
 
 def with_order(pages: DataFrame) -> DataFrame:
-    """Adds file_ord: the place of a page's file name among all.  One row a file, names only, are numbered."""
-    from pyspark.sql import Window
+    """Adds file_ord, which rises with the file name and, for equal names, the path.  Numbers have gaps."""
+    keys = [c for c in ("file", "path") if c in pages.columns]
+    names = pages.select(*keys).distinct().orderBy(*keys).withColumn("file_ord", F.monotonically_increasing_id())
+    return pages.join(names, keys)
 
-    names = pages.select("file").distinct().withColumn("file_ord", (F.row_number().over(Window.orderBy("file")) - 1).cast("int"))
-    return pages.join(names, "file")
+
+def in_order(spark: SparkSession, paths: list[str], recursive: bool = False) -> DataFrame:
+    """(file, file_ord, text) of named pages: file is the whole path, since pages of several runs share their
+    base names; file_ord is the place among the inputs."""
+    order = spark.createDataFrame([(os.path.abspath(p), i) for i, p in enumerate(dict.fromkeys(paths))], "file string, file_ord long")
+    pages = read_pages(spark, [os.path.abspath(p) for p in dict.fromkeys(paths)], recursive).select(F.col("path").alias("file"), "text")
+    return pages.join(F.broadcast(order), "file")  # one row a named input
 
 
 class Node:
@@ -152,7 +161,7 @@ def containers(tree: Tree) -> list[tuple[Node, str]]:
 
     out, seen = [], set()
     for n, guid in found:
-        while n.parent is not None and n.parent is not tree.root and only(n.parent, guid):
+        while n.parent is not None and n.parent is not tree.root and n.parent.tag not in ("body", "html") and only(n.parent, guid):
             n = n.parent
         if id(n) not in seen:
             seen.add(id(n))
@@ -199,13 +208,38 @@ def parse_messages(pages: DataFrame, mode: str = "shape") -> DataFrame:
                 for k, (n, guid) in enumerate(containers(tree) if mode == "shape" else message_divs(tree)):
                     rows.append((file, order, k, guid.upper(), shown_time(n), tree.source[n.start : n.end]))
             columns = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "msg_ord", "guid", "ts_text", "html"])
 
-    rows = pages.select("file", F.col("file_ord").cast("int"), "text").mapInArrow(parse, MESSAGE_SCHEMA)
+    rows = pages.select("file", F.col("file_ord").cast("long"), "text").mapInArrow(parse, MESSAGE_SCHEMA)
     return rows.withColumn("ts_key", T.time_key(F.col("ts_text")))
 
 
+def shells(pages: DataFrame) -> DataFrame:
+    """(file, before, after): what stands around the messages of each page (file, text), with the place for messages
+    at the end of its body."""
+
+    def cut(text: str) -> tuple[str, str]:
+        tree = Tree(text)
+        kept, at = [], 0
+        for start, end in sorted((n.start, n.end) for n, _ in containers(tree)):
+            if start >= at:
+                kept.append(text[at:start])
+                at = end
+        rest = "".join([*kept, text[at:]])
+        place = rest.lower().rfind("</body")
+        return (rest, "") if place < 0 else (rest[:place], rest[place:])
+
+    def parse(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            parts = [cut(t or "") for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b for b, _ in parts], pa.string()), pa.array([a for _, a in parts], pa.string())], names=["file", "before", "after"])
+
+    return pages.select("file", "text").mapInArrow(parse, "file string, before string, after string")
+
+
 def _tel(node: Node) -> str | None:
     for n in node.find(lambda n: n.tag == "a" and n.has_class("tel")):
         href = n.attrs.get("href") or ""
@@ -242,7 +276,7 @@ def parse_chunk(text: str) -> tuple[str, list[str], str | None, list[dict]]:
         body = tree.source[quote.start : quote.end] if quote else ""
         body = re.sub(r"^<[^>]*>|</q\s*>$", "", body)
         images = [n.attrs["src"] for n in node.find(lambda n: n.tag == "img" and n.attrs.get("src"))]
-        messages.append({"ts_iso": iso, "sender_tel": tel, "sender_text": name, "is_me": is_me, "display_name": name or tel or "Unknown", "text_html": body, "attachments": images})
+        messages.append({"ts_iso": iso, "sender_tel": tel, "sender_text": name, "is_me": is_me, "display_name": None, "text_html": body, "attachments": images})
     return title, people, own, messages
 
 
@@ -253,14 +287,15 @@ def parse_chunks(pages: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         message = pa.struct([("ts_iso", pa.string()), ("sender_tel", pa.string()), ("sender_text", pa.string()), ("is_me", pa.bool_()), ("display_name", pa.string()), ("text_html", pa.string()), ("attachments", pa.list_(pa.string()))])
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.string(), pa.list_(message)]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.string(), pa.list_(message)]
         for batch in batches:
             rows = [(f, o, *parse_chunk(t or "")) for f, o, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             columns = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "label", "participants", "own_number", "messages"])
 
-    rows = pages.select("file", F.col("file_ord").cast("int"), "text").mapInArrow(parse, CHUNK_SCHEMA)
-    return rows.withColumn("label", T.title_label(F.col("label")))
+    rows = pages.select("file", F.col("file_ord").cast("long"), "text").mapInArrow(parse, CHUNK_SCHEMA)
+    named = F.transform("messages", lambda m: m.withField("display_name", T.sender_display(m["sender_text"], m["sender_tel"])))
+    return rows.withColumn("label", T.title_label(F.col("label"))).withColumn("messages", named)
 
 
 def inspect(messages: DataFrame) -> DataFrame:

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from missivelake.functions import text as T
 from missivelake.sources.files import replace_text
 
 
-def merged_pages(messages: DataFrame, group: str, title: Column | None = None) -> DataFrame:
-    """(<group>, n_messages, html): the messages of each group in time order, undated ones last."""
+def merged_pages(messages: DataFrame, group: str, title: Column | None = None, shells: DataFrame | None = None) -> DataFrame:
+    """(<group>, n_messages, html): the messages of each group in time order, undated ones last.
+
+    shells (<group>, before, after) gives what stands around them, else a bare page does.  A page is one file, so a
+    thread is gathered in one row.
+    """
     order = F.struct((F.col("ts_key") == "").alias("undated"), "ts_key", "file_ord", "msg_ord", "html")
     rows = messages.groupBy(group).agg(F.array_sort(F.collect_list(order)).alias("r"))
-    head = F.coalesce(title, F.col(group)) if title is not None else F.col(group)
-    page = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), head, F.lit("</title></head><body>\n"), F.array_join(F.transform("r", lambda x: x["html"]), "\n"), F.lit("\n</body></html>"))
+    head = T.html_escape(F.coalesce(title, F.col(group)) if title is not None else F.col(group))
+    before, after = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), head, F.lit("</title></head><body>\n")), F.lit("\n</body></html>")
+    if shells is not None:
+        rows = rows.join(shells.select(group, "before", "after"), group, "left")
+        before, after = F.coalesce("before", before), F.coalesce("after", after)
+    page = F.concat(before, F.array_join(F.transform("r", lambda x: x["html"]), "\n"), after)
     return rows.select(group, F.size("r").alias("n_messages"), page.alias("html"))
 
 
@@ -26,7 +36,9 @@ def write_text_files(rows: DataFrame, folder: str, name: str, text: str) -> None
     def write(part):
         os.makedirs(folder, exist_ok=True)
         for r in part:
-            replace_text(os.path.join(folder, r[name]), r[text])
+            path = os.path.join(folder, r[name])
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            replace_text(path, r[text])
 
     rows.select(name, text).foreachPartition(write)
 
@@ -49,6 +61,30 @@ def copy_files(plan: DataFrame, dry_run: bool = False) -> int:
     return n
 
 
+def move_files(plan: DataFrame) -> int:
+    """Renames (source, target) pairs on the executors; returns how many there are.
+
+    Where the target exists the source is the same attachment under its old name, and goes.  A repeated task
+    finds its sources gone, which is not an error.  Folders that are empty afterwards go too.
+    """
+    n = plan.count()
+
+    def move(part):
+        for r in part:
+            if not os.path.exists(r["source"]):
+                continue
+            if os.path.exists(r["target"]):
+                os.remove(r["source"])
+            else:
+                os.makedirs(os.path.dirname(r["target"]), exist_ok=True)
+                os.replace(r["source"], r["target"])
+            with contextlib.suppress(OSError):
+                os.removedirs(os.path.dirname(r["source"]))
+
+    plan.select("source", "target").foreachPartition(move)
+    return n
+
+
 def write_document(document: DataFrame, column: str, path: str, indent: int = 2) -> bool:
     """Writes the one JSON document of a frame; nothing for an empty frame."""
     row = document.first()

@@ -30,6 +30,8 @@ SCHEMAS = {
     "ZABCDPHONENUMBER": "ROWID bigint, ZOWNER bigint, ZFULLNUMBER string",
     "ZABCDEMAILADDRESS": "ROWID bigint, ZOWNER bigint, ZADDRESS string",
 }
+#: Columns of known tables that are read where a store has them.
+OPTIONAL = {"message": {"text": "string", "is_from_me": "bigint", "handle_id": "bigint"}}
 ROWS_EACH = 200_000
 OPERATORS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
@@ -114,10 +116,11 @@ class SqliteSource(DataSource):
 
     def schema(self) -> str:
         table = self.options["dbtable"]
-        if table in SCHEMAS:
-            return SCHEMAS[table]
         with connect(self.options["path"]) as db:
             columns = db.execute(f"PRAGMA table_info({quoted(table)})").fetchall()
+        if table in SCHEMAS:
+            there = {c[1] for c in columns}
+            return ", ".join([SCHEMAS[table], *[f"{c} {kind}" for c, kind in OPTIONAL.get(table, {}).items() if c in there]])
         if not columns:
             raise ValueError(f"no table {table}")
         kind = lambda t: "bigint" if "INT" in t.upper() else "double" if any(x in t.upper() for x in ("REAL", "FLOA", "DOUB")) else "binary" if "BLOB" in t.upper() else "string"

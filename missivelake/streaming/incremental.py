@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import os
 import re
+from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from missivelake.operators.dedup import first_wins
@@ -73,8 +74,11 @@ def commit(folder: str, start: str | None, now: dt.datetime | None = None) -> No
     replace_text(os.path.join(folder, ".complete"), f"start={start or 'full'}\ncompleted_at={at}\n")
 
 
-def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False) -> dict:
-    """One incremental run of a message table: returns its plan, and unless dry_run writes and commits it."""
+def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False, more: Callable[[str], dict] | None = None) -> dict:
+    """One incremental run of a message table: returns its plan, and unless dry_run writes and commits it.
+
+    ``more`` does the rest of a run in its folder before the commit.
+    """
     start = start_day(snapshots(root), full, since)
     plan = {"start": start, "root": root, "stamp": stamp}
     if dry_run:
@@ -83,8 +87,9 @@ def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = Fa
     with lock(os.path.join(root, ".lock")):
         folder = run_folder(root, stamp)
         window(rows, ts, start).write.parquet(os.path.join(folder, "messages"))
+        told = more(folder) if more else {}
         commit(folder, start)
-    return plan | {"folder": folder}
+    return plan | {"folder": folder} | told
 
 
 def archive(spark, root: str, key: str, order: list[str]) -> DataFrame:
@@ -93,6 +98,12 @@ def archive(spark, root: str, key: str, order: list[str]) -> DataFrame:
     return merge_overlap(parts, key, order)
 
 
+def growth(runs: DataFrame, stamp: str, counts: list[str]) -> DataFrame:
+    """Adds more_<count>: how much each count has grown since the run before; null for the first.  One row a run."""
+    before = Window.orderBy(stamp)
+    return runs.select("*", *[(F.col(c) - F.lag(c).over(before)).alias(f"more_{c}") for c in counts])
+
+
 def stream_dedup(rows: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
     """The streaming analogue: one row a key within the watermark; later copies of old rows are dropped as late."""
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
