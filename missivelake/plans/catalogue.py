@@ -69,16 +69,6 @@ def watermark_window(t):
     return incremental.window(rows, "ts", incremental.start_day([(newest, True)] if newest else []))
 
 
-@query("""WITH j AS (SELECT n.n_name, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
-SELECT n_name, count(*) AS n_refs, min(o_orderdate) AS oldest FROM j GROUP BY n_name""")
-def audit_join(t):
-    """Four inner joins with their fan-out, counted per chat with the oldest."""
-    j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    j = j.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return j.groupBy("n_name").agg(F.count("*").alias("n_refs"), F.min("o_orderdate").alias("oldest"))
-
-
 def _classified(t):
     joined = t("documents").join(t("labels").select(F.col("doc_id").alias("__id"), F.col("quality").cast("long").alias("length")), F.col("doc_id") == F.col("__id"), "left")
     return joined.select("source", "doc_id", audit.status_of(F.col("length"), F.lit(False)).alias("status"))
@@ -159,12 +149,12 @@ def sanitize_names(t):
     return t("pages").select("page_id", T.sanitize_component(F.col("url")).alias("clean"), T.is_bad_component(F.col("url")).alias("is_bad"))
 
 
-@query("""WITH p AS (SELECT DISTINCT translate(url, ':|\\<>?*[]', '?????????') AS pattern FROM pages WHERE page_id % 10 = 0)
+@query("""WITH p AS (SELECT DISTINCT translate(url, ':|\\<>?*[]', '?????????') AS pattern FROM pages)
 SELECT DISTINCT g.page_id, g.url FROM pages g, p WHERE length(g.url) = length(p.pattern)
 AND len(list_filter(range(1, length(g.url) + 1), lambda i: substr(p.pattern, i, 1) <> '?' AND substr(p.pattern, i, 1) <> substr(g.url, i, 1))) = 0""")
 def exclude_pattern(t):
     """Names that a wildcard pattern excludes."""
-    patterns = t("pages").filter("page_id % 10 = 0").select(T.exclude_pattern(F.col("url")).alias("pattern"))
+    patterns = t("pages").select(T.exclude_pattern(F.col("url")).alias("pattern"))
     return audit.excluded(t("pages").select("page_id", "url"), patterns, "url")
 
 
@@ -255,16 +245,6 @@ def standalone(t):
     return contacts.standalone(files, handles).select("doc_id", "source")
 
 
-@query("""WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS path FROM pages),
-s AS (SELECT DISTINCT path FROM h WHERE page_id % 50 = 0 AND regexp_matches(path, '[:|<>?*]'))
-SELECT page_id, count(*) AS n FROM h SEMI JOIN s ON h.path = s.path GROUP BY page_id""")
-def scoped_refs(t):
-    """Pages that refer to badly named files which a few pages in scope refer to."""
-    h = t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("path"))
-    scope = h.filter("page_id % 50 = 0").filter(F.col("path").rlike("[:|<>?*]")).select("path").distinct()
-    return h.join(scope, "path", "left_semi").groupBy("page_id").agg(F.count("*").alias("n"))
-
-
 @query("""WITH p AS (SELECT page_id, 'Attachments/' || split_part(url, '/', 3) || '/' || CASE WHEN page_id % 2 = 0 THEN 'a:b' ELSE 'ab' END || '.jpg' AS path FROM pages),
 q AS (SELECT page_id, path, replace(path, ':', '-') AS new FROM p)
 SELECT page_id, '<img src="' || new || '"> text ' || path AS html, CAST(CASE WHEN new <> path THEN 1 ELSE 0 END AS BIGINT) AS n_updated FROM q""")
