@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,17 @@ def discard(*frames: DataFrame | None) -> None:
             folder.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def rows_without(docs: DataFrame, keys: DataFrame, *own: Column) -> DataFrame:
+    """The rows of ``docs`` whose expressions ``own`` are in no row of ``keys``, column by column; null equals null.
+
+    The keys get names of their own, so that any column name may stand in ``docs``.
+    """
+    tag = uuid.uuid4().hex
+    named = keys.select(*[F.col(c).alias(f"{c}-{tag}") for c in keys.columns])
+    same = [o.eqNullSafe(F.col(f"`{c}`")) for o, c in zip(own, named.columns, strict=True)]
+    return docs.join(named, reduce(Column.__and__, same), "left_anti")
+
+
 @contextlib.contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for one job, put back afterwards."""

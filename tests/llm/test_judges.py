@@ -323,7 +323,7 @@ def test_alignment_equals_brute_force(item, region):
         assert brute_align(item, region[s:e]) == score
 
 
-def test_leaks_and_edited_leaks(spark, docs_of):
+def test_leaks_and_edited_leaks(spark, docs_of, monkeypatch):
     rng = random.Random(8)
     word = lambda: "w%d" % rng.randrange(4000)
     items = [(k, " ".join(word() for _ in range(40))) for k in range(20)] + [(50, None), (51, "a b"), (52, "three small words")]
@@ -345,11 +345,39 @@ def test_leaks_and_edited_leaks(spark, docs_of):
     rows += [(100, None), (101, ""), (102, "said THREE small, words here"), (None, items[0][1]), (0, rows[0][1])]
     wanted |= {(102, 52), (None, 0)}
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    for block in (decontaminate.BLOCK_CHARS, 500):
-        got = decontaminate.contaminated(docs_of(rows), benchmark, block_chars=block).collect()
+    for bits in (decontaminate.MOST_BITS, 64):  # a full bit set lets everything through, which the join takes back
+        monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
+        got = decontaminate.contaminated(docs_of(rows), benchmark).collect()
         assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == sorted(wanted, key=str)
     kept = decontaminate.drop_contaminated(docs_of(rows), benchmark)
     assert kept.columns == docs_of([]).columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([k for k in range(60) if k % 3 == 2] + [100, 101, None], key=str)
     assert decontaminate.contaminated(docs_of(rows), benchmark.limit(0)).count() == 0
     assert decontaminate.contaminated(docs_of([]), benchmark).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.5, 0.3])
+def test_leaks_equal_alignment_of_all_pairs(spark, docs_of, share):
+    rng = random.Random(12)
+    words = lambda n: ["w%d" % rng.randrange(3000) for _ in range(n)]
+    items = [(k, words(rng.choice([10, 36, 80]))) for k in range(12)]
+    rows = [(900, words(300))]
+    for k in range(60):  # copies of any part of an item, more or less edited
+        own = list(items[k % 12][1])
+        part = own[: rng.randint(3, len(own))]
+        for _ in range(rng.choice([0, 2, 8])):
+            part[rng.randrange(len(part))] = "edited%d" % rng.randrange(99)
+        rows.append((k, words(20) + part + words(20)))
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs_of([(k, " ".join(w)) for k, w in rows]), table, share=share).collect()}
+    wanted = {}
+    for i, doc in rows:
+        for j, own in items:
+            number = {w: k for k, w in enumerate(dict.fromkeys(own + doc))}
+            s, x, y = decontaminate.align(np.array([number[w] for w in own]), np.array([number[w] for w in doc]))
+            if s >= share * 2 * len(own) and sum(w in doc[x:y] for w in own) >= 8:
+                wanted[i, j] = s / (2 * len(own))
+    assert set(got) <= set(wanted) and all(got[p] == pytest.approx(wanted[p]) for p in got)
+    # A leak without any three equal words in a row has no seed.
+    missed = [p for p in wanted if p not in got]
+    assert len(missed) <= 0.05 * len(wanted) and len(wanted) > 10
