@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import rows_without, whole_text, written
 
 MIN_CHARS, MAX_CHARS = 512, 8192
 #: Hash values shared by different chunks that are listed in the plan; beyond, every chunk is compared as text.
@@ -76,7 +76,19 @@ def exact_dedup(docs: DataFrame, text: str = "text", hashed=chunk_hash, min_char
 
 
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
-    dropped = exact_dedup(docs, text).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    sha = F.sha2(whole_text(text).cast("binary"), 256)
-    return docs.join(dropped, F.col("__id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("__sha") == sha), "left_anti")
+    """One row of each set of equal texts, with all its columns: a row that ``exact_dedup`` keeps.
+
+    Where it keeps several, rows of one doc_id or all without one, any one of them stays.
+    """
+    own = F.col("doc_id").cast("long"), F.sha2(whole_text(text).cast("binary"), 256)
+    verdicts = exact_dedup(docs, text).groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    verdicts = written(verdicts.filter("not kept or n > 1"), "copies")
+    kept = rows_without(docs, verdicts.select("doc_id", "text_sha256"), *own)
+    several = verdicts.filter("kept").select("doc_id", "text_sha256")
+    if several.isEmpty():
+        return kept
+    # Few rows: those that stand in the table more than once as they are.
+    some = rows_without(docs, verdicts.filter("not kept").select("doc_id", "text_sha256"), *own)
+    rest = rows_without(some, kept.select(own[0].alias("doc_id"), own[1].alias("text_sha256")).distinct(), *own)
+    one = rest.groupBy(*[x.alias(f"key{k}") for k, x in enumerate(own)]).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return kept.unionByName(one.select("row.*"))

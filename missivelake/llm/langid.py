@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole_text, written
+from .common import rows_without, small_batches, whole_text, written
 
 BUCKETS = 1 << 14
 TRAIN_ROWS = 1000
@@ -202,8 +202,8 @@ def identify(
 
 def keep_identified(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose language is identified, with all their columns."""
-    rejected = identify(docs, text, **options).filter("not kept").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
-    return docs.join(rejected, F.col("__id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("__th") == F.xxhash64(whole_text(text))), "left_anti")
+    rejected = identify(docs, text, **options).filter("not kept").select("doc_id", "th").distinct()
+    return rows_without(docs, rejected, F.col("doc_id").cast("long"), F.xxhash64(whole_text(text)))
 
 
 def identify_pages(pages: DataFrame, **options) -> DataFrame:

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, small_batches, whole_text, written
+from .common import LOWER, UPPER, discard, rows_without, small_batches, whole_text, written
 from .components import components
 from .simhash import fingerprint_of, links
 from .substring_dedup import MIX1, WordHashes, rolled, words_of
@@ -335,5 +335,5 @@ def similar_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, simil
 
 def keep_one(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, with all their columns."""
-    dropped = similar_dedup(docs, text, words, similarity).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, F.col("__id") == docs["doc_id"].cast("long"), "left_anti")
+    dropped = similar_dedup(docs, text, words, similarity).filter("doc_id <> component_id").select("doc_id").distinct()
+    return rows_without(docs, dropped, F.col("doc_id").cast("long"))

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, small_batches, spread, whole_text, written
+from .common import LOWER, UPPER, discard, rows_without, small_batches, spread, whole_text, written
 from .components import components
 
 WORDS, SEED, DISTANCE = 3, 42, 2
@@ -149,7 +149,8 @@ def near_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, distance
     # A class without links is its own component.
     of = classes.join(joined, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = of.join(smallest, "component").select("fp", "component_id")
+    by_print = written(of.join(smallest, "component").select("fp", "component_id"), "components")
+    discard(classes)
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -158,5 +159,5 @@ def keep_one(docs: DataFrame, text: str = "text", words: int = WORDS, distance:
 
     Rows with a null doc_id stay: nothing names them.
     """
-    dropped = near_dedup(docs, text, words, distance).filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, F.col("__id") == docs["doc_id"].cast("long"), "left_anti")
+    dropped = near_dedup(docs, text, words, distance).filter("doc_id <> component_id").select("doc_id").distinct()
+    return rows_without(docs, dropped, F.col("doc_id").cast("long"))

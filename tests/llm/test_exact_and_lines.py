@@ -53,6 +53,10 @@ def test_drop_copies_keeps_columns_and_ids(docs_of):
     kept = exact_dedup.drop_copies(docs_of(ROWS))
     assert kept.columns == docs_of(ROWS).columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5, 7, 8, 10]
+    repeated = [(1, "a"), (1, "a"), (0, "a"), (None, "b"), (None, "b"), (2, "c"), (2, None), (2, "c"), (3, "")]
+    kept = exact_dedup.drop_copies(docs_of(repeated))
+    assert kept.columns == docs_of([]).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, "a"), (None, "b"), (2, "c"), (3, "")], key=str)
 
 
 def test_empty_and_repeated(docs_of):
