@@ -28,18 +28,40 @@ def attachment_references(tables: dict[str, DataFrame]) -> DataFrame:
     return a.join(tables["message_attachment_join"], "attachment_id").join(m, "message_id").join(tables["chat_message_join"], "message_id").join(named, "chat_id").select("chat_name", "transfer_name", "stored_path", "msg_date")
 
 
+def _by_shape(rows: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
+    """The distinct values of ``column`` that a pattern matches.
+
+    patterns: (n, at, size, piece, regex): a literal piece of ``size`` characters from ``at`` on, in values of
+    length ``n`` or, if null, of any length.  Each value meets the few shapes of its length, and by equality the patterns
+    with its own piece there; only those are matched as expressions.
+    """
+    values = rows.select(F.col(column).alias("value")).distinct()
+
+    def met(own: DataFrame, length: Column) -> DataFrame:
+        shapes = own.select("n", "at", "size").distinct()  # few: lengths and places, not patterns
+        pieces = values.withColumn("n", length).join(shapes, "n").withColumn("piece", F.expr("substring(value, at, size)"))
+        return pieces.join(own, ["n", "at", "size", "piece"]).filter("value rlike regex").select("value")
+
+    any_length = F.lit(-1)
+    return met(patterns.filter("n is not null"), F.length("value")).union(met(patterns.filter("n is null").withColumn("n", any_length), any_length)).distinct()
+
+
 def excluded(refs: DataFrame, patterns: DataFrame, column: str = "tail") -> DataFrame:
-    """Rows whose value an exclude pattern matches.  Patterns without a wildcard meet by equality; the few
-    with one are matched as expressions."""
-    literal = patterns.filter(~F.col("pattern").rlike(r"[?*]")).select(F.col("pattern").alias("__p")).distinct()
-    wild = patterns.filter(F.col("pattern").rlike(r"[?*]")).select(T.pattern_regex(F.col("pattern")).alias("__r"), F.length("pattern").alias("__n"), F.col("pattern").contains("*").alias("__star"), F.substring_index(F.substring_index("pattern", "?", 1), "*", 1).alias("__head")).distinct()
-    exact = refs.join(literal, F.col(column) == F.col("__p"), "left_semi")
-    rest = refs.join(literal, F.col(column) == F.col("__p"), "left_anti")
-    # Equal lengths make an equi-join of all patterns whose wildcards are single characters.
-    fixed, open_ = wild.filter("not __star"), wild.filter("__star")
-    single = rest.join(fixed, (F.length(column) == F.col("__n")) & F.expr(f"{column} rlike __r"), "left_semi")
-    star = rest.join(fixed, (F.length(column) == F.col("__n")) & F.expr(f"{column} rlike __r"), "left_anti").join(open_, F.expr(f"startswith({column}, __head) and {column} rlike __r"), "left_semi")
-    return exact.union(single).union(star)
+    """Rows whose value an exclude pattern matches.
+
+    Patterns without a wildcard meet by equality.  Those whose wildcards are single characters meet by length and by
+    their longest literal piece, others by what stands before the first wildcard; a pattern that begins with a star meets
+    every value.
+    """
+    literal = patterns.filter(~F.col("pattern").rlike(r"[?*]")).select(F.col("pattern").alias("value")).distinct()
+    wild = patterns.filter(F.col("pattern").rlike(r"[?*]")).select("pattern", T.pattern_regex(F.col("pattern")).alias("regex")).distinct()
+    parts = F.split("pattern", "[?]")
+    piece = F.array_max(F.transform(parts, lambda p, i: F.struct(F.length(p).alias("size"), (F.aggregate(F.slice(parts, F.lit(1), i), F.lit(1), lambda a, x: a + F.length(x) + 1)).alias("at"), p.alias("piece"))))
+    single = wild.filter("not contains(pattern, '*')").withColumn("p", piece).select(F.length("pattern").alias("n"), "p.at", "p.size", "p.piece", "regex")
+    head = F.regexp_extract("pattern", "^[^?*]*", 0)
+    star = wild.filter("contains(pattern, '*')").select(F.lit(None).cast("int").alias("n"), F.lit(1).alias("at"), F.length(head).alias("size"), head.alias("piece"), "regex")
+    known = literal.union(_by_shape(refs, single.union(star), column)).distinct()
+    return refs.join(known, F.col(column) == F.col("value"), "left_semi")
 
 
 def classify(refs: DataFrame, inventory: DataFrame, patterns: DataFrame | None = None, attachments: str = "", stickers: str = "") -> DataFrame:

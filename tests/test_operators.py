@@ -217,3 +217,16 @@ def test_streaming_dedup(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     incremental.stream_sync(stream, "guid", "ts", str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_exclude_patterns_equal_their_expressions(spark):
+    import fnmatch
+    import random
+
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("ab/.") for _ in range(n))
+    values = sorted({word(rng.randint(0, 6)) for _ in range(150)})
+    patterns = sorted({"".join(rng.choice("ab/.??*" if k % 3 == 0 else "ab/.?" if k % 3 == 1 else "ab/.") for _ in range(rng.randint(1, 6))) for k in range(60)} | {"?", "*", "a*"} - {"*"})
+    refs = spark.createDataFrame([(v, k) for k, v in enumerate(values)] + [(None, 999)], "tail string, k long")
+    got = sorted(r["tail"] for r in audit.excluded(refs, spark.createDataFrame([(p,) for p in patterns], "pattern string")).collect())
+    assert got == [v for v in values if any(fnmatch.fnmatchcase(v, p) for p in patterns)]
