@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Upper and lower case of A-Z only; other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Rows of a few ids each, some 16 MB, that are sent to every executor at most.
+MOST_SENT = 1_000_000
 #: Rows in one Arrow batch handed to Python; long texts must not add up to gigabytes.
 ARROW_ROWS = "1000"
 
@@ -72,6 +74,17 @@ def discard(*frames: DataFrame | None) -> None:
             folder.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def is_empty(df: DataFrame) -> bool:
+    """Whether a frame has no rows; the shuffles of the question go with it."""
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return df.isEmpty()
+
+
+def sent(table: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """A written table of ids, to be sent whole to the executors while it has at most ``most`` rows; else as it is."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def rows_without(docs: DataFrame, keys: DataFrame, *own: Column) -> DataFrame:
     """The rows of ``docs`` whose expressions ``own`` are in no row of ``keys``, column by column; null equals null.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, setting, written
 
 MAX_ROUNDS = 60
 
@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
         before, edges = edges, written(_star(_star(edges, True), False), "edges")
         discard(before)
         # A star forest is stable under both steps: each node has one edge and roots have none upward.
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        with setting(edges.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break
         seen = tuple(state)

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, rows_without, small_batches, whole_text, written
+from .common import LOWER, UPPER, discard, is_empty, rows_without, sent, small_batches, whole_text, written
 from .components import components
 from .simhash import fingerprint_of, links
 from .substring_dedup import MIX1, WordHashes, rolled, words_of
@@ -45,7 +45,7 @@ SAMPLE, LEAST_SAMPLED, MOST_COMMON = 16, 6, 100_000
 #: Keys of more than PAIRED members are large: all others are compared with STARS members first, then in blocks of about BLOCK members.
 PAIRED, BLOCK, STARS = 64, 512, 3
 #: Rounds in which only the likeliest pair of every two components is verified; then all that are left.
-LIKELY = 2
+LIKELY = 1
 #: Hash ranges whose counts bound what two sets have in common.
 BUCKETS = 256
 LOWERED = str.maketrans(UPPER, LOWER)
@@ -198,12 +198,13 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: Fraction
                 ok.append(int((both[1:] == both[:-1]).sum()) * (num + den) >= num * (len(x) + len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    nodes = pairs.select(F.col("a").alias("__n")).union(pairs.select("b")).distinct()
-    sets = written(rows.join(nodes, F.col("node") == F.col("__n"), "left_semi").mapInArrow(sets_of, "node long, s binary"), "near-sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
+    # The few ids go to the texts, which stay where they are.
+    nodes = written(pairs.select(F.col("a").alias("__n")).union(pairs.select("b")).distinct(), "near-nodes")
+    sets = written(rows.join(sent(nodes), F.col("node") == F.col("__n"), "left_semi").mapInArrow(sets_of, "node long, s binary"), "near-sets")
+    left = sent(pairs).join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
     edges = written(both.mapInArrow(judge, "a long, b long").distinct(), "near-edges")
-    discard(sets)
+    discard(sets, nodes)
     return edges
 
 
@@ -211,15 +212,15 @@ def signature_pairs(prints: DataFrame) -> DataFrame:
     """(a, b): each node with the least of its fingerprint, and the least of fingerprints that link."""
     classes = written(prints.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n")), "near-classes")
     alike = prints.join(classes.filter("n > 1").select("fp", "least"), "fp").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    linked = links(classes.select("fp"))
+    linked = links(classes.select("fp")).distinct()
     ids = lambda fp, name: classes.select(F.col("fp").alias(fp), F.col("least").alias(name))
-    linked = linked.distinct().withColumnsRenamed({"a": "f", "b": "g"}).join(ids("f", "a"), "f").join(ids("g", "b"), "g")
+    linked = linked.withColumnsRenamed({"a": "f", "b": "g"}).join(ids("f", "a"), "f").join(ids("g", "b"), "g")
     return alike.union(linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
-def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """``members`` with their component as label, of the keys that are not yet all in one component."""
-    told = members.join(components(edges), "node", "left").select("key", "node", "size", "most", "n", F.coalesce("component", "node").alias("label"))
+def _labelled(members: DataFrame, of: DataFrame) -> DataFrame:
+    """``members`` with their component, by ``of``, as label; of the keys that are not yet all in one component."""
+    told = members.join(of, "node", "left").select("key", "node", "size", "most", "n", F.coalesce("component", "node").alias("label"))
     told = written(told, "near-labelled")
     mixed = told.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
     return told.join(mixed.hint("shuffle_hash"), "key")
@@ -284,9 +285,8 @@ def _block_pairs(members: DataFrame, prints: DataFrame, similarity: Fraction) ->
     return placed.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, top long").distinct()
 
 
-def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """The pairs whose nodes are not connected yet, with their components."""
-    of = components(edges)
+def _apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not connected yet, with their components by ``of``."""
     told = pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     ends = [F.coalesce("ca", "a"), F.coalesce("cb", "b")]
     told = told.select("a", "b", "top", F.least(*ends).alias("ca"), F.greatest(*ends).alias("cb")).filter("ca < cb")
@@ -295,22 +295,25 @@ def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 def edges_of(rows: DataFrame, prints: DataFrame, words: int, similarity: Fraction) -> DataFrame:
     """(a, b): similar pairs that connect what all similar pairs connect."""
-    edges = verified(possible(signature_pairs(prints), prints, similarity), rows, words, similarity)
+    alike = possible(signature_pairs(prints), prints, similarity)
+    edges = verified(alike, rows, words, similarity)
     members = shared_keys(first_shingles(prints, similarity))
-    labelled = _labelled(members, edges)
+    labelled = _labelled(members, components(edges))
     large = labelled.filter(f"n > {PAIRED}")
     pairs = possible(_small_pairs(labelled.filter(f"n <= {PAIRED}")).union(_star_pairs(large)), prints, similarity)
     edges = written(edges.union(verified(pairs, rows, words, similarity)), "near-edges")
-    if not large.isEmpty():
-        rest = written(_block_pairs(_labelled(members.filter(f"n > {PAIRED}"), edges), prints, similarity), "near-pairs")
-        rest = rest.join(pairs, ["a", "b"], "left_anti")
+    if not is_empty(large):
+        of = components(edges)
+        rest = written(_block_pairs(_labelled(members.filter(f"n > {PAIRED}"), of), prints, similarity).join(sent(pairs), ["a", "b"], "left_anti"), "near-pairs")
         for _ in range(LIKELY):  # the likeliest pair of every two components
-            rest = _apart(rest, edges)
-            likely = written(rest.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("top", "a", "b")).alias("p")).select("p.a", "p.b"), "near-pairs")
+            apart = _apart(rest, of)
+            likely = written(apart.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("top", "a", "b")).alias("p")).select("p.a", "p.b"), "near-pairs")
             edges = written(edges.union(verified(likely, rows, words, similarity)), "near-edges")
-            rest = rest.select("a", "b", "top").join(likely, ["a", "b"], "left_anti")
-        edges = edges.union(verified(_apart(rest, edges).select("a", "b"), rows, words, similarity))
-    discard(members)
+            of = components(edges)
+            before, rest = rest, written(apart.select("a", "b", "top").join(sent(likely), ["a", "b"], "left_anti"), "near-pairs")
+            discard(before, apart, likely)
+        edges = edges.union(verified(_apart(rest, of).select("a", "b"), rows, words, similarity))
+    discard(members, alike, pairs)
     return edges
 
 

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, rows_without, small_batches, spread, whole_text, written
+from .common import LOWER, UPPER, discard, is_empty, rows_without, small_batches, spread, whole_text, written
 from .components import components
 
 WORDS, SEED, DISTANCE = 3, 42, 2
@@ -110,11 +110,13 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
     # The few bytes of all fingerprints come in few files; their many keys are made by every core.
     members = spread(fps, "fp").select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("low"))
     found: list[DataFrame] = []
+    tables: list[DataFrame] = []
     for level, bits in enumerate(LEVELS):
         keyed = _variants(members, bits)
         same = ["key"]
         sizes = keyed.groupBy(*same).agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
         sizes = written(sizes, "keys")
+        tables.append(sizes)
         two = sizes.filter("n = 2").filter(_close(F.col("a"), F.col("b"), distance)).select("a", "b")
         last = level == len(LEVELS) - 1
         some = sizes.filter("n > 2") if last else sizes.filter(f"n > 2 and n <= {max_paired}")
@@ -131,12 +133,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_paired: int = MAX_PAIRED
         if last:
             break
         hot = sizes.filter(f"n > {max_paired}").select(*same)
-        if hot.isEmpty():
+        if is_empty(hot):
             break
         members = written(keyed.join(hot, same).select("fp", F.col("key").alias("path"), "low"), "members")
+        tables.append(members)
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
+    out = written(out, "links")
+    discard(*tables)
     return out
 
 
@@ -145,7 +150,9 @@ def near_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, distance
     prints = written(fingerprints(docs, text, words), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     classes = written(classes, "classes")
-    joined = components(links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
+    linked = links(classes.select("fp"), distance)
+    joined = components(linked).withColumnRenamed("node", "fp")
+    discard(linked)
     # A class without links is its own component.
     of = classes.join(joined, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
