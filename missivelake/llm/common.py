@@ -85,6 +85,12 @@ def sent(table: DataFrame, most: int = MOST_SENT) -> DataFrame:
     return F.broadcast(table) if table.count() <= most else table
 
 
+def rows_of_finite(vectors: DataFrame, column: str = "embedding") -> DataFrame:
+    """The rows whose vector is not null, not empty, and has neither null nor non-finite components."""
+    unusable = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    return vectors.filter((F.size(column) > 0) & ~F.exists(column, unusable))
+
+
 def rows_without(docs: DataFrame, keys: DataFrame, *own: Column) -> DataFrame:
     """The rows of ``docs`` whose expressions ``own`` are in no row of ``keys``, column by column; null equals null.
 
