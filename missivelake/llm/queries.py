@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, fill_in_middle, grammar_ids, langid, line_dedup, packing, pii, simhash, substring_dedup, url_filter, vector_codes
+from . import decontaminate, exact_dedup, fill_in_middle, grammar_ids, langid, line_dedup, nearest, packing, pii, simhash, substring_dedup, url_filter, vector_codes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op10_substring_dedup(t) -> DataFrame:
     return substring_dedup.substring_dedup(t("documents")).select("doc_id", "n_words", "n_removed", sha256("kept_text"))
 
 
+@query
+def op11_nearest(t) -> DataFrame:
+    return nearest.search(t("embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op12_fill_in_middle(t) -> DataFrame:
     rebuilt = fill_in_middle.restore(fill_in_middle.transform(t("documents")))
