@@ -249,13 +249,15 @@ def references(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(REFERENCE), F.lit(1))
 
 
-def replace_reference(html: Column, old: Column, new: Column) -> Column:
-    """Replaces a path where it is the whole value of src or href; the same text elsewhere stays."""
-    out = html
-    for attribute in ("src", "href"):
-        quoted = lambda path, a=attribute: F.concat(F.lit(f'{a}="'), path, F.lit('"'))
-        out = F.replace(out, quoted(old), quoted(new))
-    return out
+def replace_references(html: Column, pairs: Column) -> Column:
+    """Replaces paths by a map where they are the whole value of src or href; the same text elsewhere stays."""
+    between = F.split(html, REFERENCE)
+    found = F.regexp_extract_all(html, F.lit(REFERENCE), F.lit(0))
+    path = F.regexp_extract_all(html, F.lit(REFERENCE), F.lit(1))
+    attribute = F.transform(found, lambda x: F.substring_index(x, '"', 1))
+    value = F.transform(path, lambda p: F.coalesce(F.try_element_at(pairs, p), p))
+    changed = F.zip_with(attribute, value, lambda a, v: F.concat(a, F.lit('"'), v, F.lit('"')))
+    return F.array_join(F.zip_with(between, changed, lambda b, c: F.concat(b, F.coalesce(c, F.lit("")))), "")
 
 
 def strip_prefix(html: Column, prefix: Column) -> Column:

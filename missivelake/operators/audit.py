@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
+from missivelake.operators.ranks import first_few
+from missivelake.sources.stores import staged
 
 
 def chat_names(chat: DataFrame, chat_handle: DataFrame, handle: DataFrame) -> DataFrame:
@@ -28,40 +30,73 @@ def attachment_references(tables: dict[str, DataFrame]) -> DataFrame:
     return a.join(tables["message_attachment_join"], "attachment_id").join(m, "message_id").join(tables["chat_message_join"], "message_id").join(named, "chat_id").select("chat_name", "transfer_name", "stored_path", "msg_date")
 
 
-def _by_shape(rows: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
-    """The distinct values of ``column`` that a pattern matches.
+def _by_shape(values: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The distinct (value) that a pattern without a star matches.
 
-    patterns: (n, at, size, piece, regex): a literal piece of ``size`` characters from ``at`` on, in values of
-    length ``n`` or, if null, of any length.  Each value meets the few shapes of its length, and by equality the patterns
-    with its own piece there; only those are matched as expressions.
+    patterns: (n, at, size, piece, regex): a literal piece of ``size`` characters from ``at`` on, in values of length ``n``.
+    Each value meets the few shapes of its length, and by equality the patterns with its own piece there; only those are
+    matched as expressions.
     """
-    values = rows.select(F.col(column).alias("value")).distinct()
+    shapes = patterns.select("n", "at", "size").distinct()  # few: lengths and places, not patterns
+    pieces = values.withColumn("n", F.length("value")).join(shapes, "n").withColumn("piece", F.expr("substring(value, at, size)"))
+    return pieces.join(patterns, ["n", "at", "size", "piece"]).filter("value rlike regex").select("value").distinct()
 
-    def met(own: DataFrame, length: Column) -> DataFrame:
-        shapes = own.select("n", "at", "size").distinct()  # few: lengths and places, not patterns
-        pieces = values.withColumn("n", length).join(shapes, "n").withColumn("piece", F.expr("substring(value, at, size)"))
-        return pieces.join(own, ["n", "at", "size", "piece"]).filter("value rlike regex").select("value")
 
-    any_length = F.lit(-1)
-    return met(patterns.filter("n is not null"), F.length("value")).union(met(patterns.filter("n is null").withColumn("n", any_length), any_length)).distinct()
+#: Lengths of the pieces by which values and patterns with a star meet.
+PIECES = (1, 2, 4, 8, 16, 32)
+
+
+def _by_piece(values: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The distinct (value) that a pattern with a star matches, wherever its stars stand.
+
+    patterns: (pattern, regex).  A pattern's longest literal run is cut to the longest of ``PIECES`` that it holds, at
+    every place; of these pieces the one that the fewest values hold stands for the pattern.  A value has to hold it too, so
+    they meet by equality, and only then is the expression tried.  Patterns without any literal match by length alone: of them only the
+    shortest counts.
+    """
+    runs = patterns.withColumn("run", F.array_max(F.transform(F.split("pattern", "[?*]"), lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"])
+    free = runs.filter("run = ''").agg(F.min(F.length(F.replace("pattern", F.lit("*"), F.lit("")))).alias("least"))
+    size = F.lit(0)
+    for n in PIECES:
+        size = F.when(F.length("run") >= n, F.lit(n)).otherwise(size)
+    own = runs.filter("run <> ''").withColumn("size", size)
+    cut = F.transform(F.sequence(F.lit(1), F.length("run") - F.col("size") + 1), lambda i: F.substring("run", i, F.col("size")))
+    own = own.select("pattern", "regex", F.explode(F.array_distinct(cut)).alias("piece"))
+    wanted = own.select("piece").distinct()
+    every = lambda n: F.when(F.length("value") >= n, F.transform(F.sequence(F.lit(1), F.length("value") - n + 1), lambda i: F.substring("value", i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    sizes = [r["n"] for r in wanted.select(F.length("piece").alias("n")).distinct().collect()]  # at most six
+    if sizes:
+        held = values.select("value", F.explode(F.array_distinct(F.concat(*[every(n) for n in sorted(sizes)]))).alias("piece")).join(wanted, "piece", "left_semi")
+        held = staged(held, "pieces")
+        often = held.groupBy("piece").agg(F.count("*").alias("n"))
+        chosen = own.join(often, "piece").groupBy("pattern", "regex").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.count("*").alias("n"))
+        # A pattern with a piece that no value holds matches nothing.
+        whole = own.groupBy("pattern").agg(F.count("*").alias("n"))
+        chosen = chosen.join(whole, ["pattern", "n"]).select("regex", "piece")
+        found = held.join(chosen, "piece").filter("value rlike regex").select("value")
+    else:
+        found = values.limit(0)
+    least = free.first()["least"]
+    return (found if least is None else found.union(values.filter(F.length("value") >= least))).distinct()
 
 
 def excluded(refs: DataFrame, patterns: DataFrame, column: str = "tail") -> DataFrame:
     """Rows whose value an exclude pattern matches.
 
     Patterns without a wildcard meet by equality.  Those whose wildcards are single characters meet by length and by
-    their longest literal piece, others by what stands before the first wildcard; a pattern that begins with a star meets
-    every value.
+    their longest literal piece, those with a star by the rarest piece of their longest literal run.
     """
     literal = patterns.filter(~F.col("pattern").rlike(r"[?*]")).select(F.col("pattern").alias("value")).distinct()
-    wild = patterns.filter(F.col("pattern").rlike(r"[?*]")).select("pattern", T.pattern_regex(F.col("pattern")).alias("regex")).distinct()
+    wild = staged(patterns.filter(F.col("pattern").rlike(r"[?*]")).select("pattern", T.pattern_regex(F.col("pattern")).alias("regex")).distinct(), "patterns")
     parts = F.split("pattern", "[?]")
     piece = F.array_max(F.transform(parts, lambda p, i: F.struct(F.length(p).alias("size"), (F.aggregate(F.slice(parts, F.lit(1), i), F.lit(1), lambda a, x: a + F.length(x) + 1)).alias("at"), p.alias("piece"))))
     single = wild.filter("not contains(pattern, '*')").withColumn("p", piece).select(F.length("pattern").alias("n"), "p.at", "p.size", "p.piece", "regex")
-    head = F.regexp_extract("pattern", "^[^?*]*", 0)
-    star = wild.filter("contains(pattern, '*')").select(F.lit(None).cast("int").alias("n"), F.lit(1).alias("at"), F.length(head).alias("size"), head.alias("piece"), "regex")
-    known = literal.union(_by_shape(refs, single.union(star), column)).distinct()
-    return refs.join(known, F.col(column) == F.col("value"), "left_semi")
+    star = wild.filter("contains(pattern, '*')").select("pattern", "regex")
+    values = refs.filter(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    known = literal.union(_by_shape(values, single))
+    if not star.isEmpty():
+        known = known.union(_by_piece(values, star))
+    return refs.join(known.distinct(), F.col(column) == F.col("value"), "left_semi")
 
 
 def classify(refs: DataFrame, inventory: DataFrame, patterns: DataFrame | None = None, attachments: str = "", stickers: str = "") -> DataFrame:
@@ -102,27 +137,31 @@ def problems(classified: DataFrame) -> DataFrame:
 
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], most: int = 8) -> DataFrame:
     """The first rows of each group, with the group's size and how many are not shown."""
-    over = Window.partitionBy(*group)
-    ranked = rows.withColumn("rn", F.row_number().over(over.orderBy(*order))).filter(F.col("rn") <= most)
     sizes = rows.groupBy(*group).agg(F.count("*").alias("n_total"))  # counted with map-side combination
-    return ranked.join(sizes, group).withColumn("n_more", F.greatest(F.col("n_total") - most, F.lit(0)))
+    return first_few(rows, group, order, most, "rn").join(sizes, group).withColumn("n_more", F.greatest(F.col("n_total") - most, F.lit(0)))
+
 
+#: The order of an audit's records: oldest first, undated last.
+RECORD_ORDER = ["undated", "sent", "chat", "file", "tail", "stored_path"]
 
-def audit_document(classified: DataFrame, generated: str, snapshot: str, attachments: str) -> DataFrame:
-    """The audit as one JSON document; both lists oldest first.  Its size is the number of problem files."""
-    record = F.struct(F.col("sent").isNull().alias("undated"), "sent", "chat", "file", "tail", "stored_path")
 
-    def listed(status: str) -> Column:
-        found = F.array_sort(F.collect_list(F.when(F.col("status") == status, record)))
-        return F.transform(found, lambda r: F.struct(r["chat"].alias("chat"), r["file"].alias("file"), r["sent"].alias("sent"), r["tail"].alias("tail"), r["stored_path"].alias("stored_path"))).alias(status)
+def document_pieces(classified: DataFrame, generated: str, snapshot: str, attachments: str) -> DataFrame:
+    """(kind, text, and ``RECORD_ORDER``): the audit as pieces of one JSON document, a record a line; both lists oldest first.
 
-    counts = [F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("ok", "zero_byte", "missing")]
-    one = classified.agg(*counts, F.count("*").alias("n_referenced"), listed("zero_byte"), listed("missing"))
-    document = F.struct(
-        F.lit(generated).alias("generated"), F.lit(snapshot).alias("snapshot_db"), F.lit(attachments).alias("shared_attachments"),
-        F.struct(F.col("n_ok").alias("ok"), F.col("n_zero_byte").alias("zero_byte"), F.col("n_missing").alias("missing"), F.col("n_referenced").alias("referenced")).alias("totals"), "zero_byte", "missing",
+    Kinds 1 and 3 are the records of zero-byte and missing files, the even ones what stands around them.  No row holds a list.
+    """
+    record = F.to_json(F.struct("chat", "file", "sent", "tail", "stored_path"), {"ignoreNullFields": "false"})
+    kind = F.when(F.col("status") == "zero_byte", F.lit(1)).otherwise(F.lit(3)).alias("kind")
+    records = classified.filter("status <> 'ok'").select(kind, record.alias("text"), F.col("sent").isNull().alias("undated"), "sent", "chat", "file", "tail", "stored_path")
+    fields = F.struct(
+        F.lit(generated).alias("generated"), F.lit(snapshot).alias("snapshot_db"), F.lit(attachments).alias("shared_attachments"), F.struct("ok", "zero_byte", "missing", "referenced").alias("totals"),
     )
-    return one.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("audit"))
+    head = F.concat(F.regexp_replace(F.to_json(fields), r"\}$", ""), F.lit(',\n"zero_byte":[\n'))
+    around = [(0, head), (2, F.lit('\n],\n"missing":[\n')), (4, F.lit("\n]}\n"))]
+    nothing = [F.lit(False).alias("undated"), *[F.lit(None).cast("string").alias(c) for c in RECORD_ORDER[1:]]]
+    for k, text in around:
+        records = records.union(totals(classified).select(F.lit(k).alias("kind"), text.alias("text"), *nothing))
+    return records
 
 
 def report_lines(classified: DataFrame, most: int = 8) -> DataFrame:

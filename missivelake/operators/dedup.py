@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from missivelake.operators.ranks import ranked
+from missivelake.sources.stores import staged
+
 
 def first_wins(rows: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key in the given order.
@@ -44,11 +47,31 @@ def new_or_changed(source: DataFrame, target: DataFrame, key: str, compare: list
     return source.join(there, F.col(key) == F.col("__key"), "left").filter(F.col("__key").isNull() | differs).withColumn("change", F.when(F.col("__key").isNull(), F.lit("new")).otherwise(F.lit("changed"))).select(*source.columns, "change")
 
 
-def numbered_names(rows: DataFrame, name: str, order: list[str], out: str = "output_name") -> DataFrame:
-    """Names that do not clash: the second bearer of a name gets _2 before the suffix, and so on."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    stem, tail = F.regexp_extract(F.col(name), r"^(.*?)(\.[^./]+)?$", 1), F.regexp_extract(F.col(name), r"^(.*?)(\.[^./]+)?$", 2)
-    return rows.withColumn("__n", n).withColumn(out, F.when(F.col("__n") == 1, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("__n").cast("string"), tail))).drop("__n")
+def numbered_names(rows: DataFrame, name: str, order: list[str], out: str = "output_name", taken: DataFrame | None = None) -> DataFrame:
+    """Names that do not clash: the second bearer of a name gets _2 before the suffix, and so on.
+
+    taken: (<name>) names that exist already; they count as first bearers.  Where a numbered name is itself a name of the input or a
+    taken one, the number starts behind all numbers that are in use.  Places come from ranges, so that a name with very
+    many bearers is no hot spot.
+    """
+    placed = ranked(rows, [name], order, "__place")
+    names = rows.select(F.col(name).alias("__name"))
+    if taken is not None:
+        there = taken.select(F.col(name).alias("__there")).distinct()
+        placed = placed.join(there, F.col(name) == F.col("__there"), "left").withColumn("__place", F.col("__place") + F.col("__there").isNotNull().cast("long")).drop("__there")
+        names = names.union(there)
+    placed = staged(placed, "places")
+    part = lambda c, i: F.regexp_extract(c, r"^(.*?)(\.[^./]+)?$", i)
+    numbered = lambda n: F.when(n == 1, F.col(name)).otherwise(F.concat(part(F.col(name), 1), F.lit("_"), n.cast("string"), part(F.col(name), 2)))
+    first = placed.withColumn(out, numbered(F.col("__place")))
+    names = names.filter("__name is not null").distinct()
+    clashes = staged(first.filter("__place > 1").select(F.col(name).alias("__of"), F.col(out).alias("__out")).distinct().join(names, F.col("__out") == F.col("__name")).select("__of", "__out"), "clashes")
+    number = F.try_to_number(F.regexp_extract(part(F.col("__name"), 1), r"_([0-9]{1,9})$", 1), F.lit("999999999")).cast("long")
+    base = F.concat(F.regexp_replace(part(F.col("__name"), 1), r"_[0-9]{1,9}$", ""), part(F.col("__name"), 2))
+    used = names.select(base.alias("__of"), number.alias("__n")).union(first.select(F.col(name), "__place")).groupBy("__of").agg(F.max("__n").alias("__last"))
+    behind = clashes.join(used, "__of").select(F.col("__of").alias("__whose"), "__out", "__last")
+    moved = first.join(behind, (F.col(name) == F.col("__whose")) & (F.col(out) == F.col("__out")), "left")
+    return moved.withColumn(out, F.when(F.col("__last").isNull(), F.col(out)).otherwise(numbered(F.col("__last") + F.col("__place")))).select(*rows.columns, out)
 
 
 def stash(files: DataFrame, name: str = "name", content: str = "content", order: str = "ord") -> DataFrame:

@@ -31,7 +31,10 @@ def participants(pages: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return chosen.join(members, "chat_id").groupBy("file").agg(F.array_sort(F.collect_list("id")).alias("handles"))
 
 
-def sidecar(found: DataFrame) -> DataFrame:
-    """One row with the JSON object file -> members; no row if nothing was resolved."""
-    entries = F.array_sort(F.collect_list(F.struct("file", "handles")))
-    return found.agg(entries.alias("e")).filter(F.size("e") > 0).select(F.to_json(F.map_from_entries("e")).alias("participants"))
+def sidecar_pieces(found: DataFrame) -> DataFrame:
+    """(kind, text, file): the members as pieces of a JSON object file -> members, an entry a line; no pieces if nothing was resolved."""
+    quoted = F.regexp_replace(F.regexp_replace(F.to_json(F.array("file")), r"^\[", ""), r"\]$", "")
+    entries = found.select(F.lit(1).alias("kind"), F.concat(F.lit("  "), quoted, F.lit(": "), F.to_json("handles")).alias("text"), "file")
+    some = found.agg(F.min("file").alias("file")).filter("file is not null")
+    ends = some.select(F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.lit("{\n").alias("text")), F.struct(F.lit(2).alias("kind"), F.lit("\n}\n").alias("text")))).alias("x"), "file")
+    return entries.union(ends.select("x.kind", "x.text", "file"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
+from missivelake.sources.stores import staged
 
 ROOT_NAMES = ("attachments", "Attachments", "StickerCache")
 
@@ -41,11 +44,6 @@ def renames(paths: DataFrame) -> DataFrame:
     return paths.select("root", F.col("rel_path").alias("old_path"), new.alias("new_path")).filter("old_path <> new_path")
 
 
-def collisions(paths: DataFrame) -> DataFrame:
-    """New paths that several old ones map to."""
-    return paths.groupBy("root", T.sanitize_path(F.col("rel_path")).alias("new_path")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("rel_path")).alias("old_paths")).filter("n > 1")
-
-
 def referenced(pages: DataFrame) -> DataFrame:
     """(path): the distinct attachment paths that pages refer to."""
     return pages.select(F.explode(T.references(F.col("html"))).alias("path")).distinct()
@@ -62,17 +60,54 @@ def scoped_plan(pages: DataFrame, files: DataFrame) -> DataFrame:
     return out.select(F.col("path").alias("old_path"), renamed.alias("new_path"), T.has_bad_ancestor(F.col("path")).alias("skipped"), F.coalesce("exists", F.lit(False)).alias("exists"))
 
 
+def settle(pairs: DataFrame, tree: DataFrame, digests: Callable[[DataFrame, str], DataFrame], base: str) -> DataFrame:
+    """(old_path, new_path, action, collision): where each badly named file goes, so that no bytes are lost and no order counts.
+
+    pairs: (old_path, new_path) as planned; tree: (rel_path) of all files below ``base``; ``digests`` reads files by whole path.
+    A new name that one file wants and none has is simply taken (``move``).  For others the bytes decide: they belong to
+    the file that has the name already, else to the least old path.  Files of the same bytes go (``remove``); others take the name with
+    the start of their hash before the suffix, or the whole hash where other bytes have that name too.  A file that is not there has
+    no action: pages that refer to it are still rewritten.
+    """
+    there = tree.select("rel_path").distinct()
+    pairs = pairs.groupBy("old_path").agg(F.min("new_path").alias("new_path"))
+    sources = staged(pairs.join(there, F.col("old_path") == F.col("rel_path"), "left").withColumn("there", F.col("rel_path").isNotNull()).drop("rel_path"), "sources")
+    leaving = sources.filter("there").select(F.col("old_path").alias("rel_path"))
+    remaining = there.join(leaving, "rel_path", "left_anti")
+    wanted = sources.filter("there").groupBy("new_path").agg(F.count("*").alias("n"), F.min("old_path").alias("least"))
+    wanted = wanted.join(remaining.withColumnRenamed("rel_path", "holder"), F.col("new_path") == F.col("holder"), "left")
+    plain = wanted.filter("n = 1 and holder is null").select("new_path", F.lit("move").alias("plain"))
+    contested = staged(sources.filter("there").join(wanted.filter("n > 1 or holder is not null"), "new_path").select("old_path", "new_path", "least", "holder"), "contested")
+    whole = lambda c: F.concat(F.lit(base.rstrip("/") + "/"), F.col(c))
+    known = lambda rows, c, name: digests(rows.select(whole(c).alias(name)), name).select(F.substring(name, len(base.rstrip("/")) + 2, 1 << 20).alias(name), F.col("sha256").alias(f"{name}_hash"))
+    own = staged(known(contested, "old_path", "of"), "hashes")
+    first = F.coalesce("holder", "least")
+    held = staged(known(contested.select(first.alias("first")).distinct(), "first", "held"), "hashes")
+    rows = contested.withColumn("first", first).join(own, F.col("old_path") == F.col("of")).join(held, F.col("first") == F.col("held"))
+    same = F.col("of_hash") == F.col("held_hash")
+    marked = lambda digest: F.concat(F.regexp_replace("new_path", r"(?<=[^./])\.[^./]+$", ""), F.lit("_"), digest, F.regexp_extract("new_path", r"(?<=[^./])(\.[^./]+)$", 1))
+    other = staged(rows.select("old_path", "new_path", "of_hash", same.alias("same"), (F.col("old_path") == F.col("first")).alias("is_first"), marked(F.substring("of_hash", 1, 8)).alias("short"), marked(F.col("of_hash")).alias("long")), "other-bytes")
+    short = staged(known(other.filter("not same").join(remaining, F.col("short") == F.col("rel_path")).select("short").distinct(), "short", "taken"), "hashes")
+    kept = other.filter("not same").join(short, F.col("short") == F.col("taken"), "left")
+    named = kept.select("old_path", "of_hash", F.when(F.col("taken").isNull() | (F.col("taken_hash") == F.col("of_hash")), F.col("short")).otherwise(F.col("long")).alias("target"), F.col("taken_hash").eqNullSafe(F.col("of_hash")).alias("has"))
+    ahead = named.groupBy("target", "of_hash").agg(F.min("old_path").alias("ahead"))
+    renamed = named.join(ahead, ["target", "of_hash"]).select("old_path", F.col("target").alias("new_path"), F.when(~F.col("has") & (F.col("old_path") == F.col("ahead")), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(True).alias("collision"))
+    copies = other.filter("same").select("old_path", "new_path", F.when(F.col("is_first"), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(False).alias("collision"))
+    alone = sources.join(plain, "new_path", "left").filter("plain is not null or not there").select("old_path", "new_path", F.when(F.col("there"), F.col("plain")).alias("action"), F.lit(False).alias("collision"))
+    return alone.union(copies).union(renamed)
+
+
 def rewrite(pages: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pages with (file, html, n_updated): attribute values equal to an old path get the new one.
 
-    Each page meets only the pairs it refers to; the longest old path comes first.
+    Each page meets only the pairs it refers to.  Its text is cut once at all references, and the pieces between them are joined again
+    with each reference as it is or as it becomes: one pass, whatever the number of pairs, and no new path is read as an old one.
     """
     refs = pages.select("file", F.explode(T.references(F.col("html"))).alias("old_path"))
     hits = refs.join(pairs.select("old_path", "new_path").distinct(), "old_path")
-    order = F.struct((-F.length("old_path")).alias("longest"), "old_path", "new_path")
-    per_page = hits.groupBy("file").agg(F.array_sort(F.collect_set(order)).alias("pairs"), F.count("*").alias("n_updated"))
-    new = F.aggregate("pairs", F.col("html"), lambda h, p: T.replace_reference(h, p["old_path"], p["new_path"]))
+    per_page = hits.groupBy("file").agg(F.map_from_entries(F.collect_set(F.struct("old_path", "new_path"))).alias("pairs"), F.count("*").alias("n_updated"))
     joined = pages.join(per_page, "file", "left")
+    new = T.replace_references(F.col("html"), F.col("pairs"))
     return joined.withColumn("html", F.when(F.col("pairs").isNull(), F.col("html")).otherwise(new)).withColumn("n_updated", F.coalesce("n_updated", F.lit(0))).drop("pairs")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
+from missivelake.operators.ranks import first_few
 
 
 def chunk_facts(chunks: DataFrame) -> DataFrame:
@@ -101,23 +102,28 @@ def own_number(chunks: DataFrame) -> DataFrame:
     return chunks.agg(F.max_by("own_number", F.when(F.col("own_number").isNotNull(), F.col("file_ord"))).alias("own_number"))
 
 
-def render(messages: DataFrame, names: DataFrame) -> DataFrame:
-    """(kind, thread_key, html): each thread's messages in time order."""
-    joined = messages.join(names, ["kind", "thread_key"])
+def page_pieces(messages: DataFrame, names: DataFrame, outputs: DataFrame) -> DataFrame:
+    """(name, kind, text, ts, place): each thread's page as sorted pieces: its head, its messages in time order, its tail.
+
+    outputs: (kind, thread_key, output_name).
+    """
+    joined = messages.join(names, ["kind", "thread_key"]).join(outputs.select("kind", "thread_key", F.col("output_name").alias("name")), ["kind", "thread_key"])
     attachments = F.col("resolved") if "resolved" in messages.columns else F.col("m.attachments")
     wall = F.to_timestamp_ntz(F.regexp_extract("m.ts_iso", r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})", 1), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     sender = F.when(F.col("kind") == "1:1", F.col("display_name")).otherwise(F.col("m.display_name"))
     one = T.render_message(F.col("guid"), T.display_time(wall), sender, F.col("m.is_me"), F.col("m.text_html"), attachments)
-    rows = joined.select("kind", "thread_key", "display_name", F.struct(F.try_to_timestamp(F.col("m.ts_iso")).alias("ts"), "place", one.alias("html")).alias("r"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["html"]), "\n")
-    page = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), T.html_escape(F.col("display_name")), F.lit("</title></head><body>\n"), body, F.lit("\n</body></html>"))
-    return rows.groupBy("kind", "thread_key", "display_name").agg(page.alias("html")).drop("display_name")
+    body = joined.select("name", F.lit(1).alias("kind"), one.alias("text"), F.try_to_timestamp(F.col("m.ts_iso")).alias("ts"), "place")
+    head = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), T.html_escape(F.col("display_name")), F.lit("</title></head><body>\n"))
+    pages = joined.groupBy("name").agg(F.min(F.struct("thread_key", "display_name")).alias("t")).select("name", F.col("t.display_name").alias("display_name"))
+    nowhere = [F.lit(None).cast("timestamp"), F.lit(None).cast(body.schema["place"].dataType)]
+    return body.union(pages.select("name", F.lit(0), head, *nowhere)).union(pages.select("name", F.lit(2), F.lit("\n</body></html>"), *nowhere))
 
 
 def skipped(files: DataFrame) -> DataFrame:
     """(kind, n, samples): files that are no text conversations, by kind, with the first five names."""
-    kinds = files.withColumn("kind", T.file_kind(F.col("file"))).filter(~F.col("kind").isin("Text", "Group"))
-    return kinds.groupBy("kind").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("file")), 1, 5).alias("samples"))
+    kinds = files.withColumn("kind", T.file_kind(F.col("file"))).filter(~F.col("kind").isin("Text", "Group")).select("kind", "file")
+    samples = first_few(kinds, ["kind"], ["file"], 5).groupBy("kind").agg(F.array_sort(F.collect_list("file")).alias("samples"))
+    return kinds.groupBy("kind").agg(F.count("*").alias("n")).join(samples, "kind").select("kind", "n", "samples")
 
 
 def group_sidecar(messages: DataFrame) -> DataFrame:

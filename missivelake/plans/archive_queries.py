@@ -7,16 +7,16 @@ operator that a job would use.  The DuckDB counterparts start from the same tabl
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
 from missivelake.operators import audit, contacts, dedup, export, participants, sanitize, threads
+from missivelake.operators.ranks import ranked
 from missivelake.plans.catalogue import query
 from missivelake.sources import files, html_pages, sinks, sqlite_source
+from missivelake.sources.stores import scratch
 from missivelake.streaming import incremental
 
 
@@ -25,15 +25,19 @@ def text(c: str) -> Column:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see: below ``spark.checkpoint.dir``, or in local mode one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="missivelake-")
-    path = os.path.join(base.removeprefix("file:"), "archive", uuid.uuid4().hex)
-    os.makedirs(path)
-    return path
+    """A new folder's address that all executors see."""
+    return scratch(spark, "archive")
+
+
+def read_back(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, text): the pages below a folder."""
+    return html_pages.read_pages(spark, folder).select("file", "text")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, block, at): the lines of a file in the order of the two numbers; several tasks may read it."""
+    lines = spark.read.text(path)
+    return lines.select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
 
 
 # A message store: orders as attachments, customers as messages, nations as chats, suppliers as handles.
@@ -107,14 +111,21 @@ def audit_report(t):
     return audit.report_lines(classified(t)).withColumn("rn", F.col("rn").cast("long"))
 
 
-RECORDS = """coalesce(list({'chat': chat, 'file': file, 'sent': sent, 'tail': tail, 'stored_path': stored_path} ORDER BY sent IS NULL, sent, chat, file, tail, stored_path) FILTER (status = '%s'), [])"""
-
-
-@query(f"""WITH {REFS} SELECT CAST(to_json({{'generated': 'now', 'snapshot_db': 'db', 'shared_attachments': '/a', 'totals': {{'ok': count(*) FILTER (status = 'ok'), 'zero_byte': count(*) FILTER (status = 'zero_byte'),
-'missing': count(*) FILTER (status = 'missing'), 'referenced': count(*)}}, 'zero_byte': {RECORDS % "zero_byte"}, 'missing': {RECORDS % "missing"}}}) AS VARCHAR) AS audit FROM r""")
+@query(f"""WITH {REFS} SELECT status AS list, row_number() OVER (PARTITION BY status ORDER BY sent NULLS LAST, chat, file, tail, stored_path) AS pos, chat, file, sent, tail, stored_path,
+(SELECT count(*) FILTER (status = 'ok') || ',' || count(*) FILTER (status = 'zero_byte') || ',' || count(*) FILTER (status = 'missing') || ',' || count(*) FROM r) AS totals FROM r WHERE status <> 'ok'""")
 def audit_json(t):
-    """The whole audit as one document."""
-    return audit.audit_document(classified(t), "now", "db", "/a")
+    """The audit's document, written in pieces and read back: its records in their order, and its totals."""
+    done = classified(t)
+    spark, path = done.sparkSession, work_folder(done.sparkSession) + "/audit.json"
+    sinks.write_document(audit.document_pieces(done, "now", "db", "/a"), path, audit.RECORD_ORDER)
+    lines = read_lines(spark, path)
+    head = lines.filter("value like '{\"generated%'").select(F.regexp_replace("value", ",$", "}").alias("value")).first()["value"]
+    middle = lines.filter("value = '\"missing\":['").select("block", "at").first()
+    before = (F.col("block") < middle["block"]) | ((F.col("block") == middle["block"]) & (F.col("at") < middle["at"]))
+    fields = "chat string, file string, sent string, tail string, stored_path string"
+    records = lines.filter("value like '{\"chat%'").select(F.when(before, F.lit("zero_byte")).otherwise(F.lit("missing")).alias("list"), "block", "at", F.from_json(F.regexp_replace("value", ",$", ""), fields).alias("r"))
+    totals = F.from_json(F.get_json_object(F.lit(head), "$.totals"), "ok string, zero_byte string, missing string, referenced string")
+    return ranked(records, ["list"], ["block", "at"], "pos").select("list", "pos", "r.*", F.concat_ws(",", totals["ok"], totals["zero_byte"], totals["missing"], totals["referenced"]).alias("totals"))
 
 
 @query(f"""WITH {NAMES}, g AS (SELECT DISTINCT s_nationkey AS c, s_name FROM supplier),
@@ -210,9 +221,15 @@ def group_members(t):
     return resolved_members(t).select("file", F.array_join("handles", ",").alias("handles"))
 
 
-@query(f"""WITH {MEMBERS} SELECT '{{' || string_agg('"A, B ' || user_id || '.html":["' || array_to_string(handles, '","') || '"]', ',' ORDER BY 'A, B ' || user_id || '.html') || '}}' AS participants FROM m HAVING count(*) > 0""")
+@query(f"""WITH {MEMBERS}, s AS (SELECT 'A, B ' || user_id || '.html' AS file, array_to_string(handles, ',') AS handles FROM m) SELECT file, handles, row_number() OVER (ORDER BY file) AS pos FROM s""")
 def members_sidecar(t):
-    return participants.sidecar(resolved_members(t))
+    """The members' file, written in pieces and read back in its order."""
+    found = resolved_members(t)
+    path = work_folder(found.sparkSession) + "/members.json"
+    sinks.write_document(participants.sidecar_pieces(found), path, ["file"])
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}")), "map<string,array<string>>")
+    lines = read_lines(found.sparkSession, path).filter("value like '  %'").select("block", "at", F.explode(entry).alias("file", "handles"), F.lit("all").alias("of"))
+    return ranked(lines, ["of"], ["block", "at"], "pos").select("file", F.array_join("handles", ",").alias("handles"), "pos")
 
 
 # Exported pages and voice files: conversations.
@@ -257,7 +274,10 @@ def merged_in_shell(t):
     merged = dedup.first_wins(rows.union(rows.withColumn("file_ord", F.col("file_ord") + 1_000_000)), ["thread", "guid"], ["file_ord", "msg_ord"])
     first = pages.groupBy("thread").agg(F.min_by("file", "file_ord").alias("file"))
     shells = html_pages.shells(pages).join(first, "file").select("thread", "before", "after")
-    return sinks.merged_pages(merged, "thread", text("thread"), shells).select("thread", F.col("n_messages").cast("long").alias("n_messages"), "html")
+    folder = work_folder(pages.sparkSession)
+    sinks.write_pages(sinks.page_pieces(merged, "thread", text("thread"), shells).withColumn("name", F.concat("name", F.lit(".html"))), folder)
+    counts = merged.groupBy("thread").agg(F.count("*").alias("n_messages"))
+    return read_back(pages.sparkSession, folder).select(T.stem(F.col("file")).cast("long").alias("thread"), F.col("text").alias("html")).join(counts, "thread")
 
 
 def voice_files(t) -> DataFrame:
@@ -370,11 +390,13 @@ def voice_unresolved(t):
 x AS (SELECT *, '<div class="message"><div class="' || CASE WHEN is_me THEN 'sent SMS GoogleVoice' ELSE 'received GoogleVoice' END || '"><p><span class="timestamp"><a href="sms://open?message-guid=' || guid || '">' || {SHOWN_SQL}
  || '</a></span><span class="sender">' || CASE WHEN is_me THEN 'Me' WHEN kind = 3 THEN 'User' || k ELSE display_name END || '</span></p><hr><div class="message_part"><span class="bubble">' || body || '</span>'
  || coalesce('<div class="attachment"><img src="' || att || '" loading="lazy"></div>', '') || '</div></div></div>' AS html FROM w JOIN names ON nk = thread_kind AND nt = thread_key)
-SELECT thread_kind AS kind, thread_key, '<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || display_name || '</title></head><body>' || chr(10) || string_agg(html, chr(10) ORDER BY {TS_SQL}, conv_id, turn) || chr(10) || '</body></html>' AS html FROM x GROUP BY thread_kind, thread_key, display_name""")
+SELECT {OUTPUT} AS file, '<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || display_name || '</title></head><body>' || chr(10) || string_agg(html, chr(10) ORDER BY {TS_SQL}, conv_id, turn) || chr(10) || '</body></html>' AS html FROM x GROUP BY thread_kind, thread_key, display_name""")
 def voice_pages(t):
-    """Every thread as one page."""
+    """Every thread as one page, written from sorted pieces and read back."""
     messages = voice_messages_of(t)
-    return threads.render(messages, threads.thread_names(messages))
+    spark, folder = messages.sparkSession, work_folder(messages.sparkSession)
+    sinks.write_pages(threads.page_pieces(messages, threads.thread_names(messages), threads.plan(messages)), folder, ["ts", "place"])
+    return read_back(spark, folder).select("file", F.col("text").alias("html"))
 
 
 # Paths and references.
@@ -439,7 +461,7 @@ def committed_runs(t):
     rows = t("events").select("event_id", "ts", "event_type")
     root = work_folder(spark_of(rows))
     incremental.sync(rows.filter("ts < timestamp_ntz'2024-01-15 12:00:00'"), root, "2024-01-15_120000")
-    os.makedirs(os.path.join(root, "2024-01-29_000000"))
+    incremental.run_folder(spark_of(rows), root, "2024-01-29_000000")
     incremental.sync(rows, root, "2024-02-01_000000")
     return incremental.archive(spark_of(rows), root, "event_id", ["ts"])
 
@@ -451,11 +473,11 @@ def snapshot_growth(t):
     from missivelake.plans import workflows
 
     root = work_folder(spark_of(t("region")))
-    for r in t("region").select("r_regionkey").collect():  # five rows
-        k = r["r_regionkey"]
-        folder = os.path.join(root, "snapshots", f"2024-01-{k + 1:02d}_000000")
-        os.makedirs(folder)
-        files.replace_text(os.path.join(folder, "manifest.txt"), sinks.manifest_text({"message_count": k * 100, "attachment_rows": "?" if k == 2 else k}))
+    k = F.col("r_regionkey")
+    counts = {"message_count": (k * 100).cast("string"), "attachment_rows": F.when(k == 2, F.lit("?")).otherwise(k.cast("string"))}
+    lines = [F.concat(F.lit(f"{key}: "), counts.get(key, F.lit("?")), F.lit("\n")) for key in sinks.MANIFEST_KEYS]
+    name = F.concat(F.lit("snapshots/2024-01-"), F.lpad((k + 1).cast("string"), 2, "0"), F.lit("_000000/manifest.txt"))
+    sinks.write_text_files(t("region").select(name.alias("name"), F.concat(*lines).alias("text")), root, "name", "text")
     return workflows.growth(spark_of(t("region")), root)
 
 
@@ -479,12 +501,10 @@ def file_inventory(t):
 @query(f"SELECT regexp_replace(rel_path, '.*/', '') AS file, rel_path, text, row_number() OVER (ORDER BY regexp_replace(rel_path, '.*/', '')) AS place FROM ({NATION_FILES}) WHERE text <> ''")
 def page_files(t):
     """Written pages read back in the order of their names."""
-    from pyspark.sql import Window
-
     root = nation_files(t)
     pages = html_pages.with_order(html_pages.read_pages(spark_of(t("nation")), root, recursive=True)).filter("text <> ''")
-    place = F.row_number().over(Window.orderBy("file_ord")).cast("long")  # 25 files
-    return pages.select("file", F.substring("path", len(root) + 2, 1000).alias("rel_path"), "text", place.alias("place"))
+    placed = ranked(pages.withColumn("of", F.lit(root)), ["of"], ["file_ord"])
+    return placed.select("file", F.substring("path", len(root) + 2, 1000).alias("rel_path"), "text", "place")
 
 
 @query(f"SELECT rel_path, CASE WHEN k % 3 = 0 THEN 'changed' ELSE 'new' END AS change FROM ({NATION_FILES}) WHERE k % 3 <> 1 AND k <> 5")
@@ -507,12 +527,34 @@ def moved_files(t):
     """A tree after half of its files were renamed; a repeated move changes nothing."""
     root = nation_files(t)
     old = F.concat(F.lit("f"), text("n_regionkey"), F.lit("/"), F.col("n_name"), F.lit(".html"))
-    moves = t("nation").filter("n_nationkey % 2 = 0").select(F.concat(F.lit(root + "/"), old).alias("source"), F.concat(F.lit(root + "/new/"), old).alias("target"))
+    moves = t("nation").filter("n_nationkey % 2 = 0").select(F.concat(F.lit(root + "/"), old).alias("source"), F.concat(F.lit(root + "/new/"), old).alias("target"), F.lit("move").alias("action"))
     for _ in range(2):
         sinks.move_files(moves)
     return files.inventory(spark_of(t("nation")), root).select("rel_path", "length")
 
 
+COLLIDING = """p AS (SELECT c_custkey AS k, c_custkey // 4 AS g, c_custkey % 4 AS v FROM customer),
+f AS (SELECT g, 'Attachments/' || (g % 10) || '/n' || CASE v WHEN 0 THEN ':' WHEN 1 THEN '?' WHEN 2 THEN '|' ELSE '-' END || g || '.jpg' AS old_path, 'Attachments/' || (g % 10) || '/n-' || g AS stem,
+ v = 3 AS holds, CASE WHEN v = 3 OR (g + v) % 3 = 0 THEN 'same ' || g ELSE 'bytes ' || (k - k % 2) END AS bytes FROM p),
+h AS (SELECT *, first_value(bytes) OVER (PARTITION BY g ORDER BY holds DESC, old_path) AS winner, bool_or(holds) OVER (PARTITION BY g) AS held, row_number() OVER (PARTITION BY g, bytes ORDER BY holds DESC, old_path) AS nth FROM f)"""
+
+
+@query(f"""WITH {COLLIDING} SELECT old_path, stem || CASE WHEN bytes = winner THEN '' ELSE '_' || sha256(bytes)[1:8] END || '.jpg' AS new_path, CASE WHEN nth = 1 THEN 'move' ELSE 'remove' END AS action, bytes <> winner AS collision FROM h WHERE NOT holds""")
+def colliding_names(t):
+    """Files whose new names clash: copies of the bytes that keep a name go, other bytes get a name of their own."""
+    spark = spark_of(t("customer"))
+    root = work_folder(spark)
+    k = F.col("c_custkey")
+    g, v = F.floor(k / 4), k % 4
+    sign = F.when(v == 0, F.lit(":")).when(v == 1, F.lit("?")).when(v == 2, F.lit("|")).otherwise(F.lit("-"))
+    name = F.concat(F.lit("Attachments/"), (g % 10).cast("string"), F.lit("/n"), sign, g.cast("string"), F.lit(".jpg"))
+    content = F.when((v == 3) | ((g + v) % 3 == 0), F.concat(F.lit("same "), g.cast("string"))).otherwise(F.concat(F.lit("bytes "), (k - k % 2).cast("string")))
+    sinks.write_text_files(t("customer").select(name.alias("name"), content.alias("text")), root, "name", "text")
+    tree = files.inventory(spark, root).select("rel_path")
+    pairs = sanitize.renames(sanitize.below_roots(tree).select(F.lit("r").alias("root"), "rel_path"))
+    return sanitize.settle(pairs, tree, sinks.digests, root).select("old_path", "new_path", "action", "collision")
+
+
 @query("SELECT DISTINCT n_name AS pattern, n_name AS old, 'x-' || n_name AS new FROM nation")
 def state_files(t):
     """The exclude list and the rename log, written and read back."""
@@ -528,6 +570,7 @@ def to_sqlite(path: str, tables: dict[str, DataFrame]) -> str:
     """Writes tables into one database file, on the driver: a fixture, which such a file is by nature."""
     import sqlite3
 
+    os.makedirs(os.path.dirname(path), exist_ok=True)
     kinds = {"bigint": "INTEGER", "int": "INTEGER", "double": "REAL"}
     with sqlite3.connect(path) as db:
         for name, rows in tables.items():

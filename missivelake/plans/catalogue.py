@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
-from missivelake.operators import audit, contacts, dedup, participants, sanitize
-from missivelake.sources import sinks
+from missivelake.operators import audit, contacts, dedup, participants, ranks, sanitize
+from missivelake.sources import html_pages, sinks
+from missivelake.sources.stores import scratch
 from missivelake.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,8 +198,9 @@ def uuid5(t):
 SELECT user_id, array_to_string(list_concat(list_reverse(g)[1:10], g[1:5]), ',') AS ids FROM g""")
 def tail10_head5(t):
     """The ten newest ids in reverse, then the five oldest."""
-    g = t("events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id"))), lambda x: x["event_id"]).alias("g"))
-    return g.select("user_id", F.array_join(T.candidate_guids(F.col("g").cast("array<string>")), ",").alias("ids"))
+    few = ranks.newest_and_oldest(t("events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"])
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("place", "event_id"))), lambda x: x["event_id"].cast("string"))  # at most fifteen
+    return few.groupBy("user_id").agg(F.array_join(listed, ",").alias("ids"))
 
 
 @query("""WITH e AS (SELECT conv_id, turn, '<p>' || replace(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || ': ' || coalesce(text, '') || '</p>' AS html FROM conversations)
@@ -207,7 +209,11 @@ def thread_render(t):
     """Each conversation as one page in order."""
     html = F.concat(F.lit("<p>"), T.html_escape(F.col("role")), F.lit(": "), F.coalesce("text", F.lit("")), F.lit("</p>"))
     rows = t("conversations").select("conv_id", F.lpad(F.col("turn").cast("string"), 12, "0").alias("ts_key"), F.lit(0).alias("file_ord"), F.lit(0).alias("msg_ord"), html.alias("html"))
-    return sinks.merged_pages(rows, "conv_id", F.col("conv_id").cast("string")).select("conv_id", F.col("n_messages").cast("long").alias("n_messages"), "html")
+    spark = rows.sparkSession
+    folder = scratch(spark, "pages")
+    sinks.write_pages(sinks.page_pieces(rows, "conv_id", F.col("conv_id").cast("string")).withColumn("name", F.concat("name", F.lit(".html"))), folder)
+    pages = html_pages.read_pages(spark, folder).select(T.stem(F.col("file")).cast("long").alias("conv_id"), F.col("text").alias("html"))
+    return pages.join(rows.groupBy("conv_id").agg(F.count("*").alias("n_messages")), "conv_id")
 
 
 @query("""WITH n AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'Ann - Missed - ' WHEN page_id % 5 = 1 THEN 'Ann - voicemail - ' WHEN page_id % 5 = 2 THEN 'Ann - Text - ' WHEN page_id % 5 = 3 THEN 'Group Conversation - ' ELSE 'notes ' END || CAST(page_id AS VARCHAR) || '.html' AS file FROM pages),
@@ -292,8 +298,8 @@ h AS (SELECT c.user_id, c.pos, k.c_custkey FROM c JOIN customer k ON c.event_id
 SELECT user_id, arg_min(c_custkey, pos) AS chat_id FROM h GROUP BY user_id""")
 def first_hit(t):
     """The first candidate id of each page that the store knows."""
-    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    candidates = t("events").select("user_id", pos.alias("pos"), F.col("event_id").alias("guid"))
+    events = ranks.ranked(t("events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], "pos")
+    candidates = events.select("user_id", "pos", F.col("event_id").alias("guid"))
     targets = t("customer").select("c_custkey", F.col("c_custkey").alias("chat_id"))
     return participants.first_hit(candidates, "user_id", targets, "c_custkey", "chat_id")
 

@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 from missivelake.functions import text as T
 from missivelake.operators import audit, contacts, dedup, export, participants, sanitize, threads
 from missivelake.sources import files, html_pages, sinks, sqlite_source
+from missivelake.sources.sorted_files import write_sorted
+from missivelake.sources.stores import plain, staged
 from missivelake.streaming import incremental
 
 EXCLUDES = ".attachment-excludes"
 RENAMES = ".attachment-renames.json"
+#: Entries of each list that a report shows.
+SHOWN = 100
 
 
 def books(spark: SparkSession, paths: list[str]) -> list[dict[str, DataFrame]]:
@@ -24,10 +28,20 @@ def books(spark: SparkSession, paths: list[str]) -> list[dict[str, DataFrame]]:
     return [b for b in found if b is not None]
 
 
+def refresh_books(spark: SparkSession, source: str, cache: str) -> str:
+    """Brings the archive's own copy of the contact books up to date, with their side files, and returns its folder.
+
+    A book that is absent, empty or unreadable just now leaves the last good copy in place.
+    """
+    for path in sqlite_source.book_paths(source):
+        files.refresh(spark, path, os.path.join(cache, os.path.relpath(path, source)))
+    return cache
+
+
 def copy_store(source: str, folder: str) -> str:
     """A consistent copy of a message store: side files first, the store last; the source is never written."""
-    os.makedirs(folder, exist_ok=True)
-    target = os.path.join(folder, os.path.basename(source))
+    target = os.path.join(plain(folder), os.path.basename(source))
+    os.makedirs(plain(folder), exist_ok=True)
     for tail in ("-wal", "-shm", ""):
         if os.path.exists(source + tail):
             shutil.copy2(source + tail, target + tail)
@@ -40,7 +54,7 @@ def plan_sync(spark: SparkSession, source_root: str, target_root: str, patterns:
     wanted = files.inventory(spark, source_root).select("rel_path", "length", "mtime", F.col("path").alias("source"))
     if patterns is not None:
         wanted = wanted.join(audit.excluded(wanted.select("rel_path"), patterns, "rel_path").distinct(), "rel_path", "left_anti")
-    there = files.inventory(spark, target_root).select("rel_path", "length", "mtime") if os.path.isdir(target_root) and any(os.scandir(target_root)) else wanted.select("rel_path", "length", "mtime").limit(0)
+    there = files.inventory(spark, target_root).select("rel_path", "length", "mtime")
     changed = dedup.new_or_changed(wanted, there, "rel_path", ["length", "mtime"])
     return changed.select("source", F.concat(F.lit(target_root.rstrip("/") + "/"), "rel_path").alias("target"), "change")
 
@@ -50,23 +64,23 @@ def audit_snapshot(spark: SparkSession, store: str, shared: str, out: str, stick
     stickers = stickers or os.path.join(shared, "StickerCache")
     check, n_messages, n_attachments = sqlite_source.integrity(store)
     refs = audit.attachment_references(sqlite_source.read_messages(spark, store))
-    roots = [r for r in (shared, stickers) if os.path.isdir(r)]
     inventory = spark.createDataFrame([], "path string, length bigint")
-    for root in roots:
+    for root in (shared, stickers):
         inventory = inventory.union(files.inventory(spark, root).select("path", "length"))
     patterns = files.read_patterns(spark, exclude_from) if exclude_from else None
     done = audit.classify(refs, inventory.distinct(), patterns, shared, stickers)
     now = dt.datetime.now().strftime("%Y-%m-%dT%H:%M:%S")
-    os.makedirs(out, exist_ok=True)
     path = os.path.join(out, "attachment-audit.json")
-    sinks.write_document(audit.audit_document(done, now, store, shared), "audit", path)
+    done = staged(done, "audit")
+    sinks.write_document(audit.document_pieces(done, now, store, shared), path, audit.RECORD_ORDER)
     total = audit.totals(done).first()
-    files.replace_text(os.path.join(out, "audit-report.txt"), "".join(r["line"] + "\n" for r in audit.report_lines(done).toLocalIterator()))
+    lines = audit.report_lines(done).select(F.lit("audit-report.txt").alias("name"), F.lit(1).alias("kind"), F.concat("line", F.lit("\n")).alias("text"), "status", "chat", "rn")
+    write_sorted(lines, out, ["status", "chat", "rn"], "")
     values = {
         "snapshot_time": now, "source_db": store, "message_count": n_messages, "attachment_rows": n_attachments, "integrity_check": check, "zero_byte_attachments": total["zero_byte"],
         "missing_attachments": total["missing"], "attachment_audit": path, "shared_attachments": shared, "wal_copied": "yes" if os.path.exists(store + "-wal") else "no",
     }
-    files.replace_text(os.path.join(out, "manifest.txt"), sinks.manifest_text(values))
+    files.replace_text(spark, os.path.join(out, "manifest.txt"), sinks.manifest_text(values))
     return values
 
 
@@ -84,8 +98,7 @@ def snapshot(spark: SparkSession, store: str, root: str, stamp: str, attachments
     }
     if dry_run:
         return {name: plan.count() for name, plan in plans.items()}
-    os.makedirs(os.path.join(root, "snapshots"), exist_ok=True)
-    folder = incremental.run_folder(os.path.join(root, "snapshots"), stamp)
+    folder = incremental.run_folder(spark, os.path.join(root, "snapshots"), stamp)
     copy = copy_store(store, folder)
     copied = {name: sinks.copy_files(plan) for name, plan in plans.items()}
     values = audit_snapshot(spark, copy, os.path.join(root, "Attachments"), folder, os.path.join(root, "StickerCache"), os.path.join(root, EXCLUDES))
@@ -121,7 +134,7 @@ def merge_pages(spark: SparkSession, paths: list[str], out: str | None) -> dict:
     if out:
         name = F.lit(os.path.basename(out))
         shell = html_pages.shells(pages.filter("file_ord = 0")).select(name.alias("thread"), "before", "after")
-        sinks.write_text_files(sinks.merged_pages(merged.withColumn("thread", name), "thread", shells=shell), os.path.dirname(out) or ".", "thread", "html")
+        sinks.write_pages(sinks.page_pieces(merged.withColumn("thread", name), "thread", shells=shell), os.path.dirname(out) or ".")
     rows.unpersist()
     return {"files": stats, "messages": counts["n"], "dated": counts["dated"], "duplicates": sum(a for a, _ in stats.values()) - counts["n"]}
 
@@ -146,7 +159,7 @@ def group_by_contact(spark: SparkSession, paths: list[str], book_paths: list[str
         messages = html_pages.parse_messages(pages).join(of.select("file", "target"), "file")
         merged = dedup.first_wins(messages, ["target", "guid"], ["file_ord", "msg_ord"])
         shell = html_pages.shells(pages).join(of.filter("file = first").select("file", "target"), "file")
-        sinks.write_text_files(sinks.merged_pages(merged, "target", shells=shell), out, "target", "html")
+        sinks.write_pages(sinks.page_pieces(merged, "target", shells=shell), out)
     return report
 
 
@@ -160,7 +173,7 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
     messages = threads.messages_of(threads.identify(chunks, contacts.numbers_by_name(handles) if handles is not None else None)).cache()
     plan = threads.plan(messages)
     report = {"skipped": skipped, "threads": [tuple(r) for r in plan.collect()]}
-    store = files.inventory(spark, media).select("path") if media and os.path.isdir(media) else spark.createDataFrame([], "path string")
+    store = files.inventory(spark, media).select("path") if media else spark.createDataFrame([], "path string")
     report["attachments"] = tuple(threads.attachment_totals(messages, store).first())
     report["unresolved"] = [r["att"] for r in threads.unresolved(messages, store).collect()]  # at most ten
     report["own_number"] = threads.own_number(chunks).first()["own_number"]
@@ -171,10 +184,9 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
             used = resolved.select(F.explode("resolved").alias("source")).distinct().join(kept, "source")
             sinks.copy_files(used.select("source", F.concat(F.lit(attachments.rstrip("/") + "/"), "name").alias("target")))
             resolved = resolved.withColumn("resolved", F.transform("resolved", lambda p: F.concat(F.lit(os.path.basename(attachments.rstrip("/")) + "/"), T.basename(p))))
-        html = threads.render(resolved, threads.thread_names(messages, handles)).join(plan.select("kind", "thread_key", "output_name"), ["kind", "thread_key"])
-        sinks.write_text_files(html, out, "output_name", "html")
+        sinks.write_pages(threads.page_pieces(resolved, threads.thread_names(messages, handles), plan), out, ["ts", "place"])
         groups = threads.group_sidecar(messages).select(F.col("output_name").alias("file"), F.col("members").alias("handles"))
-        sinks.write_document(participants.sidecar(groups), "participants", os.path.join(out, "group_participants.json"))
+        sinks.write_document(participants.sidecar_pieces(groups), os.path.join(out, "group_participants.json"), ["file"])
     messages.unpersist()
     return report
 
@@ -186,26 +198,31 @@ def sanitize_archive(spark: SparkSession, root: str, out: str | None = None, htm
     these folders refer to.  With ``out`` the archive stays as it is, and changed pages and files are written there
     under their relative paths; without, pages are replaced and files renamed in place.  Changed names are recorded
     as exclude patterns, so that a later sync does not bring the old ones back, and in a log; files that came back under a
-    logged old name go.  What is gathered on the driver is one entry for each badly named file.
+    logged old name go.  Files of one new name are told apart by their bytes (:func:`sanitize.settle`): copies go, others get a
+    name of their own, and both are reported.  The report shows the first ``SHOWN`` of each list; the log has all renames.
     """
     root = os.path.abspath(root)
     read = html_pages.read_pages(spark, html_dirs or root, recursive=True)
     pages = read.select(F.col("path").alias("file"), F.col("text").alias("html"))
-    tree = files.inventory(spark, root).select("rel_path")
+    tree = staged(files.inventory(spark, root).select("rel_path"), "tree")
+    skipped = spark.createDataFrame([], "old_path string")
     if html_dirs:
-        plan = sanitize.scoped_plan(pages, tree.select(F.col("rel_path").alias("path")))
-        skipped = [r["old_path"] for r in plan.filter("skipped").orderBy("old_path").collect()]
+        plan = staged(sanitize.scoped_plan(pages, tree.select(F.col("rel_path").alias("path"))), "plan")
+        skipped = plan.filter("skipped").select("old_path")
         pairs = plan.filter("not skipped and old_path <> new_path").select("old_path", "new_path")
     else:
-        pairs, skipped = sanitize.renames(sanitize.below_roots(tree).select(F.lit(root).alias("root"), "rel_path")).select("old_path", "new_path"), []
-    renames = [tuple(r) for r in pairs.orderBy("old_path").collect()]
-    pairs = spark.createDataFrame(renames, "old_path string, new_path string")  # files change below
-    rewritten = sanitize.rewrite(pages, pairs)
+        pairs = sanitize.renames(sanitize.below_roots(tree).select(F.lit(root).alias("root"), "rel_path")).select("old_path", "new_path")
+    log = files.read_log(spark, os.path.join(root, RENAMES))
+    back = sanitize.heal_candidates(log, tree.select(F.col("rel_path").alias("path"))).select(F.col("old").alias("old_path"), F.col("new").alias("new_path"))
+    settled = staged(sanitize.settle(pairs if out else pairs.union(back), tree, sinks.digests, root), "settled")  # files change below
+    rewritten = sanitize.rewrite(pages, settled)
     totals = rewritten.agg(F.coalesce(F.sum("n_updated"), F.lit(0)).alias("refs"), F.count_if(F.col("n_updated") > 0).alias("pages")).first()
     excludes = files.read_patterns(spark, os.path.join(root, EXCLUDES))
-    patterns = sanitize.new_excludes(pairs.select(F.lit("").alias("rel_dir"), F.col("old_path").alias("old_name")), excludes)
+    patterns = sanitize.new_excludes(settled.select(F.lit("").alias("rel_dir"), F.col("old_path").alias("old_name")), excludes)
+    shown = lambda rows, *columns: [tuple(r) if len(columns) > 1 else r[0] for r in rows.select(*columns).orderBy(*columns).limit(SHOWN).collect()]
     report = {
-        "roots": [r["root"] for r in sanitize.attachment_roots(tree).orderBy("root").collect()], "renames": renames, "skipped": skipped,
+        "roots": [r["root"] for r in sanitize.attachment_roots(tree).orderBy("root").collect()], "renames": shown(settled, "old_path", "new_path"), "n_renames": settled.count(), "skipped": shown(skipped, "old_path"),
+        "duplicates": shown(settled.filter("action = 'remove'"), "old_path", "new_path"), "collisions": shown(settled.filter("collision"), "old_path", "new_path"),
         "references": totals["refs"], "pages": totals["pages"], "excludes": files.write_patterns(patterns, os.path.join(root, EXCLUDES), dry_run),
     }
     if dry_run:
@@ -213,18 +230,15 @@ def sanitize_archive(spark: SparkSession, root: str, out: str | None = None, htm
     base = F.lit(root + "/")
     relative = F.when(F.startswith(F.col("file"), base), F.substring("file", len(root) + 2, 1 << 20)).otherwise(T.basename(F.col("file")))
     changed = rewritten.filter("n_updated > 0")
-    there = pairs.join(tree.select(F.col("rel_path").alias("old_path")), "old_path", "left_semi")
     if out:
         sinks.write_text_files(changed.select(relative.alias("name"), "html"), out, "name", "html")
-        report["files"] = sinks.copy_files(there.select(F.concat(base, "old_path").alias("source"), F.concat(F.lit(out.rstrip("/") + "/"), "new_path").alias("target")))
+        report["files"] = sinks.copy_files(settled.filter("action = 'move'").select(F.concat(base, "old_path").alias("source"), F.concat(F.lit(out.rstrip("/") + "/"), "new_path").alias("target")))
     else:
         # A repeated task finds no old reference in a page that was replaced already, and leaves it.
         sinks.write_text_files(changed.select(F.col("file").alias("name"), "html"), "/", "name", "html")
-        log = files.read_log(spark, os.path.join(root, RENAMES))
-        back = sanitize.heal_candidates(log, tree.select(F.col("rel_path").alias("path"))).select(F.col("old").alias("old_path"), F.col("new").alias("new_path"))
-        moves = there.union(back).distinct()
-        report["files"] = sinks.move_files(moves.select(F.concat(base, "old_path").alias("source"), F.concat(base, "new_path").alias("target")))
-        files.write_log(log.union(pairs.select("old_path", "new_path")), os.path.join(root, RENAMES))
+        acted = settled.filter("action is not null").select(F.concat(base, "old_path").alias("source"), F.concat(base, "new_path").alias("target"), "action")
+        report["files"] = sinks.move_files(acted).filter("done").count()
+        files.write_log(log.join(settled, log["old"] == settled["old_path"], "left_anti").union(settled.select("old_path", "new_path")), os.path.join(root, RENAMES))
     return report
 
 
@@ -238,7 +252,7 @@ def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: boo
     tables = sqlite_source.read_messages(spark, store)
     handles, united = None, {}
     if book_folder:
-        found = books(spark, sqlite_source.book_paths(book_folder))
+        found = books(spark, sqlite_source.book_paths(book_folder if dry_run else refresh_books(spark, book_folder, os.path.join(root, "Contacts"))))
         united = contacts.union_books(found)
         handles = contacts.handle_map(found) if found else None
     root = os.path.abspath(root)
@@ -247,12 +261,10 @@ def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: boo
     def pages(folder: str) -> dict:
         """The rest of the run, from the messages just written."""
         rows = export.rendered(spark.read.parquet(os.path.join(folder, "messages")))
-        html = sinks.merged_pages(dedup.first_wins(rows, ["file", "guid"], ["ts_key"]), "file", F.regexp_replace("file", r"\.html$", ""))
-        html = html.withColumn("html", T.strip_prefix(F.col("html"), F.lit(root + "/")))
-        sinks.write_text_files(html, os.path.join(folder, "html"), "file", "html")
-        written = html_pages.read_pages(spark, os.path.join(folder, "html")) if os.path.isdir(os.path.join(folder, "html")) else None
-        n = 0 if written is None else written.count()
-        members = n > 0 and sinks.write_document(participants.sidecar(participants.participants(written, tables)), "participants", os.path.join(folder, "group_participants.json"))
+        pieces = sinks.page_pieces(dedup.first_wins(rows, ["file", "guid"], ["ts_key"]), "file", F.regexp_replace("file", r"\.html$", ""))
+        pieces = pieces.withColumn("text", T.strip_prefix(F.col("text"), F.lit(root + "/")))
+        n = sinks.write_pages(pieces, os.path.join(folder, "html"))
+        members = n > 0 and sinks.write_document(participants.sidecar_pieces(participants.participants(html_pages.read_pages(spark, os.path.join(folder, "html")), tables)), os.path.join(folder, "group_participants.json"), ["file"])
         for name, table in united.items():
             sinks.write_version(table, os.path.join(folder, "book", name))
         return {"pages": n, "participants": bool(members), "books": sorted(united)}

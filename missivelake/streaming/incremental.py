@@ -1,20 +1,22 @@
-"""Incremental runs: window, lock, run folders, commit, and the overlap merge; batch and streaming."""
+"""Incremental runs: window, lease, run folders, commit, and the overlap merge; batch and streaming."""
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 import re
 from collections.abc import Callable
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from missivelake.operators.dedup import first_wins
-from missivelake.sources.files import replace_text, snapshots
+from missivelake.sources.files import snapshots
+from missivelake.sources.leases import SECONDS, lease
+from missivelake.sources.stores import Store
 
 OVERLAP_DAYS = 1
+#: The mark by which a run claims its folder.
+CLAIMED = ".claimed"
 
 
 def start_day(stamps: list[tuple[str, bool]], full: bool = False, since: str | None = None) -> str | None:
@@ -46,55 +48,55 @@ def merge_overlap(parts: list[DataFrame], key: str, order: list[str]) -> DataFra
     return first_wins(out, [key], ["__run", *order]).drop("__run")
 
 
-@contextmanager
-def lock(folder: str):
-    """One writer at a time, by making a folder; a lock that a crash left behind is removed by hand."""
-    os.mkdir(folder)
-    try:
-        yield
-    finally:
-        os.rmdir(folder)
+def run_folder(spark: SparkSession, root: str, stamp: str) -> str:
+    """A new folder for this run; _2, _3 … when the stamp is taken.  Earlier runs are never rewritten.
 
-
-def run_folder(root: str, stamp: str) -> str:
-    """A new folder for this run; _2, _3 … when the stamp is taken.  Earlier runs are never rewritten."""
-    n = 1
+    The folder belongs to whoever creates its mark, which only one writer can.
+    """
+    store, n = Store(spark, root), 1
     while True:
-        path = os.path.join(root, stamp if n == 1 else f"{stamp}_{n}")
-        try:
-            os.makedirs(path)
+        path = f"{root}/{stamp}" if n == 1 else f"{root}/{stamp}_{n}"
+        if not store.exists(path) and store.create(f"{path}/{CLAIMED}", stamp.encode()):
             return path
-        except FileExistsError:
-            n += 1
+        n += 1
 
 
-def commit(folder: str, start: str | None, now: dt.datetime | None = None) -> None:
-    """The last act of a run: without this mark the next run reads the same window again."""
+def commit(spark: SparkSession, folder: str, start: str | None, now: dt.datetime | None = None) -> None:
+    """The last act of a run: without this mark the next run reads the same window again.  It appears at once, and only once."""
     at = (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
-    replace_text(os.path.join(folder, ".complete"), f"start={start or 'full'}\ncompleted_at={at}\n")
+    if not Store(spark, folder).create(f"{folder}/.complete", f"start={start or 'full'}\ncompleted_at={at}\n".encode()):
+        raise FileExistsError(f"{folder} is committed already")
 
 
-def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False, more: Callable[[str], dict] | None = None) -> dict:
+def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False, more: Callable[[str], dict] | None = None, seconds: float = SECONDS) -> dict:
     """One incremental run of a message table: returns its plan, and unless dry_run writes and commits it.
 
-    ``more`` does the rest of a run in its folder before the commit.
+    ``more`` does the rest of a run in its folder before the commit.  One run writes at a time, under a lease that outlives no crash;
+    a run whose lease was taken over does not commit.
     """
-    start = start_day(snapshots(root), full, since)
-    plan = {"start": start, "root": root, "stamp": stamp}
+    spark = rows.sparkSession
+    start = start_day(snapshots(spark, root), full, since)
+    plan = {"start": start, "root": root, "stamp": stamp, "steps": steps(root, stamp, start)}
     if dry_run:
         return plan
-    os.makedirs(root, exist_ok=True)
-    with lock(os.path.join(root, ".lock")):
-        folder = run_folder(root, stamp)
-        window(rows, ts, start).write.parquet(os.path.join(folder, "messages"))
+    with lease(spark, root, seconds) as held:
+        folder = run_folder(spark, root, stamp)
+        window(rows, ts, start).write.parquet(f"{folder}/messages")
         told = more(folder) if more else {}
-        commit(folder, start)
+        held.check()
+        commit(spark, folder, start)
     return plan | {"folder": folder} | told
 
 
-def archive(spark, root: str, key: str, order: list[str]) -> DataFrame:
+def steps(root: str, stamp: str, start: str | None) -> list[str]:
+    """What a run does, in order, for its printed plan."""
+    window_text = "all messages" if start is None else f"messages from {start} on"
+    return [f"take the lease {root}/.lease", f"write {window_text} to {root}/{stamp}/messages", f"write pages, members and books below {root}/{stamp}", f"commit {root}/{stamp}/.complete"]
+
+
+def archive(spark: SparkSession, root: str, key: str, order: list[str]) -> DataFrame:
     """All committed runs merged."""
-    parts = [spark.read.parquet(os.path.join(root, s, "messages")) for s, complete in snapshots(root) if complete]
+    parts = [spark.read.parquet(f"{root}/{s}/messages") for s, complete in snapshots(spark, root) if complete]
     return merge_overlap(parts, key, order)
 
 

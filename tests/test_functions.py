@@ -64,8 +64,14 @@ def test_pattern_regex_matches_like_a_wildcard(spark):
 
 def test_reference_rewrite_leaves_plain_text(spark):
     html = '<img src="Attachments/a:b.jpg"> Attachments/a:b.jpg <a href="Attachments/a:b.jpg">'
-    found = one(spark, T.replace_reference(F.col("a"), F.col("b"), F.col("c")), a=html, b="Attachments/a:b.jpg", c="Attachments/a-b.jpg")
+    pairs = lambda **m: F.create_map(*[F.lit(x) for kv in m.items() for x in (f"Attachments/{kv[0]}", f"Attachments/{kv[1]}")])
+    found = one(spark, T.replace_references(F.col("a"), F.create_map(F.lit("Attachments/a:b.jpg"), F.lit("Attachments/a-b.jpg"))), a=html)
     assert found == '<img src="Attachments/a-b.jpg"> Attachments/a:b.jpg <a href="Attachments/a-b.jpg">'
+    # One pass: a new path is not taken for an old one, and what stands around stays.
+    chain = '<a href="Attachments/x"><a href="Attachments/y"> src="Attachments/x$1"\n'
+    assert one(spark, T.replace_references(F.col("a"), pairs(x="y", y="z$0")), a=chain) == '<a href="Attachments/y"><a href="Attachments/z$0"> src="Attachments/x$1"\n'
+    for text in ("", "none", '"Attachments/x"'):
+        assert one(spark, T.replace_references(F.col("a"), pairs(x="y")), a=text) == text
 
 
 def test_resolve_path(spark):

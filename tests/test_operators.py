@@ -59,7 +59,7 @@ def test_sqlite_source_splits_and_pushes(spark, store):
     assert sqlite_source.integrity(store + ".none")[1:] == ("?", "?")
 
 
-def test_audit_of_a_store(spark, store):
+def test_audit_of_a_store(spark, store, tmp_path):
     refs = audit.attachment_references(sqlite_source.read_messages(spark, store))
     rows = refs.collect()
     assert len(rows) == 8  # one attachment on two messages, one message in two chats; null and other paths go
@@ -69,8 +69,17 @@ def test_audit_of_a_store(spark, store):
     done = audit.classify(refs, inventory, patterns, "/a", "/s").cache()
     total = audit.totals(done).first()
     assert (total["ok"], total["zero_byte"], total["missing"], total["referenced"]) == (4, 2, 2, 8)
-    document = json.loads(audit.audit_document(done, "now", "db", "/a").first()["audit"])
-    assert document["totals"]["referenced"] == 8 and document["missing"][0]["file"] in ("ab/gone.jpg", "gone.jpg", "~/attachments/low.jpg")
+    path = tmp_path / "audit.json"
+    assert sinks.write_document(audit.document_pieces(done, "now", "db", "/a"), str(path), audit.RECORD_ORDER)
+    document = json.loads(path.read_text())
+    assert list(document) == ["generated", "snapshot_db", "shared_attachments", "totals", "zero_byte", "missing"]
+    assert document["totals"] == {"ok": 4, "zero_byte": 2, "missing": 2, "referenced": 8}
+    assert [len(document["zero_byte"]), len(document["missing"])] == [2, 2] and document["missing"][0]["file"] in ("ab/gone.jpg", "gone.jpg", "~/attachments/low.jpg")
+    # O1: oldest first, undated last.
+    problems = [(r["status"], r["sent"] is None, r["sent"] or "", r["chat"], r["file"]) for r in audit.problems(done).collect()]
+    assert problems == sorted(problems) and len(problems) == 4
+    sinks.write_document(audit.document_pieces(done.limit(0), "now", "db", "/a"), str(path), audit.RECORD_ORDER)
+    assert json.loads(path.read_text())["missing"] == []
     assert any("Named" in r["line"] for r in audit.report_lines(done).collect())
 
 
@@ -104,8 +113,8 @@ def test_overlapping_pages_merge_to_one_copy(spark, tmp_path):
         merged = dedup.first_wins(rows, ["guid"], ["file_ord", "msg_ord"])
         assert [r["guid"] for r in dedup.in_time_order(merged, "ts_key", ["file_ord", "msg_ord"]).collect()] == [G(1), G(2), G(3)]
         assert merged.filter(F.col("html").contains("two again")).count() == 0
-    out = sinks.merged_pages(dedup.first_wins(rows, ["guid"], ["file_ord", "msg_ord"]).withColumn("thread", F.lit("x.html")), "thread")
-    sinks.write_text_files(out, str(tmp_path / "out"), "thread", "html")
+    out = sinks.page_pieces(dedup.first_wins(rows, ["guid"], ["file_ord", "msg_ord"]).withColumn("thread", F.lit("x.html")), "thread")
+    assert sinks.write_pages(out, str(tmp_path / "out")) == 1
     assert (tmp_path / "out" / "x.html").read_text().count('<div class="message">') == 3
     stats = {r["file"]: (r["n_in"], r["n_new"]) for r in dedup.contribution(rows, ["guid"], ["file_ord", "msg_ord"], "file").collect()}
     assert stats == {"Real Group.html": (2, 2), "b%20.html": (2, 1)}
@@ -127,7 +136,7 @@ def voice(title, *lines, people=()):
     return VOICE.format(title=title, people=box, messages="".join(LINE.format(**{"extra": "", "name": "", **line}) for line in lines))
 
 
-def test_voice_threads(spark):
+def test_voice_threads(spark, tmp_path):
     me = {"tel": "+15550000009", "name": "Me"}
     chunks = [
         ("Ann Lee - Text - 1Z.html", voice("Me to Ann Lee", {"ts": "2020-01-01T12:00:00.123-05:00", "text": "out &amp; about", **me})),
@@ -143,9 +152,11 @@ def test_voice_threads(spark):
     plan = {r["output_name"]: (r["n_messages"], r["n_attachments"]) for r in threads.plan(messages).collect()}
     assert plan == {"+15550000001.html": (2, 0), "+15550000002.html": (1, 0), "+1555, +1556.html": (1, 0), "Zed_Q.html": (1, 0)}
     names = threads.thread_names(messages)
-    html = {r["thread_key"]: r["html"] for r in threads.render(messages, names).collect()}
-    assert html["+15550000001"].index("out &amp; about") < html["+15550000001"].index("hello") and "Jan 01, 2020 12:00:00 PM" in html["+15550000001"]
-    assert "bubble" not in html["+1555, +1556"]
+    assert [r["n_messages"] for r in threads.plan(messages).collect()] == [2, 1, 1, 1]  # O6
+    assert sinks.write_pages(threads.page_pieces(messages, names, threads.plan(messages)), str(tmp_path), ["ts", "place"]) == 4
+    html = (tmp_path / "+15550000001.html").read_text()
+    assert html.index("out &amp; about") < html.index("hello") and "Jan 01, 2020 12:00:00 PM" in html and html.endswith("</div>\n</body></html>")
+    assert "bubble" not in (tmp_path / "+1555, +1556.html").read_text()
     assert threads.group_sidecar(messages).first()["members"] == ["+1555", "+1556"]
     first = threads.messages_of(threads.identify(html_pages.parse_chunks(pages.filter("file_ord < 2"))))
     media = spark.createDataFrame([("m/pic-1.png",), ("m/pic-1.jpg",)], "path string")
@@ -153,15 +164,17 @@ def test_voice_threads(spark):
     assert tuple(threads.attachment_totals(first, media).first()) == (1, 0)
 
 
-def test_participants_prefer_recent_ids(spark, store):
+def test_participants_prefer_recent_ids(spark, store, tmp_path):
     tables = sqlite_source.read_messages(spark, store)
     ids = [G(k) for k in (1, *range(100, 130))]
     text = "".join(f"message-guid={g} " for g in ids)
     pages = spark.createDataFrame([("A, B.html", text), ("Family.html", text), ("Real Group.html", f"message-guid={G(1)} message-guid={G(2)}")], "file string, text string")
     found = participants.participants(pages, tables)
     assert {r["file"]: r["handles"] for r in found.collect()} == {"A, B.html": ["+15550000000", "+15550000001"], "Real Group.html": ["+15550000000", "+15550000001"]}
-    assert json.loads(participants.sidecar(found).first()["participants"])["A, B.html"] == ["+15550000000", "+15550000001"]
-    assert participants.sidecar(found.limit(0)).count() == 0
+    path = tmp_path / "members.json"
+    assert not sinks.write_document(participants.sidecar_pieces(found.limit(0)), str(path), ["file"]) and not path.exists()
+    assert sinks.write_document(participants.sidecar_pieces(found), str(path), ["file"])
+    assert json.loads(path.read_text())["A, B.html"] == ["+15550000000", "+15550000001"]
 
 
 def test_sanitize_plans_and_rewrite(spark):
@@ -169,7 +182,8 @@ def test_sanitize_plans_and_rewrite(spark):
     assert {r["root"] for r in sanitize.attachment_roots(tree).collect()} == {"Attachments", "x/StickerCache"}
     plan = [(r["rel_dir"], r["old_name"], r["new_name"]) for r in sanitize.full_plan(tree).collect()]
     assert plan[0] == ("Attachments/sub:dir", "pic:1.jpg", "pic-1.jpg") and ("Attachments", "sub:dir", "sub-dir") in plan
-    assert sanitize.collisions(tree).first()["old_paths"] == ["Attachments/a:b", "Attachments/a?b"]
+    depths = [r["depth"] for r in sanitize.full_plan(tree).collect()]  # O8: deepest first
+    assert depths == sorted(depths, reverse=True)
     pages = spark.createDataFrame([("new.html", '<img src="Attachments/a:b"> Attachments/a:b'), ("other.html", '<a href="Attachments/d:r/x.jpg">')], "file string, html string")
     scoped = {r["old_path"]: (r["new_path"], r["skipped"], r["exists"]) for r in sanitize.scoped_plan(pages, spark.createDataFrame([("Attachments/zzz:only-old",)], "path string")).collect()}
     assert scoped == {"Attachments/a:b": ("Attachments/a-b", False, False), "Attachments/d:r/x.jpg": ("Attachments/d:r/x.jpg", True, False)}
@@ -182,7 +196,7 @@ def test_state_files(spark, tmp_path):
     path = str(tmp_path / "excludes")
     assert files.write_patterns(spark.createDataFrame([("b",), ("a",), ("b",)], "pattern string"), path) == 2
     assert open(path).read() == "a\nb\n"
-    assert [r["pattern"] for r in files.read_patterns(spark, path).collect()] == ["a", "b"]
+    assert sorted(r["pattern"] for r in files.read_patterns(spark, path).collect()) == ["a", "b"]
     assert files.read_patterns(spark, path + "x").count() == 0
     (tmp_path / "log").write_text("{bad")
     assert files.read_log(spark, str(tmp_path / "log")).count() == 0
@@ -206,7 +220,10 @@ def test_incremental_runs_equal_one_full_run(spark, tmp_path):
     assert incremental.start_day([], since="2024-13-99") == "2024-13-99"
     with pytest.raises(ValueError):
         incremental.start_day([], since="yesterday")
-    assert incremental.run_folder(root, "2026-02-21_080000").endswith("_2")
+    assert incremental.run_folder(spark, root, "2026-02-21_080000").endswith("_2")
+    assert [(r["stamp"], r["complete"]) for r in files.snapshot_catalog(spark, root).collect()] == [("2026-02-10_080000", True), ("2026-02-15_000000", False), ("2026-02-21_080000", True), ("2026-02-21_080000_2", False)]
+    with pytest.raises(FileExistsError):
+        incremental.commit(spark, first["folder"], None)
     plan = incremental.window(rows.select("guid", "ts"), "ts", "2026-02-05")
     assert plan.count() == 16
 
@@ -226,7 +243,11 @@ def test_exclude_patterns_equal_their_expressions(spark):
     rng = random.Random(4)
     word = lambda n: "".join(rng.choice("ab/.") for _ in range(n))
     values = sorted({word(rng.randint(0, 6)) for _ in range(150)})
-    patterns = sorted({"".join(rng.choice("ab/.??*" if k % 3 == 0 else "ab/.?" if k % 3 == 1 else "ab/.") for _ in range(rng.randint(1, 6))) for k in range(60)} | {"?", "*", "a*"} - {"*"})
+    patterns = sorted({"".join(rng.choice("ab/.??*" if k % 3 == 0 else "ab/.?" if k % 3 == 1 else "ab/.") for _ in range(rng.randint(1, 6))) for k in range(60)} | {"?", "a*", "*b/", "*ab.a*", "?*/b*a"} - {"*"})
+    patterns = [p for p in patterns if set(p) - {"*", "?"} or "*" not in p]
     refs = spark.createDataFrame([(v, k) for k, v in enumerate(values)] + [(None, 999)], "tail string, k long")
     got = sorted(r["tail"] for r in audit.excluded(refs, spark.createDataFrame([(p,) for p in patterns], "pattern string")).collect())
     assert got == [v for v in values if any(fnmatch.fnmatchcase(v, p) for p in patterns)]
+    for few in (["??*", "a?"], ["*"], ["*/*.*", "*" + "ab/." * 10], []):  # without literals; with some that no value holds
+        got = sorted(r["tail"] for r in audit.excluded(refs, spark.createDataFrame([(p,) for p in few], "pattern string")).collect())
+        assert got == [v for v in values if any(fnmatch.fnmatchcase(v, p) for p in few)]
