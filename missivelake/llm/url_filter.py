@@ -3,8 +3,9 @@
 FP-growth mines the token combinations of labelled addresses together with the label.  Before, tokens that stand in exactly
 the same labelled rows become one item, and tokens of every row go: they cannot tell rows apart, and each would
 double the number of combinations.  The support that a rule needs follows from the number of labelled rows, and the lower
-bound of its confidence must exceed the share of bad rows.  A rule goes when a shorter one inside it is as
-confident.  Rules match by an inverted index: each is filed under its rarest token, so an address only meets rules filed
+bound of its confidence must exceed the share of bad rows.  The bound is taken at an error divided by the number of combinations
+that were tried (Bonferroni), so that a table whose labels have nothing to do with its addresses gives no rule in most cases.  A
+rule goes when a shorter one inside it is as confident.  Rules match by an inverted index: each is filed under its rarest token, so an address only meets rules filed
 under its own tokens.
 
 The index is sent to the executors while it has at most ``MAX_RULES`` rules; beyond, distinct addresses and
@@ -21,6 +22,7 @@ no mined rules.  Repeated labelled rows count each.  Other columns are ignored.
 from __future__ import annotations
 
 from collections import defaultdict
+from statistics import NormalDist
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -31,9 +33,9 @@ from .common import ascii_lower, discard, small_batches, written
 #: (action, host with path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 BAD = "label=bad"
-#: A rule needs this share of the labelled rows and so many rows; its confidence must exceed the share of bad rows by so
-#: many standard errors (the lower bound of Wilson's interval, one-sided 95 %).
-MIN_SUPPORT, MIN_ROWS, DEVIATIONS = 0.002, 5, 1.645
+#: A rule needs this share of the labelled rows and so many rows; the chance that any combination of a table without rules passes
+#: is about ``ERROR`` (one-sided lower bound of Wilson's interval).
+MIN_SUPPORT, MIN_ROWS, ERROR = 0.002, 5, 0.05
 RULE_SCHEMA = "antecedent array<string>, confidence double, support double"
 MAX_RULES = 50_000
 
@@ -70,7 +72,12 @@ def stated(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, action
 
 
-def lower_bound(hits: Column, rows: Column, deviations: float = DEVIATIONS) -> Column:
+def deviations_for(tried: int, error: float = ERROR) -> float:
+    """Standard errors of a one-sided bound that holds for ``tried`` combinations together."""
+    return NormalDist().inv_cdf(1 - error / max(1, tried))
+
+
+def lower_bound(hits: Column, rows: Column, deviations: float) -> Column:
     """The lower bound of Wilson's interval for a share of ``hits`` in ``rows``."""
     z = deviations * deviations
     share = hits / rows
@@ -90,7 +97,7 @@ def items_of(baskets: DataFrame, n: int, least: int) -> DataFrame:
     return sets.join(names, ["n", "x", "y"]).select("token", "item")
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS, deviations: float = DEVIATIONS) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS, error: float = ERROR) -> DataFrame:
     """(antecedent array, confidence, support) of rules towards the bad label.
 
     labelled: (url, bad boolean).
@@ -105,7 +112,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int =
     of_row = baskets.select("row", F.explode("tokens").alias("token")).join(items, "token").groupBy("row").agg(F.collect_set("item").alias("items"))
     labels = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     rows = baskets.join(of_row, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), labels).alias("items"))
-    rules = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=bad / n).fit(rows).associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
+    # The miner needs ceil(minSupport * n) rows: half a row less than ``least``, so that rounding cannot ask for one more.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=bad / n).fit(rows)
+    tried = model.freqItemsets.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).count()
+    deviations = deviations_for(tried, error)
+    rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
     hits = F.round(F.col("support") * n)
     sure = rules.filter(lower_bound(hits, F.round(hits / F.col("confidence")), deviations) > bad / n).select("antecedent", "confidence", "support")
     whole = sure.select(F.explode("antecedent").alias("item"), "*").join(items, "item").groupBy("antecedent", "confidence", "support").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
