@@ -157,10 +157,9 @@ def document_pieces(classified: DataFrame, generated: str, snapshot: str, attach
         F.lit(generated).alias("generated"), F.lit(snapshot).alias("snapshot_db"), F.lit(attachments).alias("shared_attachments"), F.struct("ok", "zero_byte", "missing", "referenced").alias("totals"),
     )
     head = F.concat(F.regexp_replace(F.to_json(fields), r"\}$", ""), F.lit(',\n"zero_byte":[\n'))
-    around = [(0, head), (2, F.lit('\n],\n"missing":[\n')), (4, F.lit("\n]}\n"))]
-    nothing = [F.lit(False).alias("undated"), *[F.lit(None).cast("string").alias(c) for c in RECORD_ORDER[1:]]]
-    for k, text in around:
-        records = records.union(totals(classified).select(F.lit(k).alias("kind"), text.alias("text"), *nothing))
+    around = F.array(*[F.struct(F.lit(k).alias("kind"), text.alias("text")) for k, text in ((0, head), (2, F.lit('\n],\n"missing":[\n')), (4, F.lit("\n]}\n")))])
+    nothing = [F.lit(False), *[F.lit(None).cast("string")] * 5]
+    records = records.union(totals(classified).select(F.explode(around).alias("x")).select("x.kind", "x.text", *nothing))
     return records
 
 

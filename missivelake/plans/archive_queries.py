@@ -16,7 +16,7 @@ from missivelake.operators import audit, contacts, dedup, export, participants,
 from missivelake.operators.ranks import ranked
 from missivelake.plans.catalogue import query
 from missivelake.sources import files, html_pages, sinks, sqlite_source
-from missivelake.sources.stores import scratch
+from missivelake.sources.stores import scratch, staged
 from missivelake.streaming import incremental
 
 
@@ -115,7 +115,7 @@ def audit_report(t):
 (SELECT count(*) FILTER (status = 'ok') || ',' || count(*) FILTER (status = 'zero_byte') || ',' || count(*) FILTER (status = 'missing') || ',' || count(*) FROM r) AS totals FROM r WHERE status <> 'ok'""")
 def audit_json(t):
     """The audit's document, written in pieces and read back: its records in their order, and its totals."""
-    done = classified(t)
+    done = staged(classified(t), "audit")
     spark, path = done.sparkSession, work_folder(done.sparkSession) + "/audit.json"
     sinks.write_document(audit.document_pieces(done, "now", "db", "/a"), path, audit.RECORD_ORDER)
     lines = read_lines(spark, path)
@@ -566,43 +566,45 @@ def state_files(t):
     return files.read_patterns(spark, os.path.join(root, "excludes")).join(files.read_log(spark, os.path.join(root, "log")), F.col("pattern") == F.col("old"))
 
 
-def to_sqlite(path: str, tables: dict[str, DataFrame]) -> str:
-    """Writes tables into one database file, on the driver: a fixture, which such a file is by nature."""
-    import sqlite3
-
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    kinds = {"bigint": "INTEGER", "int": "INTEGER", "double": "REAL"}
-    with sqlite3.connect(path) as db:
-        for name, rows in tables.items():
-            columns = [f"{sqlite_source.quoted(c)} {kinds.get(k, 'TEXT')}{' PRIMARY KEY' if c in ('ROWID', 'Z_PK') else ''}" for c, k in rows.dtypes]
-            db.execute(f"CREATE TABLE {name} ({', '.join(columns)})")
-            db.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(columns))})", (tuple(r) for r in rows.toLocalIterator()))
-    return path
-
-
 @query("SELECT 'G' || c_custkey AS guid, c_custkey * 86400 AS date FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey * 86400 >= 8640000")
 def sqlite_messages(t):
-    """A store file read with a pushed filter."""
+    """A store's shards, written and read by tasks, with a pushed filter."""
     spark = spark_of(t("customer"))
-    path = to_sqlite(os.path.join(work_folder(spark), "chat.db"), {"message": store(t)["message"]})
+    path = sqlite_source.write_tables(work_folder(spark), {"message": store(t)["message"]})
     return sqlite_source.read_table(spark, path, "message").filter("date >= 8640000").select("guid", "date")
 
 
 @query(f"WITH {NAMES} SELECT chat AS chat_name, c AS chat_id FROM chats")
 def sqlite_chats(t):
-    """A store file's tables joined for the names of its chats."""
+    """A store's tables joined for the names of its chats."""
     spark = spark_of(t("customer"))
-    tables = sqlite_source.read_messages(spark, to_sqlite(os.path.join(work_folder(spark), "chat.db"), store(t)))
+    tables = sqlite_source.read_messages(spark, sqlite_source.write_tables(work_folder(spark), store(t)))
     return audit.chat_names(tables["chat"], tables["chat_handle_join"], tables["handle"])
 
 
+def book_folder(t) -> str:
+    """A main book and an account's book in their places."""
+    folder = work_folder(spark_of(t("customer")))
+    names = {"record": "ZABCDRECORD", "phone": "ZABCDPHONENUMBER", "email": "ZABCDEMAILADDRESS"}
+    for place, rows in ((".", book(t("customer"), "c_custkey", "c_name")), ("Sources/1", book(t("supplier"), "s_suppkey", "s_name"))):
+        sqlite_source.write_tables(f"{folder}/{place}/AddressBook-v22.abcddb", {names[k]: v for k, v in rows.items()})
+    return folder
+
+
 @query(f"WITH {HANDLES} SELECT * FROM h")
 def sqlite_books(t):
     """The handle map of a main book and an account's book, found in their folder."""
+    spark, folder = spark_of(t("customer")), book_folder(t)
+    return contacts.handle_map([b for p in sqlite_source.book_paths(folder) if (b := sqlite_source.read_book(spark, p)) is not None])
+
+
+@query("SELECT 'G' || c_custkey % 300 AS guid, min(c_custkey) AS ROWID, min(c_custkey) * 86400 AS date FROM customer GROUP BY c_custkey % 300")
+def followed_store(t):
+    """A store's table followed as a stream, one copy of each id, the first by rowid."""
     spark = spark_of(t("customer"))
+    k = F.col("c_custkey")
+    rows = t("customer").select(k.alias("ROWID"), F.concat(F.lit("G"), (k % 300).cast("string")).alias("guid"), (k * 86400).cast("long").alias("date"))
     folder = work_folder(spark)
-    names = {"record": "ZABCDRECORD", "phone": "ZABCDPHONENUMBER", "email": "ZABCDEMAILADDRESS"}
-    for place, rows in ((".", book(t("customer"), "c_custkey", "c_name")), ("Sources/1", book(t("supplier"), "s_suppkey", "s_name"))):
-        os.makedirs(os.path.join(folder, place), exist_ok=True)
-        to_sqlite(os.path.join(folder, place, "AddressBook-v22.abcddb"), {names[k]: v for k, v in rows.items()})
-    return contacts.handle_map([b for p in sqlite_source.book_paths(folder) if (b := sqlite_source.read_book(spark, p)) is not None])
+    stream = sqlite_source.follow_table(spark, sqlite_source.write_tables(f"{folder}/store", {"message": rows}), "message").withColumn("ts", T.apple_time(F.col("date")))
+    incremental.follow(stream, "guid", "ROWID", "ts", f"{folder}/rows", f"{folder}/state").awaitTermination()
+    return incremental.followed(spark, f"{folder}/rows", "guid", "ROWID").select("guid", "ROWID", "date")

@@ -1,20 +1,27 @@
-"""SQLite tables as a Spark data source, read-only, split by rowid ranges.
+"""SQLite tables as a Spark data source: read by rowid ranges, followed as a stream, written as shards.
 
 ``register(spark)`` and then
 ``spark.read.format("sqlite").option("path", file).option("dbtable", "message").load()``.
-The file must be readable under the same path by every executor.  Comparisons of columns with literals are
-pushed into the scan.  Bytes that are no UTF-8 become replacement characters.
+A path is one store's file, or a folder with a folder of shards for each table, as ``df.write.format("sqlite")`` makes it: each task
+writes a file of its own, and files count once their job has committed.  Files must be readable under the same path by every
+executor, and are never changed by reading.  Comparisons of columns with literals are pushed into the scan.  Bytes that are no UTF-8
+become replacement characters.
+
+As a stream, a table's offset is the largest rowid read of each file, so that a restarted query goes on where its checkpoint ends.
 """
 
 from __future__ import annotations
 
+import os
 import sqlite3
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage,
+)
 from pyspark.sql.types import StructType
 
 #: Columns read from known tables; other tables take their declared types.
@@ -33,6 +40,8 @@ SCHEMAS = {
 #: Columns of known tables that are read where a store has them.
 OPTIONAL = {"message": {"text": "string", "is_from_me": "bigint", "handle_id": "bigint"}}
 ROWS_EACH = 200_000
+#: The columns that are a table's rowid, and the ending of a committed shard.
+KEYS, SHARD = ("ROWID", "Z_PK"), ".db"
 OPERATORS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
 
@@ -47,8 +56,36 @@ def quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def shards(path: str, table: str) -> list[str]:
+    """The files that hold a table: the store itself, or the committed shards of its folder."""
+    if not os.path.isdir(path):
+        return [path]
+    folder = os.path.join(path, table)
+    return sorted(os.path.join(folder, n) for n in os.listdir(folder) if n.endswith(SHARD)) if os.path.isdir(folder) else []
+
+
+def bounds(path: str, table: str) -> tuple[int | None, int | None] | None:
+    """The least and the largest rowid; None for a table or view without rowids."""
+    with connect(path) as db:
+        try:
+            return db.execute(f"SELECT min(rowid), max(rowid) FROM {quoted(table)}").fetchone()
+        except sqlite3.OperationalError:
+            return None
+
+
+def selected(path: str, table: str, schema: StructType, where: list[str], values: list) -> Iterator[tuple]:
+    """The rows of a table as Spark's types."""
+    columns = ", ".join(quoted(c) for c in schema.names)
+    kinds = [f.dataType.typeName() for f in schema.fields]
+    query = f"SELECT {columns} FROM {quoted(table)}" + (" WHERE " + " AND ".join(where) if where else "")
+    with connect(path) as db:
+        for row in db.execute(query, values):
+            yield tuple(None if v is None else _as(v, k) for v, k in zip(row, kinds))
+
+
 @dataclass
 class Range(InputPartition):
+    path: str
     low: int | None
     high: int | None
 
@@ -77,26 +114,89 @@ class SqliteReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Range]:
-        with connect(self.path) as db:
-            try:
-                low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {quoted(self.table)}").fetchone()
-            except sqlite3.OperationalError:  # a table or view without rowids
-                return [Range(None, None)]
-        if low is None:
-            return []
-        return [Range(k, min(k + self.rows_each, high + 1)) for k in range(low, high + 1, self.rows_each)]
-
-    def read(self, partition: Range) -> Iterator[tuple]:
+        files = shards(self.path, self.table)
+        if len(files) != 1:  # shards are about as large as the tasks that wrote them
+            return [Range(f, None, None) for f in files]
+        ends = bounds(files[0], self.table)
+        if ends is None:
+            return [Range(files[0], None, None)]
+        low, high = ends
+        return [Range(files[0], k, min(k + self.rows_each, high + 1)) for k in range(low, high + 1, self.rows_each)] if low is not None else []
+
+    def read(self, partition: Range | None) -> Iterator[tuple]:
+        if partition is None:  # an empty table has no ranges
+            return
         where, values = list(self.where), list(self.values)
         if partition.low is not None:
             where.append("rowid >= ? AND rowid < ?")
             values += [partition.low, partition.high]
-        columns = ", ".join(quoted(c) for c in self.schema.names)
-        kinds = [f.dataType.typeName() for f in self.schema.fields]
-        query = f"SELECT {columns} FROM {quoted(self.table)}" + (" WHERE " + " AND ".join(where) if where else "")
-        with connect(self.path) as db:
-            for row in db.execute(query, values):
-                yield tuple(None if v is None else _as(v, k) for v, k in zip(row, kinds))
+        yield from selected(partition.path, self.table, self.schema, where, values)
+
+
+class SqliteStream(DataSourceStreamReader):
+    """New rows by rowid: an offset maps each file's name to the largest rowid that was read."""
+
+    def __init__(self, path: str, table: str, schema: StructType, rows_each: int):
+        self.path, self.table, self.schema, self.rows_each = path, table, schema, rows_each
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        ends = {os.path.basename(f): bounds(f, self.table) for f in shards(self.path, self.table)}
+        return {name: e[1] for name, e in ends.items() if e and e[1] is not None}
+
+    def partitions(self, start: dict, end: dict) -> list[Range]:
+        out = []
+        for f in shards(self.path, self.table):
+            name = os.path.basename(f)
+            low, high = start.get(name), end.get(name)
+            if high is not None:
+                low = low + 1 if low is not None else bounds(f, self.table)[0]
+                out += [Range(f, k, min(k + self.rows_each, high + 1)) for k in range(low, high + 1, self.rows_each)]
+        return out
+
+    def read(self, partition: Range) -> Iterator[tuple]:
+        yield from selected(partition.path, self.table, self.schema, ["rowid >= ? AND rowid < ?"], [partition.low, partition.high])
+
+    def commit(self, end: dict) -> None:
+        """The store is not ours: nothing is deleted."""
+
+
+class Shard(WriterCommitMessage):
+    def __init__(self, staged: str):
+        self.staged = staged
+
+
+class SqliteWriter(DataSourceWriter):
+    """A file a task, renamed when the job commits."""
+
+    def __init__(self, path: str, table: str, schema: StructType):
+        self.folder, self.table, self.schema = os.path.join(path, table), table, schema
+
+    def write(self, iterator) -> Shard:
+        from pyspark import TaskContext
+
+        os.makedirs(self.folder, exist_ok=True)
+        context = TaskContext.get()
+        staged = os.path.join(self.folder, f"part-{context.partitionId():06d}{SHARD}.{context.taskAttemptId()}")
+        kinds = {"long": "INTEGER", "integer": "INTEGER", "double": "REAL", "binary": "BLOB"}
+        columns = [f"{quoted(f.name)} {kinds.get(f.dataType.typeName(), 'TEXT')}{' PRIMARY KEY' if f.name in KEYS else ''}" for f in self.schema.fields]
+        with sqlite3.connect(staged) as db:
+            db.execute(f"CREATE TABLE {quoted(self.table)} ({', '.join(columns)})")
+            db.executemany(f"INSERT INTO {quoted(self.table)} VALUES ({', '.join('?' * len(columns))})", (tuple(r) for r in iterator))
+        db.close()
+        return Shard(staged)
+
+    def commit(self, messages: list[Shard]) -> None:
+        for m in messages:
+            if m is not None:
+                os.replace(m.staged, m.staged.rpartition(".")[0])
+
+    def abort(self, messages: list[Shard]) -> None:
+        for m in messages:
+            if m is not None and os.path.exists(m.staged):
+                os.remove(m.staged)
 
 
 def _as(value, kind: str):
@@ -116,7 +216,10 @@ class SqliteSource(DataSource):
 
     def schema(self) -> str:
         table = self.options["dbtable"]
-        with connect(self.options["path"]) as db:
+        files = shards(self.options["path"], table)
+        if not files:
+            raise ValueError(f"no table {table}")
+        with connect(files[0]) as db:
             columns = db.execute(f"PRAGMA table_info({quoted(table)})").fetchall()
         if table in SCHEMAS:
             there = {c[1] for c in columns}
@@ -126,11 +229,22 @@ class SqliteSource(DataSource):
         kind = lambda t: "bigint" if "INT" in t.upper() else "double" if any(x in t.upper() for x in ("REAL", "FLOA", "DOUB")) else "binary" if "BLOB" in t.upper() else "string"
         return ", ".join(f"`{c[1]}` {kind(c[2] or '')}" for c in columns)
 
+    def _place(self) -> tuple[str, str]:
+        return self.options["path"], self.options["dbtable"]
+
     def reader(self, schema: StructType) -> SqliteReader:
-        return SqliteReader(self.options["path"], self.options["dbtable"], schema, int(self.options.get("rowseach", ROWS_EACH)))
+        return SqliteReader(*self._place(), schema, int(self.options.get("rowseach", ROWS_EACH)))
+
+    def streamReader(self, schema: StructType) -> SqliteStream:
+        return SqliteStream(*self._place(), schema, int(self.options.get("rowseach", ROWS_EACH)))
+
+    def writer(self, schema: StructType, overwrite: bool) -> SqliteWriter:
+        return SqliteWriter(*self._place(), schema)
 
 
 def table_names(path: str) -> list[str]:
+    if os.path.isdir(path):
+        return sorted(n for n in os.listdir(path) if shards(path, n))
     with connect(path) as db:
         return sorted(r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table'"))
 
@@ -146,6 +260,20 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.format("sqlite").option("path", path).option("dbtable", table).load()
 
 
+def follow_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table as a stream of its new rows."""
+    register(spark)
+    return spark.readStream.format("sqlite").option("path", path).option("dbtable", table).load()
+
+
+def write_tables(path: str, tables: dict[str, DataFrame]) -> str:
+    """Writes tables as shards below a folder, a file a task; they are read again by the folder's path."""
+    for name, rows in tables.items():
+        register(rows.sparkSession)
+        rows.write.format("sqlite").mode("append").option("path", path).option("dbtable", name).save()
+    return path
+
+
 def read_messages(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The seven tables of a message store."""
     names = ("message", "attachment", "message_attachment_join", "chat", "chat_message_join", "chat_handle_join", "handle")
@@ -153,7 +281,7 @@ def read_messages(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def read_book(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
-    """record, phone and email tables as far as they exist; None for an unreadable file or one without records."""
+    """record, phone and email tables as far as they exist; None for an unreadable store or one without records."""
     try:
         there = set(table_names(path))
     except sqlite3.Error:
@@ -167,11 +295,10 @@ def read_book(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
 def book_paths(folder: str) -> list[str]:
     """The main book, then those of the accounts in order of their folders."""
     import glob
-    import os
 
     main = os.path.join(folder, "AddressBook-v22.abcddb")
     rest = sorted(glob.glob(os.path.join(glob.escape(folder), "Sources", "*", "AddressBook-v22.abcddb")))
-    return [p for p in [main, *rest] if os.path.isfile(p)]
+    return [p for p in [main, *rest] if os.path.exists(p)]
 
 
 def integrity(path: str) -> tuple[str, str, str]:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from missivelake.operators.dedup import first_wins
 from missivelake.sources.files import snapshots
@@ -106,14 +107,49 @@ def growth(runs: DataFrame, stamp: str, counts: list[str]) -> DataFrame:
     return runs.select("*", *[(F.col(c) - F.lag(c).over(before)).alias(f"more_{c}") for c in counts])
 
 
-def stream_dedup(rows: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
-    """The streaming analogue: one row a key within the watermark; later copies of old rows are dropped as late."""
-    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def stream_first(rows: DataFrame, key: str, order: str, ts: str, delay: str = "1 day") -> DataFrame:
+    """The rows of a stream that are the first of their key by ``order`` so far, whatever order they arrive in.
 
-
-def stream_sync(rows: DataFrame, key: str, ts: str, out: str, checkpoint: str, delay: str = "1 day"):
-    """Appends deduplicated rows as Parquet; Spark's commit log takes the place of the commit mark."""
-    return stream_dedup(rows, key, ts, delay).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    A state a key holds the order of its best row; a later arrival that comes before it in order is passed on too, so that the first
+    copy of what has been passed on (:func:`first_wins`, :func:`followed`) is the first of all.  States go when the watermark
+    has passed their time, and rows older than that are dropped as late.
+    """
+    schema, kind = rows.schema, rows.schema[order].dataType
+    plain = [f.name for f in schema.fields]
+
+    def better(_, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.get[0] if state.exists else None
+        found, latest = None, 0
+        for frame in frames:
+            latest = max(latest, int(frame[ts].max().value // 1_000_000))
+            row = frame.sort_values([order, ts], kind="stable").iloc[:1]
+            if found is None or row[order].iloc[0] < found[order].iloc[0]:
+                found = row
+        if best is None or found[order].iloc[0] < best:
+            best = found[order].iloc[0]
+            state.update((best.item() if hasattr(best, "item") else best,))
+            yield found[plain]
+        else:
+            yield found[plain].iloc[:0]
+        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
+
+    marked = rows.withWatermark(ts, delay)
+    return marked.groupBy(key).applyInPandasWithState(better, schema, StructType([StructField("best", kind)]), "append", "EventTimeTimeout")
+
+
+def follow(rows: DataFrame, key: str, order: str, ts: str, out: str, checkpoint: str, delay: str = "1 day"):
+    """Appends what :func:`stream_first` passes on as Parquet, up to the present end of the source; Spark's commit log takes the
+    place of the commit mark."""
+    first = stream_first(rows, key, order, ts, delay)
+    return first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def followed(spark: SparkSession, out: str, key: str, order: str) -> DataFrame:
+    """The first row of each key of a followed source."""
+    return first_wins(spark.read.parquet(out), [key], [order])
 
 
 def stream_counts(rows: DataFrame, ts: str, by: str, window_length: str = "1 day", delay: str = "1 day") -> DataFrame:

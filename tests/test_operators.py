@@ -228,12 +228,59 @@ def test_incremental_runs_equal_one_full_run(spark, tmp_path):
     assert plan.count() == 16
 
 
-def test_streaming_dedup(spark, tmp_path):
-    rows = spark.createDataFrame([(1, "2026-01-01 00:00:00"), (1, "2026-01-01 00:00:01"), (2, "2026-01-01 00:00:02")], "guid long, ts string").withColumn("ts", F.to_timestamp("ts"))
-    rows.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    incremental.stream_sync(stream, "guid", "ts", str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+def test_streams_keep_the_first_by_order(spark, tmp_path):
+    """A copy that comes first in order may arrive last: also in a later batch, and after a restart."""
+    schema = "guid long, place long, ts timestamp, text string"
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, "guid long, place long, ts string, text string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "*"))
+        incremental.follow(stream, "guid", "place", "ts", str(tmp_path / "out"), str(tmp_path / "ck"), "1 hour").awaitTermination()
+        return {r["guid"]: (r["place"], r["text"]) for r in incremental.followed(spark, str(tmp_path / "out"), "guid", "place").collect()}
+
+    arrive("a", [(1, 5, "2026-01-01 00:00:00", "late copy"), (1, 7, "2026-01-01 00:00:01", "x"), (2, 3, "2026-01-01 00:00:02", "b")])
+    assert run() == {1: (5, "late copy"), 2: (3, "b")}
+    arrive("b", [(1, 2, "2026-01-01 00:30:00", "first"), (2, 9, "2026-01-01 00:30:00", "y"), (3, 1, "2026-01-01 00:30:00", "c")])
+    assert run() == {1: (2, "first"), 2: (3, "b"), 3: (1, "c")}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4  # a worse copy is not passed on
+    arrive("c", [(4, 1, "2026-02-01 00:00:00", "far")])
+    arrive("d", [(2, 1, "2026-01-01 00:00:00", "too late")])
+    run()
+    arrive("e", [(2, 0, "2026-01-01 00:00:00", "much too late")])
+    assert run()[2][1] in ("b", "too late")
+
+
+def test_a_store_is_followed_by_rowid(spark, tmp_path):
+    path = str(tmp_path / "chat.db")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE message (ROWID INTEGER PRIMARY KEY, guid TEXT, date INTEGER)")
+        db.executemany("INSERT INTO message VALUES (?,?,?)", [(k, G(k), k) for k in (3, 4, 9)])
+
+    def run():
+        stream = sqlite_source.follow_table(spark, path, "message")
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r["ROWID"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == [3, 4, 9] and run() == [3, 4, 9]
+    with sqlite3.connect(path) as db:
+        db.executemany("INSERT INTO message VALUES (?,?,?)", [(k, G(k), k) for k in (10, 500_000)])
+    assert run() == [3, 4, 9, 10, 500_000]
+
+
+def test_shards_count_when_their_job_has_committed(spark, tmp_path):
+    rows = spark.range(100).select(F.col("id").alias("ROWID"), F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("guid"), F.col("id").alias("date")).repartition(3)
+    path = sqlite_source.write_tables(str(tmp_path / "s"), {"message": rows})
+    assert len(list((tmp_path / "s" / "message").iterdir())) == 3 and sqlite_source.table_names(path) == ["message"]
+    found = sqlite_source.read_table(spark, path, "message")
+    assert found.rdd.getNumPartitions() == 3 and {tuple(r) for r in found.collect()} == {tuple(r) for r in rows.collect()}
+    assert [r["ROWID"] for r in found.filter("ROWID >= 98").orderBy("ROWID").collect()] == [98, 99]
+    bad = rows.withColumn("date", F.when(F.col("ROWID") == 50, F.raise_error(F.lit("no"))).otherwise(F.col("date")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        sqlite_source.write_tables(str(tmp_path / "t"), {"message": bad})
+    assert sqlite_source.shards(str(tmp_path / "t"), "message") == []
+    assert sqlite_source.read_table(spark, sqlite_source.write_tables(str(tmp_path / "e"), {"message": rows.limit(0)}), "message").count() == 0
 
 
 def test_exclude_patterns_equal_their_expressions(spark):
