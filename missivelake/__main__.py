@@ -1,6 +1,7 @@
 """Command line: python -m missivelake sync|snapshot|growth|audit|merge|group|voice|sanitize …
 
-MISSIVELAKE_ROOT names the archive, MISSIVELAKE_WORK a folder that all executors share for intermediate tables.
+MISSIVELAKE_ROOT names the archive, MISSIVELAKE_WORKING_DIR the folder of the sync's lease, MISSIVELAKE_WORK a folder that all
+executors share for intermediate tables.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--root", default=root)
     s.add_argument("--since")
     s.add_argument("--addressbook-dir")
+    s.add_argument("--working-dir", default=os.environ.get("MISSIVELAKE_WORKING_DIR"), help="where the lease lies; without, the archive")
     s.add_argument("--full", action="store_true")
     s.add_argument("--dry-run", action="store_true")
     s = sub.add_parser("snapshot", help="copy a store, sync its attachments, audit the copy")
@@ -72,7 +74,7 @@ def main(arguments: list[str] | None = None, spark=None) -> dict | list:
         spark = builder.getOrCreate()
     stamp = dt.datetime.now().strftime("%Y-%m-%d_%H%M%S")
     if a.job == "sync":
-        found = w.sync_store(spark, a.store, a.root, stamp, a.full, a.since, a.dry_run, a.addressbook_dir)
+        found = w.sync_store(spark, a.store, a.root, stamp, a.full, a.since, a.dry_run, a.addressbook_dir, a.working_dir)
     elif a.job == "snapshot":
         found = w.snapshot(spark, a.store, a.root, stamp, a.attachments, a.stickers, a.dry_run)
     elif a.job == "growth":

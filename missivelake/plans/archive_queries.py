@@ -128,14 +128,17 @@ def audit_json(t):
     return ranked(records, ["list"], ["block", "at"], "pos").select("list", "pos", "r.*", F.concat_ws(",", totals["ok"], totals["zero_byte"], totals["missing"], totals["referenced"]).alias("totals"))
 
 
-@query(f"""WITH {NAMES}, g AS (SELECT DISTINCT s_nationkey AS c, s_name FROM supplier),
+ORACLE_THREADS = f"""WITH {NAMES}, g AS (SELECT DISTINCT s_nationkey AS c, s_name FROM supplier),
 o AS (SELECT c, s_name, row_number() OVER w AS i, count(*) OVER (PARTITION BY c) AS n, sum(strlen(s_name) + 2) OVER w - 2 AS bytes, sum(strlen(s_name) + 2) OVER (PARTITION BY c) - 2 AS whole FROM g WINDOW w AS (PARTITION BY c ORDER BY s_name)),
 l AS (SELECT c, CASE WHEN max(whole) <= 200 THEN string_agg(s_name, ', ' ORDER BY s_name)
  ELSE string_agg(s_name, ', ' ORDER BY s_name) FILTER (bytes <= 160) || ', +' || (max(n) - count(*) FILTER (bytes <= 160)) || ' more' END AS listed FROM o GROUP BY c),
 x AS (SELECT n_nationkey AS c, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE n_name END, listed, 'chat' || n_nationkey) AS name FROM nation LEFT JOIN l ON l.c = n_nationkey),
 p AS (SELECT o_custkey, string_agg(CASE o_orderkey % 5 WHEN 0 THEN '/s/s' || o_orderkey || '.png' ELSE '/a/' || (o_orderkey % 100) || '/' || o_orderkey || '.jpg' END, ';' ORDER BY o_orderkey) AS attachments FROM orders WHERE o_orderkey % 5 NOT IN (1, 2) GROUP BY o_custkey)
 SELECT name || '.html' AS file, 'G' || c_custkey AS guid, coalesce(s_name, 'Unknown') AS sender, c_custkey % 2 = 1 AS is_me, c_name AS text, coalesce(attachments, '') AS attachments
-FROM customer JOIN x ON c_nationkey = x.c LEFT JOIN p ON o_custkey = c_custkey LEFT JOIN supplier ON s_suppkey = c_custkey % 10 + 1""")
+FROM customer JOIN x ON c_nationkey = x.c LEFT JOIN p ON o_custkey = c_custkey LEFT JOIN supplier ON s_suppkey = c_custkey % 10 + 1"""
+
+
+@query(ORACLE_THREADS)
 def thread_messages(t):
     """What a run exports of each message and chat."""
     return export.thread_messages(store(t), None, "/a", "/s").select("file", "guid", "sender", "is_me", "text", F.array_join("attachments", ";").alias("attachments"))
@@ -386,11 +389,14 @@ def voice_unresolved(t):
     return threads.unresolved(voice_messages_of(t), media(t))
 
 
-@query(f"""WITH {VOICE}, names AS (SELECT thread_kind AS nk, thread_key AS nt, coalesce(max(CASE WHEN NOT is_me THEN 'User' || k END), thread_key) AS display_name FROM v GROUP BY thread_kind, thread_key),
+ORACLE_VOICE_PAGES = f"""WITH {VOICE}, names AS (SELECT thread_kind AS nk, thread_key AS nt, coalesce(max(CASE WHEN NOT is_me THEN 'User' || k END), thread_key) AS display_name FROM v GROUP BY thread_kind, thread_key),
 x AS (SELECT *, '<div class="message"><div class="' || CASE WHEN is_me THEN 'sent SMS GoogleVoice' ELSE 'received GoogleVoice' END || '"><p><span class="timestamp"><a href="sms://open?message-guid=' || guid || '">' || {SHOWN_SQL}
  || '</a></span><span class="sender">' || CASE WHEN is_me THEN 'Me' WHEN kind = 3 THEN 'User' || k ELSE display_name END || '</span></p><hr><div class="message_part"><span class="bubble">' || body || '</span>'
  || coalesce('<div class="attachment"><img src="' || att || '" loading="lazy"></div>', '') || '</div></div></div>' AS html FROM w JOIN names ON nk = thread_kind AND nt = thread_key)
-SELECT {OUTPUT} AS file, '<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || display_name || '</title></head><body>' || chr(10) || string_agg(html, chr(10) ORDER BY {TS_SQL}, conv_id, turn) || chr(10) || '</body></html>' AS html FROM x GROUP BY thread_kind, thread_key, display_name""")
+SELECT {OUTPUT} AS file, '<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || display_name || '</title></head><body>' || chr(10) || string_agg(html, chr(10) ORDER BY {TS_SQL}, conv_id, turn) || chr(10) || '</body></html>' AS html FROM x GROUP BY thread_kind, thread_key, display_name"""
+
+
+@query(ORACLE_VOICE_PAGES)
 def voice_pages(t):
     """Every thread as one page, written from sorted pieces and read back."""
     messages = voice_messages_of(t)
@@ -539,17 +545,22 @@ f AS (SELECT g, 'Attachments/' || (g % 10) || '/n' || CASE v WHEN 0 THEN ':' WHE
 h AS (SELECT *, first_value(bytes) OVER (PARTITION BY g ORDER BY holds DESC, old_path) AS winner, bool_or(holds) OVER (PARTITION BY g) AS held, row_number() OVER (PARTITION BY g, bytes ORDER BY holds DESC, old_path) AS nth FROM f)"""
 
 
-@query(f"""WITH {COLLIDING} SELECT old_path, stem || CASE WHEN bytes = winner THEN '' ELSE '_' || sha256(bytes)[1:8] END || '.jpg' AS new_path, CASE WHEN nth = 1 THEN 'move' ELSE 'remove' END AS action, bytes <> winner AS collision FROM h WHERE NOT holds""")
-def colliding_names(t):
-    """Files whose new names clash: copies of the bytes that keep a name go, other bytes get a name of their own."""
-    spark = spark_of(t("customer"))
-    root = work_folder(spark)
+def colliding_files(t) -> DataFrame:
+    """(g, name, text): up to four files of one new name, one of which may have it already."""
     k = F.col("c_custkey")
     g, v = F.floor(k / 4), k % 4
     sign = F.when(v == 0, F.lit(":")).when(v == 1, F.lit("?")).when(v == 2, F.lit("|")).otherwise(F.lit("-"))
     name = F.concat(F.lit("Attachments/"), (g % 10).cast("string"), F.lit("/n"), sign, g.cast("string"), F.lit(".jpg"))
     content = F.when((v == 3) | ((g + v) % 3 == 0), F.concat(F.lit("same "), g.cast("string"))).otherwise(F.concat(F.lit("bytes "), (k - k % 2).cast("string")))
-    sinks.write_text_files(t("customer").select(name.alias("name"), content.alias("text")), root, "name", "text")
+    return t("customer").select(g.alias("g"), name.alias("name"), content.alias("text"))
+
+
+@query(f"""WITH {COLLIDING} SELECT old_path, stem || CASE WHEN bytes = winner THEN '' ELSE '_' || sha256(bytes)[1:8] END || '.jpg' AS new_path, CASE WHEN nth = 1 THEN 'move' ELSE 'remove' END AS action, bytes <> winner AS collision FROM h WHERE NOT holds""")
+def colliding_names(t):
+    """Files whose new names clash: copies of the bytes that keep a name go, other bytes get a name of their own."""
+    spark = spark_of(t("customer"))
+    root = work_folder(spark)
+    sinks.write_text_files(colliding_files(t), root, "name", "text")
     tree = files.inventory(spark, root).select("rel_path")
     pairs = sanitize.renames(sanitize.below_roots(tree).select(F.lit("r").alias("root"), "rel_path"))
     return sanitize.settle(pairs, tree, sinks.digests, root).select("old_path", "new_path", "action", "collision")

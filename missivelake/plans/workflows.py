@@ -38,9 +38,14 @@ def refresh_books(spark: SparkSession, source: str, cache: str) -> str:
     return cache
 
 
-def copy_store(source: str, folder: str) -> str:
-    """A consistent copy of a message store: side files first, the store last; the source is never written."""
+def copy_store(spark: SparkSession, source: str, folder: str) -> str:
+    """A consistent copy of a message store: side files first, the store last; the source is never written.  Shards are copied by
+    tasks."""
     target = os.path.join(plain(folder), os.path.basename(source))
+    if os.path.isdir(source):
+        found = files.inventory(spark, source)
+        sinks.copy_files(found.select(F.col("path").alias("source"), F.concat(F.lit(f"{target}/"), "rel_path").alias("target")))
+        return target
     os.makedirs(plain(folder), exist_ok=True)
     for tail in ("-wal", "-shm", ""):
         if os.path.exists(source + tail):
@@ -62,7 +67,7 @@ def plan_sync(spark: SparkSession, source_root: str, target_root: str, patterns:
 def audit_snapshot(spark: SparkSession, store: str, shared: str, out: str, stickers: str | None = None, exclude_from: str | None = None) -> dict:
     """Checks every attachment reference of a store; writes the audit, a report and the manifest into ``out``."""
     stickers = stickers or os.path.join(shared, "StickerCache")
-    check, n_messages, n_attachments = sqlite_source.integrity(store)
+    check, n_messages, n_attachments = sqlite_source.integrity_of(spark, store)
     refs = audit.attachment_references(sqlite_source.read_messages(spark, store))
     inventory = spark.createDataFrame([], "path string, length bigint")
     for root in (shared, stickers):
@@ -99,7 +104,7 @@ def snapshot(spark: SparkSession, store: str, root: str, stamp: str, attachments
     if dry_run:
         return {name: plan.count() for name, plan in plans.items()}
     folder = incremental.run_folder(spark, os.path.join(root, "snapshots"), stamp)
-    copy = copy_store(store, folder)
+    copy = copy_store(spark, store, folder)
     copied = {name: sinks.copy_files(plan) for name, plan in plans.items()}
     values = audit_snapshot(spark, copy, os.path.join(root, "Attachments"), folder, os.path.join(root, "StickerCache"), os.path.join(root, EXCLUDES))
     return values | {"folder": folder, "copied": copied}
@@ -126,7 +131,7 @@ def named_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
 def merge_pages(spark: SparkSession, paths: list[str], out: str | None) -> dict:
     """One page of several: one copy of each id, the first by input order, in time order, within the first page."""
     pages = named_pages(spark, paths)
-    rows = html_pages.parse_messages(pages).cache()
+    rows = staged(html_pages.parse_messages(pages), "parsed")
     merged = dedup.first_wins(rows, ["guid"], ["file_ord", "msg_ord"])
     told = {r["file"]: (r["n_in"], r["n_new"]) for r in dedup.contribution(rows, ["guid"], ["file_ord", "msg_ord"], "file").collect()}  # one row an input
     stats = {p: told.get(os.path.abspath(p), (0, 0)) for p in paths}
@@ -135,7 +140,6 @@ def merge_pages(spark: SparkSession, paths: list[str], out: str | None) -> dict:
         name = F.lit(os.path.basename(out))
         shell = html_pages.shells(pages.filter("file_ord = 0")).select(name.alias("thread"), "before", "after")
         sinks.write_pages(sinks.page_pieces(merged.withColumn("thread", name), "thread", shells=shell), os.path.dirname(out) or ".")
-    rows.unpersist()
     return {"files": stats, "messages": counts["n"], "dated": counts["dated"], "duplicates": sum(a for a, _ in stats.values()) - counts["n"]}
 
 
@@ -167,11 +171,12 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
     """Voice conversation files as one page a thread, with the members of groups beside them."""
     pages = html_pages.with_order(html_pages.read_pages(spark, source))
     skipped = {r["kind"]: (r["n"], r["samples"]) for r in threads.skipped(pages).collect()}
-    chunks = html_pages.parse_chunks(pages.filter(T.file_kind(F.col("file")).isin("Text", "Group")))
+    chunks = staged(html_pages.parse_chunks(pages.filter(T.file_kind(F.col("file")).isin("Text", "Group"))), "chunks")  # parsed once
     found = books(spark, book_paths or [])
     handles = contacts.handle_map(found) if found else None
-    messages = threads.messages_of(threads.identify(chunks, contacts.numbers_by_name(handles) if handles is not None else None)).cache()
-    plan = threads.plan(messages)
+    messages = threads.messages_of(threads.identify(chunks, contacts.numbers_by_name(handles) if handles is not None else None))
+    messages = staged(messages, "messages")
+    plan = staged(threads.plan(messages), "plan").orderBy(F.desc("n_messages"), "thread_key")
     report = {"skipped": skipped, "threads": [tuple(r) for r in plan.collect()]}
     store = files.inventory(spark, media).select("path") if media else spark.createDataFrame([], "path string")
     report["attachments"] = tuple(threads.attachment_totals(messages, store).first())
@@ -187,7 +192,6 @@ def convert_voice(spark: SparkSession, source: str, out: str, media: str | None
         sinks.write_pages(threads.page_pieces(resolved, threads.thread_names(messages, handles), plan), out, ["ts", "place"])
         groups = threads.group_sidecar(messages).select(F.col("output_name").alias("file"), F.col("members").alias("handles"))
         sinks.write_document(participants.sidecar_pieces(groups), os.path.join(out, "group_participants.json"), ["file"])
-    messages.unpersist()
     return report
 
 
@@ -242,12 +246,12 @@ def sanitize_archive(spark: SparkSession, root: str, out: str | None = None, htm
     return report
 
 
-def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: bool = False, since: str | None = None, dry_run: bool = False, book_folder: str | None = None) -> dict:
+def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: bool = False, since: str | None = None, dry_run: bool = False, book_folder: str | None = None, working: str | None = None) -> dict:
     """One incremental run over a message store.
 
     Messages from the window on are written as a table and as pages, one for each chat, below a new run folder; references
     lose the archive's own path; the members of group pages go into a file beside them, and the books, united, into tables.
-    The commit mark comes last.
+    The commit mark comes last.  The lease lies in the working folder, which may be another one than the archive's.
     """
     tables = sqlite_source.read_messages(spark, store)
     handles, united = None, {}
@@ -269,4 +273,4 @@ def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: boo
             sinks.write_version(table, os.path.join(folder, "book", name))
         return {"pages": n, "participants": bool(members), "books": sorted(united)}
 
-    return incremental.sync(messages, root, stamp, "ts", full, since, dry_run, pages)
+    return incremental.sync(messages, root, stamp, "ts", full, since, dry_run, pages, working=working)

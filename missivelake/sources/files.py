@@ -159,7 +159,7 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def refresh(spark: SparkSession, source: str, target: str) -> bool:
-    """Copies a database file with its side files; an absent or empty one is refused, and the old copy stays.
+    """Copies a database file with its side files, or a folder of shards; an absent or empty one is refused, and the old copy stays.
 
     All are copied beside their places before the first is renamed.  Side files of the copy before that the source no longer has go.
     """
@@ -167,11 +167,21 @@ def refresh(spark: SparkSession, source: str, target: str) -> bool:
     import shutil
     import uuid
 
+    from missivelake.sources.sinks import copy_files
     from missivelake.sources.stores import plain
 
     source, target = plain(located(spark, source)), plain(located(spark, target))
     beside = f"{target}.tmp.{uuid.uuid4().hex}"
     os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    if os.path.isdir(source):
+        found = inventory(spark, source)
+        if copy_files(found.select(F.col("path").alias("source"), F.concat(F.lit(f"{beside}/"), "rel_path").alias("target"))) == 0:
+            return False
+        if os.path.isdir(target):
+            os.rename(target, f"{beside}.old")
+        os.rename(beside, target)
+        shutil.rmtree(f"{beside}.old", ignore_errors=True)
+        return True
     made = []
     try:
         if not os.path.isfile(source) or os.path.getsize(source) == 0:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage,
 )
@@ -310,3 +311,30 @@ def integrity(path: str) -> tuple[str, str, str]:
         return check, *counts
     except sqlite3.Error as e:
         return f"error:{e}", "?", "?"
+
+
+def integrity_of(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    """:func:`integrity` of a store's file, or of all shards of a folder, which tasks check; the first fault stands for all."""
+    if not os.path.isdir(path):
+        return integrity(path)
+    files = [(f,) for name in table_names(path) for f in shards(path, name)]
+
+    def check(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            told = []
+            for f in batch.column(0).to_pylist():
+                try:
+                    with connect(f) as db:
+                        told.append(db.execute("PRAGMA integrity_check").fetchone()[0])
+                except sqlite3.Error as e:
+                    told.append(f"error:{e}")
+            yield pa.RecordBatch.from_arrays([pa.array(told, pa.string())], names=["told"])
+
+    if not files:
+        return "error:no shards", "?", "?"
+    bad = spark.createDataFrame(files, "path string").repartition(len(files)).mapInArrow(check, "told string").filter("told <> 'ok'").agg(F.min("told")).first()[0]
+    if bad is not None:
+        return bad, "?", "?"
+    return "ok", *[str(read_table(spark, path, t).count()) for t in ("message", "attachment")]

@@ -69,7 +69,7 @@ def commit(spark: SparkSession, folder: str, start: str | None, now: dt.datetime
         raise FileExistsError(f"{folder} is committed already")
 
 
-def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False, more: Callable[[str], dict] | None = None, seconds: float = SECONDS) -> dict:
+def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = False, since: str | None = None, dry_run: bool = False, more: Callable[[str], dict] | None = None, seconds: float = SECONDS, working: str | None = None) -> dict:
     """One incremental run of a message table: returns its plan, and unless dry_run writes and commits it.
 
     ``more`` does the rest of a run in its folder before the commit.  One run writes at a time, under a lease that outlives no crash;
@@ -77,10 +77,10 @@ def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = Fa
     """
     spark = rows.sparkSession
     start = start_day(snapshots(spark, root), full, since)
-    plan = {"start": start, "root": root, "stamp": stamp, "steps": steps(root, stamp, start)}
+    plan = {"start": start, "root": root, "stamp": stamp, "steps": steps(working or root, root, stamp, start)}
     if dry_run:
         return plan
-    with lease(spark, root, seconds) as held:
+    with lease(spark, working or root, seconds) as held:
         folder = run_folder(spark, root, stamp)
         window(rows, ts, start).write.parquet(f"{folder}/messages")
         told = more(folder) if more else {}
@@ -89,10 +89,10 @@ def sync(rows: DataFrame, root: str, stamp: str, ts: str = "ts", full: bool = Fa
     return plan | {"folder": folder} | told
 
 
-def steps(root: str, stamp: str, start: str | None) -> list[str]:
+def steps(working: str, root: str, stamp: str, start: str | None) -> list[str]:
     """What a run does, in order, for its printed plan."""
     window_text = "all messages" if start is None else f"messages from {start} on"
-    return [f"take the lease {root}/.lease", f"write {window_text} to {root}/{stamp}/messages", f"write pages, members and books below {root}/{stamp}", f"commit {root}/{stamp}/.complete"]
+    return [f"take the lease {working}/.lease", f"write {window_text} to {root}/{stamp}/messages", f"write pages, members and books below {root}/{stamp}", f"commit {root}/{stamp}/.complete"]
 
 
 def archive(spark: SparkSession, root: str, key: str, order: list[str]) -> DataFrame:

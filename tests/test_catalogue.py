@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from missivelake.plans import archive_queries, catalogue  # noqa: F401
+from missivelake.plans import archive_queries, catalogue, job_queries  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents pages labels conversations".split()

@@ -148,7 +148,8 @@ def test_sync_exports_pages_members_and_books(spark, tmp_path):
     (tmp_path / "books").mkdir()
     book(tmp_path / "books" / "AddressBook-v22.abcddb", [(1, "Ann", "Lee", None)], [(1, "+1 555 000 0001")])
     root = tmp_path / "r"
-    done = main(["sync", path, "--root", str(root), "--addressbook-dir", str(tmp_path / "books")], spark)
+    done = main(["sync", path, "--root", str(root), "--addressbook-dir", str(tmp_path / "books"), "--working-dir", str(tmp_path / "work")], spark)
+    assert (tmp_path / "work" / ".lease").is_dir() and not (root / ".lease").exists() and (root / "Contacts" / "AddressBook-v22.abcddb").is_file()
     assert (done["pages"], done["participants"], done["books"]) == (2, True, ["phone", "record"])
     folder = tmp_path / "r" / done["folder"].rsplit("/", 1)[1]
     text = (folder / "html" / "+15550000000, +15550000001.html").read_text()
@@ -172,4 +173,4 @@ def test_sync_jobs(spark, store, tmp_path):  # noqa: F811
     from missivelake.sources import sinks
 
     assert sinks.copy_files(plan) == 1 and (tmp_path / "b" / "x").read_text() == "1"
-    assert workflows.copy_store(store, str(tmp_path / "snap")).endswith("chat.db")
+    assert workflows.copy_store(spark, store, str(tmp_path / "snap")).endswith("chat.db")
