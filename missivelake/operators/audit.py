@@ -125,6 +125,29 @@ def status_of(length: Column, known: Column) -> Column:
     return F.when(length.isNull() & known, F.lit("ok")).when(length.isNull(), F.lit("missing")).when(length == 0, F.lit("zero_byte")).otherwise(F.lit("ok"))
 
 
+def changed_paths(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(path, was, now): the lengths of files that appeared, went or changed between two inventories (path, length).
+
+    Inventories that were kept in buckets of the path meet without an exchange.
+    """
+    old = before.select(F.col("path").alias("__path"), F.col("length").alias("was"), F.lit(True).alias("__old"))
+    both = old.join(after.select("path", F.col("length").alias("now"), F.lit(True).alias("__new")), F.col("__path") == F.col("path"), "full_outer")
+    return both.filter(F.col("__old").isNull() | F.col("__new").isNull() | ~F.col("was").eqNullSafe(F.col("now"))).select(F.coalesce("path", "__path").alias("path"), "was", "now")
+
+
+def audit_changes(refs: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """``refs`` (path, …) whose status another inventory changes, with the status before (``was``) and now (``now``).
+
+    Only references to files that changed are looked at; with references and inventories kept in buckets of the path, an audit of an
+    unchanged archive reads them side by side and moves nothing.
+    """
+    changed = changed_paths(before, after).select(F.col("path").alias("__changed"), F.col("was").alias("__was"), F.col("now").alias("__now"))
+    rows = refs.join(changed, F.col("path") == F.col("__changed"))
+    known = F.lit(False)
+    told = rows.withColumn("was", status_of(F.col("__was"), known)).withColumn("now", status_of(F.col("__now"), known))
+    return told.filter("was <> now").select(*refs.columns, "was", "now")
+
+
 def totals(classified: DataFrame) -> DataFrame:
     """One row: ok, zero_byte, missing, referenced."""
     return classified.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("ok", "zero_byte", "missing")], F.count("*").alias("referenced"))

@@ -16,7 +16,7 @@ from missivelake.operators import audit, contacts, dedup, export, participants,
 from missivelake.operators.ranks import ranked
 from missivelake.plans.catalogue import query
 from missivelake.sources import files, html_pages, sinks, sqlite_source
-from missivelake.sources.stores import scratch, staged
+from missivelake.sources.stores import bucketed, scratch, staged
 from missivelake.streaming import incremental
 
 
@@ -95,6 +95,19 @@ def audit_join(t):
     return audit.attachment_references(store(t)).groupBy("chat_name").agg(F.count("*").alias("n_refs"), F.min("stored_path").alias("least"))
 
 
+@query(f"""WITH {REFS}, s AS (SELECT chat, file, path, CAST(regexp_extract(path, '([0-9]+)[.]', 1) AS BIGINT) AS k FROM r),
+x AS (SELECT chat, file, path, CASE WHEN k % 4 = 0 THEN 'missing' WHEN k % 7 = 0 THEN 'zero_byte' ELSE 'ok' END AS was, CASE WHEN k % 9 = 0 THEN 'missing' WHEN k % 7 = 0 AND k % 2 = 1 THEN 'zero_byte' ELSE 'ok' END AS now FROM s)
+SELECT chat, file, path, was, now FROM x WHERE was <> now""")
+def audit_changed(t):
+    """References whose status has changed between two kept inventories, all in buckets of the path."""
+    k = F.col("o_orderkey")
+    path = F.when(k % 5 == 0, F.concat(F.lit("/s/s"), text("o_orderkey"), F.lit(".png"))).otherwise(F.concat(F.lit("/a/"), (k % 100).cast("string"), F.lit("/"), text("o_orderkey"), F.lit(".jpg")))
+    before = t("orders").filter(k % 4 != 0).select(path.alias("path"), F.when(k % 7 == 0, F.lit(0)).otherwise(k).cast("long").alias("length"))
+    after = t("orders").filter(k % 9 != 0).select(path.alias("path"), F.when((k % 7 == 0) & (k % 2 == 1), F.lit(0)).otherwise(k).cast("long").alias("length"))
+    refs = bucketed(classified(t).select("chat", "file", "path"), "path", "refs", 8)
+    return audit.audit_changes(refs, bucketed(before, "path", "inventory", 8), bucketed(after, "path", "inventory", 8))
+
+
 @query(f"WITH {REFS} SELECT chat, file, sent, tail, stored_path, path, status FROM r WHERE status <> 'ok'")
 def audit_problems(t):
     return audit.problems(classified(t))

@@ -126,10 +126,72 @@ class Tree(HTMLParser):
             self.comments.append(self.here)
 
 
-def containers(tree: Tree) -> list[tuple[Node, str]]:
+#: Pages of at least so many characters are cut into blocks of about BLOCK characters, which tasks parse apart.
+LARGE, BLOCK = 1 << 22, 1 << 20
+#: Places in one block; a block's messages are numbered from a multiple of it.
+PLACES = 1_000_000
+DIV = re.compile(r"<(/?)div\b([^>]*)>", re.IGNORECASE)
+CONTAINER = re.compile(r"""class\s*=\s*["']?[^"'>]*\bmessage\b(?![-\w])""")
+#: What hides markup from a scan for elements.
+HIDING = re.compile(r"<!--|<!\[|<script\b|<style\b|<textarea\b|<plaintext\b", re.IGNORECASE)
+
+
+def cuts(source: str, size: int = BLOCK) -> list[int] | None:
+    """Where a page can be cut so that its parts, parsed apart, hold the same messages: before message elements that stand beside the
+    first one, after at least ``size`` characters each.  None if that is not sure by a scan, or if the page is too short.
+
+    The head before the first message must hold no id and may leave elements open; at least two ids and one in an attribute must
+    follow, as else a message could be found by its text or reach beyond its element.
+    """
+    found, depth, base, at = [], 0, None, 0
+    for m in DIV.finditer(source):
+        if m[1]:
+            depth -= 1
+            if base is not None and depth < base - 1:
+                break
+            continue
+        if CONTAINER.search(m[2]) and (base is None or depth == base):
+            if base is None:
+                base, at = depth, m.start()
+                found.append(at)
+            elif m.start() - at >= size:
+                at = m.start()
+                found.append(at)
+        depth += not m[2].endswith("/")
+    if len(found) < 2 or HIDING.search(source, found[0]) or GUID.search(source, 0, found[0]):
+        return None
+    last = source.rfind("</div", found[-1])
+    if last < 0 or DIV.search(source, last + 6) or depth < 0:
+        return None
+    ids = {m[0] for m in GUID.finditer(source, found[0])}
+    if len(ids) < 2 or not re.search(r"""=\s*["'][^"'<>]*""" + T.GUID, source[found[0] :]):
+        return None
+    return found
+
+
+def blocks(pages: DataFrame, large: int = LARGE, size: int = BLOCK) -> DataFrame:
+    """(file, file_ord, block, whole, text): pages of at least ``large`` characters in parts dealt to all tasks; a page that cannot be
+    cut is one part."""
+
+    def cut(batches):
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
+        for batch in batches:
+            for file, order, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = cuts(text, size)
+                parts = [text] if at is None else [text[i:j] for i, j in zip(at, [*at[1:], len(text)])]
+                for k, part in enumerate(parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((file, order, k, at is None, part), kinds)], names=["file", "file_ord", "block", "whole", "text"])
+
+    rows = pages.select("file", F.col("file_ord").cast("long"), "text").filter(F.length("text") >= large)
+    return rows.mapInArrow(cut, "file string, file_ord long, block int, whole boolean, text string").repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def containers(tree: Tree, whole: bool = True) -> list[tuple[Node, str]]:
     """Message elements found by shape: (element, id).
 
-    An id in an attribute marks its element, one in a comment the parent; only if there is neither, elements
+    An id in an attribute marks its element, one in a comment the parent; only if there is neither in the whole page, elements
     whose one text holds an id.  Each climbs as long as its parent holds that single id and no other.
     """
     found: list[tuple[Node, str]] = []
@@ -144,7 +206,7 @@ def containers(tree: Tree) -> list[tuple[Node, str]]:
         m = GUID.search(span(n))
         if n is not tree.root and m:
             found.append((n, m[0]))
-    if not found:
+    if not found and whole:
         for n in tree.root.find(lambda n: len(n.children) == 1 and isinstance(n.children[0], str)):
             m = GUID.search(n.children[0])
             if m:
@@ -189,11 +251,12 @@ def shown_time(node: Node) -> str:
     return " ".join(node.text().split())
 
 
-def parse_messages(pages: DataFrame, mode: str = "shape") -> DataFrame:
+def parse_messages(pages: DataFrame, mode: str = "shape", large: int = LARGE, size: int = BLOCK) -> DataFrame:
     """(file, file_ord, msg_ord, guid, ts_text, ts_key, html) of pages (file, file_ord, text).
 
     ``shape`` finds containers by their ids and splits a message that also holds another id; ``div`` gives one
-    row for each message element.
+    row for each message element.  Large pages are cut by a scan and parsed by several tasks; their ``msg_ord`` has gaps between
+    the parts.
     """
     if mode not in ("shape", "div"):
         raise ValueError(mode)
@@ -203,16 +266,17 @@ def parse_messages(pages: DataFrame, mode: str = "shape") -> DataFrame:
 
         for batch in batches:
             rows = []
-            for file, order, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for file, order, block, whole, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tree = Tree(text or "")
-                for k, (n, guid) in enumerate(containers(tree) if mode == "shape" else message_divs(tree)):
-                    rows.append((file, order, k, guid.upper(), shown_time(n), tree.source[n.start : n.end]))
+                for k, (n, guid) in enumerate(containers(tree, whole) if mode == "shape" else message_divs(tree)):
+                    rows.append((file, order, block * PLACES + k, guid.upper(), shown_time(n), tree.source[n.start : n.end]))
             columns = list(zip(*rows)) if rows else [[]] * 6
             kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "msg_ord", "guid", "ts_text", "html"])
 
-    rows = pages.select("file", F.col("file_ord").cast("long"), "text").mapInArrow(parse, MESSAGE_SCHEMA)
-    return rows.withColumn("ts_key", T.time_key(F.col("ts_text")))
+    small = pages.filter(F.coalesce(F.length("text"), F.lit(0)) < large)
+    parts = small.select("file", F.col("file_ord").cast("long").alias("file_ord"), F.lit(0).alias("block"), F.lit(True).alias("whole"), "text").union(blocks(pages, large, size))
+    return parts.mapInArrow(parse, MESSAGE_SCHEMA).withColumn("ts_key", T.time_key(F.col("ts_text")))
 
 
 def shells(pages: DataFrame) -> DataFrame:

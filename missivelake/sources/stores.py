@@ -153,3 +153,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, name: str, buckets: int = 64) -> DataFrame:
+    """Writes a table in buckets of a key, sorted within each, below the shared folder, and reads it back.
+
+    Two such tables of as many buckets are joined on the key without an exchange and without a sort.  A kept inventory or
+    reference table is written once and joined in every run; the catalogue holds its name, the folder its rows.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = scratch(spark, table)
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)

@@ -83,6 +83,29 @@ def test_audit_of_a_store(spark, store, tmp_path):
     assert any("Named" in r["line"] for r in audit.report_lines(done).collect())
 
 
+def test_kept_inventories_meet_without_an_exchange(spark):
+    from missivelake.sources.stores import bucketed
+
+    rows = spark.range(200).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("path"), F.col("id").alias("length"))
+    refs = bucketed(rows.select("path", F.col("length").alias("k")).union(rows.select("path", F.col("length") + 1000)), "path", "refs", 4)
+    before, after = bucketed(rows.filter("length % 10 <> 3"), "path", "inventory", 4), bucketed(rows.filter("length % 10 <> 4").withColumn("length", F.expr("if(length % 10 = 5, 0, if(length % 10 = 6, length + 1, length))")), "path", "inventory", 4)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = audit.changed_paths(before, after)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        changes = audit.audit_changes(refs, before, after)
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") <= 1  # the few that changed go to the references
+        rows = sorted((r["k"], r["was"], r["now"]) for r in changes.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    wanted = [(k + d, {3: "missing", 4: "ok", 5: "ok"}[k % 10], {3: "ok", 4: "missing", 5: "zero_byte"}[k % 10]) for d in (0, 1000) for k in range(200) if k % 10 in (3, 4, 5)]
+    assert rows == sorted(wanted)
+    assert audit.audit_changes(refs, before, before).count() == 0
+
+
 def test_contact_union_and_handles(spark, tmp_path):
     a = sqlite_source.read_book(spark, book(tmp_path / "a", [(1, "Ann", "Lee", None), (2, None, None, "Org")], [(1, "(555) 000-0001"), (None, "1"), (2, "--")], [(1, " Ann@Example.com ")]))
     b = sqlite_source.read_book(spark, book(tmp_path / "b", [(1, "Bob", "", None), (3, None, None, None)], [(1, "+1 555 000 0001"), (3, "777"), (9, "888")]))
@@ -120,6 +143,32 @@ def test_overlapping_pages_merge_to_one_copy(spark, tmp_path):
     assert stats == {"Real Group.html": (2, 2), "b%20.html": (2, 1)}
 
 
+def test_large_pages_are_parsed_in_parts(spark):
+    """The parts of a page hold the messages of the whole page in their order, and pages that cannot be cut stay whole."""
+    message = lambda k, inside="x": PAGE.format(G(k), "Jul 02, 2026 7:45:05 AM", inside)
+    nested = '<div class="replies"><div class="message"><a href="sms://open?message-guid={}">r</a></div></div>'
+    body = "\n".join(message(k, nested.format(G(9000 + k)) if k % 9 == 0 else f"<img src='Attachments/{G(5000 + k)}/p.jpg'>" if k % 7 == 0 else f"t{k} <b>") for k in range(200))
+    texts = {
+        "plain": f"<html><head><title>t</title></head><body>\n{body}\n</body></html>",
+        "wrapped": f"<html><body><div id='all'><div>head</div>\n{body}\n</div><p>tail</p></body></html>",
+        "comment": f"<body>{body}<!-- {G(77)} --></body>",
+        "headed": f"<body><p id='{G(1)}'>x</p>{body}</body>",
+        "unclosed": f"<body><div>{body}",
+        "texts": "<body>" + "".join(f'<div class="message"><p>{G(k)}</p></div>' for k in range(90)) + "</body>",
+        "one": "<body>" + f'<div class="message"><a href="{G(3)}">x</a></div>' * 90 + "</body>",
+        "apart": f"<body><div>{body}</div><div>{message(300)}</div></body>",
+        "none": "x" * 5000, "empty": "",
+    }
+    assert {n for n, t in texts.items() if html_pages.cuts(t, 2000)} >= {"plain", "wrapped"}
+    assert not any(html_pages.cuts(texts[n], 2000) for n in ("comment", "headed", "texts", "one", "none", "empty"))
+    pages = spark.createDataFrame([(n, k, t) for k, (n, t) in enumerate(texts.items())] + [("null", 99, None)], "file string, file_ord int, text string")
+    for mode in ("shape", "div"):
+        parted, whole = ([r.asDict() for r in html_pages.parse_messages(pages, mode, large, 2000).orderBy("file", "msg_ord").collect()] for large in (1000, 1 << 30))
+        assert max(r["msg_ord"] for r in parted) > html_pages.PLACES
+        drop = lambda rows: [{k: v for k, v in r.items() if k != "msg_ord"} for r in rows]
+        assert drop(parted) == drop(whole)
+
+
 def test_shape_finds_comments_and_splits_replies(spark):
     text = f"<body><div><!-- {G(7)} --><p>x</p></div><div class='message' id='{G(8)}'><img src='Attachments/{G(9)}/x.jpg'></div></body>"
     rows = spark.createDataFrame([("f", 0, text), ("g", 1, f"<p>{G(5)}</p>"), ("h", 2, None)], "file string, file_ord int, text string")
