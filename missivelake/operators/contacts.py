@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
@@ -63,6 +63,13 @@ def numbers_by_name(handles: DataFrame) -> DataFrame:
     return rows.groupBy(F.lower("display_name").alias("name")).agg(F.array_sort(F.collect_list("norm_handle")).alias("numbers"), F.min("norm_handle").alias("number"))
 
 
+def leading(counted: DataFrame, group: Column | str, name: str, order: str, *more: Column) -> DataFrame:
+    """(group_key, output_name, n_messages): the ``name`` with the largest ``n`` of each group, the first of equal ones by ``order``, and
+    the sum; ``more`` aggregates go along."""
+    first = F.max_by(name, F.struct("n", F.negative(order))).alias("output_name")
+    return counted.groupBy((F.col(group) if isinstance(group, str) else group).alias("group_key")).agg(first, F.sum("n").alias("n_messages"), *more)
+
+
 def plan_groups(files: DataFrame, handles: DataFrame) -> DataFrame:
     """Files by person: (person_key, display_name, files, n_messages, output_name).
 
@@ -74,8 +81,8 @@ def plan_groups(files: DataFrame, handles: DataFrame) -> DataFrame:
     joined = counted.join(handles, "norm_handle", "left")
     group = F.coalesce("person_key", F.concat(F.lit("file:"), F.col("file")))
     listed = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "file_ord", "file", "n"))), lambda r: F.struct(r["file"].alias("file"), r["n"].alias("n")))
-    grouped = joined.groupBy(group.alias("group_key")).agg(F.first("person_key").alias("person_key"), F.min("display_name").alias("display_name"), listed.alias("files"), F.sum("n").alias("n_messages"))
-    return grouped.withColumn("output_name", F.col("files")[0]["file"]).drop("group_key")
+    grouped = leading(joined, group, "file", "file_ord", F.first("person_key").alias("person_key"), F.min("display_name").alias("display_name"), listed.alias("files"))
+    return grouped.select("person_key", "display_name", "files", "n_messages", "output_name")
 
 
 def standalone(files: DataFrame, handles: DataFrame) -> DataFrame:

@@ -33,11 +33,6 @@ def contribution(rows: DataFrame, key: list[str], order: list[str], source: str)
     return rows.groupBy(source).agg(F.count("*").alias("n_in")).join(firsts, source, "left").select(source, "n_in", F.coalesce("n_new", F.lit(0)).alias("n_new"))
 
 
-def in_time_order(rows: DataFrame, ts_key: str, order: list[str]) -> DataFrame:
-    """Dated rows by key, then undated ones in their given order."""
-    return rows.orderBy(F.coalesce(F.col(ts_key), F.lit("")) == "", ts_key, *order)
-
-
 def new_or_changed(source: DataFrame, target: DataFrame, key: str, compare: list[str]) -> DataFrame:
     """Rows of ``source`` that ``target`` lacks or holds with other values; nothing is ever deleted."""
     there = target.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in compare])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
 from missivelake.operators import audit
+from missivelake.operators.participants import member_sets
 
 
 def page_names(tables: dict[str, DataFrame]) -> DataFrame:
@@ -14,7 +15,8 @@ def page_names(tables: dict[str, DataFrame]) -> DataFrame:
 
     Slashes become dashes.  Chats of one name share a page, as one person's chats of several services do.
     """
-    members = tables["chat_handle_join"].join(tables["handle"], F.col("handle_id") == F.col("ROWID")).groupBy("chat_id").agg(F.collect_set("id").alias("members"))
+    members = tables["chat_handle_join"].join(tables["handle"], F.col("handle_id") == F.col("ROWID"))
+    members = member_sets(members.select("chat_id", "id"), "chat_id", "id")
     named = tables["chat"].join(members, F.col("ROWID") == F.col("chat_id"), "left")
     name = F.coalesce(F.nullif("display_name", F.lit("")), T.group_name(F.col("members")), F.nullif("chat_identifier", F.lit("")), F.lit("unknown"))
     return named.select(F.col("ROWID").alias("chat_id"), F.concat(F.translate(name, "/", "-"), F.lit(".html")).alias("file"))

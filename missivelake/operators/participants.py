@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from missivelake.functions import text as T
 
 
+def member_sets(rows: DataFrame, group: str, member: str) -> DataFrame:
+    """(<group>, members): the sorted distinct members of each group."""
+    return rows.groupBy(group).agg(F.array_sort(F.collect_set(member)).alias("members"))
+
+
 def candidate_ids(pages: DataFrame) -> DataFrame:
     """(file, pos, guid) for group pages: the ten last ids in reverse, then the five first."""
     groups = pages.filter(T.is_group_filename(F.col("file")))

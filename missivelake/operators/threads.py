@@ -21,6 +21,16 @@ def chunk_facts(chunks: DataFrame) -> DataFrame:
     )
 
 
+def siblings(rows: DataFrame, label: str, number: str, order: str) -> DataFrame:
+    """(<label>, sibling_number): the number of the last row of each label that has one."""
+    return rows.filter(F.col(number).isNotNull() & (F.coalesce(F.col(label), F.lit("")) != "")).groupBy(label).agg(F.max_by(number, order).alias("sibling_number"))
+
+
+def pair_key(*numbers: Column, label: Column, last: Column) -> Column:
+    """The first number there is, else label:<label>, else the last resort."""
+    return F.coalesce(*numbers, F.when(F.coalesce(label, F.lit("")) != "", F.concat(F.lit("label:"), label)), last)
+
+
 def identify(chunks: DataFrame, numbers_by_name: DataFrame | None = None) -> DataFrame:
     """Adds kind and thread_key.
 
@@ -29,14 +39,12 @@ def identify(chunks: DataFrame, numbers_by_name: DataFrame | None = None) -> Dat
     label:<label>, the file's stem.
     """
     facts = chunk_facts(chunks)
-    siblings = facts.filter("not is_group and message_number is not null and label <> ''").groupBy("label").agg(F.max_by("message_number", "file_ord").alias("sibling_number"))
-    joined = facts.join(siblings, "label", "left")
+    joined = facts.join(siblings(facts.filter("not is_group"), "label", "message_number", "file_ord"), "label", "left")
     if numbers_by_name is not None:
         joined = joined.join(numbers_by_name.select(F.col("name").alias("__name"), T.normalize_number(F.col("number")).alias("contact_number")), F.lower("label") == F.col("__name"), "left").drop("__name")
     else:
         joined = joined.withColumn("contact_number", F.lit(None).cast("string"))
-    label = F.when(F.coalesce("label", F.lit("")) != "", F.concat(F.lit("label:"), F.col("label")))
-    pair = F.coalesce("message_number", "file_number", "sibling_number", "contact_number", label, T.stem(F.col("file")))
+    pair = pair_key(*map(F.col, ("message_number", "file_number", "sibling_number", "contact_number")), label=F.col("label"), last=T.stem(F.col("file")))
     members = F.array_sort(F.array_distinct("participants"))
     return joined.withColumn("kind", F.when(F.col("is_group"), F.lit("group")).otherwise(F.lit("1:1"))).withColumn("thread_key", F.when(F.col("is_group"), F.array_join(members, ", ")).otherwise(pair)).withColumn("members", F.when(F.col("is_group"), members))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
-from missivelake.operators import audit, contacts, dedup, participants, ranks, sanitize
+from missivelake.operators import audit, contacts, dedup, participants, ranks, sanitize, threads
 from missivelake.sources import html_pages, sinks
 from missivelake.sources.stores import scratch
 from missivelake.streaming import incremental
@@ -37,9 +37,6 @@ def query(oracle: str | None = None):
     return register
 
 
-HREF = r'href="([^"]*)"'
-
-
 @query("SELECT min(doc_id) AS doc_id, text, arg_min(lang, doc_id) AS lang, arg_min(source, doc_id) AS source, arg_min(n_chars, doc_id) AS n_chars FROM documents GROUP BY text")
 def dedup_first(t):
     """The first copy of each text."""
@@ -112,7 +109,8 @@ def chat_name(t):
 @query("SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS members, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id")
 def participant_sets(t):
     """The sorted set of participants of each thread."""
-    return t("events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("m")).select("user_id", F.array_join("m", ",").alias("members"), F.size("m").cast("long").alias("n"))
+    found = participants.member_sets(t("events"), "user_id", "event_type")
+    return found.select("user_id", F.array_join("members", ",").alias("members"), F.size("members").cast("long").alias("n"))
 
 
 @query("""SELECT c_custkey AS pk, c_name AS name FROM customer
@@ -142,7 +140,7 @@ SELECT k AS nationkey, arg_max(user_id, n * 1000000 - user_id) AS name, CAST(sum
 def argmax_name(t):
     """Per person the file with most messages, ties to the first, and the sum."""
     counted = t("events").join(t("customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("nationkey")), F.col("user_id") == F.col("c_custkey")).groupBy("nationkey", "user_id").agg(F.count("*").alias("n"))
-    return counted.groupBy("nationkey").agg(F.max_by("user_id", F.struct("n", -F.col("user_id"))).alias("name"), F.sum("n").alias("total"))
+    return contacts.leading(counted.withColumn("place", F.col("user_id")), "nationkey", "user_id", "place").select(F.col("group_key").alias("nationkey"), F.col("output_name").alias("name"), F.col("n_messages").alias("total"))
 
 
 @query(r"SELECT page_id, translate(url, ':|\<>?*[]', '---------') AS clean, regexp_matches(url, '[:|\\<>?*\[\]]') AS is_bad FROM pages")
@@ -159,10 +157,10 @@ def exclude_pattern(t):
     return audit.excluded(t("pages").select("page_id", "url"), patterns, "url")
 
 
-@query("""SELECT page_id, CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INTEGER) AS n, CAST(len(list_distinct(regexp_extract_all(html, 'href="([^"]*)"', 1))) AS INTEGER) AS n_distinct FROM pages""")
+@query("""SELECT page_id, CAST(len(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS INTEGER) AS n, CAST(len(list_distinct(regexp_extract_all(html, 'href="([^"]+)"', 1))) AS INTEGER) AS n_distinct FROM pages""")
 def refs(t):
     """References of each page, with repeats and without."""
-    found = F.regexp_extract_all("html", F.lit(HREF), F.lit(1))
+    found = T.references(F.replace("html", F.lit('href="'), F.lit('href="Attachments/')))
     return t("pages").select("page_id", F.size(found).alias("n"), F.size(F.array_distinct(found)).alias("n_distinct"))
 
 
@@ -221,8 +219,6 @@ k AS (SELECT file, CASE WHEN file LIKE '%Missed%' THEN 'Missed' WHEN file LIKE '
 SELECT kind, count(*) AS n, array_to_string(list(file ORDER BY file)[1:5], ';') AS samples FROM k WHERE kind NOT IN ('Text', 'Group') GROUP BY kind""")
 def kind(t):
     """Files by kind with samples, text conversations apart."""
-    from missivelake.operators import threads
-
     k = F.col("page_id") % 5
     name = F.when(k == 0, F.lit("Ann - Missed - ")).when(k == 1, F.lit("Ann - voicemail - ")).when(k == 2, F.lit("Ann - Text - ")).when(k == 3, F.lit("Group Conversation - ")).otherwise(F.lit("notes "))
     return threads.skipped(t("pages").select(F.concat(name, F.col("page_id").cast("string"), F.lit(".html")).alias("file"))).select("kind", "n", F.array_join("samples", ";").alias("samples"))
@@ -320,10 +316,11 @@ FROM d LEFT JOIN s USING (source) LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def label_backfill(t):
     """Identity by fallback: own, sibling, contact, label."""
     d = t("documents").select("doc_id", "source", F.when(F.col("doc_id") % 4 == 0, F.col("lang")).alias("own"))
-    s = d.filter("own is not null").groupBy("source").agg(F.max_by("own", "doc_id").alias("sibling"))
+    s = threads.siblings(d, "source", "own", "doc_id")
     labels = t("labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("contact"))
     joined = d.join(s, "source", "left").join(labels, "doc_id", "left")
-    return joined.select("doc_id", F.coalesce("own", "sibling", "contact", F.concat(F.lit("label:"), F.col("source")), F.col("doc_id").cast("string")).alias("identity"))
+    key = threads.pair_key(F.col("own"), F.col("sibling_number"), F.col("contact"), label=F.col("source"), last=F.col("doc_id").cast("string"))
+    return joined.select("doc_id", key.alias("identity"))
 
 
 @query("SELECT event_id, ts, user_id, event_type FROM events")

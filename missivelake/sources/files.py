@@ -88,10 +88,6 @@ def snapshots(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
     return [(name, store.exists(f"{root}/{name}/.complete")) for name, folder in store.names(root) if folder and name.startswith("20")]
 
 
-def snapshot_catalog(spark: SparkSession, root: str) -> DataFrame:
-    return spark.createDataFrame(snapshots(spark, root), "stamp string, complete boolean")
-
-
 def lines_of(spark: SparkSession, path: str) -> DataFrame:
     """(value): the lines of a file whose name may be hidden from Spark's readers; none if it does not exist.
 
