@@ -152,11 +152,12 @@ def inspect_pages(spark: SparkSession, paths: list[str]) -> list[dict]:
 def group_by_contact(spark: SparkSession, paths: list[str], book_paths: list[str], out: str, dry_run: bool = False) -> list[tuple]:
     """Pages of one person merged into one; pages without a known contact stay as they are.
 
-    Outputs are named after a group's first page; equal names of different groups are numbered.
+    Outputs are named after a group's first page; equal names of different groups, and names that ``out`` holds already, are numbered.
     """
     pages = named_pages(spark, paths)
     plan = contacts.plan_groups(pages, contacts.handle_map(books(spark, book_paths))).withColumn("__first", F.col("output_name"))
-    plan = dedup.numbered_names(plan.withColumn("output_name", T.basename(F.col("output_name"))), "output_name", ["__first"], "target")
+    there = files.inventory(spark, out).filter("not contains(rel_path, '/')").select(F.col("rel_path").alias("output_name"))
+    plan = staged(dedup.numbered_names(plan.withColumn("output_name", T.basename(F.col("output_name"))), "output_name", ["__first"], "target", there), "plan")
     of = plan.select(F.explode("files").alias("f"), "target", F.col("__first").alias("first")).select(F.col("f.file").alias("file"), "target", "first")
     report = [(r["target"], r["display_name"], len(r["files"]), r["n_messages"]) for r in plan.orderBy("target").collect()]  # one row an output
     if not dry_run:

@@ -83,6 +83,8 @@ class Store:
                 return True
             except FileExistsError:
                 return False
+            except OSError:  # a file system without links
+                return self._create_alone(target, data)
             finally:
                 os.remove(beside)
         from py4j.protocol import Py4JJavaError
@@ -95,6 +97,15 @@ class Store:
                 return False
             raise
 
+    @staticmethod
+    def _create_alone(target: str, data: bytes) -> bool:
+        try:
+            with open(target, "xb") as f:
+                f.write(data)
+            return True
+        except FileExistsError:
+            return False
+
     def put(self, path: str, data: bytes) -> None:
         """Writes beside the file and renames, so that readers see the old content or the new one."""
         beside = f"{path}.tmp.{uuid.uuid4().hex}"

@@ -32,6 +32,9 @@ def test_merge_and_group_jobs(spark, tmp_path):
     contact = book(tmp_path / "book", [(1, "Ann", "Lee", None)], [(1, "+1 555 000 0001")], [(1, "Ann@example.com")])
     report = main(["group", str(a), str(b), "-o", str(tmp_path / "g"), "--addressbook", contact], spark)
     assert [(r[1], r[2]) for r in report] == [("Ann Lee", 2)] and len(list((tmp_path / "g").iterdir())) == 1
+    again = main(["group", str(a), str(b), "-o", str(tmp_path / "g"), "--addressbook", contact], spark)
+    first, second = report[0][0], again[0][0]
+    assert second == first.replace(".html", "_2.html") and (tmp_path / "g" / first).read_text() == (tmp_path / "g" / second).read_text()
 
 
 def test_pages_of_one_name_in_several_runs(spark, tmp_path):
