@@ -94,10 +94,11 @@ def rows_of_finite(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 def rows_without(docs: DataFrame, keys: DataFrame, *own: Column) -> DataFrame:
     """The rows of ``docs`` whose expressions ``own`` are in no row of ``keys``, column by column; null equals null.
 
-    The keys get names of their own, so that any column name may stand in ``docs``.
+    The keys are written and, while they are few, sent to the rows, whose texts then stay where they are.  They get names of
+    their own, so that any column name may stand in ``docs``.
     """
     tag = uuid.uuid4().hex
-    named = keys.select(*[F.col(c).alias(f"{c}-{tag}") for c in keys.columns])
+    named = sent(written(keys.select(*[F.col(c).alias(f"{c}-{tag}") for c in keys.columns]), "keys"))
     same = [o.eqNullSafe(F.col(f"`{c}`")) for o, c in zip(own, named.columns, strict=True)]
     return docs.join(named, reduce(Column.__and__, same), "left_anti")
 
