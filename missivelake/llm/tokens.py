@@ -190,10 +190,10 @@ class PieceEncoder:
 _encoders: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, max_pieces: int = MAX_PIECES) -> PieceEncoder:
     """The worker's encoder for a tokenizer file; workers live longer than tasks."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(path, max_pieces)
     return _encoders[path]
 
 
