@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
@@ -69,31 +69,41 @@ def settle(pairs: DataFrame, tree: DataFrame, digests: Callable[[DataFrame, str]
     the start of their hash before the suffix, or the whole hash where other bytes have that name too.  A file that is not there has
     no action: pages that refer to it are still rewritten.
     """
+    folder = base.rstrip("/") + "/"
+
+    def hashes(rows: DataFrame, column: str, name: str) -> DataFrame:
+        """(<name>, <name>_hash) of the files that a column names."""
+        read = digests(rows.select(F.concat(F.lit(folder), F.col(column)).alias(name)), name)
+        return staged(read.select(F.substring(name, len(folder) + 1, 1 << 20).alias(name), F.col("sha256").alias(f"{name}_hash")), "hashes")
+
+    def marked(digest: Column) -> Column:
+        """The new name with a hash before its suffix."""
+        return F.concat(F.regexp_replace("new_path", r"(?<=[^./])\.[^./]+$", ""), F.lit("_"), digest, F.regexp_extract("new_path", r"(?<=[^./])(\.[^./]+)$", 1))
+
+    # Who wants which name, and who has it already.
     there = tree.select("rel_path").distinct()
     pairs = pairs.groupBy("old_path").agg(F.min("new_path").alias("new_path"))
     sources = staged(pairs.join(there, F.col("old_path") == F.col("rel_path"), "left").withColumn("there", F.col("rel_path").isNotNull()).drop("rel_path"), "sources")
-    leaving = sources.filter("there").select(F.col("old_path").alias("rel_path"))
-    remaining = there.join(leaving, "rel_path", "left_anti")
+    remaining = there.join(sources.filter("there").select(F.col("old_path").alias("rel_path")), "rel_path", "left_anti")
     wanted = sources.filter("there").groupBy("new_path").agg(F.count("*").alias("n"), F.min("old_path").alias("least"))
-    wanted = wanted.join(remaining.withColumnRenamed("rel_path", "holder"), F.col("new_path") == F.col("holder"), "left")
-    plain = wanted.filter("n = 1 and holder is null").select("new_path", F.lit("move").alias("plain"))
-    contested = staged(sources.filter("there").join(wanted.filter("n > 1 or holder is not null"), "new_path").select("old_path", "new_path", "least", "holder"), "contested")
-    whole = lambda c: F.concat(F.lit(base.rstrip("/") + "/"), F.col(c))
-    known = lambda rows, c, name: digests(rows.select(whole(c).alias(name)), name).select(F.substring(name, len(base.rstrip("/")) + 2, 1 << 20).alias(name), F.col("sha256").alias(f"{name}_hash"))
-    own = staged(known(contested, "old_path", "of"), "hashes")
-    first = F.coalesce("holder", "least")
-    held = staged(known(contested.select(first.alias("first")).distinct(), "first", "held"), "hashes")
-    rows = contested.withColumn("first", first).join(own, F.col("old_path") == F.col("of")).join(held, F.col("first") == F.col("held"))
-    same = F.col("of_hash") == F.col("held_hash")
-    marked = lambda digest: F.concat(F.regexp_replace("new_path", r"(?<=[^./])\.[^./]+$", ""), F.lit("_"), digest, F.regexp_extract("new_path", r"(?<=[^./])(\.[^./]+)$", 1))
-    other = staged(rows.select("old_path", "new_path", "of_hash", same.alias("same"), (F.col("old_path") == F.col("first")).alias("is_first"), marked(F.substring("of_hash", 1, 8)).alias("short"), marked(F.col("of_hash")).alias("long")), "other-bytes")
-    short = staged(known(other.filter("not same").join(remaining, F.col("short") == F.col("rel_path")).select("short").distinct(), "short", "taken"), "hashes")
-    kept = other.filter("not same").join(short, F.col("short") == F.col("taken"), "left")
-    named = kept.select("old_path", "of_hash", F.when(F.col("taken").isNull() | (F.col("taken_hash") == F.col("of_hash")), F.col("short")).otherwise(F.col("long")).alias("target"), F.col("taken_hash").eqNullSafe(F.col("of_hash")).alias("has"))
-    ahead = named.groupBy("target", "of_hash").agg(F.min("old_path").alias("ahead"))
-    renamed = named.join(ahead, ["target", "of_hash"]).select("old_path", F.col("target").alias("new_path"), F.when(~F.col("has") & (F.col("old_path") == F.col("ahead")), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(True).alias("collision"))
-    copies = other.filter("same").select("old_path", "new_path", F.when(F.col("is_first"), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(False).alias("collision"))
-    alone = sources.join(plain, "new_path", "left").filter("plain is not null or not there").select("old_path", "new_path", F.when(F.col("there"), F.col("plain")).alias("action"), F.lit(False).alias("collision"))
+    wanted = staged(wanted.join(remaining.withColumnRenamed("rel_path", "holder"), F.col("new_path") == F.col("holder"), "left"), "wanted")
+    free = wanted.filter("n = 1 and holder is null").select("new_path", F.lit("move").alias("plain"))
+    alone = sources.join(free, "new_path", "left").filter("plain is not null or not there").select("old_path", "new_path", F.when(F.col("there"), F.col("plain")).alias("action"), F.lit(False).alias("collision"))
+    # The others are compared with the file that gets the name.
+    first = F.coalesce("holder", "least").alias("first")
+    contested = staged(sources.filter("there").join(wanted.filter("n > 1 or holder is not null"), "new_path").select("old_path", "new_path", first), "contested")
+    rows = contested.join(hashes(contested, "old_path", "of"), F.col("old_path") == F.col("of")).join(hashes(contested.select("first").distinct(), "first", "held"), F.col("first") == F.col("held"))
+    rows = staged(rows.select("old_path", "new_path", "first", "of_hash", (F.col("of_hash") == F.col("held_hash")).alias("same"), marked(F.substring("of_hash", 1, 8)).alias("short"), marked(F.col("of_hash")).alias("long")), "compared")
+    copies = rows.filter("same").select("old_path", "new_path", F.when(F.col("old_path") == F.col("first"), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(False).alias("collision"))
+    # Other bytes: the short name, unless other bytes have it, want it or share it.
+    other = rows.filter("not same")
+    shared = other.groupBy("short").agg(F.count_distinct("of_hash").alias("kinds"))
+    shared = shared.join(hashes(other.join(remaining, F.col("short") == F.col("rel_path")).select("short").distinct(), "short", "taken"), F.col("short") == F.col("taken"), "left")
+    shared = shared.join(wanted.select(F.col("new_path").alias("claimed")), F.col("short") == F.col("claimed"), "left")
+    fits = (F.col("taken").isNull() | (F.col("taken_hash") == F.col("of_hash"))) & (F.col("kinds") == 1) & F.col("claimed").isNull()
+    named = other.join(shared, "short").select("old_path", "of_hash", F.when(fits, F.col("short")).otherwise(F.col("long")).alias("target"), (fits & F.col("taken").isNotNull()).alias("has"))
+    ahead = named.groupBy("target").agg(F.min("old_path").alias("ahead"))
+    renamed = named.join(ahead, "target").select("old_path", F.col("target").alias("new_path"), F.when(~F.col("has") & (F.col("old_path") == F.col("ahead")), F.lit("move")).otherwise(F.lit("remove")).alias("action"), F.lit(True).alias("collision"))
     return alone.union(copies).union(renamed)
 
 
