@@ -50,7 +50,7 @@ LIKELY = 1
 BUCKETS = 256
 LOWERED = str.maketrans(UPPER, LOWER)
 
-_hashes = WordHashes()
+_hashes = WordHashes(200_000)  # beside it workers keep what other stages know
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:

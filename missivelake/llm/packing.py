@@ -26,7 +26,7 @@ from .tokens import default_path, encoder
 CAPACITY, END_ID = 2048, 1
 MAX_PIECE, GROUP_WINDOWS = 512, 128
 #: Pieces that a worker's encoder keeps: beside it stand the groups, and what earlier stages keep in the same worker.
-ENCODER_PIECES = 400_000
+ENCODER_PIECES = 200_000
 #: A group ends early when its packed ids reach this size, so that long documents do not add up.
 GROUP_BYTES = 1 << 25
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
