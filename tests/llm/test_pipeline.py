@@ -71,6 +71,6 @@ def test_queries_are_registered():
     from missivelake.llm import queries
 
     names = [q.split("_")[0] for q in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(names) == sorted(f"op{k}" for k in range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert np.all([callable(q) for q in queries.QUERIES.values()])
