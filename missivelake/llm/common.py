@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,31 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+_kept: dict[str, Any] = {}
+
+
+def kept(owner: str, make: Callable[[], Any]) -> Any:
+    """What the tasks of one operator keep in a Python worker, made when it is first asked for.
+
+    Workers outlive stages.  What another operator kept goes first, so that a worker never holds the tables of several.
+    """
+    if owner not in _kept:
+        if _kept:
+            _kept.clear()
+            give_back()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, which the allocators would keep for the process."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or in local mode a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, rows_without, small_batches, whole_text, written
+from .common import discard, kept, rows_without, small_batches, whole_text, written
 
 N, STRETCH = 3, 4
 RARE_DOCS, RARE_SHARE = 20, 1e-5
@@ -64,15 +64,12 @@ class Hashes:
         return np.array(found, np.uint64)
 
 
-_hashes = Hashes()
-
-
 def gram_hashes(words: list[str]) -> np.ndarray:
     """A hash of each n-gram of a text, by start."""
     n = len(words) - N + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    h, out = _hashes.of(words), np.zeros(n, np.uint64)
+    h, out = kept("benchmark words", Hashes).of(words), np.zeros(n, np.uint64)
     for k in range(N):
         out = (out ^ h[k : k + n]) * MIX
         out ^= out >> np.uint64(31)

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, is_empty, rows_without, sent, small_batches, whole_text, written
+from .common import LOWER, UPPER, discard, is_empty, kept, rows_without, sent, small_batches, whole_text, written
 from .components import components
 from .simhash import fingerprint_of, links
 from .substring_dedup import MIX1, WordHashes, rolled, words_of
@@ -49,13 +49,11 @@ LIKELY = 1
 #: Hash ranges whose counts bound what two sets have in common.
 BUCKETS = 256
 LOWERED = str.maketrans(UPPER, LOWER)
-
-_hashes = WordHashes(200_000)  # beside it workers keep what other stages know
-
+MOST_WORDS = 200_000
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles."""
-    w = _hashes.of(words_of(text.translate(LOWERED)))
+    w = kept("near words", lambda: WordHashes(MOST_WORDS)).of(words_of(text.translate(LOWERED)))
     return np.unique(rolled(w, min(words, len(w)), MIX1)) if len(w) else np.empty(0, np.uint64)
 
 

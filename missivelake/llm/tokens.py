@@ -14,6 +14,8 @@ import os
 from contextlib import suppress
 from struct import pack
 
+from .common import kept
+
 ID_BYTES = 4
 #: Pieces whose ids a worker keeps, of some 200 bytes each.  Frequent ones come early; when the table is full, later ones are kept
 #: for their batch only, and the table starts again when most of a batch is not in it.
@@ -187,14 +189,12 @@ class PieceEncoder:
         return out
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str, max_pieces: int = MAX_PIECES) -> PieceEncoder:
     """The worker's encoder for a tokenizer file; workers live longer than tasks."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path, max_pieces)
-    return _encoders[path]
+    made = kept("encoders", dict)
+    if path not in made:
+        made[path] = PieceEncoder(path, max_pieces)
+    return made[path]
 
 
 def default_path(name: str) -> str:

@@ -1,11 +1,13 @@
 """Very long texts and repeated rows of the operators that had no such test."""
 
+import gc
 import hashlib
 import random
+import weakref
 
 import numpy as np
 
-from missivelake.llm import grammar_ids, near_copies, packing, pii, tokens
+from missivelake.llm import decontaminate, grammar_ids, near_copies, packing, pii, tokens
 
 
 def test_packing_of_a_text_of_many_windows_and_of_repeated_rows(docs_of):
@@ -68,3 +70,13 @@ def test_near_copies_of_very_long_texts(docs_of):
     got = {r["doc_id"]: r["component_id"] for r in near_copies.similar_dedup(docs_of(rows)).collect()}
     assert got == {7: 3, 3: 3, 9: 9, 10: 10}
     assert len({hashlib.sha256(t.encode()).hexdigest() for _, t in rows}) == 4
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    made = weakref.ref(tokens.encoder(tokens.default_path("word_bpe_49k.json")))
+    gc.collect()
+    assert made() is not None and made() is tokens.encoder(tokens.default_path("word_bpe_49k.json"))
+    near_copies.shingle_set("one two three four five six")
+    gc.collect()
+    assert made() is None  # it went when another operator's tables came
+    assert decontaminate.gram_hashes(["a", "b", "c", "d"]).tolist() == decontaminate.gram_hashes(["a", "b", "c", "d"]).tolist()
