@@ -72,14 +72,19 @@ def _chosen(rank: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions to replace and their ranks: the higher rank wins where pairs overlap.  ``rank`` is used up."""
     won, ranks = [], []
     while len(at):
-        own = rank[at]
-        wins = (own > rank[at - 1]) & (own > rank[at + 1])  # the last entry of rank is an empty one
-        w = at[wins]
+        many = 4 * len(at) > len(rank)
+        if many:  # neighbours are compared where they stand
+            wins = rank[:-1] > rank[1:]
+            wins[1:] &= rank[1:-1] > rank[:-2]
+            w = np.flatnonzero(wins)
+        else:
+            own = rank[at]
+            wins = (own > rank[at - 1]) & (own > rank[at + 1])  # the last entry of rank is an empty one
+            w = at[wins]
         won.append(w)
-        ranks.append(own[wins])
+        ranks.append(rank[w])
         rank[w] = rank[w - 1] = rank[w + 1] = 0
-        at = at[~wins]
-        at = at[rank[at] > 0]
+        at = np.flatnonzero(rank) if many else at[rank[at] > 0]
     return np.concatenate(won), np.concatenate(ranks)
 
 

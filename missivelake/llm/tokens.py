@@ -10,7 +10,9 @@ Ids are packed as little-endian unsigned 32-bit integers.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 from contextlib import suppress
 from struct import pack
 
@@ -26,6 +28,10 @@ TOGETHER = 200
 MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 #: Letters below this point are the same letters to every Unicode version and stable under normalisation.
 LATIN_END = "ɐ"
+#: Such letters that stay letters when their case is dropped.
+LETTERS = "".join(c for c in map(chr, range(ord(LATIN_END))) if c.isalpha() and c.lower().isalpha())
+#: Of a piece and the NUL after it: the newline before it, letters, marks, and what is neither.
+PIECE = re.compile(f"(\n?)([{LETTERS}]*)([{re.escape(MARKS)}]*)([^\0]*)\0")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -84,19 +90,20 @@ class PieceEncoder:
             return ("\n" + text.replace("\n", " \n")).split(" ")
         return flat.split(" ")
 
-    def _written(self, part: str) -> str:
-        """A part in the vocabulary's characters."""
-        if part.isascii():
-            return part.replace(" ", self.byte_characters[32])
-        return part.encode().decode("latin-1").translate(self.byte_characters)
+    def _written(self, parts: str) -> str:
+        """Parts, one a line, in the vocabulary's characters."""
+        if parts.isascii():
+            return parts.replace(" ", self.byte_characters[32]).replace("\n", self.border)
+        return parts.encode().decode("latin-1").translate(self.byte_characters)
 
     def _learn_parts(self, parts: list[str]) -> None:
         import numpy as np
 
+        parts.sort(key=str.isascii)  # those that are quickly written out together
         groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
         for at in range(0, len(groups), 50):  # bounds the library's own objects
             some = groups[at : at + 50]
-            texts = [self.border.join(map(self._written, group)) for group in some]
+            texts = [self._written("\n".join(group)) for group in some]
             for group, found in zip(some, self.merges.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 ids = np.array(found.ids, "<u4")
                 borders = (np.flatnonzero(ids == self.border_id) * ID_BYTES).tolist()
@@ -111,48 +118,50 @@ class PieceEncoder:
         if len(self.parts) > self.max_pieces:
             self.parts.clear()
         known, space = self.parts, " " if self.space_joins else ""
-        single: list[tuple[str, str]] = []
-        double: list[tuple[str, str, str]] = []
+        known[""] = b""
+        newline = self._whole("\n") if self.space_joins else b""
+        found: dict[str, bytes] = {}
+        open_: list[tuple[str, bytes, str, str]] = []
         odd: list[str] = []
-        for piece in new:
-            # A newline before a piece takes the place of its space.
-            word = piece[1:] if piece[0] == "\n" else piece
-            if not (word.isascii() or max(word, default="") < LATIN_END):
+        wanted: set[str] = set()
+        pieces = list(new)
+        for piece, (line, letters, marks, rest) in zip(pieces, PIECE.findall("".join([p + "\0" for p in pieces])), strict=True):
+            if rest or not (letters or marks):
                 odd.append(piece)
                 continue
-            lead = "" if piece[0] == "\n" else space
-            if not self.space_joins:
-                word = word.lower()
-            if word.isalpha():
-                single.append((piece, lead + word))
-                continue
-            letters = word.rstrip(MARKS)
-            if letters.isalpha():
-                double.append((piece, lead + letters, word[len(letters) :]))
-            elif word and not letters:
-                single.append((piece, lead + word))
+            if not letters:
+                letters, marks = marks, ""
+            elif not space:
+                letters = letters.lower()
+            # A newline before a piece takes the place of its space.
+            word, before = (letters, newline) if line else (space + letters, b"")
+            x, y = known.get(word), known.get(marks)
+            if x is None or y is None:
+                wanted.add(word)
+                wanted.add(marks)
+                open_.append((piece, before, word, marks))
             else:
-                odd.append(piece)
-        wanted = {x for _, x in single}
-        for _, x, y in double:
-            wanted.add(x)
-            wanted.add(y)
+                found[piece] = before + x + y
         self._learn_parts([x for x in wanted if x not in known])
-        found = {p: known[x] for p, x in single}
-        for p, x, y in double:
-            found[p] = known[x] + known[y]
+        for piece, before, word, marks in open_:
+            found[piece] = before + known[word] + known[marks]
         texts = [(p[1:] if p[0] == "\n" else " " + p) if self.space_joins else p for p in odd]
         for p, x in zip(odd, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            found[p] = pack(f"<{len(x.ids)}I", *x.ids)
-        if self.space_joins:
-            newline = self._whole("\n")
-            for p in found:
-                if p[0] == "\n":
-                    found[p] = newline + found[p]
+            found[p] = (newline if p[0] == "\n" else b"") + pack(f"<{len(x.ids)}I", *x.ids)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, in order."""
+        # The many small objects made here hold no cycles, and the tables are long to look through for some.
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         get, new = self.pieces.__getitem__, self.pieces.new
         # The newline that _split puts before a text is not part of it.
         skip = len(self._whole("\n")) if self.space_joins else 0

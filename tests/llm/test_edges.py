@@ -80,3 +80,17 @@ def test_a_worker_keeps_the_tables_of_one_operator():
     gc.collect()
     assert made() is None  # it went when another operator's tables came
     assert decontaminate.gram_hashes(["a", "b", "c", "d"]).tolist() == decontaminate.gram_hashes(["a", "b", "c", "d"]).tolist()
+
+
+def test_encoding_new_pieces_does_not_look_for_cycles():
+    encoder = tokens.PieceEncoder(tokens.default_path("byte_bpe_50k.json"))
+    text = " ".join("abcdefghij"[k % 10] * (1 + k % 7) + chr(97 + k % 26) * (1 + k // 700) + chr(97 + k // 26 % 26) + ",;!"[k % 3] for k in range(9000))
+    looked = []
+    note = lambda phase, info: looked.append(phase)
+    gc.callbacks.append(note)
+    try:
+        found = encoder.encode([text])
+    finally:
+        gc.callbacks.remove(note)
+    assert gc.isenabled() and not looked
+    assert np.frombuffer(found[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
