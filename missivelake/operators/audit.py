@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
-from missivelake.operators.ranks import first_few
-from missivelake.sources.stores import staged
+from missivelake.operators.ranks import first_few, ranked
+from missivelake.sources.stores import sent, staged
 
 
 def chat_names(chat: DataFrame, chat_handle: DataFrame, handle: DataFrame) -> DataFrame:
@@ -22,12 +22,50 @@ def is_stored_path(path: Column) -> Column:
     return path.isNotNull() & (path.ilike("%Attachments/%") | path.ilike("%StickerCache/%"))
 
 
+#: What stands for a chat without a name.
+UNKNOWN = "(unknown chat)"
+
+
+def chat_codes(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(chat_id, code) and (code, chat): a number for each chat name, which sorts as the names do.
+
+    A name may list thousands of members and stand in millions of rows: rows that move, are sorted or kept hold its number, and
+    :func:`named` puts the name in its place at the end.
+    """
+    chats = chat_names(tables["chat"], tables["chat_handle_join"], tables["handle"]).select("chat_id", F.coalesce(F.nullif("chat_name", F.lit("")), F.lit(UNKNOWN)).alias("chat"))
+    chats = staged(chats, "chats")
+    names = staged(ranked(chats.select("chat", F.lit(0).alias("of")).distinct(), ["of"], ["chat"], "code").select("code", "chat"), "names")
+    return staged(chats.join(names, "chat").select("chat_id", "code"), "codes"), names
+
+
+def named(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` with the chat's name in the place of its code, in the order they are in if the names are sent to all tasks."""
+    return rows.join(sent(names, "chat"), "code").select(*["chat" if c == "code" else c for c in rows.columns])
+
+
 def attachment_references(tables: dict[str, DataFrame]) -> DataFrame:
     """One row for each (attachment, message, chat): chat_name, transfer_name, stored_path, msg_date."""
+    names = chat_names(tables["chat"], tables["chat_handle_join"], tables["handle"])
+    return chat_references(tables).join(names, "chat_id").select("chat_name", "transfer_name", "stored_path", "msg_date")
+
+
+def references_by_chat(tables: dict[str, DataFrame]) -> DataFrame:
+    """(chat_name, n_refs, least): the references of each chat name and the least of their paths, counted by chat before names are joined."""
+    names = chat_names(tables["chat"], tables["chat_handle_join"], tables["handle"])
+    counted = chat_references(tables).groupBy("chat_id").agg(F.count("*").alias("n_refs"), F.min("stored_path").alias("least"))
+    return counted.join(names, "chat_id").groupBy("chat_name").agg(F.sum("n_refs").alias("n_refs"), F.min("least").alias("least"))
+
+
+def coded_references(tables: dict[str, DataFrame], codes: DataFrame) -> DataFrame:
+    """:func:`attachment_references` with the number of the chat's name, from :func:`chat_codes`."""
+    return chat_references(tables).join(codes, "chat_id").select("code", "transfer_name", "stored_path", "msg_date")
+
+
+def chat_references(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row for each (attachment, message, chat): chat_id, transfer_name, stored_path, msg_date."""
     a = tables["attachment"].filter(is_stored_path(F.col("filename"))).select(F.col("ROWID").alias("attachment_id"), F.col("filename").alias("stored_path"), "transfer_name")
     m = tables["message"].select(F.col("ROWID").alias("message_id"), F.col("date").alias("msg_date"))
-    named = chat_names(tables["chat"], tables["chat_handle_join"], tables["handle"])
-    return a.join(tables["message_attachment_join"], "attachment_id").join(m, "message_id").join(tables["chat_message_join"], "message_id").join(named, "chat_id").select("chat_name", "transfer_name", "stored_path", "msg_date")
+    return a.join(tables["message_attachment_join"], "attachment_id").join(m, "message_id").join(tables["chat_message_join"], "message_id").select("chat_id", "transfer_name", "stored_path", "msg_date")
 
 
 def _by_shape(values: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -102,11 +140,12 @@ def excluded(refs: DataFrame, patterns: DataFrame, column: str = "tail") -> Data
 def classify(refs: DataFrame, inventory: DataFrame, patterns: DataFrame | None = None, attachments: str = "", stickers: str = "") -> DataFrame:
     """Adds path, tail, file, sent and status (ok, zero_byte, missing) to attachment references.
 
-    inventory: (path, length).  A missing file whose tail an exclude pattern matches is ok.
+    inventory: (path, length).  A missing file whose tail an exclude pattern matches is ok.  References with a ``code`` keep it.
     """
+    coded = "code" in refs.columns
     resolved = T.resolve_path(F.col("stored_path"), F.lit(attachments), F.lit(stickers))
     rows = refs.withColumn("__r", resolved).select(
-        F.coalesce(F.nullif("chat_name", F.lit("")), F.lit("(unknown chat)")).alias("chat"),
+        F.col("code") if coded else F.coalesce(F.nullif("chat_name", F.lit("")), F.lit(UNKNOWN)).alias("chat"),
         F.col("__r.path").alias("path"),
         F.col("__r.tail").alias("tail"),
         T.either(F.col("transfer_name"), F.col("__r.tail")).alias("file"),
@@ -118,7 +157,7 @@ def classify(refs: DataFrame, inventory: DataFrame, patterns: DataFrame | None =
     if patterns is not None:
         known = excluded(joined.filter("length is null").select("tail").distinct(), patterns).withColumn("__hit", F.lit(True))
         joined = joined.drop("__known").join(known, "tail", "left").withColumn("__known", F.coalesce("__hit", F.lit(False))).drop("__hit")
-    return joined.select("chat", "file", "sent", "tail", "stored_path", "path", status_of(F.col("length"), F.col("__known")).alias("status"))
+    return joined.select("code" if coded else "chat", "file", "sent", "tail", "stored_path", "path", status_of(F.col("length"), F.col("__known")).alias("status"))
 
 
 def status_of(length: Column, known: Column) -> Column:
@@ -153,9 +192,12 @@ def totals(classified: DataFrame) -> DataFrame:
     return classified.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("ok", "zero_byte", "missing")], F.count("*").alias("referenced"))
 
 
-def problems(classified: DataFrame) -> DataFrame:
-    """Zero-byte and missing rows, oldest first, undated last."""
-    return classified.filter("status <> 'ok'").orderBy("status", F.col("sent").asc_nulls_last(), "chat", "file")
+def problems(classified: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Zero-byte and missing rows, oldest first, undated last; ``names`` (code, chat) are those of coded rows."""
+    bad = classified.filter("status <> 'ok'")
+    if names is None:
+        return bad.orderBy("status", F.col("sent").asc_nulls_last(), "chat", "file")
+    return named(bad.orderBy("status", F.col("sent").asc_nulls_last(), "code", "file"), names)
 
 
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], most: int = 8) -> DataFrame:
@@ -168,26 +210,46 @@ def top_per_group(rows: DataFrame, group: list[str], order: list[Column], most:
 RECORD_ORDER = ["undated", "sent", "chat", "file", "tail", "stored_path"]
 
 
-def document_pieces(classified: DataFrame, generated: str, snapshot: str, attachments: str) -> DataFrame:
+#: Bytes of a chat's name that an audit's records hold; longer ones stand once in the document.
+NAME_BYTES = 1000
+
+
+def document_pieces(classified: DataFrame, generated: str, snapshot: str, attachments: str, names: DataFrame | None = None) -> DataFrame:
     """(kind, text, and ``RECORD_ORDER``): the audit as pieces of one JSON document, a record a line; both lists oldest first.
 
     Kinds 1 and 3 are the records of zero-byte and missing files, the even ones what stands around them.  No row holds a list.
+    ``names`` (code, chat) are those of coded rows.  Names of more than ``NAME_BYTES`` bytes, of which a document would hold copies in all
+    records, stand once in an object "chats" behind the lists, by their code, which records have as "chat_ref" in the place of "chat".
     """
-    record = F.to_json(F.struct("chat", "file", "sent", "tail", "stored_path"), {"ignoreNullFields": "false"})
+    rest = F.to_json(F.struct("file", "sent", "tail", "stored_path"), {"ignoreNullFields": "false"})
+    long = None
+    if names is None:
+        record = F.to_json(F.struct("chat", "file", "sent", "tail", "stored_path"), {"ignoreNullFields": "false"})
+    else:
+        is_long = F.octet_length("chat") > NAME_BYTES
+        begin = F.when(is_long, F.to_json(F.struct(F.col("code").alias("chat_ref")))).otherwise(F.to_json(F.struct("chat")))
+        classified = classified.join(names.select("code", F.regexp_replace(begin, r"\}$", ",").alias("__begin")), "code").withColumn("chat", F.col("code"))
+        record = F.concat("__begin", F.substring(rest, 2, 1 << 30))
+        entry = F.regexp_replace(F.regexp_replace(F.to_json(F.create_map(F.col("code").cast("string"), F.col("chat"))), r"^\{", ""), r"\}$", "")
+        long = names.filter(is_long).select(F.lit(5).alias("kind"), entry.alias("text"), F.col("code").alias("chat"))
+        long = None if long.isEmpty() else long
     kind = F.when(F.col("status") == "zero_byte", F.lit(1)).otherwise(F.lit(3)).alias("kind")
     records = classified.filter("status <> 'ok'").select(kind, record.alias("text"), F.col("sent").isNull().alias("undated"), "sent", "chat", "file", "tail", "stored_path")
     fields = F.struct(
         F.lit(generated).alias("generated"), F.lit(snapshot).alias("snapshot_db"), F.lit(attachments).alias("shared_attachments"), F.struct("ok", "zero_byte", "missing", "referenced").alias("totals"),
     )
     head = F.concat(F.regexp_replace(F.to_json(fields), r"\}$", ""), F.lit(',\n"zero_byte":[\n'))
-    around = F.array(*[F.struct(F.lit(k).alias("kind"), text.alias("text")) for k, text in ((0, head), (2, F.lit('\n],\n"missing":[\n')), (4, F.lit("\n]}\n")))])
-    nothing = [F.lit(False), *[F.lit(None).cast("string")] * 5]
+    tail = [(4, F.lit("\n]}\n"))] if long is None else [(4, F.lit('\n],\n"chats":{\n')), (6, F.lit("\n}}\n"))]
+    around = F.array(*[F.struct(F.lit(k).alias("kind"), text.alias("text")) for k, text in ((0, head), (2, F.lit('\n],\n"missing":[\n')), *tail)])
+    nothing = [F.lit(False), *[F.lit(None).cast(records.schema[c].dataType).alias(c) for c in RECORD_ORDER[1:]]]
     records = records.union(totals(classified).select(F.explode(around).alias("x")).select("x.kind", "x.text", *nothing))
-    return records
+    return records if long is None else records.unionByName(long.withColumn("undated", F.lit(False)), allowMissingColumns=True)
 
 
-def report_lines(classified: DataFrame, most: int = 8) -> DataFrame:
-    """The text report: per status and chat the first files by time, then how many more."""
+def report_lines(classified: DataFrame, most: int = 8, names: DataFrame | None = None) -> DataFrame:
+    """The text report: per status and chat the first files by time, then how many more; ``names`` (code, chat) are those of coded rows."""
+    if names is not None:
+        return coded_lines(classified, names, most)
     bad = classified.filter("status <> 'ok'")
     shown = top_per_group(bad, ["status", "chat"], [F.col("sent").asc_nulls_last(), F.col("file")], most)
     line = F.concat(F.lit("  "), F.coalesce("sent", F.lit("undated")), F.lit("  "), F.col("file"))
@@ -197,6 +259,17 @@ def report_lines(classified: DataFrame, most: int = 8) -> DataFrame:
     return head.union(body).union(more).orderBy("status", "chat", "rn")
 
 
+def coded_lines(classified: DataFrame, names: DataFrame, most: int) -> DataFrame:
+    """(status, chat, rn, line, code): :func:`report_lines` of coded rows; only lines that are shown get the names."""
+    shown = top_per_group(classified.filter("status <> 'ok'"), ["status", "code"], [F.col("sent").asc_nulls_last(), F.col("file")], most)
+    line = F.concat(F.lit("  "), F.coalesce("sent", F.lit("undated")), F.lit("  "), F.col("file"))
+    body = shown.select("status", "code", "rn", line.alias("line"), "n_total")
+    more = shown.filter("rn = 1 and n_more > 0").select("status", "code", F.lit(most + 1).alias("rn"), F.format_string("  … and %d more", "n_more").alias("line"), "n_total")
+    head = shown.filter("rn = 1").select("status", "code", F.lit(0).alias("rn"), F.lit(None).cast("string").alias("line"), "n_total")
+    rows = head.union(body).union(more).orderBy("status", "code", "rn").join(sent(names, "chat"), "code")
+    return rows.select("status", "chat", "rn", F.coalesce("line", F.format_string("%s (%d)", "chat", "n_total")).alias("line"), "code")
+
+
 def verification(tables: dict[str, DataFrame]) -> DataFrame:
     """Row counts of messages and attachments, as recorded with a snapshot."""
     counts = [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in sorted(tables.items())]

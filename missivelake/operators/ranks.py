@@ -4,11 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from missivelake.sources.stores import staged
 
 
+#: Characters of a text by which ranges are cut.
+CUT = 300
+
+
+def range_keys(rows: DataFrame, columns: list[str], sizes: dict[str, int] | None = None) -> list[Column]:
+    """Keys that deal rows to ranges in the order of ``columns`` but hold only the start of each text, ``CUT`` characters or its own size.
+
+    The driver samples the keys of ranges, so that they must not grow with the texts.  What stands behind a text that is longer
+    than its start does not count: such rows of one start lie in one range, where they are sorted by the whole texts.
+    """
+    keys, whole = [], None
+    for c in columns:
+        size, value = (sizes or {}).get(c, CUT), F.col(c)
+        text = isinstance(rows.schema[c].dataType, StringType)
+        value = F.substring(value, 1, size) if text else value
+        keys.append(value if whole is None else F.when(whole, value))
+        if text and c != columns[-1]:
+            here = F.coalesce(F.length(c) <= size, F.lit(True))
+            whole = here if whole is None else whole & here
+            keys.append(~whole)
+    return keys
+
+
 def numbered_in_task(keys: list[str]):
     """Numbers the rows of each key in a sorted partition; batches may cut a key."""
 
@@ -52,7 +75,7 @@ def ranked(rows: DataFrame, key: list[str], order: list[str], out: str = "place"
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = StructType([*rows.schema.fields, StructField("__part", LongType()), StructField("__place", LongType())])
-    dealt = rows.repartitionByRange(n, *key, *order).sortWithinPartitions(*key, *order)
+    dealt = rows.repartitionByRange(n, *range_keys(rows, [*key, *order])).sortWithinPartitions(*key, *order)
     counted = staged(dealt.mapInArrow(numbered_in_task(key), schema), "ranked")
     sizes = counted.groupBy(*key, "__part").agg(F.max("__place").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))

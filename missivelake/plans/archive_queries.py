@@ -16,7 +16,7 @@ from missivelake.operators import audit, contacts, dedup, export, participants,
 from missivelake.operators.ranks import ranked
 from missivelake.plans.catalogue import query
 from missivelake.sources import files, html_pages, sinks, sqlite_source
-from missivelake.sources.stores import bucketed, scratch, staged
+from missivelake.sources.stores import bucketed, scratch, sent, staged
 from missivelake.streaming import incremental
 
 
@@ -63,13 +63,16 @@ def store(t) -> dict[str, DataFrame]:
     }
 
 
-def classified(t) -> DataFrame:
+def classified(t) -> tuple[DataFrame, DataFrame]:
+    """The classified references with the codes of their chats' names, and (code, chat)."""
     k = F.col("o_orderkey")
     path = F.when(k % 5 == 0, F.concat(F.lit("/s/s"), text("o_orderkey"), F.lit(".png"))).otherwise(F.concat(F.lit("/a/"), (k % 100).cast("string"), F.lit("/"), text("o_orderkey"), F.lit(".jpg")))
     inventory = t("orders").filter("o_orderkey % 4 <> 0 and o_orderkey % 5 not in (1, 2)").select(path.alias("path"), F.when(k % 7 == 0, F.lit(0)).otherwise(k).cast("long").alias("length"))
     pattern = F.concat((k % 100).cast("string"), F.lit("/"), text("o_orderkey"), F.when(k % 24 == 0, F.lit("?jpg")).otherwise(F.lit(".jpg")))
     patterns = t("orders").filter("o_orderkey % 8 = 0").select(pattern.alias("pattern"))
-    return audit.classify(audit.attachment_references(store(t)), inventory, patterns, "/a", "/s")
+    tables = store(t)
+    codes, names = audit.chat_codes(tables)
+    return audit.classify(audit.coded_references(tables, codes), inventory, patterns, "/a", "/s"), names
 
 
 NAMES = """m AS (SELECT s_nationkey AS c, string_agg(s_name, ', ' ORDER BY s_name) AS members FROM supplier GROUP BY 1),
@@ -86,7 +89,7 @@ r AS (SELECT chat, coalesce(named, tail) AS file, CASE WHEN c_custkey % 11 <> 0
 @query(f"WITH {REFS} SELECT * FROM r")
 def audit_references(t):
     """References joined over five tables, resolved, looked up and classified."""
-    return classified(t)
+    return audit.named(*classified(t))
 
 
 @query(f"WITH {REFS} SELECT chat AS chat_name, count(*) AS n_refs, min(stored_path) AS least FROM r GROUP BY chat")
@@ -104,13 +107,14 @@ def audit_changed(t):
     path = F.when(k % 5 == 0, F.concat(F.lit("/s/s"), text("o_orderkey"), F.lit(".png"))).otherwise(F.concat(F.lit("/a/"), (k % 100).cast("string"), F.lit("/"), text("o_orderkey"), F.lit(".jpg")))
     before = t("orders").filter(k % 4 != 0).select(path.alias("path"), F.when(k % 7 == 0, F.lit(0)).otherwise(k).cast("long").alias("length"))
     after = t("orders").filter(k % 9 != 0).select(path.alias("path"), F.when((k % 7 == 0) & (k % 2 == 1), F.lit(0)).otherwise(k).cast("long").alias("length"))
-    refs = bucketed(classified(t).select("chat", "file", "path"), "path", "refs", 8)
-    return audit.audit_changes(refs, bucketed(before, "path", "inventory", 8), bucketed(after, "path", "inventory", 8))
+    done, names = classified(t)
+    refs = bucketed(done.select("code", "file", "path"), "path", "refs", 8)
+    return audit.named(audit.audit_changes(refs, bucketed(before, "path", "inventory", 8), bucketed(after, "path", "inventory", 8)), names)
 
 
 @query(f"WITH {REFS} SELECT chat, file, sent, tail, stored_path, path, status FROM r WHERE status <> 'ok'")
 def audit_problems(t):
-    return audit.problems(classified(t))
+    return audit.problems(*classified(t))
 
 
 REPORT = """b AS (SELECT status, chat, coalesce(sent, 'undated') AS sent, file, row_number() OVER (PARTITION BY status, chat ORDER BY sent NULLS LAST, file) AS rn,
@@ -121,24 +125,30 @@ REPORT = """b AS (SELECT status, chat, coalesce(sent, 'undated') AS sent, file,
 UNION ALL SELECT status, chat, 0, chat || ' (' || n || ')' FROM b WHERE rn = 1 UNION ALL SELECT status, chat, 9, '  … and ' || (n - 8) || ' more' FROM b WHERE rn = 1 AND n > 8""")
 def audit_report(t):
     """The text report: eight problems a chat, and how many more."""
-    return audit.report_lines(classified(t)).withColumn("rn", F.col("rn").cast("long"))
+    done, names = classified(t)
+    return audit.report_lines(done, names=names).withColumn("rn", F.col("rn").cast("long")).drop("code")
 
 
 @query(f"""WITH {REFS} SELECT status AS list, row_number() OVER (PARTITION BY status ORDER BY sent NULLS LAST, chat, file, tail, stored_path) AS pos, chat, file, sent, tail, stored_path,
 (SELECT count(*) FILTER (status = 'ok') || ',' || count(*) FILTER (status = 'zero_byte') || ',' || count(*) FILTER (status = 'missing') || ',' || count(*) FROM r) AS totals FROM r WHERE status <> 'ok'""")
 def audit_json(t):
     """The audit's document, written in pieces and read back: its records in their order, and its totals."""
-    done = staged(classified(t), "audit")
+    done, names = classified(t)
+    done = staged(done, "audit")
     spark, path = done.sparkSession, work_folder(done.sparkSession) + "/audit.json"
-    sinks.write_document(audit.document_pieces(done, "now", "db", "/a"), path, audit.RECORD_ORDER)
+    sinks.write_document(audit.document_pieces(done, "now", "db", "/a", names), path, audit.RECORD_ORDER)
     lines = read_lines(spark, path)
     head = lines.filter("value like '{\"generated%'").select(F.regexp_replace("value", ",$", "}").alias("value")).first()["value"]
     middle = lines.filter("value = '\"missing\":['").select("block", "at").first()
     before = (F.col("block") < middle["block"]) | ((F.col("block") == middle["block"]) & (F.col("at") < middle["at"]))
-    fields = "chat string, file string, sent string, tail string, stored_path string"
+    fields = "chat string, chat_ref long, file string, sent string, tail string, stored_path string"
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}")), "map<string,string>")
+    long = staged(lines.filter("value rlike '^\"[0-9]+\":'").select(F.explode(entry).alias("code", "long_name")).select(F.col("code").cast("long").alias("chat_ref"), "long_name"), "chats")
     records = lines.filter("value like '{\"chat%'").select(F.when(before, F.lit("zero_byte")).otherwise(F.lit("missing")).alias("list"), "block", "at", F.from_json(F.regexp_replace("value", ",$", ""), fields).alias("r"))
     totals = F.from_json(F.get_json_object(F.lit(head), "$.totals"), "ok string, zero_byte string, missing string, referenced string")
-    return ranked(records, ["list"], ["block", "at"], "pos").select("list", "pos", "r.*", F.concat_ws(",", totals["ok"], totals["zero_byte"], totals["missing"], totals["referenced"]).alias("totals"))
+    placed = ranked(records, ["list"], ["block", "at"], "pos").select("list", "pos", "r.*", F.concat_ws(",", totals["ok"], totals["zero_byte"], totals["missing"], totals["referenced"]).alias("totals"))
+    chat = F.coalesce("chat", "long_name").alias("chat")
+    return placed.join(sent(long, "long_name"), "chat_ref", "left").select("list", "pos", chat, "file", "sent", "tail", "stored_path", "totals")
 
 
 ORACLE_THREADS = f"""WITH {NAMES}, g AS (SELECT DISTINCT s_nationkey AS c, s_name FROM supplier),

@@ -68,7 +68,9 @@ def audit_snapshot(spark: SparkSession, store: str, shared: str, out: str, stick
     """Checks every attachment reference of a store; writes the audit, a report and the manifest into ``out``."""
     stickers = stickers or os.path.join(shared, "StickerCache")
     check, n_messages, n_attachments = sqlite_source.integrity_of(spark, store)
-    refs = audit.attachment_references(sqlite_source.read_messages(spark, store))
+    tables = sqlite_source.read_messages(spark, store)
+    codes, names = audit.chat_codes(tables)
+    refs = audit.coded_references(tables, codes)
     inventory = spark.createDataFrame([], "path string, length bigint")
     for root in (shared, stickers):
         inventory = inventory.union(files.inventory(spark, root).select("path", "length"))
@@ -77,10 +79,10 @@ def audit_snapshot(spark: SparkSession, store: str, shared: str, out: str, stick
     now = dt.datetime.now().strftime("%Y-%m-%dT%H:%M:%S")
     path = os.path.join(out, "attachment-audit.json")
     done = staged(done, "audit")
-    sinks.write_document(audit.document_pieces(done, now, store, shared), path, audit.RECORD_ORDER)
+    sinks.write_document(audit.document_pieces(done, now, store, shared, names), path, audit.RECORD_ORDER)
     total = audit.totals(done).first()
-    lines = audit.report_lines(done).select(F.lit("audit-report.txt").alias("name"), F.lit(1).alias("kind"), F.concat("line", F.lit("\n")).alias("text"), "status", "chat", "rn")
-    write_sorted(lines, out, ["status", "chat", "rn"], "")
+    lines = audit.report_lines(done, names=names).select(F.lit("audit-report.txt").alias("name"), F.lit(1).alias("kind"), F.concat("line", F.lit("\n")).alias("text"), "status", "code", "rn")
+    write_sorted(lines, out, ["status", "code", "rn"], "")
     values = {
         "snapshot_time": now, "source_db": store, "message_count": n_messages, "attachment_rows": n_attachments, "integrity_check": check, "zero_byte_attachments": total["zero_byte"],
         "missing_attachments": total["missing"], "attachment_audit": path, "shared_attachments": shared, "wal_copied": "yes" if os.path.exists(store + "-wal") else "no",

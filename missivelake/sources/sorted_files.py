@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from missivelake.operators.ranks import range_keys
 from missivelake.sources.stores import Store, in_task, located
 
 NAMES, COMMIT = "names.json", "commit.json"
@@ -166,7 +167,8 @@ def write_sorted(pieces: DataFrame, folder: str, order: list[Column | str], sepa
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     named = pieces.filter(F.col("name").isNotNull()).select("name", F.col("kind").cast("int").alias("kind"), F.coalesce("text", F.lit("")).alias("text"), *[k.alias(f"__{i}") for i, k in enumerate(keys)])
     by = ["name", "kind", *[f"__{i}" for i in range(len(keys))], "text"]
-    dealt = named.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by).select("name", "kind", "text")
+    keys = range_keys(named, by, {"text": 64})
+    dealt = named.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*by).select("name", "kind", "text")
     dealt.write.format("sorted_files").mode("append").option("staging", staging).option("separator", separator).save()
     store = Store(spark, target)
     done = json.loads(store.read(f"{staging}/{COMMIT}") or b"[]")  # one entry a task

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Schemes by which Arrow knows what Hadoop calls otherwise.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs", "abfss": "abfs"}
@@ -166,6 +167,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a table of long values that is sent to all tasks.
+SENT = 32 << 20
+
+
+def sent(df: DataFrame, column: str) -> DataFrame:
+    """A staged table of long values, to be sent to all tasks if they have few bytes together."""
+    total = df.agg(F.sum(F.octet_length(column))).first()[0]
+    return F.broadcast(df) if (total or 0) <= SENT else df
+
+
 def bucketed(df: DataFrame, key: str, name: str, buckets: int = 64) -> DataFrame:
     """Writes a table in buckets of a key, sorted within each, below the shared folder, and reads it back.
 
