@@ -95,7 +95,7 @@ def audit_references(t):
 @query(f"WITH {REFS} SELECT chat AS chat_name, count(*) AS n_refs, min(stored_path) AS least FROM r GROUP BY chat")
 def audit_join(t):
     """Four inner joins with their fan-out, counted per chat."""
-    return audit.attachment_references(store(t)).groupBy("chat_name").agg(F.count("*").alias("n_refs"), F.min("stored_path").alias("least"))
+    return audit.references_by_chat(store(t))
 
 
 @query(f"""WITH {REFS}, s AS (SELECT chat, file, path, CAST(regexp_extract(path, '([0-9]+)[.]', 1) AS BIGINT) AS k FROM r),

@@ -29,3 +29,7 @@ def test_changed_references_are_kept_without_names(spark, monkeypatch):
     monkeypatch.setattr(archive_queries, "bucketed", lambda df, *rest, f=archive_queries.bucketed: (kept.append(set(df.columns)), f(df, *rest))[1])
     assert not holds_names_of_rows(catalogue.QUERIES["audit_changed"](spark, SMALL))
     assert kept and not any("chat" in columns for columns in kept)
+
+
+def test_references_are_counted_before_their_names_are_joined(spark):
+    assert not holds_names_of_rows(catalogue.QUERIES["audit_join"](spark, SMALL))
