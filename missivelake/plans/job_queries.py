@@ -75,7 +75,9 @@ def job_voice(t):
     """Voice files converted by the job: every thread's page."""
     spark = spark_of(t("conversations"))
     source, out = work_folder(spark), work_folder(spark)
-    sinks.write_text_files(made.voice_files(t), source, "file", "text")
+    stamp = F.regexp_extract("file", r" - Text - (\d+)Z", 1)
+    named = F.concat(F.regexp_extract("file", r"^(.* - Text - )\d+Z", 1), F.lpad(stamp, 18, "0"), F.lit("Z.html"))  # stamps of one length, which sort as they rise
+    sinks.write_text_files(made.voice_files(t).withColumn("file", named), source, "file", "text")
     contacts = t("nation").select(F.col("n_nationkey").alias("Z_PK"), F.concat(F.lit("user"), text("n_nationkey")).alias("ZFIRSTNAME"), F.lit(None).cast("string").alias("ZLASTNAME"), F.lit(None).cast("string").alias("ZORGANIZATION"))
     numbers = t("nation").select(F.col("n_nationkey").cast("long").alias("ROWID"), F.col("n_nationkey").cast("long").alias("ZOWNER"), F.concat(F.lit("555"), F.lpad(text("n_nationkey"), 7, "0")).alias("ZFULLNUMBER"))
     book = sqlite_source.write_tables(work_folder(spark), {"ZABCDRECORD": contacts, "ZABCDPHONENUMBER": numbers})

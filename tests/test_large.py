@@ -33,3 +33,17 @@ def test_changed_references_are_kept_without_names(spark, monkeypatch):
 
 def test_references_are_counted_before_their_names_are_joined(spark):
     assert not holds_names_of_rows(catalogue.QUERIES["audit_join"](spark, SMALL))
+
+
+def test_voice_messages_of_one_time_follow_their_conversations(spark, tmp_path):
+    """Conversations 70 and 670 have one thread and one time; their numbers do not sort as texts."""
+    import duckdb
+
+    rows = [(c, turn, "user" if turn % 2 else "assistant", "x") for c in (70, 670) for turn in range(3)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.read.parquet(f"{SMALL}/nation.parquet").write.parquet(str(tmp_path / "nation.parquet"))
+    found = {r["file"]: r["html"] for r in catalogue.QUERIES["job_voice"](spark, str(tmp_path)).collect()}
+    with duckdb.connect() as db:
+        for t in ("conversations", "nation"):
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+        assert found == dict(db.sql(f"SELECT file, html FROM ({catalogue.ORACLES['job_voice']})").fetchall())
