@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from missivelake.operators.dedup import first_wins
 from missivelake.sources.files import snapshots
@@ -107,15 +107,25 @@ def growth(runs: DataFrame, stamp: str, counts: list[str]) -> DataFrame:
     return runs.select("*", *[(F.col(c) - F.lag(c).over(before)).alias(f"more_{c}") for c in counts])
 
 
+#: Times between which a watermark moves; pandas knows none before 1677 and after 2262.
+EARLIEST, LATEST = "1680-01-01 00:00:00", "2260-01-01 00:00:00"
+
+
 def stream_first(rows: DataFrame, key: str, order: str, ts: str, delay: str = "1 day") -> DataFrame:
     """The rows of a stream that are the first of their key by ``order`` so far, whatever order they arrive in.
 
     A state a key holds the order of its best row; a later arrival that comes before it in order is passed on too, so that the first
     copy of what has been passed on (:func:`first_wins`, :func:`followed`) is the first of all.  States go when the watermark
-    has passed their time, and rows older than that are dropped as late.
+    has passed their time, and rows older than that are dropped as late.  Times reach Python as numbers or texts, whatever their year;
+    for the watermark those behind ``LATEST`` count as that.
     """
-    schema, kind = rows.schema, rows.schema[order].dataType
-    plain = [f.name for f in schema.fields]
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    times = {TimestampType: (F.unix_micros, F.timestamp_micros, LongType()), TimestampNTZType: (lambda c: c.cast("string"), lambda c: F.to_timestamp_ntz(c), StringType())}
+    coded = {c: times[type(k)] for c, k in kinds.items() if type(k) in times}
+    schema = StructType([StructField(c, coded[c][2] if c in coded else k) for c, k in kinds.items()])
+    plain, kind = list(kinds), schema[order].dataType
+    first, last = (F.lit(x).cast(kinds[ts]) for x in (EARLIEST, LATEST))
+    at = F.when(F.col(ts) > last, last).when(F.col(ts) < first, first).otherwise(F.col(ts))
 
     def better(_, frames, state):
         if state.hasTimedOut:
@@ -124,8 +134,8 @@ def stream_first(rows: DataFrame, key: str, order: str, ts: str, delay: str = "1
         best = state.get[0] if state.exists else None
         found, latest = None, 0
         for frame in frames:
-            latest = max(latest, int(frame[ts].max().value // 1_000_000))
-            row = frame.sort_values([order, ts], kind="stable").iloc[:1]
+            latest = max(latest, int(frame["__at"].max().value // 1_000_000))
+            row = frame.sort_values([order, "__at", ts], kind="stable").iloc[:1]
             if found is None or row[order].iloc[0] < found[order].iloc[0]:
                 found = row
         if best is None or found[order].iloc[0] < best:
@@ -136,8 +146,9 @@ def stream_first(rows: DataFrame, key: str, order: str, ts: str, delay: str = "1
             yield found[plain].iloc[:0]
         state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
 
-    marked = rows.withWatermark(ts, delay)
-    return marked.groupBy(key).applyInPandasWithState(better, schema, StructType([StructField("best", kind)]), "append", "EventTimeTimeout")
+    marked = rows.withColumn("__at", at).withWatermark("__at", delay).withColumns({c: to(F.col(c)) for c, (to, _, _) in coded.items()})
+    passed = marked.groupBy(key).applyInPandasWithState(better, schema, StructType([StructField("best", kind)]), "append", "EventTimeTimeout")
+    return passed.withColumns({c: back(F.col(c)) for c, (_, back, _) in coded.items()}) if coded else passed
 
 
 def follow(rows: DataFrame, key: str, order: str, ts: str, out: str, checkpoint: str, delay: str = "1 day"):

@@ -47,3 +47,17 @@ def test_voice_messages_of_one_time_follow_their_conversations(spark, tmp_path):
         for t in ("conversations", "nation"):
             db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
         assert found == dict(db.sql(f"SELECT file, html FROM ({catalogue.ORACLES['job_voice']})").fetchall())
+
+
+def test_a_stream_of_late_times_keeps_the_first_copies(spark, tmp_path):
+    """Years that pandas does not know, a missing time, and microseconds."""
+    from missivelake.streaming import incremental
+
+    times = {"a": ["4465-01-02 03:04:05.000006", "2020-01-01 00:00:00"], "b": ["1971-01-01 00:00:00.5"], "c": [None], "d": ["9999-12-31 23:59:59.999999", "2262-04-12 00:00:00"]}
+    rows = [(k, i, x) for k, found in times.items() for i, x in enumerate(found)]
+    df = spark.createDataFrame(rows, "guid string, place long, x string").selectExpr("guid", "place", "cast(x as timestamp) as ts", "cast(x as timestamp_ntz) as wall")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    incremental.follow(stream, "guid", "place", "ts", str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    found = incremental.followed(spark, str(tmp_path / "out"), "guid", "place").selectExpr("guid", "cast(ts as string) as x", "cast(wall as string) as y", "place").collect()
+    assert sorted((r["guid"], r["place"], r["x"], r["y"]) for r in found) == [(k, 0, x[0], x[0]) for k, x in sorted(times.items())]
