@@ -211,7 +211,7 @@ RECORD_ORDER = ["undated", "sent", "chat", "file", "tail", "stored_path"]
 
 
 #: Bytes of a chat's name that an audit's records hold; longer ones stand once in the document.
-NAME_BYTES = 1000
+NAME_BYTES = 4096
 
 
 def document_pieces(classified: DataFrame, generated: str, snapshot: str, attachments: str, names: DataFrame | None = None) -> DataFrame:

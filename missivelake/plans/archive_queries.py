@@ -220,7 +220,8 @@ def guid(column: str) -> Column:
     return F.concat(F.lit(GUIDS), F.lpad(text(column), 12, "0"))
 
 
-def resolved_members(t) -> DataFrame:
+def group_pages(t) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The pages of users, and a store's tables that know a third of their messages."""
     place = F.array_sort(F.collect_list(F.struct("ts", "event_id")))
     body = F.array_join(F.transform(place, lambda x: F.concat(F.lit("<a href='sms://open?message-guid="), F.lit(GUIDS), F.lpad(x["event_id"].cast("string"), 12, "0"), F.lit("'>"))), "\n")
     name = F.when(F.col("user_id") % 5 == 0, F.lit("Family")).otherwise(F.lit("A, B "))
@@ -232,7 +233,7 @@ def resolved_members(t) -> DataFrame:
         "chat_handle_join": t("supplier").select(F.col("s_nationkey").alias("chat_id"), F.col("s_suppkey").alias("handle_id")),
         "handle": t("supplier").select(F.col("s_suppkey").alias("ROWID"), F.col("s_name").alias("id")),
     }
-    return participants.participants(pages, tables)
+    return pages, tables
 
 
 MEMBERS = """g AS (SELECT user_id, list(event_id ORDER BY ts, event_id) AS g FROM events WHERE user_id % 5 <> 0 GROUP BY user_id),
@@ -244,18 +245,22 @@ m AS (SELECT user_id, list(s_name ORDER BY s_name) AS handles FROM f JOIN suppli
 @query(f"WITH {MEMBERS} SELECT 'A, B ' || user_id || '.html' AS file, array_to_string(handles, ',') AS handles FROM m")
 def group_members(t):
     """The members of each group page, through its newest and oldest ids."""
-    return resolved_members(t).select("file", F.array_join("handles", ",").alias("handles"))
+    return participants.participants(*group_pages(t)).select("file", F.array_join("handles", ",").alias("handles"))
 
 
 @query(f"""WITH {MEMBERS}, s AS (SELECT 'A, B ' || user_id || '.html' AS file, array_to_string(handles, ',') AS handles FROM m) SELECT file, handles, row_number() OVER (ORDER BY file) AS pos FROM s""")
 def members_sidecar(t):
     """The members' file, written in pieces and read back in its order."""
-    found = resolved_members(t)
-    path = work_folder(found.sparkSession) + "/members.json"
-    sinks.write_document(participants.sidecar_pieces(found), path, ["file"])
-    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}")), "map<string,array<string>>")
-    lines = read_lines(found.sparkSession, path).filter("value like '  %'").select("block", "at", F.explode(entry).alias("file", "handles"), F.lit("all").alias("of"))
-    return ranked(lines, ["of"], ["block", "at"], "pos").select("file", F.array_join("handles", ",").alias("handles"), "pos")
+    pages, tables = group_pages(t)
+    chats, spark = staged(participants.page_chats(pages, tables), "chats"), spark_of(pages)
+    path = work_folder(spark) + "/members.json"
+    sinks.write_document(participants.shared_sidecar_pieces(chats, participants.member_lists(tables)), path, ["file"])
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}")), "map<string,string>")
+    lines = read_lines(spark, path).withColumn("own", F.col("value").startswith("  "))
+    entries = lines.filter("own").select("block", "at", F.explode(entry).alias("file", "listed"), F.lit("all").alias("of")).withColumn("ref", F.get_json_object("listed", "$.members_ref").cast("long"))
+    long = staged(lines.filter("not own and value rlike '^\"-?[0-9]+\":'").select(F.explode(entry).alias("k", "long_list")).select(F.col("k").cast("long").alias("ref"), "long_list"), "long")
+    placed = ranked(entries, ["of"], ["block", "at"], "pos").join(sent(long, "long_list"), "ref", "left")
+    return placed.select("file", F.array_join(F.from_json(F.coalesce("long_list", "listed"), "array<string>"), ",").alias("handles"), "pos")
 
 
 # Exported pages and voice files: conversations.

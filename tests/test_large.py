@@ -61,3 +61,37 @@ def test_a_stream_of_late_times_keeps_the_first_copies(spark, tmp_path):
     incremental.follow(stream, "guid", "place", "ts", str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     found = incremental.followed(spark, str(tmp_path / "out"), "guid", "place").selectExpr("guid", "cast(ts as string) as x", "cast(wall as string) as y", "place").collect()
     assert sorted((r["guid"], r["place"], r["x"], r["y"]) for r in found) == [(k, 0, x[0], x[0]) for k, x in sorted(times.items())]
+
+
+def test_ranges_hold_the_start_of_texts_only(spark):
+    from pyspark.sql import functions as F
+
+    from missivelake.operators.ranks import CUT, range_keys, ranked
+
+    rows = spark.createDataFrame([(a, b, n) for n in range(3) for a in ("x" * CUT, "x" * CUT + "a", "x" * CUT + "b", "w", None) for b in ("p" * 2 * CUT, "q", None)], "a string, b string, n long")
+    keys = rows.select(*[k.alias(f"k{i}") for i, k in enumerate(range_keys(rows, ["a", "b", "n"]))])
+    assert max(len(v) for r in keys.collect() for v in r if isinstance(v, str)) <= CUT
+    order = lambda df, *by: [tuple(r) for r in df.orderBy(*by).select("a", "b", "n").collect()]
+    both = rows.select("*", *[k.alias(f"k{i}") for i, k in enumerate(range_keys(rows, ["a", "b", "n"]))])
+    assert order(both, *keys.columns, "a", "b", "n") == order(rows, "a", "b", "n")
+    placed = ranked(rows.withColumn("of", F.lit(0)), ["of"], ["a", "b", "n"]).orderBy("place").collect()
+    assert [(r["a"], r["b"], r["n"]) for r in placed] == order(rows, "a", "b", "n")
+
+
+def test_long_member_lists_stand_once_in_their_document(spark, tmp_path):
+    import json
+
+    from missivelake.operators import participants
+    from missivelake.sources import sinks
+
+    members = [f"member {i:05d}" for i in range(600)]
+    tables = {"chat_handle_join": spark.createDataFrame([(c, c * 1000 + i) for c, n in ((1, 600), (2, 2)) for i in range(n)], "chat_id long, handle_id long"),
+              "handle": spark.createDataFrame([(c * 1000 + i, members[i]) for c in (1, 2) for i in range(600)], "ROWID long, id string")}
+    chats = spark.createDataFrame([(f"page {i:03d}.html", 1 + i % 2) for i in range(100)], "file string, chat_id long")
+    path = tmp_path / "members.json"
+    assert sinks.write_document(participants.shared_sidecar_pieces(chats, participants.member_lists(tables)), str(path), ["file"])
+    found = json.loads(path.read_text())
+    lists = found.pop("members")
+    assert lists == {"1": members} and path.stat().st_size < 2 * len(json.dumps(members))
+    assert found == {f"page {i:03d}.html": members[:2] if i % 2 else {"members_ref": 1} for i in range(100)}
+    assert not sinks.write_document(participants.shared_sidecar_pieces(chats.limit(0), participants.member_lists(tables)), str(tmp_path / "none.json"), ["file"])
