@@ -95,3 +95,8 @@ def test_long_member_lists_stand_once_in_their_document(spark, tmp_path):
     assert lists == {"1": members} and path.stat().st_size < 2 * len(json.dumps(members))
     assert found == {f"page {i:03d}.html": members[:2] if i % 2 else {"members_ref": 1} for i in range(100)}
     assert not sinks.write_document(participants.shared_sidecar_pieces(chats.limit(0), participants.member_lists(tables)), str(tmp_path / "none.json"), ["file"])
+
+
+def test_members_do_not_move_with_their_pages(spark):
+    found = moved(catalogue.QUERIES["group_members"](spark, SMALL))
+    assert found and not any(columns & {"handles", "id"} and "file" in columns for columns in found)
