@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import os
 import re
+from functools import reduce
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
+from missivelake.sources.files import inventory
+from missivelake.sources.stores import Store, in_task, located, staged
 
 GUID = re.compile(T.GUID)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -24,11 +27,60 @@ CHUNK_SCHEMA = (
 
 
 def read_pages(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
-    """(file, path, text): whole files; names are decoded, bad bytes become replacement characters."""
-    decode = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
-    pages = spark.read.text(paths, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=recursive)
-    path = F.regexp_replace(decode(F.col("_metadata.file_path")), "^file:/+", "/")
-    return pages.select(decode(F.col("_metadata.file_name")).alias("file"), path.alias("path"), F.make_valid_utf8("value").alias("text"))
+    """(file, path, text): whole files; bad bytes become replacement characters.
+
+    Tasks list and read the folders, so that the driver holds no row a file.  Empty files and, below a folder, names that begin
+    with a dot or an underscore stay out.
+    """
+    found = staged(page_list(spark, paths, recursive), "pages")
+    total = found.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    parts = max(1, min(total["n"], max(4 * spark.sparkContext.defaultParallelism, total["bytes"] // READ)))
+    read = found.select("path").repartition(parts).mapInArrow(whole_files, "path string, bytes binary")
+    return read.select(T.basename(F.col("path")).alias("file"), "path", F.make_valid_utf8(F.col("bytes").cast("string")).alias("text"))
+
+
+#: Bytes of pages that a task reads at least where there are many, and of those that are passed on together.
+READ, TOGETHER = 16 << 20, 4 << 20
+
+
+def page_list(spark: SparkSession, paths: str | list[str], recursive: bool) -> DataFrame:
+    """(path, length): the pages of folders, and named ones, whose length is not asked."""
+    named, out = [], []
+    for path in [paths] if isinstance(paths, str) else paths:
+        store = Store(spark, path)
+        if not store.exists(path):
+            raise FileNotFoundError(path)
+        if not store.is_folder(path):
+            named.append((located(spark, path), 0))
+            continue
+        rows = inventory(spark, path).filter(F.col("rel_path").endswith(".html") & (F.col("length") > 0) & ~F.col("rel_path").rlike("(^|/)[._]"))
+        out.append((rows if recursive else rows.filter(~F.col("rel_path").contains("/"))).select("path", "length"))
+    if named or not out:
+        out.append(spark.createDataFrame([n for n in named if n[0].endswith(".html")], "path string, length long"))
+    return reduce(DataFrame.union, out)
+
+
+def whole_files(batches):
+    """(path, bytes) of the files of (path) that are not empty, in batches of bounded size."""
+    import pyarrow as pa
+
+    def made(rows):
+        return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.string()), pa.array([b for _, b in rows], pa.binary())], names=["path", "bytes"])
+
+    rows, size = [], 0
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            store, at = in_task(path)
+            with store.open_input_stream(at) as stream:
+                data = stream.read()
+            if not data:
+                continue
+            if rows and size + len(data) > TOGETHER:
+                yield made(rows)
+                rows, size = [], 0
+            rows.append((path, data))
+            size += len(data)
+    yield made(rows)
 
 
 def with_order(pages: DataFrame) -> DataFrame:

@@ -100,3 +100,20 @@ def test_long_member_lists_stand_once_in_their_document(spark, tmp_path):
 def test_members_do_not_move_with_their_pages(spark):
     found = moved(catalogue.QUERIES["group_members"](spark, SMALL))
     assert found and not any(columns & {"handles", "id"} and "file" in columns for columns in found)
+
+
+def test_the_driver_lists_no_pages(spark, tmp_path):
+    from missivelake.sources import html_pages
+
+    texts = {"a b+%41.html": "<p>é</p>".encode(), "sub/bad.html": b"a\xffb", "sub/deep/c.html": b"c", "empty.html": b"", ".hidden.html": b"x", "_side/d.html": b"x", "other.txt": b"x"}
+    for name, data in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    pages = html_pages.read_pages(spark, str(tmp_path), recursive=True)
+    assert not any(f.endswith(".html") for f in pages.inputFiles())
+    wanted = {"a b+%41.html": "<p>é</p>", "sub/bad.html": "a�b", "sub/deep/c.html": "c"}
+    assert {r["path"]: (r["file"], r["text"]) for r in pages.collect()} == {str(tmp_path / n): (n.rpartition("/")[2], x) for n, x in wanted.items()}
+    assert [r["file"] for r in html_pages.read_pages(spark, str(tmp_path)).collect()] == ["a b+%41.html"]
+    assert html_pages.read_pages(spark, [str(tmp_path / "sub/bad.html"), str(tmp_path / "empty.html")]).count() == 1
+    with pytest.raises(FileNotFoundError):
+        html_pages.read_pages(spark, str(tmp_path / "none"))
