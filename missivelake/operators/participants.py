@@ -31,8 +31,13 @@ def first_hit(candidates: DataFrame, key: str, targets: DataFrame, target_key: s
 
 def page_chats(pages: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """(file, chat_id): the chat of each group page's first id that resolves."""
+    return resolved_chats(candidate_ids(pages), tables)
+
+
+def resolved_chats(candidates: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """:func:`page_chats` of (file, pos, guid), the ids that pages are known by."""
     chat_of = tables["message"].join(tables["chat_message_join"], F.col("ROWID") == F.col("message_id")).groupBy("guid").agg(F.min("chat_id").alias("chat_id"))
-    return first_hit(candidate_ids(pages), "file", chat_of, "guid", "chat_id")
+    return first_hit(candidates, "file", chat_of, "guid", "chat_id")
 
 
 def member_lists(tables: dict[str, DataFrame]) -> DataFrame:

@@ -104,8 +104,7 @@ def job_sync(t):
     spark = spark_of(t("customer"))
     store = sqlite_source.write_tables(work_folder(spark) + "/chat", full_store(t))
     done = workflows.sync_store(spark, store, work_folder(spark), "2030-01-01_000000", since=SINCE, book_folder=made.book_folder(t), working=work_folder(spark))
-    pages = html_pages.with_order(html_pages.read_pages(spark, f"{done['folder']}/html"))
-    return html_pages.parse_messages(pages, "div").select("file", "guid", "ts_key")
+    return html_pages.read_messages(spark, f"{done['folder']}/html", "div").select("file", "guid", "ts_key")
 
 
 @query(f"""WITH {made.NAMES}, r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey > (SELECT count(*) FROM customer) THEN 'missing' WHEN o_orderkey % 7 = 0 THEN 'zero_byte' ELSE 'ok' END AS status

@@ -271,7 +271,7 @@ def sync_store(spark: SparkSession, store: str, root: str, stamp: str, full: boo
         pieces = sinks.page_pieces(dedup.first_wins(rows, ["file", "guid"], ["ts_key"]), "file", F.regexp_replace("file", r"\.html$", ""))
         pieces = pieces.withColumn("text", T.strip_prefix(F.col("text"), F.lit(root + "/")))
         n = sinks.write_pages(pieces, os.path.join(folder, "html"))
-        members = n > 0 and sinks.write_document(participants.shared_sidecar_pieces(staged(participants.page_chats(html_pages.read_pages(spark, os.path.join(folder, "html")), tables), "chats"), participants.member_lists(tables)), os.path.join(folder, "group_participants.json"), ["file"])
+        members = n > 0 and sinks.write_document(participants.shared_sidecar_pieces(staged(participants.resolved_chats(html_pages.read_candidates(spark, os.path.join(folder, "html")), tables), "chats"), participants.member_lists(tables)), os.path.join(folder, "group_participants.json"), ["file"])
         for name, table in united.items():
             sinks.write_version(table, os.path.join(folder, "book", name))
         return {"pages": n, "participants": bool(members), "books": sorted(united)}

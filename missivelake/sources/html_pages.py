@@ -240,6 +240,105 @@ def blocks(pages: DataFrame, large: int = LARGE, size: int = BLOCK) -> DataFrame
     return rows.mapInArrow(cut, "file string, file_ord long, block int, whole boolean, text string").repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def page_parts(spark: SparkSession, folder: str, large: int = LARGE, size: int = BLOCK) -> DataFrame:
+    """(file, file_ord, path, block, whole, start, end): the pages of a folder as ranges of bytes that can be parsed apart, dealt to tasks.
+
+    A page of at least ``large`` bytes is cut by one task, outside of Spark's memory; no page is ever a row.
+    """
+
+    def cut(batches):
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+        for batch in batches:
+            rows = []
+            for file, order, path, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ends = None
+                if length >= large:
+                    store, at = in_task(path)
+                    with store.open_input_stream(at) as stream:
+                        data = stream.read()
+                    try:
+                        text = data.decode()
+                        ends = cuts(text, size)
+                    except UnicodeDecodeError:
+                        ends = None  # replaced bytes have other lengths
+                    del data
+                if ends is None:
+                    rows.append((file, order, path, 0, True, 0, length))
+                    continue
+                start = len(text[: ends[0]].encode())
+                for k, (i, j) in enumerate(zip(ends, [*ends[1:], len(text)])):
+                    end = start + len(text[i:j].encode())
+                    rows.append((file, order, path, k, False, start, end))
+                    start = end
+            columns = list(zip(*rows)) if rows else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "path", "block", "whole", "start", "end"])
+
+    found = staged(page_list(spark, folder, False).withColumn("file", T.basename(F.col("path"))), "pages")
+    ordered = with_order(found).select("file", F.col("file_ord").cast("long"), "path", "length")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return staged(ordered.repartition(n).mapInArrow(cut, "file string, file_ord long, path string, block int, whole boolean, start long, end long"), "parts").repartition(n)
+
+
+def read_messages(spark: SparkSession, folder: str, mode: str = "shape", large: int = LARGE, size: int = BLOCK) -> DataFrame:
+    """:func:`parse_messages` of the pages of a folder, which tasks read in parts."""
+    parse = parser(mode)
+
+    def run(batches):
+        def parts():
+            for batch in batches:
+                for file, order, path, block, whole, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    store, at = in_task(path)
+                    with store.open_input_file(at) as data:
+                        yield file, order, block, whole, data.read_at(end - start, start).decode("utf-8", "replace")
+
+        return (parse([part]) for part in parts())
+
+    return page_parts(spark, folder, large, size).mapInArrow(run, MESSAGE_SCHEMA).withColumn("ts_key", T.time_key(F.col("ts_text")))
+
+
+#: Characters of a page that are searched for ids together, and the most that an id's match may take.
+SEARCHED, MATCHED = 1 << 20, 256
+
+
+def read_candidates(spark: SparkSession, folder: str, newest: int = 10, oldest: int = 5) -> DataFrame:
+    """(file, pos, guid) of the group pages of a folder: their ten last message ids in reverse, then the five first; pages are searched as
+    streams."""
+
+    def run(batches):
+        from collections import deque
+
+        import pyarrow as pa
+
+        pattern = re.compile(T.MESSAGE_GUID.encode())
+        for batch in batches:
+            rows = []
+            for file, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first, last, rest = [], deque(maxlen=newest), b""
+                store, at = in_task(path)
+                with store.open_input_stream(at) as data:
+                    while True:
+                        block = data.read(SEARCHED)
+                        text, done = rest + block, 0
+                        for m in pattern.finditer(text):
+                            if block and m.end() > len(text) - MATCHED:
+                                break  # it may go on in the next block
+                            done = m.end()
+                            last.append(m[1].decode())
+                            if len(first) < oldest:
+                                first.append(m[1].decode())
+                        if not block:
+                            break
+                        rest = text[max(done, len(text) - 2 * MATCHED) :]
+                rows += [(file, pos, guid) for pos, guid in enumerate([*reversed(last), *first])]
+            columns = list(zip(*rows)) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()))], names=["file", "pos", "guid"])
+
+    pages = page_list(spark, folder, False).withColumn("file", T.basename(F.col("path"))).filter(T.is_group_filename(F.col("file")))
+    return pages.select("file", "path").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(run, "file string, pos int, guid string")
+
+
 def containers(tree: Tree, whole: bool = True) -> list[tuple[Node, str]]:
     """Message elements found by shape: (element, id).
 
@@ -310,25 +409,35 @@ def parse_messages(pages: DataFrame, mode: str = "shape", large: int = LARGE, si
     row for each message element.  Large pages are cut by a scan and parsed by several tasks; their ``msg_ord`` has gaps between
     the parts.
     """
+    parse = parser(mode)
+
+    def run(batches):
+        for batch in batches:
+            yield parse(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+    small = pages.filter(F.coalesce(F.length("text"), F.lit(0)) < large)
+    parts = small.select("file", F.col("file_ord").cast("long").alias("file_ord"), F.lit(0).alias("block"), F.lit(True).alias("whole"), "text").union(blocks(pages, large, size))
+    return parts.mapInArrow(run, MESSAGE_SCHEMA).withColumn("ts_key", T.time_key(F.col("ts_text")))
+
+
+def parser(mode: str):
+    """Makes one batch of messages of parts (file, file_ord, block, whole, text)."""
     if mode not in ("shape", "div"):
         raise ValueError(mode)
 
-    def parse(batches):
+    def parse(parts):
         import pyarrow as pa
 
-        for batch in batches:
-            rows = []
-            for file, order, block, whole, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tree = Tree(text or "")
-                for k, (n, guid) in enumerate(containers(tree, whole) if mode == "shape" else message_divs(tree)):
-                    rows.append((file, order, block * PLACES + k, guid.upper(), shown_time(n), tree.source[n.start : n.end]))
-            columns = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "msg_ord", "guid", "ts_text", "html"])
+        rows = []
+        for file, order, block, whole, text in parts:
+            tree = Tree(text or "")
+            for k, (n, guid) in enumerate(containers(tree, whole) if mode == "shape" else message_divs(tree)):
+                rows.append((file, order, block * PLACES + k, guid.upper(), shown_time(n), tree.source[n.start : n.end]))
+        columns = list(zip(*rows)) if rows else [[]] * 6
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "file_ord", "msg_ord", "guid", "ts_text", "html"])
 
-    small = pages.filter(F.coalesce(F.length("text"), F.lit(0)) < large)
-    parts = small.select("file", F.col("file_ord").cast("long").alias("file_ord"), F.lit(0).alias("block"), F.lit(True).alias("whole"), "text").union(blocks(pages, large, size))
-    return parts.mapInArrow(parse, MESSAGE_SCHEMA).withColumn("ts_key", T.time_key(F.col("ts_text")))
+    return parse
 
 
 def shells(pages: DataFrame) -> DataFrame:

@@ -117,3 +117,27 @@ def test_the_driver_lists_no_pages(spark, tmp_path):
     assert html_pages.read_pages(spark, [str(tmp_path / "sub/bad.html"), str(tmp_path / "empty.html")]).count() == 1
     with pytest.raises(FileNotFoundError):
         html_pages.read_pages(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize("mode", ["shape", "div"])
+def test_pages_are_parsed_in_parts_that_tasks_read(spark, tmp_path, mode):
+    """Cut pages, small ones, one with bad bytes: the same messages and ids as from whole texts."""
+    from missivelake.operators import participants
+    from missivelake.sources import html_pages
+
+    one = '<div class="message"><p><span class="timestamp"><a href="sms://open?message-guid=AAAAAAAA-0000-4000-8000-{:012d}">Jan 02, 2020 8:{:02d}:00 AM</a></span></p><q>é€ {}</q></div>\n'
+    for name, n in (("A, B.html", 500), ("C, D.html", 3), ("E, F.html", 40), ("G.html", 20)):
+        data = ("<html><head><title>t</title></head><body>\n" + "".join(one.format(i, i % 60, "x" * (i % 50)) for i in range(n)) + "</body></html>").encode()
+        (tmp_path / name).write_bytes(data.replace("é€ ".encode(), b"\xff ") if name.startswith("E") else data)
+    pages = html_pages.with_order(html_pages.read_pages(spark, str(tmp_path)))
+    told = lambda df: sorted((r["file"], r["guid"], r["ts_key"], r["html"]) for r in df.collect())
+    assert told(html_pages.read_messages(spark, str(tmp_path), mode, 4000, 2000)) == told(html_pages.parse_messages(pages, mode, 1 << 30))
+    parts = html_pages.page_parts(spark, str(tmp_path), 4000, 2000)
+    assert parts.filter("file = 'A, B.html' and not whole").count() > 10 and "text" not in parts.columns
+    few = lambda df: sorted(tuple(r) for r in df.select("file", "pos", "guid").collect())
+    searched = html_pages.SEARCHED
+    try:
+        html_pages.SEARCHED = 1000
+        assert few(html_pages.read_candidates(spark, str(tmp_path))) == few(participants.candidate_ids(pages))
+    finally:
+        html_pages.SEARCHED = searched
