@@ -141,3 +141,25 @@ def test_pages_are_parsed_in_parts_that_tasks_read(spark, tmp_path, mode):
         assert few(html_pages.read_candidates(spark, str(tmp_path))) == few(participants.candidate_ids(pages))
     finally:
         html_pages.SEARCHED = searched
+
+
+def test_long_chat_names_stand_once_in_an_audit(spark, tmp_path):
+    import json
+
+    from missivelake.operators import audit
+    from missivelake.sources import sinks
+
+    name = ", ".join(f'member "{i:05d}"' for i in range(600))
+    names = spark.createDataFrame([(1, "Named"), (2, name)], "code long, chat string")
+    rows = [(1 + i % 2, f"f{i:03d}", None if i % 7 == 0 else f"2020-01-01T00:00:{i % 60:02d}", f"t{i}", f"s{i}", f"p{i}", ("missing", "zero_byte", "ok")[i % 3]) for i in range(300)]
+    done = spark.createDataFrame(rows, "code long, file string, sent string, tail string, stored_path string, path string, status string")
+    path = tmp_path / "audit.json"
+    assert sinks.write_document(audit.document_pieces(done, "now", "db", "/a", names), str(path), audit.RECORD_ORDER)
+    document = json.loads(path.read_text())
+    assert document["chats"] == {"2": name} and path.stat().st_size < 5 * len(name)
+    for status in ("missing", "zero_byte"):
+        wanted = sorted(((s is None, s or "", c, f, t, p) for c, f, s, t, p, _, x in rows if x == status))
+        assert [(r["sent"] is None, r["sent"] or "", r.get("chat_ref", 1), r["file"], r["tail"], r["stored_path"]) for r in document[status]] == wanted
+        assert all(r["chat"] == "Named" for r in document[status] if "chat_ref" not in r)
+    sinks.write_document(audit.document_pieces(done.filter("code = 1"), "now", "db", "/a", names.filter("code = 1")), str(path), audit.RECORD_ORDER)
+    assert list(json.loads(path.read_text())) == ["generated", "snapshot_db", "shared_attachments", "totals", "zero_byte", "missing"]
