@@ -163,3 +163,7 @@ def test_long_chat_names_stand_once_in_an_audit(spark, tmp_path):
         assert all(r["chat"] == "Named" for r in document[status] if "chat_ref" not in r)
     sinks.write_document(audit.document_pieces(done.filter("code = 1"), "now", "db", "/a", names.filter("code = 1")), str(path), audit.RECORD_ORDER)
     assert list(json.loads(path.read_text())) == ["generated", "snapshot_db", "shared_attachments", "totals", "zero_byte", "missing"]
+
+
+def test_references_move_without_names(spark):
+    assert not holds_names_of_rows(catalogue.QUERIES["audit_references"](spark, SMALL))
