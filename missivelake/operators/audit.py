@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from missivelake.functions import text as T
 from missivelake.operators.ranks import first_few, ranked
-from missivelake.sources.stores import sent, staged
+from missivelake.sources.stores import few, sent, staged
 
 
 def chat_names(chat: DataFrame, chat_handle: DataFrame, handle: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def chat_codes(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
 
 
 def named(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """``rows`` with the chat's name in the place of its code, in the order they are in if the names are sent to all tasks."""
+    """``rows`` with the chat's name in the place of its code."""
     return rows.join(sent(names, "chat"), "code").select(*["chat" if c == "code" else c for c in rows.columns])
 
 
@@ -197,7 +197,10 @@ def problems(classified: DataFrame, names: DataFrame | None = None) -> DataFrame
     bad = classified.filter("status <> 'ok'")
     if names is None:
         return bad.orderBy("status", F.col("sent").asc_nulls_last(), "chat", "file")
-    return named(bad.orderBy("status", F.col("sent").asc_nulls_last(), "code", "file"), names)
+    # The place is read behind the join: a sort below a join that nothing asks for is dropped.
+    placed = bad.orderBy("status", F.col("sent").asc_nulls_last(), "code", "file").withColumn("__at", F.monotonically_increasing_id())
+    told = named(placed, names)
+    return (told.filter("__at >= 0") if few(names, "chat") else told.orderBy("__at")).drop("__at")
 
 
 def top_per_group(rows: DataFrame, group: list[str], order: list[Column], most: int = 8) -> DataFrame:
@@ -266,8 +269,8 @@ def coded_lines(classified: DataFrame, names: DataFrame, most: int) -> DataFrame
     body = shown.select("status", "code", "rn", line.alias("line"), "n_total")
     more = shown.filter("rn = 1 and n_more > 0").select("status", "code", F.lit(most + 1).alias("rn"), F.format_string("  … and %d more", "n_more").alias("line"), "n_total")
     head = shown.filter("rn = 1").select("status", "code", F.lit(0).alias("rn"), F.lit(None).cast("string").alias("line"), "n_total")
-    rows = head.union(body).union(more).orderBy("status", "code", "rn").join(sent(names, "chat"), "code")
-    return rows.select("status", "chat", "rn", F.coalesce("line", F.format_string("%s (%d)", "chat", "n_total")).alias("line"), "code")
+    rows = head.union(body).union(more).join(sent(names, "chat"), "code")
+    return rows.select("status", "chat", "rn", F.coalesce("line", F.format_string("%s (%d)", "chat", "n_total")).alias("line"), "code").orderBy("status", "code", "rn")
 
 
 def verification(tables: dict[str, DataFrame]) -> DataFrame:

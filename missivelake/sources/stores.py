@@ -171,10 +171,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 SENT = 32 << 20
 
 
+def few(df: DataFrame, column: str) -> bool:
+    """Whether a staged table's long values have few bytes together."""
+    return (df.agg(F.sum(F.octet_length(column))).first()[0] or 0) <= SENT
+
+
 def sent(df: DataFrame, column: str) -> DataFrame:
     """A staged table of long values, to be sent to all tasks if they have few bytes together."""
-    total = df.agg(F.sum(F.octet_length(column))).first()[0]
-    return F.broadcast(df) if (total or 0) <= SENT else df
+    return F.broadcast(df) if few(df, column) else df
 
 
 def bucketed(df: DataFrame, key: str, name: str, buckets: int = 64) -> DataFrame:

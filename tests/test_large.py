@@ -167,3 +167,10 @@ def test_long_chat_names_stand_once_in_an_audit(spark, tmp_path):
 
 def test_references_move_without_names(spark):
     assert not holds_names_of_rows(catalogue.QUERIES["audit_references"](spark, SMALL))
+
+
+def test_problems_are_sorted_without_names(spark):
+    found = catalogue.QUERIES["audit_problems"](spark, SMALL)
+    assert not holds_names_of_rows(found)
+    order = [(r["status"], r["sent"] is None, r["sent"] or "", r["chat"], r["file"]) for r in found.collect()]
+    assert order == sorted(order)
