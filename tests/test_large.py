@@ -174,3 +174,10 @@ def test_problems_are_sorted_without_names(spark):
     assert not holds_names_of_rows(found)
     order = [(r["status"], r["sent"] is None, r["sent"] or "", r["chat"], r["file"]) for r in found.collect()]
     assert order == sorted(order)
+
+
+def test_reports_are_ranked_without_names(spark):
+    found = catalogue.QUERIES["audit_report"](spark, SMALL)
+    assert not holds_names_of_rows(found)
+    order = [(r["status"], r["chat"], r["rn"]) for r in found.collect()]
+    assert order == sorted(order)
